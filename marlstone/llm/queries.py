@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import quality
+from . import chat, decontaminate, packing, quality
 from .common import table
 
 
@@ -43,5 +44,58 @@ b AS (
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, (fail_bits & 3) <> 0 AS base_failed, fail_bits = 0 AS kept, fail_bits FROM b
 """
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op8_quality_rules": op8_quality_rules}
-SQL: dict[str, str] = {"op8_quality_rules": OP8_SQL}
+
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return pieces.select("doc_id", "start", "length", F.crc32("token_bytes").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+def op7_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = "</s>[INST] ok [/INST]"
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    more = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(said).alias("text"))
+    log = chat.events_of(turns.unionByName(more))
+    return chat.read_back(chat.render(chat.fold(log)))
+
+
+OP7_SQL = r"""
+WITH c AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'),
+x AS (
+  SELECT *, length(text) + len(regexp_extract_all(text, '\\')) + 2 * len(regexp_extract_all(text, '<</?SYS>>|\[/?INST\]|</?s>|\[[/:]?ROLE\]'))
+    + CASE role WHEN 'system' THEN 15 WHEN 'user' THEN 13 WHEN 'assistant' THEN 7 ELSE 20 + length(role) END AS n FROM c)
+SELECT conv_id, count(*)::BIGINT AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256, sum(n)::BIGINT AS formatted_chars
+FROM x GROUP BY conv_id
+"""
+
+
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    h = F.col("hits")
+    return decontaminate.find(docs, table(spark, sf_dir, "benchmark")).select(
+        "doc_id", h.n_words.alias("n_words"), decontaminate.hit_words(h.spans).alias("n_hit"), F.size(h["items"]).cast("long").alias("n_items"),
+        F.sha2(F.array_join(h["items"], ","), 256).alias("items_sha256"), decontaminate.contaminated(h).alias("contaminated"),
+    )
+
+
+OP10_SQL = r"""
+WITH norm AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents),
+item AS (SELECT item_id::VARCHAR AS item, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM benchmark WHERE item_id IS NOT NULL),
+win AS (
+  SELECT item, least(len(ws), 13) AS n, array_to_string(ws[i:i+least(len(ws), 13)-1], ' ') AS g FROM item, unnest(range(1, greatest(len(ws) - 13, 0) + 2)) AS u(i) WHERE len(ws) > 0),
+sizes AS (SELECT DISTINCT n FROM win),
+dw AS (SELECT r, n, i, array_to_string(ws[i:i+n-1], ' ') AS g FROM norm, sizes, unnest(range(1, len(ws) - n + 2)) AS u(i)),
+hit AS (SELECT r, i, dw.n, item FROM dw JOIN win USING (n, g)),
+cov AS (SELECT r, count(DISTINCT i + k) AS n_hit FROM (SELECT DISTINCT r, i, n FROM hit), unnest(range(0, n)) AS u(k) GROUP BY r),
+its AS (SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS s FROM (SELECT DISTINCT r, item FROM hit) GROUP BY r)
+SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(s, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(ws) AS contaminated
+FROM norm LEFT JOIN cov USING (r) LEFT JOIN its USING (r)
+"""
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op2_packing, op7_chat_formatting, op8_quality_rules, op10_decontamination)}
+SQL: dict[str, str] = {"op7_chat_formatting": OP7_SQL, "op8_quality_rules": OP8_SQL, "op10_decontamination": OP10_SQL}
