@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, packing, quality
+from . import chat, decontaminate, packing, quality, toxicity, warc
 from .common import table
 
 
@@ -97,5 +97,17 @@ SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
 FROM norm LEFT JOIN cov USING (r) LEFT JOIN its USING (r)
 """
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op2_packing, op7_chat_formatting, op8_quality_rules, op10_decontamination)}
+def op1_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = warc.derive(table(spark, sf_dir, "pages"), "page_id", "html", "url")
+    chars = F.when(F.col("warc_type") == "conversion", F.length(F.decode("block", "UTF-8"))).cast("long")
+    return records.select(F.col("key").alias("page_id"), "warc_type", "record_id", "refers_to", "target_uri", "content_type", "content_length", "block_digest", "source_digest", chars.alias("text_chars"))
+
+
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model).select("doc_id", F.round("toxicity.severity", 6).alias("severity"), "toxicity.grade", "toxicity.toxic")
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_warc_derivatives, op2_packing, op5_toxicity, op7_chat_formatting, op8_quality_rules, op10_decontamination)}
 SQL: dict[str, str] = {"op7_chat_formatting": OP7_SQL, "op8_quality_rules": OP8_SQL, "op10_decontamination": OP10_SQL}
