@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, packing, quality, toxicity, warc
+from . import chat, decontaminate, packing, pii, quality, toxicity, warc
 from .common import table
 
 
@@ -109,5 +109,13 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, model).select("doc_id", F.round("toxicity.severity", 6).alias("severity"), "toxicity.grade", "toxicity.toxic")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_warc_derivatives, op2_packing, op5_toxicity, op7_chat_formatting, op8_quality_rules, op10_decontamination)}
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = F.col("pii")
+    count = lambda kind: F.size(F.filter(p.base, lambda s: s.kind == kind)).cast("long").alias(f"n_{kind}")
+    return pii.sanitise(table(spark, sf_dir, "documents").select("doc_id", "text")).select(
+        "doc_id", *map(count, pii.KINDS), F.sha2(pii.spelled(p.base), 256).alias("base_sha256"), pii.spelled(F.concat(p.base, p.terms)).alias("spans"), F.size(p.terms).cast("long").alias("n_term"),
+    )
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_warc_derivatives, op2_packing, op3_pii, op5_toxicity, op7_chat_formatting, op8_quality_rules, op10_decontamination)}
 SQL: dict[str, str] = {"op7_chat_formatting": OP7_SQL, "op8_quality_rules": OP8_SQL, "op10_decontamination": OP10_SQL}
