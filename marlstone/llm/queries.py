@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, packing, pii, quality, toxicity, warc
+from . import chat, decontaminate, html_main, packing, pii, quality, toxicity, warc
 from .common import table
 
 
@@ -117,5 +117,10 @@ def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_warc_derivatives, op2_packing, op3_pii, op5_toxicity, op7_chat_formatting, op8_quality_rules, op10_decontamination)}
+def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return html_main.main_text(pages).select("page_id", "url", F.col("main.text").alias("text"), F.length("main.text").cast("long").alias("n_chars"))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_warc_derivatives, op2_packing, op3_pii, op4_html_extraction, op5_toxicity, op7_chat_formatting, op8_quality_rules, op10_decontamination)}
 SQL: dict[str, str] = {"op7_chat_formatting": OP7_SQL, "op8_quality_rules": OP8_SQL, "op10_decontamination": OP10_SQL}
