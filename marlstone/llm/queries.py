@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, html_main, packing, pii, quality, toxicity, warc
+from . import chat, decontaminate, html_main, near_dedup, packing, pii, quality, toxicity, warc
 from .common import table
 
 
@@ -122,5 +122,10 @@ def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_main.main_text(pages).select("page_id", "url", F.col("main.text").alias("text"), F.length("main.text").cast("long").alias("n_chars"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_warc_derivatives, op2_packing, op3_pii, op4_html_extraction, op5_toxicity, op7_chat_formatting, op8_quality_rules, op10_decontamination)}
+def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return near_dedup.classes(docs).select("doc_id", "near.class_id", "near.class_size")
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_warc_derivatives, op2_packing, op3_pii, op4_html_extraction, op5_toxicity, op7_chat_formatting, op8_quality_rules, op9_minhash_near_dedup, op10_decontamination)}
 SQL: dict[str, str] = {"op7_chat_formatting": OP7_SQL, "op8_quality_rules": OP8_SQL, "op10_decontamination": OP10_SQL}
