@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, html_main, near_dedup, packing, pii, quality, toxicity, warc
+from . import chat, decontaminate, html_main, near_dedup, packing, pii, quality, repeats, toxicity, warc
 from .common import table
 
 
@@ -127,5 +127,22 @@ def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.classes(docs).select("doc_id", "near.class_id", "near.class_size")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_warc_derivatives, op2_packing, op3_pii, op4_html_extraction, op5_toxicity, op7_chat_formatting, op8_quality_rules, op9_minhash_near_dedup, op10_decontamination)}
-SQL: dict[str, str] = {"op7_chat_formatting": OP7_SQL, "op8_quality_rules": OP8_SQL, "op10_decontamination": OP10_SQL}
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    r = F.col("repeats")
+    removed = F.aggregate(r.spans, F.lit(0).cast("long"), lambda n, s: n + s.end - s.start)
+    return repeats.remove(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", r.n_words.alias("n_words"), removed.alias("n_removed"), F.sha2(r.kept, 256).alias("kept_sha256"))
+
+
+OP6_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents),
+w AS (SELECT r, i, md5(array_to_string(ws[i:i+34], ' ')) AS g FROM d, unnest(range(1, len(ws) - 33)) AS u(i)),
+again AS (SELECT g FROM w GROUP BY g HAVING count(*) > 1),
+gone AS (SELECT DISTINCT r, i + k AS i FROM w JOIN again USING (g), unnest(range(0, 35)) AS u(k)),
+x AS (SELECT d.r, t.i, ws[t.i] AS word FROM d, unnest(range(1, len(ws) + 1)) AS t(i)),
+k AS (SELECT x.r, string_agg(word, ' ' ORDER BY x.i) AS kept, count(*) AS n FROM x ANTI JOIN gone ON x.r = gone.r AND x.i = gone.i GROUP BY x.r)
+SELECT doc_id, len(ws)::BIGINT AS n_words, (len(ws) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256 FROM d LEFT JOIN k USING (r)
+"""
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_warc_derivatives, op2_packing, op3_pii, op4_html_extraction, op5_toxicity, op6_substring_dedup, op7_chat_formatting, op8_quality_rules, op9_minhash_near_dedup, op10_decontamination)}
+SQL: dict[str, str] = {"op6_substring_dedup": OP6_SQL, "op7_chat_formatting": OP7_SQL, "op8_quality_rules": OP8_SQL, "op10_decontamination": OP10_SQL}
