@@ -1,20 +1,21 @@
 """Near-duplicate classes by ProbMinHash, banding and verification.
 
-A text is its weighted set of five-word shingles (weight 1 + ln count). Each shingle sends a Poisson process of arrivals, with
-its weight as rate, to uniformly drawn registers; a register keeps the shingle that came first. Arrivals are drawn in rounds
-for all shingles that can still win, and the process ends when the next arrival of each would come after the slowest
-register's. Two signatures agree in a register with the probability Jaccard similarity of their sets. Signatures are cut into
-bands of ROWS registers; texts that share a band are candidates, and candidates are verified on their texts: a link holds if
-the probability Jaccard similarity or the plain Jaccard similarity of the shingle sets is THRESHOLD or more.
+A text is its weighted set of five-word shingles. Each shingle sends a Poisson process of arrivals, with its weight as rate,
+to uniformly drawn registers; a register keeps the shingle that came first. Arrivals are drawn in rounds for all shingles that
+can still win, and the process ends when the next arrival of each would come after the slowest register's. Two signatures agree
+in a register with the probability Jaccard similarity of their sets. Signatures are cut into bands of ROWS registers; texts that
+share a band are candidates, and candidates are verified on their texts: a link holds at THRESHOLD or more. Weights are a
+parameter; with the default, 1 for each distinct shingle, probability Jaccard similarity is Jaccard similarity.
 
 Classes are the connected components of the links. Exact copies (same words) are one node from the start. No bucket is
-expanded into its pairs: in each round every node of a bucket is tested against one centre of the bucket, and nodes that have
-joined the centre's component are done. After STAR_ROUNDS the few pairs of a bucket that are still in different components and
-untested are all tested, so no link inside a bucket is lost. Components are found by contraction with pointer jumping; all
-state is written to the shared folder between rounds.
+expanded into its pairs: in each round every node of a bucket is tested against one centre, first the node that shares most
+bands with others, and nodes that have joined the centre's component are done. Then buckets of SMALL nodes or fewer have their
+last pairs tested. Nodes of larger buckets that are still in different components meet by a prefix join, which is exact: of two
+texts with similarity t or more, one of the rarest (1 - t) n + 1 shingles of each is shared, and their places bound the overlap.
+Components are found by contraction with pointer jumping; all state is written to the shared folder between rounds.
 
 Defined results: null text has no words; texts without words are copies of each other; a text of fewer than five words is one
-shingle; repeated rows are copies; rows with null or repeated ids get a class each.
+shingle; repeated rows are copies; rows with null or repeated ids get a class each by their words like any other.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -34,7 +35,7 @@ from .common import col, free_name, words_of, written
 WIDTH, THRESHOLD = 5, 0.8
 #: At a similarity of 0.8 a pair is missed by all bands with probability (1 - 0.8 ** ROWS) ** BANDS = 3e-6.
 BANDS, ROWS = 24, 4
-STAR_ROUNDS = 4
+STAR_ROUNDS, SMALL = 2, 8
 
 _GOLD, _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _ODD = [np.uint64(x | 1) for x in (0x8D8F1D0B5A3C9E17, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)]
@@ -72,8 +73,8 @@ def shingles(words: list[bytes], width: int = WIDTH) -> tuple[np.ndarray, np.nda
     return np.unique(out, return_counts=True)
 
 
-def weights(counts: np.ndarray) -> np.ndarray:
-    return 1 + np.log(counts)
+#: Weights of shingles by their counts in a text.
+WEIGHTS = {"binary": lambda n: np.ones(len(n)), "log": lambda n: 1 + np.log(n)}
 
 
 def signature(elements: np.ndarray, w: np.ndarray, m: int) -> np.ndarray:
@@ -105,56 +106,91 @@ def bands_of(sig: np.ndarray, bands: int = BANDS, rows: int = ROWS) -> np.ndarra
     return out.view(np.int64)
 
 
-def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
-    """The greater of probability Jaccard similarity and plain Jaccard similarity of two weighted sets."""
+def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray], weigh: str = "binary") -> float:
+    """Probability Jaccard similarity of two weighted sets of (elements, counts)."""
     _, i, j = np.intersect1d(a[0], b[0], assume_unique=True, return_indices=True)
     if not len(i):
         return 0.0
-    plain = len(i) / (len(a[0]) + len(b[0]) - len(i))
-    wa, wb = weights(a[1]), weights(b[1])
+    if weigh == "binary":
+        return len(i) / (len(a[0]) + len(b[0]) - len(i))
+    wa, wb = WEIGHTS[weigh](a[1]), WEIGHTS[weigh](b[1])
     # for each common element d: 1 / sum over elements of max(x / x_d, y / y_d), by order of the ratios y / x
     x, y = wa[i], wb[j]
     order = np.argsort(y / x, kind="stable")
     x, y = x[order], y[order]
     below, above = np.cumsum(x), y.sum() - np.cumsum(y)
     only_a, only_b = wa.sum() - x.sum(), wb.sum() - y.sum()
-    prob = float((1 / ((below + only_a) / x + (above + only_b) / y)).sum())
-    return max(plain, prob)
+    return float((1 / ((below + only_a) / x + (above + only_b) / y)).sum())
 
 
-def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(row, id, text) with the 128-bit hash of the words and the bands."""
-    for batch in batches:
-        h1, h2, bands = [], [], []
-        for text in batch.column("text").to_pylist():
-            words = words_of(text)
-            d = xxhash.xxh128_intdigest(b" ".join(words))
-            h1.append((d >> 64) - (1 << 63))
-            h2.append((d & (1 << 64) - 1) - (1 << 63))
-            e, n = shingles(words)
-            bands.append(bands_of(signature(e, weights(n), BANDS * ROWS)) if len(e) else np.zeros(0, np.int64))
-        lists = pa.ListArray.from_arrays(np.concatenate([[0], np.cumsum([len(b) for b in bands])]).astype(np.int32), np.concatenate(bands) if bands else np.zeros(0, np.int64))
-        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(h1, pa.int64()), pa.array(h2, pa.int64()), lists], names=[*batch.schema.names, "h1", "h2", "bands"])
-
-
-def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of pairs (a, b, text_a, text_b), those that are linked; the shingles of a centre are kept while its pairs pass by."""
-    last, held = None, None
-    for batch in batches:
-        a, b = [], []
-        for x, y, s, t in zip(*[batch.column(n).to_pylist() for n in ("a", "b", "text_a", "text_b")]):
-            if t is not last and t != last:
-                last, held = t, shingles(words_of(t))
-            if similarity(shingles(words_of(s)), held) >= THRESHOLD - 1e-9:
-                a.append(x)
-                b.append(y)
-        yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+def _signed(weigh: str):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """(row, text) with the 128-bit hash of the words and the bands."""
+        for batch in batches:
+            h1, h2, bands = [], [], []
+            for text in batch.column("text").to_pylist():
+                words = words_of(text)
+                d = xxhash.xxh128_intdigest(b" ".join(words))
+                h1.append((d >> 64) - (1 << 63))
+                h2.append((d & (1 << 64) - 1) - (1 << 63))
+                e, n = shingles(words)
+                bands.append(bands_of(signature(e, WEIGHTS[weigh](n), BANDS * ROWS)) if len(e) else np.zeros(0, np.int64))
+            yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(h1, pa.int64()), pa.array(h2, pa.int64()), _lists(bands)], names=["row", "h1", "h2", "bands"])
+
+    return run
+
+
+def _lists(arrays: list[np.ndarray]) -> pa.Array:
+    offsets = np.concatenate([[0], np.cumsum([len(x) for x in arrays])]).astype(np.int32)
+    return pa.ListArray.from_arrays(offsets, np.concatenate(arrays) if arrays else np.zeros(0, np.int64))
+
+
+def _verified(weigh: str):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Of pairs (a, b, text_a, text_b), those that are linked; the shingles of a centre are kept while its pairs pass by."""
+        last, held = None, None
+        for batch in batches:
+            a, b = [], []
+            for x, y, s, t in zip(*[batch.column(n).to_pylist() for n in ("a", "b", "text_a", "text_b")]):
+                if t is not last and t != last:
+                    last, held = t, shingles(words_of(t))
+                if similarity(shingles(words_of(s)), held, weigh) >= THRESHOLD - 1e-9:
+                    a.append(x)
+                    b.append(y)
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+    return run
 
 
-def _links(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+def _links(pairs: DataFrame, texts: DataFrame, weigh: str) -> DataFrame:
     left = pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
     both = left.join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
-    return both.select("a", "b", "text_a", "text_b").mapInArrow(_verified, "a long, b long")
+    return both.select("a", "b", "text_a", "text_b").mapInArrow(_verified(weigh), "a long, b long")
+
+
+def _shingle_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        sets = [shingles(words_of(t))[0].view(np.int64) for t in batch.column("text").to_pylist()]
+        yield pa.RecordBatch.from_arrays([batch.column("node"), batch.column("label"), _lists(sets)], names=["node", "label", "hs"])
+
+
+def prefix_pairs(nodes: DataFrame, t: float = THRESHOLD) -> DataFrame:
+    """(a, b) of (node, label, text) rows of different labels that may have Jaccard similarity t or more; none that has is left out.
+
+    Shingles are ordered by how many of these rows have them, the rarest first. Shingles that only one row has can't be shared;
+    they are counted but not shuffled on.
+    """
+    lists = written(nodes.select("node", "label", "text").mapInArrow(_shingle_lists, "node long, label long, hs array<long>"), "shingles")
+    each = lists.select("node", "label", F.size("hs").alias("n"), F.explode("hs").alias("h"))
+    df = each.groupBy("h").agg(F.count("*").alias("df")).where("df > 1")
+    own = Window.partitionBy("node")
+    shared = each.join(df, "h").withColumns({"place": F.col("n") - F.count("*").over(own) + F.row_number().over(own.orderBy("df", "h"))})
+    need = F.ceil(F.col("n") * t - 1e-9)
+    prefix = written(shared.where(F.col("place") <= F.col("n") - need + 1).select("node", "label", "n", "h", "place"), "prefix")
+    x, y = (prefix.select("h", *(F.col(c).alias(f"{c}_{k}") for c in ("node", "label", "n", "place"))) for k in "ab")
+    left = F.least(F.col("n_a") - F.col("place_a"), F.col("n_b") - F.col("place_b")) + 1
+    bound = left >= F.ceil((F.col("n_a") + F.col("n_b")) * t / (1 + t) - 1e-9)
+    return x.join(y, (x.h == y.h) & (F.col("label_a") < F.col("label_b")) & bound).select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
 
 
 def contract(labels: DataFrame, links: DataFrame) -> DataFrame:
@@ -176,40 +212,48 @@ def contract(labels: DataFrame, links: DataFrame) -> DataFrame:
     return labels
 
 
-def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", out: str = "near") -> DataFrame:
+def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", out: str = "near", weigh: str = "binary") -> DataFrame:
     """docs with a struct column: class_id (the least id of the class, or null if all are), class_size, and first (of its class, by id)."""
     out = free_name(docs, out)
     row = free_name(docs, "__row")
     kept = written(docs.withColumn(row, F.monotonically_increasing_id()), "near-docs")
     fed = kept.select(F.col(row).alias("row"), col(text_col).alias("text"))
-    signed = written(fed.mapInArrow(_signed, T.StructType([*fed.schema.fields, T.StructField("h1", T.LongType()), T.StructField("h2", T.LongType()), T.StructField("bands", T.ArrayType(T.LongType()))])).drop("text"), "signed")
+    signed = written(fed.mapInArrow(_signed(weigh), "row long, h1 long, h2 long, bands array<long>"), "signed")
     nodes = written(signed.groupBy("h1", "h2").agg(F.min("row").alias("node"), F.min_by("bands", "row").alias("bands")), "nodes")
     buckets = nodes.select("node", F.explode("bands").alias("key"))
-    shared = buckets.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
+    shared = buckets.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
     buckets = written(buckets.join(shared, "key"), "buckets")
-    texts = fed.join(buckets.select(F.col("node").alias("row")).distinct(), "row").select(F.col("row").alias("node"), "text")
-    texts = written(texts, "texts")
-
-    labels = written(buckets.select("node").distinct().select("node", F.col("node").alias("label")), "labels")
+    degree = written(buckets.groupBy("node").agg(F.sum("size").alias("degree")), "degree")
+    texts = written(fed.join(degree.select(F.col("node").alias("row")), "row").select(F.col("row").alias("node"), "text"), "texts")
+    labels = written(degree.select("node", F.col("node").alias("label")), "labels")
     tested = None
-    for k in range(STAR_ROUNDS + 1):
-        open_ = buckets.join(labels, "node")
-        split = open_.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.min(F.struct(F.xxhash64("node", F.lit(k)).alias("p"), F.col("node").alias("b"), F.col("label").alias("lb"))).alias("c")).where("lo < hi")
-        if k < STAR_ROUNDS:
-            pairs = open_.join(split.select("key", "c.b", "c.lb"), "key").where("label <> lb").select(F.col("node").alias("a"), "b")
-        else:  # all pairs of different components that share a bucket
-            mixed_ = written(open_.join(split.select("key"), "key"), "mixed")
-            other = mixed_.select("key", F.col("node").alias("b"), F.col("label").alias("lb"))
-            pairs = mixed_.join(other, "key").where("label < lb").select(F.col("node").alias("a"), "b")
+
+    def test(pairs: DataFrame) -> None:
+        """Verifies pairs that haven't been, and joins the components of those that hold."""
+        nonlocal tested, labels
         pairs = pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = written(pairs, "pairs")
-        if pairs.isEmpty() and k < STAR_ROUNDS:
-            continue
+        pairs = written(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
         tested = pairs if tested is None else tested.unionByName(pairs)
-        links = written(_links(pairs, texts), "links")
-        labels = contract(labels, links)
+        labels = contract(labels, written(_links(pairs, texts, weigh), "links"))
+
+    def split() -> tuple[DataFrame, DataFrame]:
+        """Bucket rows with labels, and the buckets whose nodes are in different components."""
+        rows = buckets.join(labels, "node")
+        return rows, rows.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("key")
+
+    for k in range(STAR_ROUNDS):
+        rows, _ = split()
+        first = (-F.col("degree") if k == 0 else F.xxhash64("node", F.lit(k))).alias("p")
+        centre = rows.join(degree, "node").groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.min(F.struct(first, F.col("node").alias("b"), F.col("label").alias("lb"))).alias("c")).where("lo < hi")
+        test(rows.join(centre.select("key", "c.b", "c.lb"), "key").where("label <> lb").select(F.col("node").alias("a"), "b"))
+    rows, parted = split()
+    small = written(rows.where(F.col("size") <= SMALL).join(parted, "key"), "small") if weigh == "binary" else written(rows.join(parted, "key"), "small")
+    other = small.select("key", F.col("node").alias("b"), F.col("label").alias("lb"))
+    test(small.join(other, "key").where("label < lb").select(F.col("node").alias("a"), "b"))
+    if weigh == "binary":
+        rows, parted = split()
+        open_ = rows.where(F.col("size") > SMALL).join(parted, "key").select("node", "label").distinct()
+        test(prefix_pairs(open_.join(texts, "node")))
 
     where = signed.select("row", "h1", "h2").join(nodes.select("h1", "h2", "node"), ["h1", "h2"]).join(labels, "node", "left").select(F.col("row").alias(row), F.coalesce("label", "node").alias("__class"))
     ids = kept.select(F.col(row), col(id_col).alias("__id")).join(where, row)

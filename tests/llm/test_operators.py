@@ -298,6 +298,8 @@ def test_near_duplicates_match_brute_force(spark):
     got = near_dedup.classes(docs_of(spark, texts)).orderBy("doc_id").collect()
     assert [x.near.class_id for x in got] == classes_by_hand(texts)
     assert all(x.near.first == (x.doc_id == x.near.class_id) for x in got)
+    logged = near_dedup.classes(docs_of(spark, texts), weigh="log").orderBy("doc_id").collect()
+    assert sum(x.near.class_id != y.near.class_id for x, y in zip(got, logged)) <= 6
     assert near_dedup.classes(empty(spark)).count() == 0
     odd = near_dedup.classes(awkward(spark)).collect()
     assert len(odd) == 10 and sum(x.near.first for x in odd) == 7  # the blanks are copies, and so are the two last
@@ -310,17 +312,30 @@ def test_probminhash_estimates_probability_jaccard():
     a = np.unique(r.integers(1, 2**63, 300).astype(np.uint64))
     b = np.sort(np.concatenate([a[:250], r.integers(1, 2**63, 60).astype(np.uint64)]))
     na, nb = r.integers(1, 9, len(a)), r.integers(1, 9, len(b))
-    wa, wb = dict(zip(a, near_dedup.weights(na))), dict(zip(b, near_dedup.weights(nb)))
+    log = near_dedup.WEIGHTS["log"]
+    wa, wb = dict(zip(a, log(na))), dict(zip(b, log(nb)))
     exact = sum(1 / sum(max(wa.get(e, 0) / wa[d], wb.get(e, 0) / wb[d]) for e in wa | wb) for d in wa if d in wb)
     m = 4096
-    same = (near_dedup.signature(a, near_dedup.weights(na), m) == near_dedup.signature(b, near_dedup.weights(nb), m)).mean()
+    same = (near_dedup.signature(a, log(na), m) == near_dedup.signature(b, log(nb), m)).mean()
     assert abs(same - exact) < 5 * (exact * (1 - exact) / m) ** 0.5
     plain = 250 / (len(a) + len(b) - 250)
-    assert abs(near_dedup.similarity((a, na), (b, nb)) - max(exact, plain)) < 1e-9
+    assert abs(near_dedup.similarity((a, na), (b, nb)) - plain) < 1e-9 and abs(near_dedup.similarity((a, na), (b, nb), "log") - exact) < 1e-9
     one = near_dedup.signature(a[:1], np.ones(1), 64)
     assert (one == a[0]).all()
 
 
+def test_prefix_join_leaves_no_link_out(spark):
+    r = random.Random(13)
+    common = prose(r, 60, 10**6)
+    texts = [f"{common} {prose(r, r.choice([3, 8, 12, 16, 30, 60]), 10**6)}" for _ in range(60)]
+    texts += [" ".join(w if r.random() > 0.02 else "new" for w in texts[k].split()) for k in range(30)]
+    df = spark.createDataFrame([(i, i, t) for i, t in enumerate(texts)], "node long, label long, text string")
+    got = {(r.a, r.b) for r in near_dedup.prefix_pairs(df).collect()}
+    sets = [{tuple(t.split()[i : i + 5]) for i in range(len(t.split()) - 4)} for t in texts]
+    linked = {(i, j) for j in range(len(sets)) for i in range(j) if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])}
+    assert linked and linked <= got and len(got) < 2 * len(linked) + 60
+
+
 def test_components_of_a_chain(spark):
     labels = spark.range(40).select(F.col("id").alias("node"), F.col("id").alias("label"))
     order = list(range(20))
