@@ -1,10 +1,10 @@
 """Personal data: patterns, and information-theoretic sanitisation around them.
 
 Patterns find e-mail addresses, IP addresses, card and phone numbers; each distinct value is a protected entity. The corpus
-then tells which terms give an entity away: with documents as the unit, N documents, c(t) of them with the term, c(e) with the
-entity and c(t,e) with both in one line, the term discloses PMI(t,e) / IC(e) = 1 + log(c(t,e)/c(t)) / log(N/c(e)) of the
-entity's information. A term seen with an entity in SUPPORT documents or more whose share reaches GENERALISE is cut to its
-first letters in the documents of that entity; one that reaches REMOVE is taken out.
+then tells which terms give an entity away: with N documents, c(t) of them with the term, c(e) different lines with the entity
+and c(t,e) with both, the term discloses PMI(t,e) / IC(e) = 1 + log(c(t,e)/c(t)) / log(N/c(e)) of the entity's information. A
+term seen with an entity in SUPPORT different lines or more whose share reaches GENERALISE is cut to its first letters in the
+documents of that entity; one that reaches REMOVE is taken out.
 
 The pass over the texts keeps those of documents with an entity (others can't change); counts of terms are summed in each task
 before they are shuffled; entities and terms travel as 64-bit hashes. No group is collected but the terms of one document.
@@ -29,7 +29,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from .common import col, free_name, with_struct, written
 
 KINDS = ("email", "ip", "card", "phone")
-SUPPORT, GENERALISE, REMOVE = 3, 0.8, 0.95
+SUPPORT, GENERALISE, REMOVE = 2, 0.8, 0.95
 _LOCAL = re.compile(r"[A-Za-z0-9._%+-]")
 _LOCAL_END = re.compile(r"[A-Za-z0-9._%+-]*\Z")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -133,30 +133,21 @@ def _lines(text: str, spans) -> Iterator[tuple[int, int, list]]:
         yield a, b, own
 
 
-def _pair_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Documents by (entity, term) in one line, summed in the task."""
-    def table():
-        return pa.RecordBatch.from_arrays([pa.array([k[0] for k in counts], pa.int64()), pa.array([k[1] for k in counts], pa.int64()), pa.array(counts.values(), pa.int64())], names=["e", "t", "n"])
-
-    counts: Counter = Counter()
+def _protected_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(e, line, terms) for each entity of each line: hashes of the entity, of the line, and of its terms outside the spans."""
     for batch in batches:
+        out: list[tuple[int, int, list[int]]] = []
         for text, spans in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             if not text:
                 continue
-            own = [(s["kind"], s["start"], s["end"]) for s in spans]
-            pairs = set()
-            for a, b, here in _lines(text, own):
+            for a, b, here in _lines(text, [(s["kind"], s["start"], s["end"]) for s in spans]):
                 line = list(text[a:b])
                 for _, x, y in here:
                     line[x - a : y - a] = " " * (y - x)
-                terms = _terms(set("".join(line).split()))
-                pairs.update((e, t) for e in {entity(text, s) for s in here} for t in terms)
-            counts.update(pairs)
-        if len(counts) > 1_000_000:
-            yield table()
-            counts = Counter()
-    if counts:
-        yield table()
+                terms = list(_terms(set("".join(line).split())))
+                whole = hashed(text[a:b])
+                out += [(e, whole, terms) for e in {entity(text, s) for s in here}]
+        yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in out], pa.int64()), pa.array([r[1] for r in out], pa.int64()), pa.array([r[2] for r in out], pa.list_(pa.int64()))], names=["e", "line", "terms"])
 
 
 def term_spans(text: str, base: list[tuple[str, int, int]], terms: dict[int, float]) -> list[tuple[int, int, float]]:
@@ -211,10 +202,12 @@ def sanitise(docs: DataFrame, text_col: str = "text", out: str = "pii", support:
     hit = written(marked.where(has), "pii")
     n = docs.select(F.lit(1)).count()
 
-    # counts of entities, of terms and of both together
+    # counts of entities, of terms and of both together; equal lines are one observation, so that copies prove nothing
     links = hit.select(row, F.explode(F.col(out).entities).alias("e"))
-    ce = links.groupBy("e").agg(F.count("*").alias("ce")).where(F.col("ce") >= support)
-    cet = hit.select(col(text_col).alias("text"), F.col(out).base.alias("base")).mapInArrow(_pair_counts, "e long, t long, n long").groupBy("e", "t").agg(F.sum("n").alias("cet")).where(F.col("cet") >= support)
+    seen = hit.select(col(text_col).alias("text"), F.col(out).base.alias("base")).mapInArrow(_protected_lines, "e long, line long, terms array<long>")
+    seen = written(seen.groupBy("e", "line").agg(F.first("terms").alias("terms")), "lines")
+    ce = seen.groupBy("e").agg(F.count("*").alias("ce")).where(F.col("ce") >= support)
+    cet = seen.select("e", F.explode("terms").alias("t")).groupBy("e", "t").agg(F.count("*").alias("cet")).where(F.col("cet") >= support)
     ct = docs.select(col(text_col).alias("text")).mapInArrow(_term_counts, "t long, n long").groupBy("t").agg(F.sum("n").alias("ct"))
     share = 1 + F.log(F.col("cet") / F.col("ct")) / F.greatest(F.log(F.lit(float(max(n, 2))) / F.col("ce")), F.lit(1e-9))
     telling = cet.join(ce, "e").join(ct, "t").withColumn("share", share).where(F.col("share") >= generalise).select("e", "t", "share")

@@ -233,10 +233,12 @@ def test_sanitising_finds_telling_terms(spark):
 
 
 def test_disclosure_is_pmi_over_information(spark):
-    texts = ["common zeta a@b.co"] * 4 + ["common"] * 60 + ["zeta"] * 4
+    texts = [f"common zeta a@b.co {k}" for k in range(4)] + ["common"] * 60 + ["zeta"] * 4
     got = pii.sanitise(docs_of(spark, texts), generalise=0.7, remove=0.99, out="found").where("doc_id < 4").collect()
     # zeta: 1 + log(4/8) / log(68/4) = 0.755; common: 1 + log(4/64) / log(17) = 0.02
-    assert all([texts[0][s.start : s.end] for s in r.found.terms] == ["zeta"] and r.found.text == "common ze… [EMAIL]" for r in got)
+    assert all([texts[0][s.start : s.end] for s in r.found.terms] == ["zeta"] and r.found.text == f"common ze… [EMAIL] {r.doc_id}" for r in got)
+    copies = pii.sanitise(docs_of(spark, ["rare words a@b.co"] * 9 + ["else"] * 50), out="found").where("doc_id < 9").collect()
+    assert len(copies) == 9 and not any(r.found.terms for r in copies)
 
 
 # toxicity
