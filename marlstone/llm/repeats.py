@@ -162,7 +162,7 @@ def remove(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", out:
     ti, n_columns = docs.columns.index(text_col), len(docs.columns)
 
     def sent(table: pa.Table) -> pa.Table:
-        hs = [window_hashes(word_hashes(words_of(t.as_py())), window) for t in table.column(1)]
+        hs = [window_hashes(word_hashes(words_of(t.as_py())), window) for t in table.column(ti)]
         h, n = np.unique(np.concatenate(hs) if hs else np.zeros(0, np.uint64), return_counts=True)
         ends = np.searchsorted(h >> np.uint64(64 - shard_bits), np.arange(1 << shard_bits), side="right") if shard_bits else np.array([len(h)])
         rows, a = [], 0
@@ -170,7 +170,7 @@ def remove(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", out:
             if b > a:
                 rows.append((shard, _pack(h[a:b]), _pack(h[a:b][n[a:b] > 1])))
             a = b
-        where = table.column(0)[0].as_py()
+        where = table.column(n_columns)[0].as_py()
         return pa.table({"shard": pa.array([r[0] for r in rows], pa.int64()), "bucket": pa.array([where] * len(rows), pa.int64()), "once": pa.array([r[1] for r in rows], pa.binary()), "more": pa.array([r[2] for r in rows], pa.binary())})
 
     def confirmed(table: pa.Table) -> pa.Table:
@@ -203,6 +203,7 @@ def remove(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", out:
             made.append({"n_words": len(w), "spans": [{"start": a, "end": b} for a, b in spans], "kept": b" ".join(kept).decode("utf-8", "surrogatepass")})
         return pa.Table.from_arrays([*(c.cast(t) for c, t in zip(texts.columns[:n_columns], arrow.types)), pa.array(made, arrow.types[-1])], schema=arrow)
 
-    windows = dealt.select(col(bucket).alias("bucket"), col(text_col).alias("text")).groupBy("bucket").applyInArrow(sent, "shard long, bucket long, once binary, more binary")
+    # all columns go along here too: both passes then have one and the same exchange, which is written once and reused
+    windows = dealt.groupBy(bucket).applyInArrow(sent, "shard long, bucket long, once binary, more binary")
     known = windows.groupBy("shard").applyInArrow(confirmed, "bucket long, hashes binary")
     return dealt.groupBy(bucket).cogroup(known.groupBy("bucket")).applyInArrow(located, schema)
