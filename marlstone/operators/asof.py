@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.numbers import band
+from .rows import numbered
 
 
 def asof_backward(left: DataFrame, right: DataFrame, on: str, by: Sequence[str] = (), values: Sequence[str] = ()) -> DataFrame:
@@ -30,12 +31,11 @@ def asof_backward(left: DataFrame, right: DataFrame, on: str, by: Sequence[str]
 
 
 def tercile_cuts(df: DataFrame, value: str) -> DataFrame:
-    """One row (lower, upper): sorted values at (n - 1) div 3 and 2 (n - 1) div 3. Values are counted first, so ties travel as one row."""
-    counts = df.where(F.col(value).isNotNull()).groupBy(F.col(value).alias("v")).agg(F.count("*").alias("n"))
-    ends = counts.withColumn("end", F.sum("n").over(Window.orderBy("v")))
-    total = counts.agg(F.sum("n").alias("total"))
-    at = ends.join(total, F.lit(True))
-    pick = lambda k: F.min(F.when(F.col("end") > F.floor(k * (F.col("total") - 1) / 3), F.col("v")))
+    """One row (lower, upper): sorted values at (n - 1) div 3 and 2 (n - 1) div 3; nulls without values."""
+    known = df.where(F.col(value).isNotNull()).select(F.col(value).alias("v"))
+    total = known.agg(F.count("*").alias("total"))
+    at = numbered(known, ["v"], "at").join(F.broadcast(total), F.lit(True))
+    pick = lambda k: F.max(F.when(F.col("at") == F.floor(k * (F.col("total") - 1) / 3), F.col("v")))
     return at.agg(pick(1).alias("lower"), pick(2).alias("upper"))
 
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .rows import numbered
+
 # Policy (fixed values).
 PERSISTENT_HOURS, FLOOR, OBSERVATION_FLOOR, COVERAGE = 48, 0.90, 0.50, 0.97
 
@@ -75,4 +77,5 @@ def body_status(current_words: Column, captured_words: Column, same_revision: Co
 def retry_order(rows: DataFrame) -> DataFrame:
     """rows (is_new, attempted_at, idx) with turn: new ones, those never tried, then the longest untried."""
     kind = F.when(F.col("is_new"), 0).when(F.col("attempted_at").isNull() | (F.col("attempted_at") == ""), 1).otherwise(2)
-    return rows.withColumn("turn", F.row_number().over(Window.orderBy(kind, F.coalesce("attempted_at", F.lit("")), "idx")))
+    keyed = rows.withColumns({"__k": kind, "__a": F.coalesce("attempted_at", F.lit(""))})
+    return numbered(keyed, ["__k", "__a", "idx"], "turn").withColumn("turn", F.col("turn") + 1).drop("__k", "__a")

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import lexicon
 from ..functions.text_udf import capitalised_names, normalized_words, search_words
+from .rows import numbered
 
 # Spellings of labels that title case gets wrong (fixed values).
 LABELS = {"aqr": "AQR", "cfm": "CFM", "hrt": "HRT", "qrt": "QRT", "ltcm": "LTCM", "vix": "VIX", "cds": "CDS", "etf": "ETF", "fomc": "FOMC", "sebi": "SEBI", "sec": "SEC", "cftc": "CFTC", "mifid": "MiFID", "var": "VaR", "pca": "PCA", "ols": "OLS", "sabr": "SABR", "d-e-shaw": "D. E. Shaw"}
@@ -17,12 +18,12 @@ LABELS = {"aqr": "AQR", "cfm": "CFM", "hrt": "HRT", "qrt": "QRT", "ltcm": "LTCM"
 def catalogue(articles: DataFrame, priority: Mapping[str, int]) -> DataFrame:
     """articles with pos, their place in catalogue order: date descending, source priority, slug descending.
 
-    One global order needs one range of numbers; the sort is distributed, only the numbering sees all keys, without bodies.
+    Only keys are sorted, by range; the rest of the rows is joined back.
     """
     rank = F.coalesce(F.try_element_at(F.create_map(*(F.lit(x) for p in priority.items() for x in p)), F.col("source")), F.lit(99))
     keys = articles.select("source", "slug", F.coalesce("post_date", F.lit("")).alias("d"), rank.alias("p"))
-    numbered = keys.withColumn("pos", F.row_number().over(Window.orderBy(F.desc("d"), "p", F.desc("slug"))) - 1)
-    return articles.join(numbered.select("source", "slug", "pos"), ["source", "slug"])
+    placed = numbered(keys, [F.desc("d"), F.asc("p"), F.desc("slug")], "pos")
+    return articles.join(placed.select("source", "slug", "pos"), ["source", "slug"])
 
 
 def search_text(title: Column, subtitle: Column, lead: Column, sections: Column) -> Column:

@@ -14,6 +14,16 @@ def first_per(df: DataFrame, keys: Sequence[Column | str], order: Sequence[Colum
     return df.withColumn("__n", rank).where(F.col("__n") <= n).drop("__n")
 
 
+def numbered(df: DataFrame, order: Sequence[Column | str], out: str) -> DataFrame:
+    """df with its rows numbered from 0 in a total order. Rows are dealt by range and sorted there; only the sizes of the ranges meet in one task."""
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = df.repartitionByRange(n, *order).sortWithinPartitions(*order).withColumn("__m", F.monotonically_increasing_id())
+    part, place = F.shiftrightunsigned("__m", 33), F.col("__m").bitwiseAND(F.lit((1 << 33) - 1))
+    sizes = dealt.groupBy(part.alias("__p")).agg(F.count("*").alias("__n"))
+    before = sizes.select("__p", (F.sum("__n").over(Window.orderBy("__p")) - F.col("__n")).alias("__before"))
+    return dealt.join(F.broadcast(before), part == F.col("__p")).withColumn(out, F.col("__before") + place).drop("__m", "__p", "__before")
+
+
 def dedup_by_prefix(df: DataFrame, key: str, text: str, length: int, order: str) -> DataFrame:
     """The first row for each key and first characters of a text; a null key or text counts as empty."""
     return first_per(df, [F.coalesce(F.col(key), F.lit("")), F.substring(F.coalesce(F.col(text), F.lit("")), 1, length)], [order])

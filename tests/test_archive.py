@@ -147,7 +147,7 @@ def test_asof_and_terciles(spark):
     curve = spark.createDataFrame([("2026-01-02", 4.0, 4.3, 4.8), ("2026-01-05", 4.1, 4.5, 4.8), ("2026-01-06", 4.2, 4.8, 4.8)], "day string, y2 double, y10 double, y30 double")
     days = spark.createDataFrame([("2026-01-01",), ("2026-01-02",), ("2026-01-04",), ("2026-01-05",), ("2026-01-09",)], "day string")
     got = {r.day: (r.as_of, r.slope_band, r.level_band) for r in asof.rate_context(days, curve).collect()}
-    assert got == {"2026-01-02": ("2026-01-02", "low", "low"), "2026-01-04": ("2026-01-02", "low", "low"), "2026-01-05": ("2026-01-05", "high", "mid"), "2026-01-09": ("2026-01-06", "high", "high")}
+    assert got == {"2026-01-02": ("2026-01-02", "low", "low"), "2026-01-04": ("2026-01-02", "low", "low"), "2026-01-05": ("2026-01-05", "mid", "mid"), "2026-01-09": ("2026-01-06", "high", "high")}
     r = random.Random(3)
     for n in (1, 2, 3, 7, 20):
         v = [r.randrange(6) for _ in range(n)]
