@@ -36,6 +36,8 @@ WIDTH, THRESHOLD = 5, 0.8
 #: At a similarity of 0.8 a pair is missed by all bands with probability (1 - 0.8 ** ROWS) ** BANDS = 3e-6.
 BANDS, ROWS = 24, 4
 STAR_ROUNDS, SMALL = 2, 8
+#: Words whose hashes a worker remembers before it starts anew.
+CACHE_WORDS = 200_000
 
 _GOLD, _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _ODD = [np.uint64(x | 1) for x in (0x8D8F1D0B5A3C9E17, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)]
@@ -50,7 +52,7 @@ def mixed(x: np.ndarray) -> np.ndarray:
 
 
 def word_hashes(words: list[bytes]) -> np.ndarray:
-    if len(_HASHES) > 1_000_000:
+    if len(_HASHES) > CACHE_WORDS:
         _HASHES.clear()
     try:
         return np.fromiter(map(_HASHES.__getitem__, words), np.uint64, len(words))
@@ -163,8 +165,8 @@ def _verified(weigh: str):
 
 
 def _links(pairs: DataFrame, texts: DataFrame, weigh: str) -> DataFrame:
-    left = pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
-    both = left.join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
+    left = pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")).hint("merge"), "a")
+    both = left.join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")).hint("merge"), "b")
     return both.select("a", "b", "text_a", "text_b").mapInArrow(_verified(weigh), "a long, b long")
 
 
@@ -224,7 +226,8 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", out
     shared = buckets.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
     buckets = written(buckets.join(shared, "key"), "buckets")
     degree = written(buckets.groupBy("node").agg(F.sum("size").alias("degree")), "degree")
-    texts = written(fed.join(degree.select(F.col("node").alias("row")), "row").select(F.col("row").alias("node"), "text"), "texts")
+    # texts are joined by merging at every size: the plan of small inputs is that of large ones, and nothing is broadcast by estimate
+    texts = written(fed.hint("merge").join(degree.select(F.col("node").alias("row")), "row").select(F.col("row").alias("node"), "text"), "texts")
     labels = written(degree.select("node", F.col("node").alias("label")), "labels")
     tested = None
 
