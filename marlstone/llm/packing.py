@@ -27,7 +27,7 @@ END_ID = 1
 #: Tokens, and pieces, that a task holds before it packs them.
 GROUP_TOKENS, GROUP_PIECES = 16_000_000, 400_000
 #: Words whose ids a worker remembers before it starts anew.
-CACHE_WORDS = 1_000_000
+CACHE_WORDS, CACHE_PLAIN = 600_000, 300_000
 
 
 class WordTokenizer:
@@ -55,7 +55,7 @@ class WordTokenizer:
         except KeyError:
             if len(self.cache) > CACHE_WORDS:
                 self.cache.clear()
-            if len(self.plain) > CACHE_WORDS:
+            if len(self.plain) > CACHE_PLAIN:
                 self.plain.clear()
             for w in set(words).difference(self.cache):
                 self.cache[w] = self._word(w)

@@ -38,6 +38,8 @@ _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _TERM = re.compile(r"[^\W\d_]{3,}")
 _DIGIT_OR_AT = re.compile(r"[0-9@]")
+#: Words whose terms a worker remembers before it starts anew.
+CACHE_WORDS = 300_000
 MARKS = {"email": "[EMAIL]", "ip": "[IP]", "card": "[CARD]", "phone": "[PHONE]"}
 
 SPAN = T.StructType([T.StructField("kind", T.StringType()), T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())])
@@ -95,7 +97,7 @@ _HASHES: dict[str, int] = {}
 
 def _terms(words) -> set[int]:
     """Hashes of the terms in words (runs of three letters or more, in lower case), remembered by word."""
-    if len(_HASHES) > 1_000_000:
+    if len(_HASHES) > CACHE_WORDS:
         _HASHES.clear()
     out = set()
     for w in words:
