@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .index import label
@@ -26,10 +26,18 @@ def match_codes(words: dict[str, Column], alias: Column) -> Column:
 
 
 def follow_ups(members: DataFrame, n_records: int, share: float = 0.07, links: int = 5) -> DataFrame:
-    """(src, dst, topics, breadth): later records that share a topic narrow enough (at most `share` of the records), narrowest first."""
+    """(src, dst, topics, breadth): later records that share a topic narrow enough (at most `share` of the records), narrowest and then earliest first.
+
+    A record among the first `links` is among the next `links` of its narrowest shared topic, so each record meets only those: an
+    equi join on places in the topic, not on the topic.
+    """
     narrow = members.groupBy("entity").agg(F.count("*").alias("breadth")).where(F.col("breadth") <= share * n_records)
-    m = members.join(narrow, "entity")
-    a = m.select("entity", "breadth", F.col("id").alias("src"), F.col("at").alias("a_at"))
-    b = m.select("entity", F.col("id").alias("dst"), F.col("at").alias("b_at"))
-    pairs = a.join(b, "entity").where("b_at > a_at").groupBy("src", "dst").agg(F.min("breadth").alias("breadth"), F.min("b_at").alias("b_at"), F.array_join(F.sort_array(F.collect_set("entity")), ",").alias("topics"))
-    return first_per(pairs, ["src"], ["breadth", "b_at", "dst"], links)
+    m = members.join(narrow, "entity").select("entity", "breadth", "id", "at")
+    placed = m.withColumn("place", F.row_number().over(Window.partitionBy("entity").orderBy("at", "id")))
+    later = placed.withColumn("after", F.max("place").over(Window.partitionBy("entity", "at")))
+    a = later.select("entity", "breadth", F.col("id").alias("src"), F.explode(F.sequence(F.col("after") + 1, F.col("after") + links)).alias("place"))
+    b = placed.select("entity", "place", F.col("id").alias("dst"), F.col("at").alias("b_at"))
+    near = a.join(b, ["entity", "place"]).groupBy("src", "dst").agg(F.min("breadth").alias("breadth"), F.min("b_at").alias("b_at"))
+    best = first_per(near, ["src"], ["breadth", "b_at", "dst"], links)
+    both = best.join(m.select(F.col("id").alias("src"), "entity"), "src").join(m.select(F.col("id").alias("dst"), "entity"), ["dst", "entity"])
+    return both.groupBy("src", "dst", "breadth").agg(F.array_join(F.sort_array(F.collect_set("entity")), ",").alias("topics"))
