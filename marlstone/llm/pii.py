@@ -1,10 +1,10 @@
 """Personal data: patterns, and information-theoretic sanitisation around them.
 
 Patterns find e-mail addresses, IP addresses, card and phone numbers; each distinct value is a protected entity. The corpus
-then tells which terms give an entity away: with N documents, c(t) of them with the term, c(e) different lines with the entity
-and c(t,e) with both, the term discloses PMI(t,e) / IC(e) = 1 + log(c(t,e)/c(t)) / log(N/c(e)) of the entity's information. A
-term seen with an entity in SUPPORT different lines or more whose share reaches GENERALISE is cut to its first letters in the
-documents of that entity; one that reaches REMOVE is taken out.
+then tells which terms give an entity away: with N documents, c(t) of them with the term, c(e) different texts with the entity
+and c(t,e) with both, wherever they stand in the text, the term discloses PMI(t,e) / IC(e) = 1 + log(c(t,e)/c(t)) /
+log(N/c(e)) of the entity's information. A term seen with an entity in SUPPORT different texts or more whose share reaches
+GENERALISE is cut to its first letters in the documents of that entity; one that reaches REMOVE is taken out.
 
 The pass over the texts keeps those of documents with an entity (others can't change); counts of terms are summed in each task
 before they are shuffled; entities and terms travel as 64-bit hashes. No group is collected but the terms of one document.
@@ -124,32 +124,18 @@ def _term_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield table()
 
 
-def _lines(text: str, spans) -> Iterator[tuple[int, int, list]]:
-    """The lines with a span: start, end and their spans."""
-    by: dict[tuple[int, int], list] = {}
-    for s in spans:
-        a = text.rfind("\n", 0, s[1]) + 1
-        b = text.find("\n", s[2])
-        by.setdefault((a, len(text) if b < 0 else b), []).append(s)
-    for (a, b), own in by.items():
-        yield a, b, own
-
-
-def _protected_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(e, line, terms) for each entity of each line: hashes of the entity, of the line, and of its terms outside the spans."""
+def _protected_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(h, es, terms) of each text with entities: hashes of the text, of its entities, and of its terms outside the spans."""
     for batch in batches:
-        out: list[tuple[int, int, list[int]]] = []
+        out: list[tuple[int, list[int], list[int]]] = []
         for text, spans in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            if not text:
-                continue
-            for a, b, here in _lines(text, [(s["kind"], s["start"], s["end"]) for s in spans]):
-                line = list(text[a:b])
-                for _, x, y in here:
-                    line[x - a : y - a] = " " * (y - x)
-                terms = list(_terms(set("".join(line).split())))
-                whole = hashed(text[a:b])
-                out += [(e, whole, terms) for e in {entity(text, s) for s in here}]
-        yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in out], pa.int64()), pa.array([r[1] for r in out], pa.int64()), pa.array([r[2] for r in out], pa.list_(pa.int64()))], names=["e", "line", "terms"])
+            rest, pos = [], 0
+            for x, y in sorted((s["start"], s["end"]) for s in spans):
+                rest.append(text[pos:x])
+                pos = max(pos, y)
+            rest.append(text[pos:])
+            out.append((hashed(text), sorted({entity(text, (s["kind"], s["start"], s["end"])) for s in spans}), list(_terms(set(" ".join(rest).split())))))
+        yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in out], pa.int64()), *(pa.array([r[i] for r in out], pa.list_(pa.int64())) for i in (1, 2))], names=["h", "es", "terms"])
 
 
 def term_spans(text: str, base: list[tuple[str, int, int]], terms: dict[int, float]) -> list[tuple[int, int, float]]:
@@ -204,12 +190,14 @@ def sanitise(docs: DataFrame, text_col: str = "text", out: str = "pii", support:
     hit = written(marked.where(has), "pii")
     n = docs.select(F.lit(1)).count()
 
-    # counts of entities, of terms and of both together; equal lines are one observation, so that copies prove nothing
+    # counts of entities, of terms and of both together; equal texts are one observation, so that copies prove nothing
     links = hit.select(row, F.explode(F.col(out).entities).alias("e"))
-    seen = hit.select(col(text_col).alias("text"), F.col(out).base.alias("base")).mapInArrow(_protected_lines, "e long, line long, terms array<long>")
-    seen = written(seen.groupBy("e", "line").agg(F.first("terms").alias("terms")), "lines")
-    ce = seen.groupBy("e").agg(F.count("*").alias("ce")).where(F.col("ce") >= support)
-    cet = seen.select("e", F.explode("terms").alias("t")).groupBy("e", "t").agg(F.count("*").alias("cet")).where(F.col("cet") >= support)
+    seen = hit.select(col(text_col).alias("text"), F.col(out).base.alias("base")).mapInArrow(_protected_texts, "h long, es array<long>, terms array<long>")
+    seen = written(seen.groupBy("h").agg(F.first(F.struct("es", "terms")).alias("x")).select("h", "x.*"), "texts")
+    ce = seen.select(F.explode("es").alias("e")).groupBy("e").agg(F.count("*").alias("ce")).where(F.col("ce") >= support)
+    again = seen.select("h", F.explode("es").alias("e")).join(ce.select("e"), "e").groupBy("h").agg(F.collect_list("e").alias("es"))
+    pairs = seen.select("h", "terms").join(again, "h").select("es", F.explode("terms").alias("t")).select("t", F.explode("es").alias("e"))
+    cet = pairs.groupBy("e", "t").agg(F.count("*").alias("cet")).where(F.col("cet") >= support)
     ct = docs.select(col(text_col).alias("text")).mapInArrow(_term_counts, "t long, n long").groupBy("t").agg(F.sum("n").alias("ct"))
     share = 1 + F.log(F.col("cet") / F.col("ct")) / F.greatest(F.log(F.lit(float(max(n, 2))) / F.col("ce")), F.lit(1e-9))
     telling = cet.join(ce, "e").join(ct, "t").withColumn("share", share).where(F.col("share") >= generalise).select("e", "t", "share")

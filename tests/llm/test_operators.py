@@ -241,6 +241,14 @@ def test_disclosure_is_pmi_over_information(spark):
     assert len(copies) == 9 and not any(r.found.terms for r in copies)
 
 
+def test_disclosure_crosses_lines(spark):
+    block = ["{} story\nJane Zorblax\nj@x.org\n+1 212 555 0100\nthe end", "{} story Jane Zorblax j@x.org +1 212 555 0100 the end"]
+    for form in block:
+        texts = [form.format(w) for w in ("red", "blue", "green")] + [f"the story of the end, told by Jane {k}" for k in range(100)]
+        got = pii.sanitise(docs_of(spark, texts), out="found").where("doc_id < 3").collect()
+        assert len(got) == 3 and all({texts[r.doc_id][s.start : s.end] for s in r.found.terms} == {"Zorblax"} for r in got), form
+
+
 # toxicity
 
 
