@@ -1,10 +1,10 @@
 """Personal data: patterns, and information-theoretic sanitisation around them.
 
 Patterns find e-mail addresses, IP addresses, card and phone numbers; each distinct value is a protected entity. The corpus
-then tells which terms give an entity away: with N documents, c(t) of them with the term, c(e) different texts with the entity
-and c(t,e) with both, wherever they stand in the text, the term discloses PMI(t,e) / IC(e) = 1 + log(c(t,e)/c(t)) /
-log(N/c(e)) of the entity's information. A term seen with an entity in SUPPORT different texts or more whose share reaches
-GENERALISE is cut to its first letters in the documents of that entity; one that reaches REMOVE is taken out.
+then tells which terms give an entity away: with N documents, c(t) of them with the term, c(e) with the entity and c(t,e)
+with both, wherever they stand in the text, the term discloses PMI(t,e) / IC(e) = 1 + log(c(t,e)/c(t)) / log(N/c(e)) of the
+entity's information. All four count documents, copies included. A term seen with an entity in SUPPORT different texts or more
+whose share reaches GENERALISE is cut to its first letters in the documents of that entity; one that reaches REMOVE is taken out.
 
 The pass over the texts keeps those of documents with an entity (others can't change); counts of terms are summed in each task
 before they are shuffled; entities and terms travel as 64-bit hashes. No group is collected but the terms of one document.
@@ -190,14 +190,15 @@ def sanitise(docs: DataFrame, text_col: str = "text", out: str = "pii", support:
     hit = written(marked.where(has), "pii")
     n = docs.select(F.lit(1)).count()
 
-    # counts of entities, of terms and of both together; equal texts are one observation, so that copies prove nothing
+    # documents with an entity, with a term and with both; equal texts are one observation for the support, so that copies prove nothing
     links = hit.select(row, F.explode(F.col(out).entities).alias("e"))
     seen = hit.select(col(text_col).alias("text"), F.col(out).base.alias("base")).mapInArrow(_protected_texts, "h long, es array<long>, terms array<long>")
-    seen = written(seen.groupBy("h").agg(F.first(F.struct("es", "terms")).alias("x")).select("h", "x.*"), "texts")
-    ce = seen.select(F.explode("es").alias("e")).groupBy("e").agg(F.count("*").alias("ce")).where(F.col("ce") >= support)
+    seen = written(seen.groupBy("h").agg(F.first(F.struct("es", "terms")).alias("x"), F.count("*").alias("m")).select("h", "m", "x.*"), "texts")
+    enough = lambda g, name: g.agg(F.sum("m").alias(name), F.count("*").alias("__texts")).where(F.col("__texts") >= support).drop("__texts")
+    ce = enough(seen.select("m", F.explode("es").alias("e")).groupBy("e"), "ce")
     again = seen.select("h", F.explode("es").alias("e")).join(ce.select("e"), "e").groupBy("h").agg(F.collect_list("e").alias("es"))
-    pairs = seen.select("h", "terms").join(again, "h").select("es", F.explode("terms").alias("t")).select("t", F.explode("es").alias("e"))
-    cet = pairs.groupBy("e", "t").agg(F.count("*").alias("cet")).where(F.col("cet") >= support)
+    pairs = seen.select("h", "m", "terms").join(again, "h").select("m", "es", F.explode("terms").alias("t")).select("m", "t", F.explode("es").alias("e"))
+    cet = enough(pairs.groupBy("e", "t"), "cet")
     ct = docs.select(col(text_col).alias("text")).mapInArrow(_term_counts, "t long, n long").groupBy("t").agg(F.sum("n").alias("ct"))
     share = 1 + F.log(F.col("cet") / F.col("ct")) / F.greatest(F.log(F.lit(float(max(n, 2))) / F.col("ce")), F.lit(1e-9))
     telling = cet.join(ce, "e").join(ct, "t").withColumn("share", share).where(F.col("share") >= generalise).select("e", "t", "share")

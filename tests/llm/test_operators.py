@@ -248,6 +248,13 @@ def test_disclosure_crosses_lines(spark):
         got = pii.sanitise(docs_of(spark, texts), out="found").where("doc_id < 3").collect()
         assert len(got) == 3 and all({texts[r.doc_id][s.start : s.end] for s in r.found.terms} == {"Zorblax"} for r in got), form
 
+def test_copies_do_not_unflag(spark):
+    texts = ["ask Zorblax at z@x.org now", "or tell Zorblax by z@x.org soon"]
+    for n in (1, 300):
+        more = texts * n + [f"other words {k}" for k in range(400)]
+        got = pii.sanitise(docs_of(spark, more), out="found").where(f"doc_id < {2 * n}").collect()
+        assert len(got) == 2 * n and all("zorblax" not in r.found.text.lower() for r in got), n
+
 
 # toxicity
 
