@@ -7,7 +7,7 @@ rerun gives the same records. All work is row by row.
 
 Defined results: null or empty payloads give an empty text and still both records; a null URI leaves the header out; a
 response without record id gets one made of its key, URI and payload; repeated rows give repeated records; markup that is
-never closed is read up to the end.
+never closed is read up to the end, but for a head: it ends at the first thing that can't stand in it.
 """
 
 from __future__ import annotations
@@ -34,7 +34,13 @@ RECORDS = T.StructType([
     T.StructField("block_digest", T.StringType()), T.StructField("source_digest", T.StringType()), T.StructField("content_length", T.LongType()), T.StructField("block", T.BinaryType()),
 ])
 
-_HIDDEN = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style|template|noscript|head)\b[^>]*>.*?(?:</\1\s*>|\Z)", re.S | re.I)
+_VOID_IN_HEAD = "base|basefont|bgsound|link|meta"
+_IN_HEAD = "|".join([r"<!--.*?(?:-->|\Z)", *(rf"<{t}\b[^>]*>(?:.*?</{t}\s*>|.*?(?=</head\s*>)|.*)" for t in ("title", "script", "style", "template", "noscript"))])
+#: The first tag that can't stand in a head.
+_ENDS_HEAD = rf"</(?:head|body|html)\b|<(?!(?:{_VOID_IN_HEAD}|title|script|style|template|noscript)\b)[a-z]"
+#: A head with its end tag before such an element; any other ends there, or at its first bare text.
+_HEAD = rf"<head\b[^>]*>(?:(?:[^<]++|{_IN_HEAD}|(?!{_ENDS_HEAD})<)*+</head\s*>|(?:\s++|{_IN_HEAD}|<(?:{_VOID_IN_HEAD})\b[^>]*>)*+)"
+_HIDDEN = re.compile(rf"<!--.*?(?:-->|\Z)|<(script|style|template|noscript)\b[^>]*>.*?(?:</\1\s*>|\Z)|{_HEAD}", re.S | re.I)
 _BLOCK = re.compile(r"</?(?:p|div|h[1-6]|li|ul|ol|dl|dt|dd|br|hr|table|tr|td|th|section|article|aside|nav|header|footer|main|form|blockquote|pre|figure|figcaption|title|body|html|option|address)\b[^>]*>", re.I)
 _TAG = re.compile(r"<[/!?a-zA-Z][^>]*>?")
 _BLANKS = re.compile(r"[ \t\r\f\v\xa0]+")

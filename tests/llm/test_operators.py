@@ -485,3 +485,13 @@ def test_warc_awkward(spark):
     assert len(got) == 10 and sum(r.content_length == 0 for r in got if r.warc_type == "conversion") == 3
     assert warc.derive(df.where("false"), "page_id", "html").count() == 0
     assert list(warc.parse(b"WARC/1.1\r\nContent-Length: 5\r\n\r\nab")) == [({"content-length": "5"}, b"ab")]
+
+
+def test_open_heads_hide_no_text():
+    for page, want in {
+        "<html><head><title>T</title><body><p>one<p>two": "one\ntwo", "<head><meta charset=utf-8><title>T</title><style>p{}</style><p>one": "one", "<head><title>T</title>one <b>two</b>": "one two",
+        "<head><script>'<p>no'</script><link href=x></head><body>one": "one", "<head>stray<title>T</title></head><p>one": "one", "<head><title>T</head><p>one": "one", "<head><style>p{}</head><p>one": "one",
+        "<HEAD ><!-- <p>no --><title>T</title></HEAD\n><p>one</p>": "one", "<head><title>T</title><p>one</p></head>two": "one\ntwo", "<head><script>never closed <p>no": "", "<header>one</header>": "one", "<head>": "",
+    }.items():
+        assert warc.text_of(page) == want, page
+    assert warc.text_of("<head>" + "<meta x>" * 100_000 + "<head>" * 2000 + "<p>one") == "one"
