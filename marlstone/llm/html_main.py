@@ -81,16 +81,23 @@ def _named(attrs: str) -> tuple[int, int, bool]:
 
 
 def parse(page: str) -> Node:
-    """The tree of block elements; inline elements only leave their text, links are counted."""
+    """The tree of block elements; inline elements only leave their text, links are counted; text outside all of them gets a body."""
     root = node = Node("?", None)
     pos, size, in_link = 0, len(page), 0
     find = _TOKEN.search
 
     def text(raw: str) -> None:
+        at = node
+        if at is root:
+            # what stands outside every element is a body's, in page order
+            if root.parts and type(root.parts[-1]) is not str and root.parts[-1].tag == "body":
+                at = root.parts[-1]
+            elif raw and not raw.isspace():
+                at = _child(root, "body", 0, 0)
         if raw:
-            node.parts.append(raw)
+            at.parts.append(raw)
             if in_link:
-                node.linked += len(raw)
+                at.linked += len(raw)
 
     while pos < size:
         m = find(page, pos)
@@ -120,7 +127,7 @@ def parse(page: str) -> Node:
             in_link = 1
             continue
         if tag == "br":
-            node.parts.append(" ")
+            text(" ")
             continue
         if tag in VOID or tag in INLINE:
             continue

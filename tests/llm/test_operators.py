@@ -462,6 +462,14 @@ def test_decoding_drops_what_lies_under_dropped():
 # archives
 
 
+def test_text_outside_elements_is_kept():
+    for page, want in {
+        "no markup &amp; &#233;t&eacute;": "no markup & \u00e9t\u00e9", "<html><head><title>T</title></head>One sentence here.<br>And <b>another</b> one.": "One sentence here. And another one.",
+        "<body><p>A para of text here.</p></body>tail text": "A para of text here. tail text", "<p>First paragraph here.</p>bare text between<p>second</p>": "First paragraph here. bare text between second", "<a href=x>only a link</a>": "",
+    }.items():
+        assert html_main.extract([page], html_main.trees()) == [want], page
+
+
 def test_warc_round_trip(spark, tmp_path):
     body = "<html lang=fr><head><title>T &amp; U</title></head><body><p>un</p><p>deux <a href='/x'>trois</a></p><script>no</script></body></html>"
     http = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Encoding: gzip\r\n\r\n" + gzip.compress(body.encode())
