@@ -20,6 +20,7 @@ import html
 import math
 import random
 import re
+from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
@@ -197,6 +198,7 @@ def measure(nodes: list[Node]) -> list[list[float]]:
             up.blocks += n.blocks
             up.ps += n.tag == "p"
     over: dict[int, tuple] = {id(nodes[0]): (0, 0, 0, 0)}
+    same: dict[int, Counter] = {}
     rows = []
     for n in nodes:
         up = n.up
@@ -205,10 +207,11 @@ def measure(nodes: list[Node]) -> list[list[float]]:
             over[id(n)] = (g + up.good, b + up.bad, t + (up.tag in BAD_TAGS), a or up.tag in ("article", "main"))
         g, b, t, a = over[id(n)]
         sib = up.kids if up else [n]
-        same = sum(1 for s in sib if s.tag == n.tag) if len(sib) < 50 else len(sib)
+        if (tags := same.get(id(up))) is None:
+            tags = same[id(up)] = Counter(s.tag for s in sib)
         rows.append([
             TAGS.get(n.tag, 0), n.depth, math.log1p(n.chars), n.linked / (n.chars + 1), math.log1p(n.chars / n.elements), n.good, n.bad, g, b, t, float(a),
-            math.log1p(len(sib)), n.place / len(sib), same / len(sib), n.chars / (up.chars + 1) if up else 1.0, math.log1p(n.chars / (n.blocks or 1)), math.log1p(n.stops), math.log1p(n.ps), float(n.tag in BAD_TAGS),
+            math.log1p(len(sib)), n.place / len(sib), tags[n.tag] / len(sib), n.chars / (up.chars + 1) if up else 1.0, math.log1p(n.chars / (n.blocks or 1)), math.log1p(n.stops), math.log1p(n.ps), float(n.tag in BAD_TAGS),
         ])
     return rows
 

@@ -470,6 +470,14 @@ def test_text_outside_elements_is_kept():
         assert html_main.extract([page], html_main.trees()) == [want], page
 
 
+def test_same_tag_share_at_every_size():
+    at = html_main.FEATURES.index("same_tag_siblings")
+    for n in (5, 60):
+        nodes = html_main.order(html_main.parse("<main>" + "<p>text</p>" * n + "<div>buy</div></main>"))
+        shares = {x.tag: row[at] for x, row in zip(nodes, html_main.measure(nodes))}
+        assert shares["div"] == 1 / (n + 1) and shares["p"] == n / (n + 1)
+
+
 def test_warc_round_trip(spark, tmp_path):
     body = "<html lang=fr><head><title>T &amp; U</title></head><body><p>un</p><p>deux <a href='/x'>trois</a></p><script>no</script></body></html>"
     http = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Encoding: gzip\r\n\r\n" + gzip.compress(body.encode())
