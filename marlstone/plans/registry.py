@@ -512,13 +512,25 @@ def q_search_tiers(spark, d):
 
 @query("SELECT i.item_id, d.doc_id FROM (SELECT item_id, ' ' || array_to_string(string_split({0}, ' ')[1:8], ' ') || ' ' AS g FROM benchmark) i JOIN (SELECT doc_id, ' ' || {0} || ' ' AS w FROM documents) d ON contains(w, g)".format(PLAIN.format("text")))
 def q_ngram_contain(spark, d):
-    """Documents that hold an item's first eight words, found by the eight-word windows of all documents."""
-    b = table(spark, d, "benchmark").select("item_id", F.slice(F.split(plain(F.col("text")), " "), 1, 8).alias("g"))
-    sizes = F.size("g")
-    w = table(spark, d, "documents").select("doc_id", F.split(plain(F.col("text")), " ").alias("w"))
-    wins = w.where(F.size("w") >= 8).select("doc_id", F.explode(F.transform(F.sequence(F.lit(0), F.size("w") - 8), lambda i: F.xxhash64(F.array_join(F.slice(F.col("w"), i + 1, F.lit(8)), " ")))).alias("h"))
-    items = b.where(sizes == 8).select("item_id", F.array_join("g", " ").alias("s")).withColumn("h", F.xxhash64("s"))
-    return wins.join(items, "h").select("item_id", "doc_id").distinct()
+    """Documents that hold an item's first eight words (all words of a shorter one); q_item_contain tests whole items."""
+    return _starts(spark, d).select("item_id", "doc_id").distinct()
+
+
+def _starts(spark, d):
+    """(item_id, doc_id, item): documents with an item's first eight words, or all words of a shorter one, found by windows of each length that items have."""
+    words = F.split(plain(F.col("text")), " ")
+    items = table(spark, d, "benchmark").select("item_id", F.array_join(words, " ").alias("item"), F.slice(words, 1, 8).alias("g")).select("item_id", "item", F.size("g").alias("n"), F.xxhash64(F.array_join("g", " ")).alias("h"), F.array_join("g", " ").alias("s"))
+    w = table(spark, d, "documents").select("doc_id", words.alias("w")).crossJoin(F.broadcast(items.select("n").distinct())).where(F.size("w") >= F.col("n"))
+    wins = w.select("doc_id", "n", F.explode(F.transform(F.sequence(F.lit(0), F.size("w") - F.col("n")), lambda i: F.xxhash64(F.array_join(F.slice(F.col("w"), i + 1, F.col("n")), " ")))).alias("h"))
+    return wins.join(items, ["n", "h"]).select("item_id", "doc_id", "item")
+
+
+@query("SELECT DISTINCT i.item_id, d.doc_id FROM (SELECT item_id, ' ' || {0} || ' ' AS g FROM benchmark) i JOIN (SELECT doc_id, ' ' || {0} || ' ' AS w FROM documents) d ON contains(w, g)".format(PLAIN.format("text")))
+def q_item_contain(spark, d):
+    """Documents that hold a whole item, word for word; its first words find the candidates."""
+    docs = table(spark, d, "documents").select("doc_id", plain(F.col("text")).alias("w"))
+    held = F.contains(F.concat(F.lit(" "), "w", F.lit(" ")), F.concat(F.lit(" "), "item", F.lit(" ")))
+    return _starts(spark, d).distinct().join(docs, "doc_id").where(held).select("item_id", "doc_id").distinct()
 
 
 @query("SELECT rule, key FROM (SELECT 'length' AS rule, doc_id::VARCHAR AS key FROM documents WHERE n_chars <> length(text) OR length(text) < 60 UNION ALL SELECT 'language', doc_id::VARCHAR FROM documents WHERE lang NOT IN ('en', 'de', 'fr') UNION ALL SELECT 'label without text', doc_id::VARCHAR FROM labels WHERE doc_id % 10 = 3 AND doc_id NOT IN (SELECT doc_id FROM documents WHERE doc_id % 10 <> 3) UNION ALL SELECT 'unique text', md5(text) FROM documents GROUP BY text HAVING count(*) > 1)")

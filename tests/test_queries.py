@@ -50,3 +50,18 @@ def test_entry_points_import_alone():
     import __spark_entry__ as e
 
     assert set(registry.QUERIES) <= set(e.queries()) and set(e.oracle_sql()) <= set(e.queries())
+
+
+def test_items_of_any_length(spark, tmp_path):
+    long = "one two three four five six seven eight nine ten"
+    items = [(1, long), (2, "Six seven, EIGHT"), (3, "alone")]
+    docs = [(1, f"x {long} y"), (2, "one two three four five six seven eight nine else"), (3, "six seven eights"), (4, "left alone")]
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    spark.createDataFrame(docs, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    con = duckdb.connect()
+    for t in ("benchmark", "documents"):
+        con.sql(f"CREATE VIEW {t} AS SELECT * FROM '{tmp_path}/{t}.parquet/*.parquet'")
+    whole = [(1, 1), (2, 1), (2, 2), (3, 4)]
+    for name, want in {"q_ngram_contain": sorted([*whole, (1, 2)]), "q_item_contain": whole}.items():
+        assert sorted(map(tuple, registry.QUERIES[name](spark, str(tmp_path)).collect())) == want
+        assert sorted(con.sql(registry.SQL[name]).fetchall()) == want
