@@ -425,6 +425,39 @@ def q_entity_cosine(spark, d):
     return similarity.entity_cosine(rare, table(spark, d, "documents").count()).select("src", "dst", F.round("cosine", 4).alias("cosine"))
 
 
+# The same with the operator's own rule: features up to its share of the documents, entities without bound.
+
+_OWN = lambda sql: sql.replace(f"df BETWEEN 2 AND {MOST}", f"df BETWEEN 2 AND greatest(2, floor({similarity.SHARE} * n))")
+
+
+def _own_pairs(spark, d):
+    f = _features(spark, d)
+    return similarity.lexical(similarity.vectors(f, similarity.idf(similarity.document_frequency(f), table(spark, d, "documents").count())), {"title": 1.0})
+
+
+@query(_OWN(SQL["q_df_idf"]))
+def q_df_idf_share(spark, d):
+    return similarity.idf(similarity.document_frequency(_features(spark, d)), table(spark, d, "documents").count()).select("feature", "df", F.round("idf", 6).alias("idf"))
+
+
+@query(_OWN(SQL["q_related_topk"]))
+def q_related_topk_share(spark, d):
+    scores = _own_pairs(spark, d).groupBy("src", "dst").agg(F.round(F.sum("part"), 4).alias("score"))
+    return rows.first_per(scores, ["src"], [F.desc("score"), "dst"], 5)
+
+
+@query(_OWN(SQL["q_related_reasons"]))
+def q_related_reasons_share(spark, d):
+    three = F.slice(F.sort_array(F.collect_list(F.struct("df", "feature"))), 1, 3)
+    return _own_pairs(spark, d).join(similarity.document_frequency(_features(spark, d)), "feature").groupBy("src", "dst").agg(F.array_join(F.transform(three, lambda x: x.feature), ",").alias("why"))
+
+
+@query(SQL["q_entity_cosine"].replace(f"df BETWEEN 2 AND {MOST}", "true"))
+def q_entity_cosine_all(spark, d):
+    f = _features(spark, d).select("id", F.col("feature").alias("entity")).distinct()
+    return similarity.entity_cosine(f, table(spark, d, "documents").count()).select("src", "dst", F.round("cosine", 4).alias("cosine"))
+
+
 @query("SELECT user_id AS entity, count(*) AS n, sha256(string_agg(event_id::VARCHAR, ',' ORDER BY ts, event_id)) AS ids FROM events GROUP BY 1 HAVING count(*) >= 2")
 def q_threads(spark, d):
     """Events of a user in order of time."""

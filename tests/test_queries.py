@@ -65,3 +65,15 @@ def test_items_of_any_length(spark, tmp_path):
     for name, want in {"q_ngram_contain": sorted([*whole, (1, 2)]), "q_item_contain": whole}.items():
         assert sorted(map(tuple, registry.QUERIES[name](spark, str(tmp_path)).collect())) == want
         assert sorted(con.sql(registry.SQL[name]).fetchall()) == want
+
+
+def test_common_features_count(spark, tmp_path):
+    """A word in 25 of 100 documents is above the registered bound and within the operator's own."""
+    docs = [(i, "shared word" if i < 25 else f"lone{i} other{i}") for i in range(100)]
+    spark.createDataFrame(docs, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    for name, n in {"q_df_idf_share": 2, "q_related_topk_share": 125, "q_related_reasons_share": 600, "q_entity_cosine_all": 600}.items():
+        df, rel = registry.QUERIES[name](spark, str(tmp_path)), con.sql(registry.SQL[name])
+        got = bag(df.collect(), df.columns)
+        assert len(got) == n and got == bag(rel.fetchall(), rel.columns), name
