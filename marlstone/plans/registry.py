@@ -458,6 +458,21 @@ def q_entity_cosine_all(spark, d):
     return similarity.entity_cosine(f, table(spark, d, "documents").count()).select("src", "dst", F.round("cosine", 4).alias("cosine"))
 
 
+def _text_features(spark, d):
+    """Words of weight and pairs of neighbours of whole texts: the first line is the title, the rest the brief."""
+    lines = F.split(F.coalesce("text", F.lit("")), "\n", 2)
+    field = lambda n, c: F.struct(F.lit(n).alias("field"), X.features(F.split(plain(c), " "), TERMS).alias("features"))
+    fields = F.array(field("title", F.get(lines, F.lit(0))), field("brief", F.get(lines, F.lit(1))))
+    return table(spark, d, "documents").select(F.col("doc_id").alias("id"), F.explode(fields).alias("x")).select("id", "x.field", F.explode("x.features").alias("feature"))
+
+
+@query()
+def q_related(spark, d):
+    """Five related records of each document, by its whole text and its entities."""
+    r = similarity.related(_text_features(spark, d), _members(spark, d).withColumnRenamed("doc_id", "id"), table(spark, d, "documents").count())
+    return r.select("src", "dst", "score", F.array_join("why", ",").alias("why"), "rnk")
+
+
 @query("SELECT user_id AS entity, count(*) AS n, sha256(string_agg(event_id::VARCHAR, ',' ORDER BY ts, event_id)) AS ids FROM events GROUP BY 1 HAVING count(*) >= 2")
 def q_threads(spark, d):
     """Events of a user in order of time."""

@@ -77,3 +77,10 @@ def test_common_features_count(spark, tmp_path):
         df, rel = registry.QUERIES[name](spark, str(tmp_path)), con.sql(registry.SQL[name])
         got = bag(df.collect(), df.columns)
         assert len(got) == n and got == bag(rel.fetchall(), rel.columns), name
+
+
+def test_related_reads_whole_texts(spark, tmp_path):
+    docs = [(i, f"head{i} line{i}\n" + ("quartz lantern story" if i < 2 else f"tail{i} rest{i}")) for i in range(12)]
+    spark.createDataFrame(docs, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {(r.src, r.dst): r.why for r in registry.QUERIES["q_related"](spark, str(tmp_path)).collect()}
+    assert set(got) == {(0, 1), (1, 0)} and "quartz-lantern" in got[0, 1]
