@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -40,9 +41,11 @@ def words_of(text: str | None) -> list[bytes]:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir, which all executors share; a fresh local one only where it is unset (tests)."""
+    """The folder in spark.checkpoint.dir, which all executors share. Where it is unset, a fresh local one, but only in local mode: executors on other machines don't see it."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not found:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         found = "file://" + tempfile.mkdtemp(prefix="marlstone-")
         spark.conf.set("spark.checkpoint.dir", found)
     return found
@@ -50,10 +53,43 @@ def shared_dir(spark: SparkSession) -> str:
 
 def written(df: DataFrame, tag: str) -> DataFrame:
     """df cut from its lineage: written as Parquet to the shared folder and read back, so that lost executors cost no rerun."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark).rstrip('/')}/{tag}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return Scratch(df.sparkSession).write(df, tag)
+
+
+class Scratch:
+    """States of one run in the shared folder; a state is deleted once its successor is written."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.held = spark, []
+
+    def _path(self, tag: str) -> str:
+        return f"{shared_dir(self.spark).rstrip('/')}/{tag}-{uuid.uuid4().hex}"
+
+    def write(self, df: DataFrame, tag: str) -> DataFrame:
+        path = self._path(tag)
+        df.write.option("compression", "zstd").parquet(path)
+        out = self.spark.read.schema(df.schema).parquet(path)
+        self.held.append((out, path))
+        return out
+
+    def deal(self, df: DataFrame, tag: str, key: str) -> DataFrame:
+        """df dealt by a key once: later joins on the key read it as it lies and shuffle only their other side."""
+        n = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        path, name = self._path(tag), f"marlstone_{uuid.uuid4().hex}"
+        df.repartition(n, col(key)).write.format("parquet").option("compression", "zstd").option("path", path).bucketBy(n, key).sortBy(key).saveAsTable(name)
+        out = self.spark.table(name)
+        out.schema  # noqa: B018  resolved before the name goes; the files stay
+        self.spark.sql(f"DROP TABLE {name}")
+        self.held.append((out, path))
+        return out
+
+    def drop(self, *states: DataFrame | None) -> None:
+        """Deletes states that nothing reads any more."""
+        jvm = self.spark.sparkContext._jvm
+        for path in [p for df, p in self.held if any(df is s for s in states)]:
+            where = jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+        self.held = [(df, p) for df, p in self.held if not any(df is s for s in states)]
 
 
 def with_struct(df: DataFrame, name: str, inputs: list[Column], fn: Callable[..., list[list]], schema: T.StructType) -> DataFrame:

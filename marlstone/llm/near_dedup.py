@@ -5,14 +5,14 @@ to uniformly drawn registers; a register keeps the shingle that came first. Arri
 can still win, and the process ends when the next arrival of each would come after the slowest register's. Two signatures agree
 in a register with the probability Jaccard similarity of their sets. Signatures are cut into bands of ROWS registers; texts that
 share a band are candidates, and candidates are verified on their texts: a link holds at THRESHOLD or more. Weights are a
-parameter; with the default, 1 for each distinct shingle, probability Jaccard similarity is Jaccard similarity.
+parameter: 1 + log of a shingle's count ("log"), or 1 ("binary", with which probability Jaccard is Jaccard similarity).
 
 Classes are the connected components of the links. Exact copies (same words) are one node from the start. No bucket is
 expanded into its pairs: in each round every node of a bucket is tested against one centre, first the node that shares most
 bands with others, and nodes that have joined the centre's component are done. Then buckets of SMALL nodes or fewer have their
-last pairs tested. Nodes of larger buckets that are still in different components meet by a prefix join, which is exact: of two
-texts with similarity t or more, one of the rarest (1 - t) n + 1 shingles of each is shared, and their places bound the overlap.
-Components are found by contraction with pointer jumping; all state is written to the shared folder between rounds.
+last pairs tested. Nodes of larger buckets that are still in different components meet by a prefix join, which is exact for any
+weights (see prefix_pairs). Components are found by contraction with pointer jumping; all state is written to the shared folder
+between rounds and deleted when its successor stands.
 
 Defined results: null text has no words; texts without words are copies of each other; a text of fewer than five words is one
 shingle; repeated rows are copies; rows with null or repeated ids get a class each by their words like any other.
@@ -20,7 +20,7 @@ shingle; repeated rows are copies; rows with null or repeated ids get a class ea
 
 from __future__ import annotations
 
-import math
+import functools
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import col, free_name, words_of, written
+from .common import Scratch, col, free_name, words_of
 
 WIDTH, THRESHOLD = 5, 0.8
 #: At a similarity of 0.8 a pair is missed by all bands with probability (1 - 0.8 ** ROWS) ** BANDS = 3e-6.
@@ -113,7 +113,7 @@ def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray
     _, i, j = np.intersect1d(a[0], b[0], assume_unique=True, return_indices=True)
     if not len(i):
         return 0.0
-    if weigh == "binary":
+    if weigh == "binary" or len(a[0]) == a[1].sum() and len(b[0]) == b[1].sum():  # all weights are 1
         return len(i) / (len(a[0]) + len(b[0]) - len(i))
     wa, wb = WEIGHTS[weigh](a[1]), WEIGHTS[weigh](b[1])
     # for each common element d: 1 / sum over elements of max(x / x_d, y / y_d), by order of the ratios y / x
@@ -142,9 +142,9 @@ def _signed(weigh: str):
     return run
 
 
-def _lists(arrays: list[np.ndarray]) -> pa.Array:
+def _lists(arrays: list[np.ndarray], kind: type = np.int64) -> pa.Array:
     offsets = np.concatenate([[0], np.cumsum([len(x) for x in arrays])]).astype(np.int32)
-    return pa.ListArray.from_arrays(offsets, np.concatenate(arrays) if arrays else np.zeros(0, np.int64))
+    return pa.ListArray.from_arrays(offsets, np.concatenate(arrays).astype(kind, copy=False) if arrays else np.zeros(0, kind))
 
 
 def _verified(weigh: str):
@@ -165,79 +165,96 @@ def _verified(weigh: str):
 
 
 def _links(pairs: DataFrame, texts: DataFrame, weigh: str) -> DataFrame:
+    """The pairs that hold. Texts of a side a lie dealt by node; those of the centres are few, and their join may be split by Spark where one centre has very many pairs."""
     left = pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")).hint("merge"), "a")
-    both = left.join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")).hint("merge"), "b")
+    centres = texts.join(pairs.select(F.col("b").alias("node")).distinct(), "node", "left_semi").hint("merge")
+    both = left.join(centres.select(F.col("node").alias("b"), F.col("text").alias("text_b")).hint("merge"), "b")
     return both.select("a", "b", "text_a", "text_b").mapInArrow(_verified(weigh), "a long, b long")
 
 
-def _shingle_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        sets = [shingles(words_of(t))[0].view(np.int64) for t in batch.column("text").to_pylist()]
-        yield pa.RecordBatch.from_arrays([batch.column("node"), batch.column("label"), _lists(sets)], names=["node", "label", "hs"])
+def _masses(weigh: str):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """(node, label, text) with its shingles and the share of each in the text's weight."""
+        for batch in batches:
+            hs, ps = [], []
+            for text in batch.column("text").to_pylist():
+                h, n = shingles(words_of(text))
+                w = WEIGHTS[weigh](n)
+                hs.append(h.view(np.int64))
+                ps.append(w / w.sum() if len(w) else w)
+            yield pa.RecordBatch.from_arrays([batch.column("node"), batch.column("label"), _lists(hs), _lists(ps, np.float64)], names=["node", "label", "hs", "ps"])
+
+    return run
 
 
-def prefix_pairs(nodes: DataFrame, t: float = THRESHOLD) -> DataFrame:
-    """(a, b) of (node, label, text) rows of different labels that may have Jaccard similarity t or more; none that has is left out.
+def prefix_pairs(nodes: DataFrame, s: Scratch, weigh: str, t: float = THRESHOLD) -> DataFrame:
+    """(a, b) of (node, label, text) rows of different labels that may have similarity t or more; none that has is left out.
 
-    Shingles are ordered by how many of these rows have them, the rarest first. Shingles that only one row has can't be shared;
-    they are counted but not shuffled on.
+    With p and q the shares of shingles in the weights of two texts, each term of the similarity is min(p, q) at most, so a pair
+    that reaches t shares shingles that make up t of either text's weight. Shingles are ordered by how many of these rows have
+    them, the rarest first; the first shingle that a pair shares then has t or more of the weight at and behind it in both texts.
+    A text is known by its shingles down to there. Shingles that only one label has can't join two and aren't shuffled on.
     """
-    lists = written(nodes.select("node", "label", "text").mapInArrow(_shingle_lists, "node long, label long, hs array<long>"), "shingles")
-    each = lists.select("node", "label", F.size("hs").alias("n"), F.explode("hs").alias("h"))
-    df = each.groupBy("h").agg(F.count("*").alias("df")).where("df > 1")
-    own = Window.partitionBy("node")
-    shared = each.join(df, "h").withColumns({"place": F.col("n") - F.count("*").over(own) + F.row_number().over(own.orderBy("df", "h"))})
-    need = F.ceil(F.col("n") * t - 1e-9)
-    prefix = written(shared.where(F.col("place") <= F.col("n") - need + 1).select("node", "label", "n", "h", "place"), "prefix")
-    x, y = (prefix.select("h", *(F.col(c).alias(f"{c}_{k}") for c in ("node", "label", "n", "place"))) for k in "ab")
-    left = F.least(F.col("n_a") - F.col("place_a"), F.col("n_b") - F.col("place_b")) + 1
-    bound = left >= F.ceil((F.col("n_a") + F.col("n_b")) * t / (1 + t) - 1e-9)
-    return x.join(y, (x.h == y.h) & (F.col("label_a") < F.col("label_b")) & bound).select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
-
-
-def contract(labels: DataFrame, links: DataFrame) -> DataFrame:
-    """(node, label) after joining the components that links (a, b) of nodes connect; a component's label is its least old label."""
-    edges = links
+    lists = s.write(nodes.select("node", "label", "text").mapInArrow(_masses(weigh), "node long, label long, hs array<long>, ps array<double>"), "shingles")
+    each = lists.select("node", "label", F.explode(F.arrays_zip("hs", "ps")).alias("x")).select("node", "label", F.col("x.hs").alias("h"), F.col("x.ps").alias("p"))
+    df = s.write(each.groupBy("h").agg(F.count("*").alias("df"), F.min("label").alias("lo"), F.max("label").alias("hi")).where("df > 1"), "frequencies")
+    behind = F.sum("p").over(Window.partitionBy("node").orderBy(F.desc("df"), F.desc("h")).rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    shared = each.join(df, "h").withColumn("behind", behind)
+    prefix = s.write(shared.where((F.col("behind") >= t - 1e-9) & (F.col("lo") < F.col("hi"))).select("h", "node", "label"), "prefix")
+    x, y = (prefix.select("h", F.col("node").alias(k), F.col("label").alias(f"label_{k}")) for k in "ab")
+    return x.join(y, (x.h == y.h) & (F.col("label_a") < F.col("label_b"))).select("a", "b")
+
+
+def contract(labels: DataFrame, links: DataFrame, s: Scratch) -> DataFrame:
+    """(node, label) after joining the components that links (a, b) of nodes connect; a component's label is its least old label. The state of the old labels goes."""
     name = lambda side: labels.select(F.col("node").alias(side), F.col("label").alias("l" + side))
-    edges = written(edges.join(name("a"), "a").join(name("b"), "b").where("la <> lb").select("la", "lb").distinct(), "edges")
+    edges = s.write(links.join(name("a"), "a").join(name("b"), "b").where("la <> lb").select("la", "lb").distinct(), "edges")
     while not edges.isEmpty():
         both = edges.unionByName(edges.select(F.col("lb").alias("la"), F.col("la").alias("lb")))
-        up = both.groupBy("la").agg(F.min("lb").alias("to")).where("to < la")
-        up = written(up, "up")
+        least = s.write(both.groupBy("la").agg(F.min("lb").alias("to")).where("to < la"), "least")
+        up = least
         for _ in range(3):
             step = up.select(F.col("la").alias("to"), F.col("to").alias("next"))
             up = up.join(step, "to", "left").select("la", F.coalesce("next", "to").alias("to"))
-        up = written(up, "up")
-        labels = written(labels.join(up.withColumnRenamed("la", "label"), "label", "left").select("node", F.coalesce("to", "label").alias("label")), "labels")
+        up = s.write(up, "up")
+        old, labels = labels, s.write(labels.join(up.withColumnRenamed("la", "label"), "label", "left").select("node", F.coalesce("to", "label").alias("label")), "labels")
         new = lambda side: up.select(F.col("la").alias(side), F.col("to").alias("n" + side))  # noqa: E731,B023
-        edges = written(edges.join(new("la"), "la", "left").join(new("la").toDF("lb", "nlb"), "lb", "left").select(F.coalesce("nla", "la").alias("la"), F.coalesce("nlb", "lb").alias("lb")).where("la <> lb").distinct(), "edges")
+        left = s.write(edges.join(new("la"), "la", "left").join(new("lb"), "lb", "left").select(F.coalesce("nla", "la").alias("la"), F.coalesce("nlb", "lb").alias("lb")).where("la <> lb").distinct(), "edges")
+        s.drop(old, least, up, edges)
+        edges = left
+    s.drop(edges)
     return labels
 
 
-def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", out: str = "near", weigh: str = "binary") -> DataFrame:
-    """docs with a struct column: class_id (the least id of the class, or null if all are), class_size, and first (of its class, by id)."""
+def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", out: str = "near", weigh: str = "log") -> DataFrame:
+    """docs with a struct column: class_id (the least id of the class, or null if all are), class_size, n_verified (tested pairs of its text that hold) and first (of its class, by id)."""
     out = free_name(docs, out)
     row = free_name(docs, "__row")
-    kept = written(docs.withColumn(row, F.monotonically_increasing_id()), "near-docs")
+    s = Scratch(docs.sparkSession)
+    # documents are dealt by row once: the join of the texts and the last one read them as they lie
+    kept = s.deal(docs.withColumn(row, F.monotonically_increasing_id()), "near-docs", row)
     fed = kept.select(F.col(row).alias("row"), col(text_col).alias("text"))
-    signed = written(fed.mapInArrow(_signed(weigh), "row long, h1 long, h2 long, bands array<long>"), "signed")
-    nodes = written(signed.groupBy("h1", "h2").agg(F.min("row").alias("node"), F.min_by("bands", "row").alias("bands")), "nodes")
-    buckets = nodes.select("node", F.explode("bands").alias("key"))
-    shared = buckets.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
-    buckets = written(buckets.join(shared, "key"), "buckets")
-    degree = written(buckets.groupBy("node").agg(F.sum("size").alias("degree")), "degree")
-    # texts are joined by merging at every size: the plan of small inputs is that of large ones, and nothing is broadcast by estimate
-    texts = written(fed.hint("merge").join(degree.select(F.col("node").alias("row")), "row").select(F.col("row").alias("node"), "text"), "texts")
-    labels = written(degree.select("node", F.col("node").alias("label")), "labels")
-    tested = None
+    signed = s.write(fed.mapInArrow(_signed(weigh), "row long, h1 long, h2 long, bands array<long>"), "signed")
+    nodes = s.write(signed.groupBy("h1", "h2").agg(F.min("row").alias("node"), F.min_by("bands", "row").alias("bands")), "nodes")
+    keys = nodes.select("node", F.explode("bands").alias("key"))
+    # states are written before they are joined: Spark splits a hot key only where both sides of a join come fresh from a shuffle
+    shared = s.write(keys.groupBy("key").agg(F.count("*").alias("size")).where("size > 1"), "shared")
+    buckets = s.write(keys.join(shared, "key"), "buckets")
+    degree = s.write(buckets.groupBy("node").agg(F.sum("size").alias("degree")), "degree")
+    # merged at every size: the plan of small inputs is that of large ones, and nothing is broadcast by estimate
+    texts = s.deal(fed.join(degree.select(F.col("node").alias("row")).hint("merge"), "row").select(F.col("row").alias("node"), "text"), "texts", "node")
+    labels = s.write(degree.select("node", F.col("node").alias("label")), "labels")
+    tested, held = [], []
 
     def test(pairs: DataFrame) -> None:
         """Verifies pairs that haven't been, and joins the components of those that hold."""
-        nonlocal tested, labels
+        nonlocal labels
         pairs = pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-        pairs = written(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
-        tested = pairs if tested is None else tested.unionByName(pairs)
-        labels = contract(labels, written(_links(pairs, texts, weigh), "links"))
+        for before in tested:
+            pairs = pairs.join(before, ["a", "b"], "left_anti")
+        tested.append(s.write(pairs, "pairs"))
+        held.append(s.write(_links(tested[-1], texts, weigh), "links"))
+        labels = contract(labels, held[-1], s)
 
     def split() -> tuple[DataFrame, DataFrame]:
         """Bucket rows with labels, and the buckets whose nodes are in different components."""
@@ -248,19 +265,25 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", out
         rows, _ = split()
         first = (-F.col("degree") if k == 0 else F.xxhash64("node", F.lit(k))).alias("p")
         centre = rows.join(degree, "node").groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.min(F.struct(first, F.col("node").alias("b"), F.col("label").alias("lb"))).alias("c")).where("lo < hi")
-        test(rows.join(centre.select("key", "c.b", "c.lb"), "key").where("label <> lb").select(F.col("node").alias("a"), "b"))
+        centre = s.write(centre.select("key", "c.b", "c.lb"), "centre")
+        test(rows.join(centre, "key").where("label <> lb").select(F.col("node").alias("a"), "b"))
+        s.drop(centre)
     rows, parted = split()
-    small = written(rows.where(F.col("size") <= SMALL).join(parted, "key"), "small") if weigh == "binary" else written(rows.join(parted, "key"), "small")
+    small = s.write(rows.where(F.col("size") <= SMALL).join(parted, "key"), "small")
     other = small.select("key", F.col("node").alias("b"), F.col("label").alias("lb"))
     test(small.join(other, "key").where("label < lb").select(F.col("node").alias("a"), "b"))
-    if weigh == "binary":
-        rows, parted = split()
-        open_ = rows.where(F.col("size") > SMALL).join(parted, "key").select("node", "label").distinct()
-        test(prefix_pairs(open_.join(texts, "node")))
-
-    where = signed.select("row", "h1", "h2").join(nodes.select("h1", "h2", "node"), ["h1", "h2"]).join(labels, "node", "left").select(F.col("row").alias(row), F.coalesce("label", "node").alias("__class"))
-    ids = kept.select(F.col(row), col(id_col).alias("__id")).join(where, row)
-    ids = written(ids, "classes")
+    s.drop(small)
+    rows, parted = split()
+    open_ = rows.where(F.col("size") > SMALL).join(parted, "key").select("node", "label").distinct()
+    test(prefix_pairs(open_.join(texts, "node"), s, weigh))
+
+    ends = [h.select(F.explode(F.array("a", "b")).alias("node")) for h in held]
+    linked = s.write(functools.reduce(DataFrame.unionByName, ends).groupBy("node").agg(F.count("*").alias("n_verified")), "linked")
+    where = signed.select("row", "h1", "h2").join(nodes.select("h1", "h2", "node"), ["h1", "h2"]).join(labels, "node", "left").join(linked, "node", "left")
+    where = where.select(F.col("row").alias(row), F.coalesce("label", "node").alias("__class"), F.coalesce("n_verified", F.lit(0)).cast("long").alias("n_verified"))
+    ids = s.write(kept.select(F.col(row), col(id_col).alias("__id")).join(where.hint("merge"), row), "classes")
     size = ids.groupBy("__class").agg(F.min("__id").alias("class_id"), F.count("*").alias("class_size"), F.min(F.struct(F.col("__id").isNull().alias("n"), F.col("__id").alias("i"), F.col(row).alias("r"))).alias("f"))
-    said = ids.join(size, "__class").select(row, F.struct("class_id", "class_size", (F.col("f.r") == F.col(row)).alias("first")).alias(out))
-    return kept.join(said, row).drop(row)
+    size = s.write(size.select("__class", "class_id", "class_size", F.col("f.r").alias("__first")), "sizes")
+    said = s.write(ids.join(size, "__class").select(row, F.struct("class_id", "class_size", "n_verified", (F.col("__first") == F.col(row)).alias("first")).alias(out)), "said")
+    s.drop(*(df for df, _ in s.held if df is not kept and df is not said))
+    return kept.join(said.hint("merge"), row).select(*docs.columns, out)

@@ -124,7 +124,7 @@ def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return near_dedup.classes(docs).select("doc_id", "near.class_id", "near.class_size")
+    return near_dedup.classes(docs).select("doc_id", "near.class_id", "near.class_size", "near.n_verified")
 
 
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,15 +1,19 @@
 """Each operator against a plain restatement, and on awkward input."""
 
 import gzip
+import math
+import os
 import random
 import re
 import struct
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from marlstone.llm import chat, decontaminate, html_main, near_dedup, packing, pii, quality, repeats, toxicity, warc
+from marlstone.llm.common import Scratch
 
 DOCS = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType()), T.StructField("hits", T.StringType()), T.StructField("__row", T.IntegerType())])
 
@@ -281,11 +285,20 @@ def test_toxicity_orders_and_holds_out(spark):
 # near duplicates
 
 
-def classes_by_hand(texts):
-    sets = []
-    for t in texts:
-        w = (t or "").encode().split()
-        sets.append({tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))})
+def probability_jaccard(x, y):
+    """By its definition, over dictionaries of weights."""
+    both = x.keys() | y.keys()
+    return sum(1 / sum(max(x.get(e, 0) / x[d], y.get(e, 0) / y[d]) for e in both) for d in x.keys() & y.keys())
+
+
+def weighed(text, weigh="log"):
+    w = (text or "").encode().split()
+    n = Counter(tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4)))
+    return {k: 1 + math.log(v) if weigh == "log" else 1 for k, v in n.items()}
+
+
+def classes_by_hand(texts, weigh="log"):
+    sets = [weighed(t, weigh) for t in texts]
     up = list(range(len(texts)))
 
     def root(x):
@@ -295,7 +308,7 @@ def classes_by_hand(texts):
 
     for i in range(len(texts)):
         for j in range(i):
-            if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]):
+            if sets[i].keys() & sets[j].keys() and probability_jaccard(sets[i], sets[j]) >= 0.8 - 1e-9:
                 a, b = root(i), root(j)
                 up[max(a, b)] = min(a, b)
     return [root(i) for i in range(len(texts))]
@@ -304,24 +317,34 @@ def classes_by_hand(texts):
 def test_near_duplicates_match_brute_force(spark):
     r = random.Random(8)
     texts = []
-    for _ in range(12):
+    for k in range(12):
         base = prose(r, r.randint(30, 200), 5000).split()
+        if k % 3 == 0:
+            base += base[: len(base) // 2] * 3  # passages that repeat weigh more
         for _ in range(r.randint(1, 8)):
             w = list(base)
             for _ in range(r.randint(0, 4)):
                 w[r.randrange(len(w))] = f"n{r.randrange(10**6)}"
             texts.append(" ".join(w))
     texts += ["tiny text", "tiny text", "tiny  text", None, "", "x " * 3000]
-    got = near_dedup.classes(docs_of(spark, texts)).orderBy("doc_id").collect()
-    assert [x.near.class_id for x in got] == classes_by_hand(texts)
-    assert all(x.near.first == (x.doc_id == x.near.class_id) for x in got)
-    logged = near_dedup.classes(docs_of(spark, texts), weigh="log").orderBy("doc_id").collect()
-    assert sum(x.near.class_id != y.near.class_id for x, y in zip(got, logged)) <= 6
+    for weigh in ("log", "binary"):
+        got = near_dedup.classes(docs_of(spark, texts), weigh=weigh).orderBy("doc_id").collect()
+        assert [x.near.class_id for x in got] == classes_by_hand(texts, weigh)
+        assert all(x.near.first == (x.doc_id == x.near.class_id) for x in got)
     assert near_dedup.classes(empty(spark)).count() == 0
     odd = near_dedup.classes(awkward(spark)).collect()
     assert len(odd) == 10 and sum(x.near.first for x in odd) == 7  # the blanks are copies, and so are the two last
 
 
+def test_near_duplicates_leave_no_spent_state(spark):
+    from marlstone.llm.common import shared_dir
+
+    root = shared_dir(spark).removeprefix("file://")
+    before = set(os.listdir(root))
+    near_dedup.classes(docs_of(spark, ["a b c d e f g"] * 3 + [prose(random.Random(1), 40, 50)])).count()
+    assert sorted(x.rsplit("-", 1)[0] for x in set(os.listdir(root)) - before) == ["near-docs", "said"]
+
+
 def test_probminhash_estimates_probability_jaccard():
     import numpy as np
 
@@ -341,16 +364,18 @@ def test_probminhash_estimates_probability_jaccard():
     assert (one == a[0]).all()
 
 
-def test_prefix_join_leaves_no_link_out(spark):
+@pytest.mark.parametrize("weigh", ["log", "binary"])
+def test_prefix_join_leaves_no_link_out(spark, weigh):
     r = random.Random(13)
     common = prose(r, 60, 10**6)
     texts = [f"{common} {prose(r, r.choice([3, 8, 12, 16, 30, 60]), 10**6)}" for _ in range(60)]
+    texts = [t + f" {common}" * (k % 4) for k, t in enumerate(texts)]
     texts += [" ".join(w if r.random() > 0.02 else "new" for w in texts[k].split()) for k in range(30)]
     df = spark.createDataFrame([(i, i, t) for i, t in enumerate(texts)], "node long, label long, text string")
-    got = {(r.a, r.b) for r in near_dedup.prefix_pairs(df).collect()}
-    sets = [{tuple(t.split()[i : i + 5]) for i in range(len(t.split()) - 4)} for t in texts]
-    linked = {(i, j) for j in range(len(sets)) for i in range(j) if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])}
-    assert linked and linked <= got and len(got) < 2 * len(linked) + 60
+    got = {(r.a, r.b) for r in near_dedup.prefix_pairs(df, Scratch(spark), weigh).collect()}
+    sets = [weighed(t, weigh) for t in texts]
+    linked = {(i, j) for j in range(len(sets)) for i in range(j) if probability_jaccard(sets[i], sets[j]) >= 0.8}
+    assert linked and linked <= got and len(got) < len(texts) * (len(texts) - 1) / 2
 
 
 def test_components_of_a_chain(spark):
@@ -358,7 +383,7 @@ def test_components_of_a_chain(spark):
     order = list(range(20))
     random.Random(10).shuffle(order)
     links = spark.createDataFrame([(order[i], order[i + 1]) for i in range(19)], "a long, b long")
-    got = {r.node: r.label for r in near_dedup.contract(labels, links).collect()}
+    got = {r.node: r.label for r in near_dedup.contract(labels, links, Scratch(spark)).collect()}
     assert all(got[i] == 0 for i in range(20)) and all(got[i] == i for i in range(20, 40))
 
 
