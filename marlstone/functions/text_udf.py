@@ -44,24 +44,25 @@ def identity_text(text: str | None) -> str:
     return " ".join(unicodedata.normalize("NFKC", text or "").split()).casefold()
 
 
+# Tags that end a line where they open or close; br has no end (fixed values).
+BLOCKS = frozenset("p br div h1 h2 h3 h4 h5 li tr".split())
+
+
 class _Text(HTMLParser):
     """Collects text; block tags end lines, script and style are left out."""
 
-    BLOCKS = frozenset("p div br li ul ol h1 h2 h3 h4 h5 h6 blockquote tr table section article hr pre figure figcaption header footer".split())
-
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.out, self.hidden = [], 0
+        self.out, self.hidden = [], False
 
     def handle_starttag(self, tag, attrs):
-        self.hidden += tag in ("script", "style")
-        if tag in self.BLOCKS:
+        self.hidden |= tag in self.CDATA_CONTENT_ELEMENTS
+        if tag in BLOCKS:
             self.out.append("\n")
 
     def handle_endtag(self, tag):
-        if tag in ("script", "style"):
-            self.hidden = max(0, self.hidden - 1)
-        if tag in self.BLOCKS:
+        self.hidden &= tag not in self.CDATA_CONTENT_ELEMENTS
+        if tag in BLOCKS and tag != "br":
             self.out.append("\n")
 
     def handle_data(self, data):
@@ -70,45 +71,40 @@ class _Text(HTMLParser):
 
 
 def visible_text(page: str | None) -> str:
+    """Text by lines. Of blank lines in a row one stays, as it parts paragraphs, and of spaces one; references escaped twice are decoded twice."""
     parser = _Text()
     parser.feed(page or "")
     parser.close()
-    lines = (" ".join(x.split()) for x in "".join(parser.out).replace("\xa0", " ").split("\n"))
-    return "\n".join(x for x in lines if x)
+    return re.sub(r"\n{3,}| {2,}", lambda m: m[0][:2] if m[0][0] == "\n" else " ", html.unescape("".join(parser.out))).strip()
+
+
+_TOKEN = re.compile(r"(?P<cut>[,;:!?()\[\]{}|/\n—–]+)|[A-Za-z][A-Za-z0-9]*(?:[.'’][A-Za-z0-9]+)*|&")
+_BLOCKED, _LINKS, _GENERIC, _SUFFIXES = (frozenset(x) for x in (lexicon.BLOCKED_CAPITALS, lexicon.CONNECTORS, lexicon.GENERIC_CAPITALS, lexicon.ORGANISATION_SUFFIXES))
+_ALIASES = frozenset(tuple(search_words(a)) for names in lexicon.ENTITIES.values() for a in names)
 
 
-_PHRASE_END = re.compile(r"[,;:!?()\[\]{}|/\n—–]+")
-_CAPITAL_TOKEN = re.compile(r"[A-Za-z][A-Za-z0-9]*(?:[.'’][A-Za-z0-9]+)*|&")
-_ALIASES = [tuple(search_words(a)) for names in lexicon.ENTITIES.values() for a in names]
+def _shape(token: re.Match) -> str:
+    """One letter for a token: C capitalised, l a link between capitals, a dot for what ends a name."""
+    word = token[0]
+    if token["cut"] or not _BLOCKED.isdisjoint(search_words(word)):
+        return "."
+    if word.casefold() in _LINKS:
+        return "l"
+    return "C" if word[0].isupper() or word.isupper() else "."
 
 
-def _within(words: list[str], phrase: tuple[str, ...]) -> bool:
-    n = len(phrase)
-    return n > 0 and any(tuple(words[i : i + n]) == phrase for i in range(len(words) - n + 1))
+def _is_organisation(words: tuple[str, ...]) -> bool:
+    own = set(words) - _LINKS
+    grams = {words[i:j] for i in range(len(words)) for j in range(i + 1, len(words) + 1)}
+    return len(words) in (2, 3) and words[-1] in _SUFFIXES and not own <= _GENERIC and grams.isdisjoint(_ALIASES)
 
 
 def organisations(text: str | None) -> list[str]:
-    """Names of two or three words, all capitalised, that end in an organisation's word and hold no known alias."""
-    found = set()
-    for part in _PHRASE_END.split(text or ""):
-        runs: list[list[str]] = [[]]
-        for token in _CAPITAL_TOKEN.findall(part):
-            link = token.casefold() in lexicon.CONNECTORS
-            letters = [c for c in token if c.isalpha()]
-            capital = link or bool(letters) and (letters[0].isupper() or "".join(letters).isupper())
-            if not capital or any(w in lexicon.BLOCKED_CAPITALS for w in search_words(token)):
-                runs.append([])
-            elif runs[-1] or not link:
-                runs[-1].append(token)
-        for run in runs:
-            while run and run[-1].casefold() in lexicon.CONNECTORS:
-                run.pop()
-            words = search_words(" ".join(run))
-            name = "-".join(words)
-            content = [w for w in words if w not in lexicon.CONNECTORS]
-            if 2 <= len(words) <= 3 and len(name) <= 64 and words[-1] in lexicon.ORGANISATION_SUFFIXES and not all(w in lexicon.GENERIC_CAPITALS for w in content) and not any(_within(words, a) for a in _ALIASES):
-                found.add(name)
-    return sorted(found)
+    """Names of two or three words, all capitalised, that end in an organisation's word and hold no known alias: found as runs in the text's shape."""
+    tokens = list(_TOKEN.finditer(text or ""))
+    shape = "".join(map(_shape, tokens))
+    names = (tuple(search_words(" ".join(t[0] for t in tokens[m.start() : m.end()]))) for m in re.finditer("C(?:[Cl]*C)?", shape))
+    return sorted({name for words in names if _is_organisation(words) and len(name := "-".join(words)) <= 64})
 
 
 def _each(fn, kind):

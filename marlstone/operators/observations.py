@@ -21,11 +21,11 @@ def passages(posts: DataFrame, separator: str = "\n\n") -> DataFrame:
 
 
 def fields(df: DataFrame) -> DataFrame:
-    """The structured fields of the column trade_description; the title only helps to name a fund."""
+    """The structured fields of the column trade_description with its reading; the title only helps to name a fund."""
     d = F.col("trade_description")
     return df.select(
         F.col("title").alias("article_title"), F.col("url").alias("article_url"), F.substring("post_date", 1, 10).alias("article_date"), d,
-        O.instruments(d).alias("instruments"), O.direction(d).alias("direction"), O.underlying(d).alias("underlying"), O.thesis(d).alias("edge_or_thesis"), O.quantities(d).alias("any_quant_detail"),
+        O.instruments(d).alias("instruments"), F.col("said.direction").alias("direction"), O.underlying(d).alias("underlying"), O.thesis(d).alias("edge_or_thesis"), O.quantities(d).alias("any_quant_detail"),
         O.outcome(d).alias("outcome_if_mentioned"), F.coalesce(O.fund(d), O.fund(F.col("title"))).alias("fund_name_if_mentioned"), (F.length(d) < F.length("whole")).alias("description_truncated"), "pos",
     )
 
@@ -33,13 +33,13 @@ def fields(df: DataFrame) -> DataFrame:
 def extract(posts: DataFrame) -> DataFrame:
     """Observations of posts: trade paragraphs, or sentence windows where a post has none; one for each start of a passage."""
     parts = passages(posts)
-    cut = parts.withColumn("trade_description", X.excerpt(F.col("whole")))
-    found = cut.where(O.is_trade_block("trade_description"))
+    read = lambda df: df.withColumn("trade_description", X.excerpt(F.col("whole"))).withColumn("said", O.reading("trade_description")).where("said.trade_block")
+    found = read(parts)
     rest = parts.join(found.select("url").distinct(), "url", "left_anti")
     text = rest.groupBy("url").agg(F.first("title").alias("title"), F.first("post_date").alias("post_date"), F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("pos", "whole"))), lambda p: p.whole), "\n\n").alias("text"))
     spans = text.select("url", "title", "post_date", F.posexplode(F.slice(O.sentence_windows(X.sentences(F.col("text"))), 1, MOST_WINDOWS)).alias("pos", "whole"))
-    fallback = spans.withColumn("trade_description", X.excerpt(F.col("whole"))).where((F.length("trade_description") > 50) & O.is_trade_block("trade_description"))
-    every = found.select("url", "title", "post_date", "pos", "whole", "trade_description").unionByName(fallback)
+    fallback = read(spans).where(F.length("trade_description") > 50)
+    every = found.select(*fallback.columns).unionByName(fallback)
     return fields(first_per(every, ["url", F.substring("trade_description", 1, 100)], ["pos"]))
 
 

@@ -89,8 +89,10 @@ def test_word_count_is_unicode(spark):
 def test_normalisation():
     assert ["-".join(U.search_words(x)) for x in ("Hull-White’s", "D.E. Shaw", "Γ Scalping", "S&P 500", "Société Générale")] == ["hull-white", "d-e-shaw", "gamma-scalping", "s-and-p-500", "societe-generale"]
     assert U.title_key("Two &amp; Three\xa0Ways — Straße") == "2 and 3 ways strasse" and U.title_key(None) == ""
-    assert U.visible_text("<p>a<b>b</b></p><script>x</script><p>c &amp; d</p>") == "ab\nc & d"
-    assert U.organisations("Inside Foo Capital and the Bar Baz Partners") == ["bar-baz-partners", "foo-capital"] or "foo-capital" in U.organisations("Foo Capital, again")
+    assert U.visible_text("<p>a<b>b</b></p><script>x</script><p>c &amp; d</p>") == "ab\n\nc & d" and U.visible_text("<p>a</p><br><br><br><p>b</p>") == "a\n\nb"
+    assert U.organisations("Foo Capital, and the Bar Baz Partners; Securities and Exchange Commission") == ["bar-baz-partners", "foo-capital"]
+    assert U.organisations("Foo Capital and the Bar Partners") == [] and U.organisations("foo Capital") == [] and U.organisations("Inside Foo Capital") == ["foo-capital"]
+    assert U.organisations("Market Management") == [] and U.organisations(None) == [] and U.organisations("Foo (Capital) of Foo of") == []
 
 
 def test_dates(spark):
