@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from .. import lexicon
 from ..functions.text_udf import capitalised_names, normalized_words, search_words
-from .rows import numbered
+from .rows import Down, numbered
 
 # Spellings of labels that title case gets wrong (fixed values).
 LABELS = {"aqr": "AQR", "cfm": "CFM", "hrt": "HRT", "qrt": "QRT", "ltcm": "LTCM", "vix": "VIX", "cds": "CDS", "etf": "ETF", "fomc": "FOMC", "sebi": "SEBI", "sec": "SEC", "cftc": "CFTC", "mifid": "MiFID", "var": "VaR", "pca": "PCA", "ols": "OLS", "sabr": "SABR", "d-e-shaw": "D. E. Shaw"}
@@ -22,7 +22,7 @@ def catalogue(articles: DataFrame, priority: Mapping[str, int]) -> DataFrame:
     """
     rank = F.coalesce(F.try_element_at(F.create_map(*(F.lit(x) for p in priority.items() for x in p)), F.col("source")), F.lit(99))
     keys = articles.select("source", "slug", F.coalesce("post_date", F.lit("")).alias("d"), rank.alias("p"))
-    placed = numbered(keys, [F.desc("d"), F.asc("p"), F.desc("slug")], "pos")
+    placed = numbered(keys, [Down("d"), "p", Down("slug")], "pos")
     return articles.join(placed.select("source", "slug", "pos"), ["source", "slug"])
 
 

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import bisect
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass
+from itertools import accumulate
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def first_per(df: DataFrame, keys: Sequence[Column | str], order: Sequence[Column | str], n: int = 1) -> DataFrame:
@@ -14,14 +18,97 @@ def first_per(df: DataFrame, keys: Sequence[Column | str], order: Sequence[Colum
     return df.withColumn("__n", rank).where(F.col("__n") <= n).drop("__n")
 
 
-def numbered(df: DataFrame, order: Sequence[Column | str], out: str) -> DataFrame:
-    """df with its rows numbered from 0 in a total order. Rows are dealt by range and sorted there; only the sizes of the ranges meet in one task."""
+@dataclass(frozen=True)
+class Down:
+    """A sort key in descending order, nulls last; other keys ascend, nulls first."""
+
+    key: Column | str
+
+
+#: Rows sampled for each range when cut points are chosen.
+SAMPLED = 20
+
+
+def _keys(order: Sequence[Column | str | Down]) -> list[tuple[Column, bool]]:
+    out = []
+    for o in order:
+        k, down = (o.key, True) if isinstance(o, Down) else (o, False)
+        out.append((F.col(k) if isinstance(k, str) else k, down))
+    return out
+
+
+def _sorted(keys: list[tuple[Column, bool]]) -> list[Column]:
+    return [k.desc_nulls_last() if down else k.asc_nulls_first() for k, down in keys]
+
+
+def _bucket(keys: list[tuple[Column, bool]], kinds: Sequence[T.DataType], cuts: Sequence[Row]) -> Column:
+    """How many cut points a row doesn't come before: a search tree of comparisons, so that equal rows share a bucket, always the same one."""
+
+    def before(cut: Row) -> Column:
+        less = F.lit(False)
+        for (k, down), kind, v in reversed(list(zip(keys, kinds, cut))):
+            lit = F.lit(v).cast(kind)
+            sooner = (k > lit) | (lit.isNull() & k.isNotNull()) if down else (k < lit) | (k.isNull() & lit.isNotNull())
+            less = F.coalesce(sooner, F.lit(False)) | (k.eqNullSafe(lit) & less)
+        return less
+
+    def tree(lo: int, hi: int) -> Column:
+        if lo == hi:
+            return F.lit(lo)
+        mid = (lo + hi) // 2
+        return F.when(before(cuts[mid]), tree(lo, mid)).otherwise(tree(mid + 1, hi))
+
+    return tree(0, len(cuts))
+
+
+def ranges(df: DataFrame, order: Sequence[Column | str | Down], out: str) -> tuple[DataFrame, int]:
+    """df with the number of the range, of about equal size, that each row falls in, and how many there are.
+
+    The cut points come to the driver once, from SAMPLED rows a range, and are constants from then on: the number is a plain
+    function of the row, whatever reads or recomputes it.
+    """
+    keys = _keys(order)
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = df.repartitionByRange(n, *order).sortWithinPartitions(*order).withColumn("__m", F.monotonically_increasing_id())
-    part, place = F.shiftrightunsigned("__m", 33), F.col("__m").bitwiseAND(F.lit((1 << 33) - 1))
-    sizes = dealt.groupBy(part.alias("__p")).agg(F.count("*").alias("__n"))
-    before = sizes.select("__p", (F.sum("__n").over(Window.orderBy("__p")) - F.col("__n")).alias("__before"))
-    return dealt.join(F.broadcast(before), part == F.col("__p")).withColumn(out, F.col("__before") + place).drop("__m", "__p", "__before")
+    named = df.select(*(k.alias(f"k{i}") for i, (k, _) in enumerate(keys)))
+    drawn = named.orderBy(F.rand(11)).limit(SAMPLED * n)
+    sample = drawn.orderBy(*_sorted([(F.col(f"k{i}"), down) for i, (_, down) in enumerate(keys)])).collect()
+    cuts = list(dict.fromkeys(sample[len(sample) * i // n] for i in range(1, n))) if sample else []
+    return df.withColumn(out, _bucket(keys, [f.dataType for f in named.schema], cuts)), len(cuts) + 1
+
+
+def numbered(df: DataFrame, order: Sequence[Column | str | Down], out: str) -> DataFrame:
+    """df with its rows numbered from 0 in a total order: each range by itself, from the sizes of the ranges before it. Rows that tie are numbered in any order, but never twice."""
+    dealt, n = ranges(df, order, "__range")
+    sizes = dict(dealt.groupBy("__range").count().collect())
+    starts = F.array(*(F.lit(x).cast("long") for x in accumulate((sizes.get(i, 0) for i in range(n - 1)), initial=0)))
+    place = F.row_number().over(Window.partitionBy("__range").orderBy(*_sorted(_keys(order))))
+    return dealt.withColumn(out, F.get(starts, F.col("__range")) + place - 1).drop("__range")
+
+
+def ranked(df: DataFrame, values: Sequence[str], places: Callable[[int], Sequence[int]]) -> dict[str, list]:
+    """For each numeric column the values at some places of its sorted order (nulls left out); places is told how many there are.
+
+    Three passes for all columns together: cut points, sizes of ranges, and counts by value in the ranges that are asked for, so that values in very many rows cost no more than others.
+    """
+    long = df.select(F.explode(F.array(*(F.struct(F.lit(v).alias("name"), F.col(v).cast("double").alias("v")) for v in values))).alias("x")).select("x.*").where("v is not null")
+    dealt, _ = ranges(long, ["name", "v"], "r")
+    sizes = {(r.name, r.r): r.n for r in dealt.groupBy("name", "r").agg(F.count("*").alias("n")).collect()}
+    wanted = []
+    for name in values:
+        own = sorted((r, n) for (m, r), n in sizes.items() if m == name)
+        starts = [0, *accumulate(n for _, n in own)]
+        for k, place in enumerate(places(starts[-1]) if own else ()):
+            i = bisect.bisect_right(starts, place) - 1
+            wanted.append((name, own[i][0], k, place - starts[i]))
+    found: dict[str, list] = {name: [] for name in values}
+    if wanted:
+        asked = df.sparkSession.createDataFrame(wanted, "name string, r int, k int, at long")
+        some = dealt.join(F.broadcast(asked.select("name", "r").distinct()), ["name", "r"]).groupBy("name", "r", "v").agg(F.count("*").alias("n"))
+        end = F.sum("n").over(Window.partitionBy("name", "r").orderBy("v"))
+        at = some.withColumn("end", end).join(F.broadcast(asked), ["name", "r"]).where((F.col("at") < F.col("end")) & (F.col("at") >= F.col("end") - F.col("n")))
+        for r in at.orderBy("name", "k").collect():
+            found[r.name].append(r.v)
+    return found
 
 
 def dedup_by_prefix(df: DataFrame, key: str, text: str, length: int, order: str) -> DataFrame:

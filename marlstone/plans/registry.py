@@ -267,7 +267,7 @@ _CURVE = "SELECT day, CAST(sum(v) AS DOUBLE) AS v FROM (SELECT strftime(o_orderd
 
 @query(f"WITH c AS ({_CURVE}), l AS (SELECT list_sort(list(v)) AS s, count(*) - 1 AS m FROM c) SELECT day, v, CASE WHEN v <= s[m // 3 + 1] THEN 'low' WHEN v > s[2 * m // 3 + 1] THEN 'high' ELSE 'mid' END AS band FROM c, l")
 def q_tercile_bands(spark, d):
-    return asof.banded(_daily(spark, d), "v", "band")
+    return asof.banded(_daily(spark, d), {"v": "band"})
 
 
 def _daily(spark, d):
@@ -313,10 +313,10 @@ def q_persistent(spark, d):
 def q_lineage_overlap(spark, d):
     """Faults of a window of events against a history."""
     e = table(spark, d, "events").select(F.col("event_id").alias("id"), F.col("ts").cast("timestamp").alias("at"))
-    place = F.row_number().over(Window.orderBy(F.desc("at"))) - 1
+    placed = lambda df: rows.numbered(df, [rows.Down("at")], "pos")
     moved = F.when(F.col("id") % 11 == 0, F.col("at") + F.expr("INTERVAL 1 SECOND")).otherwise(F.col("at"))
-    window = e.where("id % 7 <> 0").withColumn("pos", place).withColumn("at", moved)
-    return health.lineage(window, e.where("id % 5 <> 0").withColumn("pos", place)).select("id", "fault")
+    window = placed(e.where("id % 7 <> 0")).withColumn("at", moved)
+    return health.lineage(window, placed(e.where("id % 5 <> 0"))).select("id", "fault")
 
 
 @query("SELECT c AS o_custkey, a AS before, coalesce(b, 0) AS after FROM (SELECT o_custkey AS c, count(*) AS a FROM orders GROUP BY 1) LEFT JOIN (SELECT o_custkey AS c, count(*) AS b FROM orders WHERE o_orderkey % 9 <> 0 GROUP BY 1) USING (c) WHERE coalesce(b, 0) < 0.9 * a")

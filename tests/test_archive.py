@@ -151,9 +151,35 @@ def test_asof_and_terciles(spark):
     r = random.Random(3)
     for n in (1, 2, 3, 7, 20):
         v = [r.randrange(6) for _ in range(n)]
-        cut = asof.tercile_cuts(spark.createDataFrame([(float(x),) for x in v], "v double"), "v").first()
+        lower, upper = asof.tercile_cuts(spark.createDataFrame([(float(x), None) for x in v], "v double, w double"), "v", "w")["v"]
         s = sorted(v)
-        assert (cut.lower, cut.upper) == (s[(n - 1) // 3], s[2 * (n - 1) // 3])
+        assert (lower, upper) == (s[(n - 1) // 3], s[2 * (n - 1) // 3])
+    assert asof.tercile_cuts(spark.createDataFrame([], "v double"), "v") == {"v": (None, None)}
+
+
+def test_asof_without_keys_matches_brute_force(spark):
+    r = random.Random(4)
+    right = [(x, i) for i, x in enumerate(r.sample(range(5000), 300))] + [(None, -1)]
+    left = [(r.randrange(-50, 5100), i) for i in range(2000)] + [(None, 2000)]
+    got = asof.asof_backward(spark.createDataFrame(left, "t long, l long").repartition(7), spark.createDataFrame(right, "t long, v long").repartition(5), "t").collect()
+    known = sorted(x for x in right if x[0] is not None)
+    want = {i: max((x for x in known if t is not None and x[0] <= t), default=(None, None)) for t, i in left}
+    assert len(got) == len(left) and all((x.as_of, x.v) == want[x.l] for x in got)
+
+
+@pytest.mark.parametrize("partitions", [1, 3, 8])
+def test_rows_are_numbered_without_gaps(spark, partitions):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(partitions * 2))
+    try:
+        df = spark.range(100_000, numPartitions=partitions).select("id", F.when(F.col("id") % 3 == 0, None).otherwise(F.pmod(F.xxhash64("id"), F.lit(50))).alias("a"), F.md5(F.col("id").cast("string")).alias("s"))
+        got = rows.numbered(df, [rows.Down("a"), "s"], "n").select("n", "a", "s").toPandas()
+        assert sorted(got.n) == list(range(100_000))
+        key = lambda x: (x[1] != x[1] or x[1] is None, -(x[1] if x[1] == x[1] and x[1] is not None else 0), x[2])
+        in_order = list(got.sort_values("n").itertuples(index=False, name=None))
+        assert in_order == sorted(in_order, key=key)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
 
 
 def test_health(spark):
