@@ -164,12 +164,14 @@ def _verified(weigh: str):
     return run
 
 
-def _links(pairs: DataFrame, texts: DataFrame, weigh: str) -> DataFrame:
-    """The pairs that hold. Texts of a side a lie dealt by node; those of the centres are few, and their join may be split by Spark where one centre has very many pairs."""
+def _links(pairs: DataFrame, texts: DataFrame, weigh: str, s: Scratch) -> DataFrame:
+    """The pairs that hold. Texts of a side a lie dealt by node; those of the centres are written apart, so that their join is split where one centre has very many pairs."""
     left = pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")).hint("merge"), "a")
-    centres = texts.join(pairs.select(F.col("b").alias("node")).distinct(), "node", "left_semi").hint("merge")
+    centres = s.write(texts.join(pairs.select(F.col("b").alias("node")).distinct().hint("merge"), "node", "left_semi"), "centres")
     both = left.join(centres.select(F.col("node").alias("b"), F.col("text").alias("text_b")).hint("merge"), "b")
-    return both.select("a", "b", "text_a", "text_b").mapInArrow(_verified(weigh), "a long, b long")
+    held = s.write(both.select("a", "b", "text_a", "text_b").mapInArrow(_verified(weigh), "a long, b long"), "links")
+    s.drop(centres)
+    return held
 
 
 def _masses(weigh: str):
@@ -190,19 +192,22 @@ def _masses(weigh: str):
 def prefix_pairs(nodes: DataFrame, s: Scratch, weigh: str, t: float = THRESHOLD) -> DataFrame:
     """(a, b) of (node, label, text) rows of different labels that may have similarity t or more; none that has is left out.
 
-    With p and q the shares of shingles in the weights of two texts, each term of the similarity is min(p, q) at most, so a pair
-    that reaches t shares shingles that make up t of either text's weight. Shingles are ordered by how many of these rows have
-    them, the rarest first; the first shingle that a pair shares then has t or more of the weight at and behind it in both texts.
-    A text is known by its shingles down to there. Shingles that only one label has can't join two and aren't shuffled on.
+    If the shingles that two texts share make up P of the weight of one and Q of the other's, their similarity is 1 / (1/P + 1/Q - 1)
+    at most: a term is 1 / ((1-P)/p + (1-Q)/q + max(P/p, Q/q)) at most, p and q being the shares of its shingle, and that is concave
+    and homogeneous in p and q, so the sum is largest where all are in proportion. Shingles are ordered by how many of these rows
+    have them, the rarest first; what is at and behind the first shingle that a pair shares bounds P and Q. So a text is known by
+    its shingles down to where t of its weight is left, and a meeting counts where both remainders allow t. Shingles that only
+    one label has can't join two and aren't shuffled on.
     """
     lists = s.write(nodes.select("node", "label", "text").mapInArrow(_masses(weigh), "node long, label long, hs array<long>, ps array<double>"), "shingles")
     each = lists.select("node", "label", F.explode(F.arrays_zip("hs", "ps")).alias("x")).select("node", "label", F.col("x.hs").alias("h"), F.col("x.ps").alias("p"))
     df = s.write(each.groupBy("h").agg(F.count("*").alias("df"), F.min("label").alias("lo"), F.max("label").alias("hi")).where("df > 1"), "frequencies")
     behind = F.sum("p").over(Window.partitionBy("node").orderBy(F.desc("df"), F.desc("h")).rowsBetween(Window.unboundedPreceding, Window.currentRow))
     shared = each.join(df, "h").withColumn("behind", behind)
-    prefix = s.write(shared.where((F.col("behind") >= t - 1e-9) & (F.col("lo") < F.col("hi"))).select("h", "node", "label"), "prefix")
-    x, y = (prefix.select("h", F.col("node").alias(k), F.col("label").alias(f"label_{k}")) for k in "ab")
-    return x.join(y, (x.h == y.h) & (F.col("label_a") < F.col("label_b"))).select("a", "b")
+    prefix = s.write(shared.where((F.col("behind") >= t - 1e-9) & (F.col("lo") < F.col("hi"))).select("h", "node", "label", "behind"), "prefix")
+    x, y = (prefix.select("h", F.col("node").alias(k), F.col("label").alias(f"label_{k}"), F.col("behind").alias(f"behind_{k}")) for k in "ab")
+    enough = 1 / F.col("behind_a") + 1 / F.col("behind_b") - 1 <= 1 / t + 1e-9
+    return x.join(y, (x.h == y.h) & (F.col("label_a") < F.col("label_b")) & enough).select("a", "b")
 
 
 def contract(labels: DataFrame, links: DataFrame, s: Scratch) -> DataFrame:
@@ -253,7 +258,7 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", out
         for before in tested:
             pairs = pairs.join(before, ["a", "b"], "left_anti")
         tested.append(s.write(pairs, "pairs"))
-        held.append(s.write(_links(tested[-1], texts, weigh), "links"))
+        held.append(_links(tested[-1], texts, weigh, s))
         labels = contract(labels, held[-1], s)
 
     def split() -> tuple[DataFrame, DataFrame]:
