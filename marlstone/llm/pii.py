@@ -1,13 +1,17 @@
 """Personal data: patterns, and information-theoretic sanitisation around them.
 
 Patterns find e-mail addresses, IP addresses, card and phone numbers; each distinct value is a protected entity. The corpus
-then tells which terms give an entity away: with N documents, c(t) of them with the term, c(e) with the entity and c(t,e)
-with both, wherever they stand in the text, the term discloses PMI(t,e) / IC(e) = 1 + log(c(t,e)/c(t)) / log(N/c(e)) of the
-entity's information. All four count documents, copies included. A term seen with an entity in SUPPORT different texts or more
-whose share reaches GENERALISE is cut to its first letters in the documents of that entity; one that reaches REMOVE is taken out.
+then tells which terms give an entity away. Of N documents c(t) hold the term, c(e) the entity and c(t,e) both, wherever they
+stand in the text; all four count documents, copies included. The chance of the entity beside the term is estimated as
+c(t,e) / (c(t) + SMOOTHING), as if SMOOTHING more documents had the term alone: one meeting is weak evidence, and the more documents
+a corpus has, the more a rare term tells. The term discloses PMI / IC(e) = 1 + log(that chance) / log(N / c(e)) of what there is
+to know of the entity. A term whose share reaches GENERALISE is cut to its first letters in the documents of that entity; one
+that reaches REMOVE is taken out.
 
 The pass over the texts keeps those of documents with an entity (others can't change); counts of terms are summed in each task
-before they are shuffled; entities and terms travel as 64-bit hashes. No group is collected but the terms of one document.
+before they are shuffled; entities, terms and texts travel as 64-bit hashes. Terms are matched where they occur, never entity by
+document, so an entity of very many documents costs their words and no product; what is joined is written first, so that Spark
+splits hot keys. No group is collected but the terms of one text.
 
 Defined results: null text counts as empty and stays null; documents without entity stay as they are; repeated rows count as
 documents each; an entity or term in very many documents is summed in parts like any other.
@@ -24,12 +28,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.pandas.types import to_arrow_schema
 
-from .common import col, free_name, with_struct, written
+from .common import Scratch, col, free_name, with_struct
 
 KINDS = ("email", "ip", "card", "phone")
-SUPPORT, GENERALISE, REMOVE = 2, 0.8, 0.95
+SMOOTHING, GENERALISE, REMOVE = 1.0, 0.85, 0.95
 _LOCAL = re.compile(r"[A-Za-z0-9._%+-]")
 _LOCAL_END = re.compile(r"[A-Za-z0-9._%+-]*\Z")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -125,17 +128,18 @@ def _term_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _protected_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(h, es, terms) of each text with entities: hashes of the text, of its entities, and of its terms outside the spans."""
+    """(h, m, es, terms) of texts with their spans: hash and copies of the text, hashes of its entities and of its terms outside the spans."""
     for batch in batches:
-        out: list[tuple[int, list[int], list[int]]] = []
-        for text, spans in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+        es, terms = [], []
+        for text, spans in zip(batch.column("text").to_pylist(), batch.column("base").to_pylist()):
             rest, pos = [], 0
             for x, y in sorted((s["start"], s["end"]) for s in spans):
                 rest.append(text[pos:x])
                 pos = max(pos, y)
             rest.append(text[pos:])
-            out.append((hashed(text), sorted({entity(text, (s["kind"], s["start"], s["end"])) for s in spans}), list(_terms(set(" ".join(rest).split())))))
-        yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in out], pa.int64()), *(pa.array([r[i] for r in out], pa.list_(pa.int64())) for i in (1, 2))], names=["h", "es", "terms"])
+            es.append(sorted({entity(text, (s["kind"], s["start"], s["end"])) for s in spans}))
+            terms.append(list(_terms(set(" ".join(rest).split()))))
+        yield pa.RecordBatch.from_arrays([batch.column("h"), batch.column("m"), *(pa.array(x, pa.list_(pa.int64())) for x in (es, terms))], names=["h", "m", "es", "terms"])
 
 
 def term_spans(text: str, base: list[tuple[str, int, int]], terms: dict[int, float]) -> list[tuple[int, int, float]]:
@@ -173,36 +177,45 @@ def _spelled(spans) -> str:
     return ",".join(f"{k}:{a}:{b}" for k, a, b in spans)
 
 
-def sanitise(docs: DataFrame, text_col: str = "text", out: str = "pii", support: int = SUPPORT, generalise: float = GENERALISE, remove: float = REMOVE) -> DataFrame:
+def disclosures(seen: DataFrame, words: DataFrame, n: int, scratch: Scratch, least: float = GENERALISE, smoothing: float = SMOOTHING) -> DataFrame:
+    """(e, t, share) of terms that disclose an entity by `least` or more. seen has the distinct texts with entities (m copies, es, terms), words the documents by term (t, n)."""
+    ce = scratch.write(seen.select("m", F.explode("es").alias("e")).groupBy("e").agg(F.sum("m").alias("ce")), "entities")
+    pairs = seen.select("m", "es", F.explode("terms").alias("t")).select("m", "t", F.explode("es").alias("e"))
+    cet = scratch.write(pairs.groupBy("e", "t").agg(F.sum("m").alias("cet")), "pairs")
+    ct = scratch.write(words.join(cet.select("t").distinct(), "t", "left_semi").groupBy("t").agg(F.sum("n").alias("ct")), "terms")
+    chance = F.col("cet") / (F.col("ct") + smoothing)
+    share = 1 + F.log(chance) / F.greatest(F.log(F.lit(float(max(n, 2))) / F.col("ce")), F.lit(1e-9))
+    told = cet.join(ce, "e").join(ct, "t").withColumn("share", share).where(F.col("share") >= least).select("e", "t", "share")
+    told = scratch.write(told, "telling")
+    scratch.drop(ce, cet, ct)
+    return told
+
+
+def sanitise(docs: DataFrame, text_col: str = "text", out: str = "pii", generalise: float = GENERALISE, remove: float = REMOVE, smoothing: float = SMOOTHING) -> DataFrame:
     """docs with a struct column: base (spans), terms (spans of flagged terms), text (sanitised; null stays null) and changed."""
     out = free_name(docs, out)
-    keep = [col(c) for c in docs.columns]
-    row = free_name(docs, "__row")
-    found = T.StructType([T.StructField("base", T.ArrayType(SPAN)), T.StructField("entities", T.ArrayType(T.LongType()))])
+    keep, key, own_terms = [col(c) for c in docs.columns], free_name(docs, "__h"), free_name(docs, "__terms")
+    found = T.StructType([T.StructField("base", T.ArrayType(SPAN)), T.StructField("h", T.LongType())])
 
     def patterns(texts):
         spans = [base_spans(t) for t in texts]
-        return [[[{"kind": k, "start": a, "end": b} for k, a, b in s] for s in spans], [sorted({entity(t, x) for x in s}) if s else [] for t, s in zip(texts, spans)]]
+        return [[[{"kind": k, "start": a, "end": b} for k, a, b in s] for s in spans], [hashed(t) if s else None for t, s in zip(texts, spans)]]
 
-    given = docs.withColumn(row, F.monotonically_increasing_id())
-    marked = with_struct(given, out, [col(text_col)], patterns, found)
-    has = F.size(F.col(out).entities) > 0
-    hit = written(marked.where(has), "pii")
+    scratch = Scratch(docs.sparkSession)
+    marked = with_struct(docs, out, [col(text_col)], patterns, found)
+    has = F.size(F.col(out).base) > 0
+    hit = scratch.write(marked.where(has), "pii")
     n = docs.select(F.lit(1)).count()
 
-    # documents with an entity, with a term and with both; equal texts are one observation for the support, so that copies prove nothing
-    links = hit.select(row, F.explode(F.col(out).entities).alias("e"))
-    seen = hit.select(col(text_col).alias("text"), F.col(out).base.alias("base")).mapInArrow(_protected_texts, "h long, es array<long>, terms array<long>")
-    seen = written(seen.groupBy("h").agg(F.first(F.struct("es", "terms")).alias("x"), F.count("*").alias("m")).select("h", "m", "x.*"), "texts")
-    enough = lambda g, name: g.agg(F.sum("m").alias(name), F.count("*").alias("__texts")).where(F.col("__texts") >= support).drop("__texts")
-    ce = enough(seen.select("m", F.explode("es").alias("e")).groupBy("e"), "ce")
-    again = seen.select("h", F.explode("es").alias("e")).join(ce.select("e"), "e").groupBy("h").agg(F.collect_list("e").alias("es"))
-    pairs = seen.select("h", "m", "terms").join(again, "h").select("m", "es", F.explode("terms").alias("t")).select("m", "t", F.explode("es").alias("e"))
-    cet = enough(pairs.groupBy("e", "t"), "cet")
-    ct = docs.select(col(text_col).alias("text")).mapInArrow(_term_counts, "t long, n long").groupBy("t").agg(F.sum("n").alias("ct"))
-    share = 1 + F.log(F.col("cet") / F.col("ct")) / F.greatest(F.log(F.lit(float(max(n, 2))) / F.col("ce")), F.lit(1e-9))
-    telling = cet.join(ce, "e").join(ct, "t").withColumn("share", share).where(F.col("share") >= generalise).select("e", "t", "share")
-    flags = links.join(telling, "e").groupBy(row, "t").agg(F.max("share").alias("share")).groupBy(row).agg(F.collect_list(F.struct("t", "share")).alias("__terms"))
+    # equal texts are read once and count as often as they stand there
+    once = hit.select(F.col(out).h.alias("h"), col(text_col).alias("text"), F.col(out).base.alias("base")).groupBy("h").agg(F.first(F.struct("text", "base")).alias("x"), F.count("*").alias("m"))
+    seen = scratch.write(once.select("h", "m", "x.*").mapInArrow(_protected_texts, "h long, m long, es array<long>, terms array<long>"), "texts")
+    words = docs.select(col(text_col).alias("text")).mapInArrow(_term_counts, "t long, n long")
+    telling = disclosures(seen, words, n, scratch, generalise, smoothing)
+    here = seen.select("h", "es", F.explode("terms").alias("t")).select("h", "t", F.explode("es").alias("e"))
+    flags = here.join(telling, ["e", "t"]).groupBy("h", "t").agg(F.max("share").alias("share")).groupBy("h").agg(F.collect_list(F.struct("t", "share")).alias(own_terms))
+    flags = scratch.write(flags, "flags")
+    scratch.drop(seen, telling)
 
     result = T.StructType([T.StructField("base", T.ArrayType(SPAN)), T.StructField("terms", T.ArrayType(SPAN)), T.StructField("text", T.StringType()), T.StructField("changed", T.BooleanType())])
 
@@ -218,7 +231,8 @@ def sanitise(docs: DataFrame, text_col: str = "text", out: str = "pii", support:
         return made
 
     tmp = free_name(hit, "__done")
-    done = with_struct(hit.join(flags, row, "left"), tmp, [col(text_col), F.col(out).base, F.col("__terms")], finish, result).select(*keep, F.col(tmp).alias(out))
+    flagged = hit.withColumn(key, F.col(out).h).join(flags.withColumnRenamed("h", key), key, "left")
+    done = with_struct(flagged, tmp, [col(text_col), F.col(out).base, F.col(own_terms)], finish, result).select(*keep, F.col(tmp).alias(out))
     none = F.array().cast(T.ArrayType(SPAN))
     rest = marked.where(~has).select(*keep, F.struct(none.alias("base"), none.alias("terms"), col(text_col).alias("text"), F.lit(False).alias("changed")).alias(out))
     return done.unionByName(rest)
