@@ -176,15 +176,16 @@ def _links(pairs: DataFrame, texts: DataFrame, weigh: str, s: Scratch) -> DataFr
 
 def _masses(weigh: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """(node, label, text) with its shingles and the share of each in the text's weight."""
+        """(node, label, text) with its shingles, the share of each in the text's weight, and that weight."""
         for batch in batches:
-            hs, ps = [], []
+            hs, ps, total = [], [], []
             for text in batch.column("text").to_pylist():
                 h, n = shingles(words_of(text))
                 w = WEIGHTS[weigh](n)
                 hs.append(h.view(np.int64))
-                ps.append(w / w.sum() if len(w) else w)
-            yield pa.RecordBatch.from_arrays([batch.column("node"), batch.column("label"), _lists(hs), _lists(ps, np.float64)], names=["node", "label", "hs", "ps"])
+                total.append(float(w.sum()))
+                ps.append(w / total[-1] if len(w) else w)
+            yield pa.RecordBatch.from_arrays([batch.column("node"), batch.column("label"), pa.array(total, pa.float64()), _lists(hs), _lists(ps, np.float64)], names=["node", "label", "total", "hs", "ps"])
 
     return run
 
@@ -195,19 +196,23 @@ def prefix_pairs(nodes: DataFrame, s: Scratch, weigh: str, t: float = THRESHOLD)
     If the shingles that two texts share make up P of the weight of one and Q of the other's, their similarity is 1 / (1/P + 1/Q - 1)
     at most: a term is 1 / ((1-P)/p + (1-Q)/q + max(P/p, Q/q)) at most, p and q being the shares of its shingle, and that is concave
     and homogeneous in p and q, so the sum is largest where all are in proportion. Shingles are ordered by how many of these rows
-    have them, the rarest first; what is at and behind the first shingle that a pair shares bounds P and Q. So a text is known by
-    its shingles down to where t of its weight is left, and a meeting counts where both remainders allow t. Shingles that only
-    one label has can't join two and aren't shuffled on.
+    have them, the rarest first; what is at and behind the first shingle that a pair shares bounds P and Q, and so does the smaller
+    number of shingles there, as each of the others weighs 1 at least. So a text is known by its shingles down to where t of its
+    weight is left, and a meeting counts where the remainders allow t. Shingles that only one label has can't join two and aren't
+    shuffled on.
     """
-    lists = s.write(nodes.select("node", "label", "text").mapInArrow(_masses(weigh), "node long, label long, hs array<long>, ps array<double>"), "shingles")
-    each = lists.select("node", "label", F.explode(F.arrays_zip("hs", "ps")).alias("x")).select("node", "label", F.col("x.hs").alias("h"), F.col("x.ps").alias("p"))
+    lists = s.write(nodes.select("node", "label", "text").mapInArrow(_masses(weigh), "node long, label long, total double, hs array<long>, ps array<double>"), "shingles")
+    each = lists.select("node", "label", "total", F.size("hs").alias("n"), F.explode(F.arrays_zip("hs", "ps")).alias("x")).select("node", "label", "total", "n", F.col("x.hs").alias("h"), F.col("x.ps").alias("p"))
     df = s.write(each.groupBy("h").agg(F.count("*").alias("df"), F.min("label").alias("lo"), F.max("label").alias("hi")).where("df > 1"), "frequencies")
-    behind = F.sum("p").over(Window.partitionBy("node").orderBy(F.desc("df"), F.desc("h")).rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    shared = each.join(df, "h").withColumn("behind", behind)
-    prefix = s.write(shared.where((F.col("behind") >= t - 1e-9) & (F.col("lo") < F.col("hi"))).select("h", "node", "label", "behind"), "prefix")
-    x, y = (prefix.select("h", F.col("node").alias(k), F.col("label").alias(f"label_{k}"), F.col("behind").alias(f"behind_{k}")) for k in "ab")
-    enough = 1 / F.col("behind_a") + 1 / F.col("behind_b") - 1 <= 1 / t + 1e-9
-    return x.join(y, (x.h == y.h) & (F.col("label_a") < F.col("label_b")) & enough).select("a", "b")
+    from_here = Window.partitionBy("node").orderBy(F.desc("df"), F.desc("h")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    shared = each.join(df, "h").withColumns({"behind": F.sum("p").over(from_here), "m": F.count("*").over(from_here)})
+    prefix = s.write(shared.where((F.col("behind") >= t - 1e-9) & (F.col("lo") < F.col("hi"))).select("h", "node", "label", "total", "n", "behind", "m"), "prefix")
+    s.drop(lists, df)
+    x, y = (prefix.select("h", *(F.col(c).alias(f"{c}_{k}") for c in ("node", "label", "total", "n", "behind", "m"))) for k in "ab")
+    m = F.least("m_a", "m_b")
+    most = [F.least(F.col(f"behind_{k}"), 1 - (F.col(f"n_{k}") - m) / F.col(f"total_{k}")) for k in "ab"]
+    enough = (most[0] > 0) & (most[1] > 0) & (1 / most[0] + 1 / most[1] - 1 <= 1 / t + 1e-9)
+    return x.join(y, (x.h == y.h) & (F.col("label_a") < F.col("label_b")) & enough).select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
 
 
 def contract(labels: DataFrame, links: DataFrame, s: Scratch) -> DataFrame:
@@ -264,10 +269,10 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", out
     def split() -> tuple[DataFrame, DataFrame]:
         """Bucket rows with labels, and the buckets whose nodes are in different components."""
         rows = buckets.join(labels, "node")
-        return rows, rows.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("key")
+        return rows, s.write(rows.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("key"), "parted")
 
     for k in range(STAR_ROUNDS):
-        rows, _ = split()
+        rows = buckets.join(labels, "node")
         first = (-F.col("degree") if k == 0 else F.xxhash64("node", F.lit(k))).alias("p")
         centre = rows.join(degree, "node").groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.min(F.struct(first, F.col("node").alias("b"), F.col("label").alias("lb"))).alias("c")).where("lo < hi")
         centre = s.write(centre.select("key", "c.b", "c.lb"), "centre")

@@ -406,7 +406,7 @@ def test_prefix_join_leaves_no_link_out(spark, weigh):
     got = {(r.a, r.b) for r in near_dedup.prefix_pairs(df, Scratch(spark), weigh).collect()}
     sets = [weighed(t, weigh) for t in texts]
     linked = {(i, j) for j in range(len(sets)) for i in range(j) if probability_jaccard(sets[i], sets[j]) >= 0.8}
-    assert linked and linked <= got and len(got) < len(texts) * (len(texts) - 1) / 2
+    assert linked and linked <= got and len(got) < 3 * len(linked) + 200
 
 
 def test_components_of_a_chain(spark):
