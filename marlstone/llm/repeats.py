@@ -1,17 +1,19 @@
 """Removal of repeated passages with sharded Aho-Corasick automata.
 
-Confirming. Texts are dealt into buckets of bounded size. Each bucket sends the distinct 64-bit hashes of its windows (WINDOW
-consecutive words) to shards by their upper bits; a shard finds the hashes that come from two buckets or twice from one, and
-sends each bucket back those of its own that recur. A window in very many texts is one number per bucket, so no key is hot.
+Confirming. Texts are dealt into buckets of about equal size, row by row. A bucket sends the distinct 48-bit hashes of its windows
+(WINDOW consecutive words) to shards by their upper bits; a shard tells each bucket, by one bit a window, which of its hashes come
+from another bucket too or twice from its own. These are candidates. Of each the bucket sends 128 bits, two independent hashes of
+the window's words; what recurs in them is confirmed. A window in very many texts is one number a bucket, so no key is hot.
 
-Locating. In each bucket the first window of every recurring hash stands for it; runs of such windows are the bucket's recurring
+Locating. In each bucket the first window of every confirmed hash stands for it; runs of such windows are the bucket's recurring
 passages. Any window of a passage holds a whole block of BLOCK words that starts at a multiple of BLOCK, as WINDOW is 2 * BLOCK - 1, so
 the blocks of all passages are compiled into Aho-Corasick automata of bounded size (shards of the bucket's phrases), and all
 texts of the bucket are streamed through each. A hit fixes how text and passage lie against each other; both are compared word
 by word along it, and every common run of WINDOW words or more is covered.
 
-Texts are shuffled once, to their buckets; both passes read that shuffle. Hashes are 64 bits wide: two different windows are
-taken for one with a chance of 3e-20 for each pair of windows.
+Texts are shuffled once, to their buckets; the three passes read that shuffle. Within a bucket words themselves are compared. Across
+buckets two windows that differ are taken for one with a chance of 3e-39 for each pair: 4e-13 in all for 1.6e13 windows, which is
+what 100 TB hold.
 
 Defined results: null text has no words; texts shorter than a window are left whole; repeated rows are repeats of each other, so all
 their windows go; an empty table gives no rows. Removal is judged on the input, never on what is left.
@@ -19,55 +21,128 @@ their windows go; an empty table gives no rows. Removal is judged on the input,
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from .common import col, free_name, words_of
-from .near_dedup import mixed, word_hashes
+from .near_dedup import CACHE_WORDS, mixed, word_hashes
 
 WINDOW, BLOCK = 35, 18
 #: Bytes of text in a bucket and in a partition of the shuffle; bytes of window hashes in a shard; characters of an automaton.
 BUCKET, PARTITION, SHARD, AUTOMATON = 4 << 20, 16 << 20, 32 << 20, 1_000_000
 
-_BASE = 0x9E3779B97F4A7C15 | 1
-_POWERS: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+_BASES = (0x9E3779B97F4A7C15, 0xD1B54A32D192ED03)
+_POWERS: list[list[np.ndarray]] = [[np.ones(1, np.uint64), np.ones(1, np.uint64)] for _ in _BASES]
+_OTHER: dict[bytes, int] = {}
+_CANDIDATE = np.uint64(64 - 48)
 
 
-def _powers(n: int) -> list[np.ndarray]:
-    """Powers of the base and of its inverse, modulo 2 ** 64."""
-    if len(_POWERS[0]) < n:
-        m = max(n, 2 * len(_POWERS[0]))
-        for k, b in enumerate((_BASE, pow(_BASE, -1, 1 << 64))):
+def _powers(n: int, base: int) -> list[np.ndarray]:
+    """Powers of a base and of its inverse, modulo 2 ** 64."""
+    own = _POWERS[base]
+    if len(own[0]) < n:
+        m = max(n, 2 * len(own[0]))
+        for k, b in enumerate((_BASES[base], pow(_BASES[base], -1, 1 << 64))):
             factors = np.full(m, b, np.uint64)
             factors[0] = 1
-            _POWERS[k] = np.cumprod(factors, dtype=np.uint64)
-    return _POWERS
+            own[k] = np.cumprod(factors, dtype=np.uint64)
+    return own
 
 
-def window_hashes(h: np.ndarray, window: int = WINDOW) -> np.ndarray:
+def window_hashes(h: np.ndarray, window: int = WINDOW, base: int = 0) -> np.ndarray:
     """A hash of each run of window words, from word hashes, by differences of a running sum."""
     n = len(h)
     if n < window:
         return np.zeros(0, np.uint64)
-    up, down = _powers(n + 1)
+    up, down = _powers(n + 1, base)
     run = np.concatenate([np.zeros(1, np.uint64), np.cumsum(h * up[:n], dtype=np.uint64)])
     return mixed((run[window:] - run[: n - window + 1]) * down[: n - window + 1])
 
 
-def _pack(h: np.ndarray) -> bytes:
-    """Sorted hashes as byte planes: the upper planes of neighbours are alike and compress."""
-    return h.astype(">u8").view(np.uint8).reshape(len(h), 8).T.tobytes()
+def other_hashes(words: list[bytes]) -> np.ndarray:
+    """A second hash of each word, independent of the first."""
+    if len(_OTHER) > CACHE_WORDS:
+        _OTHER.clear()
+    for w in set(words).difference(_OTHER):
+        _OTHER[w] = xxhash.xxh3_64_intdigest(w, 1)
+    return np.fromiter(map(_OTHER.__getitem__, words), np.uint64, len(words))
 
 
-def _unpack(b: bytes) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(b, np.uint8).reshape(8, -1).T).view(">u8").ravel().astype(np.uint64)
+def _pack(h: np.ndarray, width: int = 8) -> bytes:
+    """The upper bytes of sorted numbers as byte planes: the upper planes of neighbours are alike and compress."""
+    return np.ascontiguousarray(h.astype(">u8").view(np.uint8).reshape(len(h), 8).T[:width]).tobytes()
+
+
+def _unpack(b: bytes, width: int = 8) -> np.ndarray:
+    planes = np.zeros((8, len(b) // width), np.uint8)
+    planes[:width] = np.frombuffer(b, np.uint8).reshape(width, -1)
+    return np.ascontiguousarray(planes.T).view(">u8").ravel().astype(np.uint64)
+
+
+def _bits(b: bytes, n: int) -> np.ndarray:
+    return np.unpackbits(np.frombuffer(b, np.uint8), count=n).astype(bool)
+
+
+def _has(sorted_: np.ndarray, x: np.ndarray) -> np.ndarray:
+    """Which numbers of x a sorted array has."""
+    return sorted_[np.minimum(np.searchsorted(sorted_, x), len(sorted_) - 1)] == x if len(sorted_) else np.zeros(len(x), bool)
+
+
+class Windows:
+    """The windows of a bucket's texts."""
+
+    def __init__(self, texts: list[str | None], window: int):
+        self.window = window
+        self.words = [words_of(t) for t in texts]
+        flat = [window_hashes(word_hashes(w), window) for w in self.words]
+        self.offsets = np.concatenate([[0], np.cumsum([len(x) for x in flat])]).astype(np.int64)
+        self.h = np.concatenate(flat) if flat else np.zeros(0, np.uint64)
+
+    def short(self) -> tuple[np.ndarray, np.ndarray]:
+        """Distinct 48-bit hashes, sorted, and their counts."""
+        return np.unique(self.h >> _CANDIDATE, return_counts=True)
+
+    def second(self, at: np.ndarray) -> np.ndarray:
+        """The other hash of the windows at these places (sorted); only texts that have some are hashed."""
+        out, pos = np.zeros(len(at), np.uint64), 0
+        text = np.searchsorted(self.offsets, at, side="right") - 1
+        for t in np.unique(text).tolist():
+            end = int(np.searchsorted(text, t, side="right"))
+            out[pos:end] = window_hashes(other_hashes(self.words[t]), self.window, 1)[at[pos:end] - self.offsets[t]]
+            pos = end
+        return out
+
+    def pairs(self, candidates: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Both hashes of the distinct windows whose 48-bit hash is a candidate, sorted, and their counts."""
+        at = np.flatnonzero(_has(candidates, self.h >> _CANDIDATE))
+        return distinct_pairs(self.h[at], self.second(at))
+
+
+def distinct_pairs(h: np.ndarray, g: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    order = np.lexsort((g, h))
+    h, g = h[order], g[order]
+    first = np.flatnonzero(np.concatenate([[True], (h[1:] != h[:-1]) | (g[1:] != g[:-1])])) if len(h) else np.zeros(0, np.int64)
+    return h[first], g[first], np.diff(np.append(first, len(h)))
+
+
+def recurring(keys: list[list[np.ndarray]], more: list[np.ndarray]) -> list[np.ndarray]:
+    """Which elements recur: another part has them too, or they are marked in their part's `more`. Parts have no repeats; an element is one value of each key."""
+    flat = [np.concatenate(k) for k in keys]
+    order = np.lexsort(flat[::-1])
+    same = np.logical_and.reduce([k[order][1:] == k[order][:-1] for k in flat])
+    yes = np.concatenate(more)
+    yes[order[1:]] |= same
+    yes[order[:-1]] |= same
+    return np.split(yes, np.cumsum([len(x) for x in more])[:-1])
 
 
 def automata(passages: list[list[bytes]], block: int = BLOCK, most: int = AUTOMATON) -> Iterator[ahocorasick.Automaton]:
@@ -96,8 +171,11 @@ def automata(passages: list[list[bytes]], block: int = BLOCK, most: int = AUTOMA
         yield compiled()
 
 
-def covered_by(texts: list[list[bytes]], hashes: list[np.ndarray], passages: list[tuple[int, int, int]], window: int = WINDOW, block: int = BLOCK) -> list[np.ndarray]:
+def covered_by(texts: list[list[bytes]], passages: list[tuple[int, int, int]], window: int = WINDOW, block: int = BLOCK) -> list[np.ndarray]:
     """Of each text, which words lie in a window that a passage (text, start, end) has."""
+    ids: dict[bytes, int] = {}
+    new = itertools.count()
+    spelled = [np.fromiter(map(ids.setdefault, w, new), np.int64, len(w)) for w in texts]
     covered = [np.zeros(len(w), bool) for w in texts]
     joined = [" " + b" ".join(w).decode("utf-8", "surrogatepass") + " " if len(w) >= window else "" for w in texts]
     starts = [np.cumsum([1, *(len(x) + 1 for x in s[1:-1].split(" ")[:-1])]) if s else None for s in joined]
@@ -120,34 +198,53 @@ def covered_by(texts: list[list[bytes]], hashes: list[np.ndarray], passages: lis
                     t, s, e = passages[p]
                     lo, hi = max(0, shift), min(len(texts[d]), shift + e - s)
                     done[p, shift] = hi
-                    differ = np.flatnonzero(hashes[d][lo:hi] != hashes[t][s + lo - shift : s + hi - shift])
+                    differ = np.flatnonzero(spelled[d][lo:hi] != spelled[t][s + lo - shift : s + hi - shift])
                     cuts = np.concatenate([[-1], differ, [hi - lo]])
                     for g in np.flatnonzero(np.diff(cuts) > window):
                         covered[d][lo + cuts[g] + 1 : lo + cuts[g + 1]] = True
     return covered
 
 
-def removed_words(texts: list[list[bytes]], recurring: np.ndarray, window: int = WINDOW, block: int = BLOCK) -> list[np.ndarray]:
-    """Of each text of a bucket, the words in windows whose hash (sorted array) recurs."""
-    hashes = [word_hashes(w) for w in texts]
-    flat = [window_hashes(h, window) for h in hashes]
-    offsets = np.concatenate([[0], np.cumsum([len(x) for x in flat])])
-    every = np.concatenate(flat) if flat else np.zeros(0, np.uint64)
-    if not len(recurring) or not len(every):
+def removed_words(own: Windows, h: np.ndarray, g: np.ndarray, block: int = BLOCK) -> list[np.ndarray]:
+    """Of each text of a bucket, the words in windows that are confirmed (sorted first hashes, with the second)."""
+    texts, window = own.words, own.window
+    mine = np.flatnonzero(_has(h, own.h))
+    if not len(mine):
         return [np.zeros(len(w), bool) for w in texts]
-    at = np.minimum(np.searchsorted(recurring, every), len(recurring) - 1)
-    mine = np.flatnonzero(recurring[at] == every)
-    _, first = np.unique(every[mine], return_index=True)
+    # of one first hash there may be several second ones
+    mine = mine[_has_pair(h, g, own.h[mine], own.second(mine))]
+    _, first = np.unique(own.h[mine], return_index=True)
     first = np.sort(mine[first])
-    text = np.searchsorted(offsets, first, side="right") - 1
+    text = np.searchsorted(own.offsets, first, side="right") - 1
     breaks = np.flatnonzero((np.diff(first) != 1) | (np.diff(text) != 0)) + 1
     passages = []
     for run in np.split(np.arange(len(first)), breaks):
         if len(run):
             t = int(text[run[0]])
-            s = int(first[run[0]] - offsets[t])
+            s = int(first[run[0]] - own.offsets[t])
             passages.append((t, s, s + len(run) - 1 + window))
-    return covered_by(texts, hashes, passages, window, block)
+    return covered_by(texts, passages, window, block)
+
+
+def _has_pair(h: np.ndarray, g: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Which pairs (x, y) are among the sorted pairs (h, g): a run of one h is looked through step by step."""
+    at = np.searchsorted(h, x)
+    out = np.zeros(len(x), bool)
+    step = 0
+    while True:
+        k = np.minimum(at + step, len(h) - 1)
+        same = (at + step < len(h)) & (h[k] == x)
+        if not same.any():
+            return out
+        out |= same & (g[k] == y)
+        step += 1
+
+
+#: What buckets send to shards and get back.
+SENT = {"shard": pa.int64(), "bucket": pa.int64(), "hashes": pa.binary(), "more": pa.binary()}
+FOUND = {"bucket": pa.int64(), "shard": pa.int64(), "found": pa.binary()}
+PAIRS = {"shard": pa.int64(), "bucket": pa.int64(), "first": pa.binary(), "second": pa.binary(), "more": pa.binary()}
+KNOWN = {"bucket": pa.int64(), "first": pa.binary(), "second": pa.binary()}
 
 
 def remove(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", out: str = "repeats", bucket_bytes: int = BUCKET, window: int = WINDOW) -> DataFrame:
@@ -157,31 +254,47 @@ def remove(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", out:
     block = (window + 1) // 2
     size = docs.agg(F.coalesce(F.sum(F.octet_length(col(text_col))), F.lit(0)).alias("n")).first().n
     n_buckets = max(1, -(-size // bucket_bytes))
-    shard_bits = max(0, int(size * 8 // 6 // SHARD).bit_length())
-    dealt = docs.withColumn(bucket, F.pmod(F.xxhash64(col(id_col), col(text_col)), F.lit(n_buckets))).repartition(max(1, -(-size // PARTITION)), bucket)
+    shard_bits = max(0, int(size // SHARD).bit_length())
+    # by row, so that equal rows don't meet in one bucket
+    dealt = docs.withColumn(bucket, F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(n_buckets))).repartition(max(1, -(-size // PARTITION)), bucket)
     ti, n_columns = docs.columns.index(text_col), len(docs.columns)
+    windows_of = lambda table: Windows([t.as_py() for t in table.column(ti)], window)
+
+    def cut(h: np.ndarray, bits: int) -> Iterator[tuple[int, slice]]:
+        """The parts of sorted hashes of so many bits that go to each shard."""
+        ends = np.searchsorted(h >> np.uint64(bits - shard_bits), np.arange(1 << shard_bits), side="right").tolist() if shard_bits else [len(h)]
+        return ((i, slice(a, b)) for i, (a, b) in enumerate(itertools.pairwise([0, *ends])) if b > a)
+
+    def rows(kind: dict[str, pa.DataType], made: list[tuple]) -> pa.Table:
+        return pa.table({name: pa.array([r[i] for r in made], t) for i, (name, t) in enumerate(kind.items())})
 
     def sent(table: pa.Table) -> pa.Table:
-        hs = [window_hashes(word_hashes(words_of(t.as_py())), window) for t in table.column(ti)]
-        h, n = np.unique(np.concatenate(hs) if hs else np.zeros(0, np.uint64), return_counts=True)
-        ends = np.searchsorted(h >> np.uint64(64 - shard_bits), np.arange(1 << shard_bits), side="right") if shard_bits else np.array([len(h)])
-        rows, a = [], 0
-        for shard, b in enumerate(ends.tolist()):
-            if b > a:
-                rows.append((shard, _pack(h[a:b]), _pack(h[a:b][n[a:b] > 1])))
-            a = b
+        h, n = windows_of(table).short()
         where = table.column(n_columns)[0].as_py()
-        return pa.table({"shard": pa.array([r[0] for r in rows], pa.int64()), "bucket": pa.array([where] * len(rows), pa.int64()), "once": pa.array([r[1] for r in rows], pa.binary()), "more": pa.array([r[2] for r in rows], pa.binary())})
+        return rows(SENT, [(shard, where, _pack(h[part] << _CANDIDATE, 6), np.packbits(n[part] > 1).tobytes()) for shard, part in cut(h, 48)])
+
+    def candidates(table: pa.Table) -> pa.Table:
+        parts = [_unpack(b.as_py(), 6) for b in table.column("hashes")]
+        more = [_bits(b.as_py(), len(x)) for b, x in zip(table.column("more"), parts)]
+        found = [np.packbits(x).tobytes() for x in recurring([parts], more)]
+        return rows(FOUND, list(zip(table.column("bucket").to_pylist(), table.column("shard").to_pylist(), found)))
+
+    def asked(texts: pa.Table, known: pa.Table) -> pa.Table:
+        if not texts.num_rows:
+            return rows(PAIRS, [])
+        own = windows_of(texts)
+        h, _ = own.short()
+        bits = dict(zip(known.column("shard").to_pylist(), known.column("found").to_pylist()))
+        yes = np.concatenate([np.zeros(0, bool), *(_bits(bits[shard], part.stop - part.start) for shard, part in cut(h, 48))])
+        h, g, n = own.pairs(h[yes])
+        where = texts.column(n_columns)[0].as_py()
+        return rows(PAIRS, [(shard, where, _pack(h[part]), _pack(g[part]), np.packbits(n[part] > 1).tobytes()) for shard, part in cut(h, 64)])
 
     def confirmed(table: pa.Table) -> pa.Table:
-        buckets = table.column("bucket").to_pylist()
-        parts = [_unpack(b.as_py()) for b in table.column("once")]
-        more = [_unpack(b.as_py()) for b in table.column("more")]
-        h = np.sort(np.concatenate(parts))
-        again = np.unique(np.concatenate([h[1:][h[1:] == h[:-1]], *more]))
-        back = [np.intersect1d(x, again, assume_unique=True) for x in parts]
-        keep = [i for i, x in enumerate(back) if len(x)]
-        return pa.table({"bucket": pa.array([buckets[i] for i in keep], pa.int64()), "hashes": pa.array([_pack(back[i]) for i in keep], pa.binary())})
+        hs, gs = ([_unpack(b.as_py()) for b in table.column(c)] for c in ("first", "second"))
+        more = [_bits(b.as_py(), len(x)) for b, x in zip(table.column("more"), hs)]
+        made = zip(table.column("bucket").to_pylist(), hs, gs, recurring([hs, gs], more))
+        return rows(KNOWN, [(where, _pack(h[yes]), _pack(g[yes])) for where, h, g, yes in made if yes.any()])
 
     schema = T.StructType([*docs.schema.fields, T.StructField(out, T.StructType([
         T.StructField("n_words", T.LongType()), T.StructField("spans", T.ArrayType(T.StructType([T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())]))), T.StructField("kept", T.StringType())]))])
@@ -190,10 +303,11 @@ def remove(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", out:
     def located(texts: pa.Table, known: pa.Table) -> pa.Table:
         if not texts.num_rows:
             return pa.Table.from_arrays([pa.array([], t) for t in arrow.types], schema=arrow)
-        words = [words_of(t.as_py()) for t in texts.column(ti)]
-        recurring = np.sort(np.concatenate([np.zeros(0, np.uint64), *(_unpack(b.as_py()) for b in known.column("hashes"))]))
+        own = windows_of(texts)
+        h, g = (np.concatenate([np.zeros(0, np.uint64), *(_unpack(b.as_py()) for b in known.column(c))]) for c in ("first", "second"))
+        order = np.lexsort((g, h))
         made = []
-        for w, gone in zip(words, removed_words(words, recurring, window, block)):
+        for w, gone in zip(own.words, removed_words(own, h[order], g[order], block)):
             edge = np.flatnonzero(np.diff(np.concatenate([[False], gone, [False]]).astype(np.int8))).tolist()
             spans = list(zip(edge[::2], edge[1::2]))
             kept, pos = [], 0
@@ -203,7 +317,9 @@ def remove(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", out:
             made.append({"n_words": len(w), "spans": [{"start": a, "end": b} for a, b in spans], "kept": b" ".join(kept).decode("utf-8", "surrogatepass")})
         return pa.Table.from_arrays([*(c.cast(t) for c, t in zip(texts.columns[:n_columns], arrow.types)), pa.array(made, arrow.types[-1])], schema=arrow)
 
-    # all columns go along here too: both passes then have one and the same exchange, which is written once and reused
-    windows = dealt.groupBy(bucket).applyInArrow(sent, "shard long, bucket long, once binary, more binary")
-    known = windows.groupBy("shard").applyInArrow(confirmed, "bucket long, hashes binary")
+    # all columns go along here too: the passes then have one and the same exchange, which is written once and reused
+    spelled = lambda kind: ", ".join(f"{n} {'binary' if t == pa.binary() else 'long'}" for n, t in kind.items())
+    found = dealt.groupBy(bucket).applyInArrow(sent, spelled(SENT)).groupBy("shard").applyInArrow(candidates, spelled(FOUND))
+    pairs = dealt.groupBy(bucket).cogroup(found.groupBy("bucket")).applyInArrow(asked, spelled(PAIRS))
+    known = pairs.groupBy("shard").applyInArrow(confirmed, spelled(KNOWN))
     return dealt.groupBy(bucket).cogroup(known.groupBy("bucket")).applyInArrow(located, schema)

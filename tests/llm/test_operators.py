@@ -442,6 +442,36 @@ def test_repeats_match_brute_force(spark, bucket_bytes):
     assert repeats.remove(empty(spark)).count() == 0
 
 
+def test_repeats_of_equal_rows_and_null_ids(spark):
+    r = random.Random(14)
+    texts = [prose(r, 50, 10**6)] * 30 + [prose(r, 50, 10**6), None]
+    docs = spark.createDataFrame([(None if i % 2 else 7, t, i, "x") for i, t in enumerate(texts)], "doc_id long, text string, shard int, repeats string")
+    got = repeats.remove(docs, bucket_bytes=500).orderBy("shard").collect()
+    assert [x.repeats_.kept for x in got] == kept_by_hand(texts, 35) and [x.shard for x in got] == list(range(32))
+    assert {x.repeats_.n_words for x in got} == {50, 0}
+
+
+def test_confirmation_by_pairs_of_hashes():
+    import numpy as np
+
+    r = np.random.default_rng(15)
+    u = lambda a: np.array(a, dtype=np.uint64)
+    for _ in range(200):
+        parts = [sorted({tuple(x) for x in r.integers(0, 4, (r.integers(1, 9), 2)).tolist()}) for _ in range(3)]
+        more = [r.random(len(p)) < 0.2 for p in parts]
+        hs, gs = ([u([x[k] for x in p]) for p in parts] for k in (0, 1))
+        got = repeats.recurring([hs, gs], [m.copy() for m in more])
+        want = [[m or sum(x in q for q in parts) > 1 for x, m in zip(p, ms)] for p, ms in zip(parts, more)]
+        assert [g.tolist() for g in got] == want
+        x, y = u(r.integers(0, 5, 6)), u(r.integers(0, 5, 6))
+        assert repeats._has_pair(hs[0], gs[0], x, y).tolist() == [(a, b) in parts[0] for a, b in zip(x.tolist(), y.tolist())]
+        h, g, n = repeats.distinct_pairs(x, y)
+        assert Counter(zip(x.tolist(), y.tolist())) == Counter(dict(zip(zip(h.tolist(), g.tolist()), n.tolist())))
+    for width in (6, 8):
+        h = np.sort(r.integers(0, 2**48, 50).astype(np.uint64)) << np.uint64(16)
+        assert (repeats._unpack(repeats._pack(h, width), width) == h).all()
+
+
 # chat
 
 
