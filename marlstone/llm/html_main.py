@@ -28,26 +28,27 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from .common import col, free_name, with_struct
+from .markup import END, RAW, TEXT, VOID, events
 
 # Tags of HTML by how they are parsed (fixed values).
-VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style textarea title noscript template iframe svg math".split())
 INLINE = frozenset("a abbr b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr".split())
+#: Formulas are part of the sentence they stand in.
+INLINE |= frozenset("math maction menclose merror mfenced mfrac mi mmultiscripts mn mo mover mpadded mphantom mroot mrow ms mspace msqrt mstyle msub msubsup msup mtable mtd mtext mtr munder munderover semantics".split())
 ENDS_P = frozenset("address article aside blockquote center details dialog dd div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr li main menu nav ol p pre section summary table ul".split())
-SKIPPED = frozenset("script style noscript template iframe svg math head textarea select option button title".split())
 SAME_ENDS = {"li": frozenset(["li"]), "dt": frozenset(["dt", "dd"]), "dd": frozenset(["dt", "dd"]), "tr": frozenset(["tr", "td", "th"]), "td": frozenset(["td", "th"]), "th": frozenset(["td", "th"]), "option": frozenset(["option"])}
 SCOPE = {"li": frozenset(["ul", "ol", "menu"]), "dt": frozenset(["dl"]), "dd": frozenset(["dl"]), "tr": frozenset(["table", "tbody", "thead"]), "td": frozenset(["tr", "table"]), "th": frozenset(["tr", "table"]), "option": frozenset(["select"])}
 # Tokens of class, id and role that speak for or against an article (fixed values).
 GOOD = frozenset("article articlebody body content copy entry main maincontent page post postbody prose story text".split())
-BAD = frozenset("ad ads adslot advert advertisement alert author banner bar billboard bottom breadcrumb breadcrumbs byline comment comments community consent contact cookie cookies copyright disclaimer discussion disqus dropdown footer footnav form gdpr header hero legal links login masthead menu meta modal nav navbar navigation newsletter notice pager pagination pagehead paywall popup promo promoted reader readers recommended related replies reply respond rss search share sharing shoutbox sidebar sidebars sidenav signup site siteheader sitefooter skip social sponsor sponsored subscribe tag tags teaser toolbar top topbar tracking widget widgets".split())
+BAD = frozenset("ad ads adslot advert advertisement alert author banner bar billboard bottom breadcrumb breadcrumbs byline comment comments community consent contact cookie cookies copyright disclaimer discussion disqus dropdown footer footnav form gdpr header hero legal links login masthead menu meta modal nav navbar navigation newsletter notice pager pagination pagehead paywall popup promo promoted reader readers recommended related replies reply respond rss search share sharing shoutbox sidebar sidebars sidenav signup site siteheader sitefooter skip social sponsor sponsored subscribe tag tags teaser toolbar top topbar tracking widget widgets colophon".split())
+#: What a compound name may start with; the rest of it is looked up as well.
+PLACES = ("left", "right", "top", "bottom", "site", "page", "main", "side", "upper", "lower", "header", "footer")
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:\"[^\"]*\"|'[^']*'|[^\"'>])*)(?:>|\Z)", re.S)
 _ATTRS = re.compile(r"\b(?:class|id|role|itemprop)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _HIDE = re.compile(r"(?:^|\s)hidden(?:\s|=|$)|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.I)
 _NAME = re.compile(r"[a-z]+|[A-Z][a-z]*")
 
-TAGS = {t: i for i, t in enumerate("? body main article section div p h1 h2 h3 blockquote pre ul ol li table td figure aside nav header footer form dl dd address fieldset details".split())}
-BAD_TAGS = frozenset("nav aside footer header form fieldset menu dialog address".split())
+TAGS = {t: i for i, t in enumerate("? body main article section div p h1 h2 h3 blockquote pre ul ol li table td figure aside nav header footer form dl dd address fieldset details button select option".split())}
+BAD_TAGS = frozenset("nav aside footer header form fieldset menu dialog address button select option".split())
 FEATURES = ("tag", "depth", "chars", "link_share", "density", "good", "bad", "over_good", "over_bad", "over_bad_tag", "over_article", "n_siblings", "place", "same_tag_siblings", "share_of_parent", "words_per_block", "stops", "p_children", "bad_tag")
 
 
@@ -73,9 +74,10 @@ def _named(attrs: str) -> tuple[int, int, bool]:
         return got
     good = bad = 0
     for m in _ATTRS.finditer(attrs):
-        for t in _NAME.findall(m[1] or m[2] or m[3] or ""):
-            good += t.lower() in GOOD
-            bad += t.lower() in BAD
+        for t in map(str.lower, _NAME.findall(m[1] or m[2] or m[3] or "")):
+            rest = next((t[len(p) :] for p in PLACES if t.startswith(p)), "")
+            good += t in GOOD or t not in BAD and rest in GOOD
+            bad += t in BAD or t not in GOOD and rest in BAD
     if len(_NAMED) > 100_000:
         _NAMED.clear()
     return _NAMED.setdefault(attrs, (good, bad, bool(_HIDE.search(attrs))))
@@ -84,8 +86,7 @@ def _named(attrs: str) -> tuple[int, int, bool]:
 def parse(page: str) -> Node:
     """The tree of block elements; inline elements only leave their text, links are counted; text outside all of them gets a body."""
     root = node = Node("?", None)
-    pos, size, in_link = 0, len(page), 0
-    find = _TOKEN.search
+    in_link = 0
 
     def text(raw: str) -> None:
         at = node
@@ -100,19 +101,13 @@ def parse(page: str) -> Node:
             if in_link:
                 at.linked += len(raw)
 
-    while pos < size:
-        m = find(page, pos)
-        if not m:
-            text(page[pos:])
-            break
-        if m.start() > pos:
-            text(page[pos : m.start()])
-        pos = m.end()
-        tag = m[2]
-        if not tag:
+    for kind, tag, attrs, raw in events(page):
+        if kind is TEXT:
+            text(raw)
             continue
-        tag = tag.lower()
-        if m[1]:
+        if kind is RAW:
+            continue
+        if kind is END:
             if tag == "a":
                 in_link = 0
             elif tag in INLINE or tag in VOID:
@@ -130,18 +125,7 @@ def parse(page: str) -> Node:
         if tag == "br":
             text(" ")
             continue
-        if tag in VOID or tag in INLINE:
-            continue
-        attrs = m[3]
-        if tag in RAW or tag in SKIPPED:
-            if not attrs.endswith("/"):
-                end = re.compile(rf"</{tag}\s*>", re.I).search(page, pos) if tag != "head" else None
-                if end:
-                    pos = end.end()
-                elif tag in RAW:
-                    pos = size
-            continue
-        if tag in ("html", "tbody", "thead"):
+        if tag in VOID or tag in INLINE or tag in ("html", "head", "tbody", "thead"):
             continue
         if tag in ENDS_P:
             at = node
@@ -371,7 +355,8 @@ def _article(r: random.Random) -> list[str]:
     """Blocks of an article, every text block with the mark that makes it content."""
     blocks = []
     if r.random() < 0.8:
-        blocks.append(f"<h1>\x01{_prose(r, r.randint(1, 12), False)}</h1>")
+        head = f"<h1>\x01{_prose(r, r.randint(1, 12), False)}</h1>"
+        blocks.append(f"<header>{head}</header>" if r.random() < 0.15 else head)
     closed = r.random() < 0.7
     for _ in range(r.choice([1, 1, 2, 3, 5, 8, 14, 25])):
         kind = r.random()
@@ -427,15 +412,36 @@ def _furniture(r: random.Random, where: str) -> str:
     return kinds[pick(by[where].split())]()
 
 
+def _table_page(r: random.Random, inner: str) -> str:
+    """A page laid out as a table: a name above, links on one or both sides, a line below."""
+    links = lambda n: r.choice(["<br>", " ", ""]).join(f'<a href="/{i}">{_prose(r, r.randint(1, 2), False)}</a>' for i in range(n))
+    cell = lambda names, body: f'<td{r.choice(["", "", f" class={r.choice(names)}"])}>{body}</td>'
+    left, right = (cell(names, links(r.randint(2, 9))) if r.random() < p else "" for names, p in ((("leftmenu", "nav"), 0.9), (("rightads", "sidebar"), 0.5)))
+    top, low = f"<font size=5>{_prose(r, r.randint(1, 3), False)}</font>", f"<font size=1>{_prose(r, r.randint(3, 9))}</font>"
+    return f'<table><tr><td colspan=3>{top}</td></tr><tr>{left}{cell(("story", "content", "main"), inner)}{right}</tr><tr><td colspan=3>{low}</td></tr></table>'
+
+
+def _bare_page(r: random.Random) -> str:
+    """Text with hardly any markup: runs of it, a bold word, perhaps a paragraph."""
+    run = lambda: r.choice(["\x01{}", "\x01{}", "\x01<b>{}</b>"]).format(_prose(r, r.choice([2, 4, 9, 30]), r.random() < 0.7)) + r.choice(["", "<br>", " "])
+    page = "".join(f"<p>\x01{_prose(r, r.choice([3, 8, 30]))}</p>" if r.random() < 0.3 else run() for _ in range(r.randint(1, 5)))
+    return r.choice(["{}", "<body>{}</body>", "<html><head><title>t</title></head>{}", "<body>{}</body>\x01tail text"]).format(page)
+
+
 def training_page(r: random.Random) -> str:
     """A page whose content text starts with \\x01 in each block."""
+    if r.random() < 0.08:
+        return _bare_page(r)
     blocks = _article(r)
     for _ in range(r.choice([0, 0, 0, 1, 2])):
         blocks.insert(r.randint(0, len(blocks)), _furniture(r, "in"))
     inner = "".join(blocks)
     wrap = r.choice(["<article>{}</article>"] * 3 + ["<main>{}</main>", "<main><article>{}</article></main>", '<div class="content">{}</div>', '<div id="main"><div class="post-body">{}</div></div>', '<div class="article-text">{}</div>', '<div><div class="story">{}</div></div>', '<article class="post"><div class="entry-content">{}</div></article>', "<div>{}</div>"])
     put = lambda where, most: "".join(_furniture(r, where) for _ in range(r.randint(0, most)))
-    page = put("top", 4) + put("side", 1) + wrap.format(inner) + put("side", 2) + put("end", 3)
+    if r.random() < 0.12:
+        page = _table_page(r, inner)
+    else:
+        page = put("top", 4) + put("side", 1) + wrap.format(inner) + put("side", 2) + put("end", 3)
     if r.random() < 0.3:
         page = f'<div class="{r.choice(["wrapper", "page", "container", "layout"])}">{page}</div>'
     head = f"<!DOCTYPE html><html lang=en><head><meta charset=utf-8><title>{_prose(r, 5, False)}</title><style>p{{margin:0}}</style></head><body>"

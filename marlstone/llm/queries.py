@@ -98,9 +98,10 @@ FROM norm LEFT JOIN cov USING (r) LEFT JOIN its USING (r)
 """
 
 def op1_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
-    records = warc.derive(table(spark, sf_dir, "pages"), "page_id", "html", "url")
+    responses = warc.responses(table(spark, sf_dir, "pages"), "page_id", "html", "url")
+    records = warc.derive(responses, "key", "payload", "target_uri", "record_id", "warc_date", "headers")
     chars = F.when(F.col("warc_type") == "conversion", F.length(F.decode("block", "UTF-8"))).cast("long")
-    return records.select(F.col("key").alias("page_id"), "warc_type", "record_id", "refers_to", "target_uri", "content_type", "content_length", "block_digest", "source_digest", chars.alias("text_chars"))
+    return records.select(F.col("key").alias("page_id"), "warc_type", "record_id", "refers_to", "target_uri", "warc_date", "content_type", "content_length", "block_digest", "source_digest", chars.alias("text_chars"))
 
 
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

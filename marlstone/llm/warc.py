@@ -6,8 +6,9 @@ metadata record also keeps the digests and the HTTP headers of the source. Recor
 rerun gives the same records. All work is row by row.
 
 Defined results: null or empty payloads give an empty text and still both records; a null URI leaves the header out; a
-response without record id gets one made of its key, URI and payload; repeated rows give repeated records; markup that is
-never closed is read up to the end, but for a head: it ends at the first thing that can't stand in it.
+response without record id gets one made of its key, URI and payload, one without date UNDATED; repeated rows give repeated
+records; markup that is never closed is read up to the end, scripts and the like in a head up to the head's end; text that
+stands in a head by mistake is visible, as in browsers.
 """
 
 from __future__ import annotations
@@ -27,6 +28,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from .common import col
+from .markup import RAW, RAW_TAGS, START, TEXT, attributes, events
 
 RECORDS = T.StructType([
     T.StructField("warc_type", T.StringType()), T.StructField("record_id", T.StringType()), T.StructField("refers_to", T.StringType()),
@@ -34,20 +36,16 @@ RECORDS = T.StructType([
     T.StructField("block_digest", T.StringType()), T.StructField("source_digest", T.StringType()), T.StructField("content_length", T.LongType()), T.StructField("block", T.BinaryType()),
 ])
 
-_VOID_IN_HEAD = "base|basefont|bgsound|link|meta"
-_IN_HEAD = "|".join([r"<!--.*?(?:-->|\Z)", *(rf"<{t}\b[^>]*>(?:.*?</{t}\s*>|.*?(?=</head\s*>)|.*)" for t in ("title", "script", "style", "template", "noscript"))])
-#: The first tag that can't stand in a head.
-_ENDS_HEAD = rf"</(?:head|body|html)\b|<(?!(?:{_VOID_IN_HEAD}|title|script|style|template|noscript)\b)[a-z]"
-#: A head with its end tag before such an element; any other ends there, or at its first bare text.
-_HEAD = rf"<head\b[^>]*>(?:(?:[^<]++|{_IN_HEAD}|(?!{_ENDS_HEAD})<)*+</head\s*>|(?:\s++|{_IN_HEAD}|<(?:{_VOID_IN_HEAD})\b[^>]*>)*+)"
-_HIDDEN = re.compile(rf"<!--.*?(?:-->|\Z)|<(script|style|template|noscript)\b[^>]*>.*?(?:</\1\s*>|\Z)|{_HEAD}", re.S | re.I)
-_BLOCK = re.compile(r"</?(?:p|div|h[1-6]|li|ul|ol|dl|dt|dd|br|hr|table|tr|td|th|section|article|aside|nav|header|footer|main|form|blockquote|pre|figure|figcaption|title|body|html|option|address)\b[^>]*>", re.I)
-_TAG = re.compile(r"<[/!?a-zA-Z][^>]*>?")
-_BLANKS = re.compile(r"[ \t\r\f\v\xa0]+")
+# Elements that end a line, and attributes that link to other resources (fixed values).
+BLOCKS = frozenset("p div h1 h2 h3 h4 h5 h6 li ul ol dl dt dd br hr table tr td th section article aside nav header footer main form blockquote pre figure figcaption title body html option address".split())
+LINKS = {"a": "href", "area": "href", "link": "href", "img": "src", "script": "src", "iframe": "src", "source": "src", "video": "src", "audio": "src", "embed": "src"}
+_SPACES = re.compile(r"[ \t\r\f\v\xa0]+")
 _LINES = re.compile(r" ?\n[\n ]*")
-_TITLE = re.compile(r"<title\b[^>]*>(.*?)(?:</title|\Z)", re.S | re.I)
-_LANG = re.compile(r"<html\b[^>]*?\blang\s*=\s*[\"']?([A-Za-z-]+)", re.I)
-_LINK = re.compile(r"<(a|img|link|script|iframe)\b[^>]*?\b(href|src)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+
+_BREAKS = re.compile(r"[\r\n]+[ \t]*")
+
+#: The capture time that records get whose source has none: WARC-Date is mandatory.
+UNDATED = "1970-01-01T00:00:00Z"
 
 
 def digest(block: bytes) -> str:
@@ -59,39 +57,71 @@ def urn(*parts: str) -> str:
     return f"<urn:uuid:{h[:8]}-{h[8:12]}-8{h[13:16]}-a{h[17:20]}-{h[20:32]}>"
 
 
+def read(page: str) -> tuple[str, list[tuple[str, str]]]:
+    """All visible text, one line per block, and the fields title, lang and outlink; one pass over the page's events."""
+    out: list[str] = []
+    title = lang = None
+    links: list[tuple[str, str]] = []
+    for kind, tag, attrs, raw in events(page, _RAW):
+        if kind is TEXT:
+            out.append(html.unescape(raw.replace("\n", " ")))
+        elif kind is RAW and tag == "textarea":
+            out.append(html.unescape(raw.replace("\n", " ")))
+        elif kind is RAW and tag == "title" and title is None:
+            title = " ".join(html.unescape(raw).split())
+        if kind is not TEXT and tag in BLOCKS:
+            out.append("\n")
+        if kind in (START, RAW) and attrs:
+            if tag in LINKS and (to := attributes(attrs).get(LINKS[tag])):
+                links.append(("outlink", f"{html.unescape(to).strip()} {tag}/@{LINKS[tag]}"))
+            elif tag == "html" and lang is None:
+                lang = attributes(attrs).get("lang")
+    fields = [("title", title)] if title is not None else []
+    fields += [("lang", lang.lower())] if lang else []
+    return _LINES.sub("\n", _SPACES.sub(" ", "".join(out))).strip(), fields + links
+
+
+_RAW = RAW_TAGS - {"svg"}
+
+
 def text_of(page: str) -> str:
-    """All visible text, one line per block, character references decoded."""
-    cut = _TAG.sub("", _BLOCK.sub("\n", _HIDDEN.sub("", page.replace("\n", " "))))
-    return _LINES.sub("\n", _BLANKS.sub(" ", html.unescape(cut))).strip()
+    return read(page)[0]
 
 
-def fields_of(page: str) -> list[tuple[str, str]]:
-    found = []
-    if m := _TITLE.search(page):
-        found.append(("title", " ".join(html.unescape(m[1]).split())))
-    if m := _LANG.search(page):
-        found.append(("lang", m[1].lower()))
-    for m in _LINK.finditer(page):
-        found.append(("outlink", f"{html.unescape(m[3] or m[4] or m[5] or '')} {m[1].lower()}/@{m[2].lower()}"))
-    return found
+def headers_of(text: str | None) -> list[tuple[str, str]]:
+    """Status line and headers of a response, values as they are but for folded lines, which are joined."""
+    out: list[tuple[str, str]] = []
+    for line in (text or "").replace("\r\n", "\n").split("\n"):
+        if line[:1] in " \t" and line.strip() and out:
+            out[-1] = (out[-1][0], f"{out[-1][1]} {line.strip()}")
+        elif line.startswith("HTTP/"):
+            out.append(("http-status-line", line.strip()))
+        elif ":" in line:
+            name, _, value = line.partition(":")
+            out.append(("http-header-" + name.strip().lower(), value.strip()))
+    return out
 
 
 def derived(record_id: str, uri: str | None, date: str | None, headers: str | None, payload: str) -> Iterator[tuple]:
     """The metadata and the conversion record of one response."""
     raw = payload.encode("utf-8", "surrogatepass")
     source = digest(raw)
-    lines = [("refers-to-payload-digest", source)]
-    for line in (headers or "").replace("\r\n", "\n").split("\n"):
-        if ":" in line:
-            name, _, value = line.partition(":")
-            lines.append(("http-header-" + name.strip().lower(), value.strip()))
-        elif line.startswith("HTTP/"):
-            lines.append(("http-status-line", line.strip()))
-    lines += fields_of(payload)
-    meta = "".join(f"{a}: {' '.join(b.split())}\r\n" for a, b in lines).encode("utf-8", "surrogatepass")
-    text = text_of(payload).encode("utf-8", "surrogatepass")
+    text, fields = read(payload)
+    lines = [("refers-to-payload-digest", source), *headers_of(headers), *fields]
+    meta = "".join(f"{a}: {_BREAKS.sub(' ', b)}\r\n" for a, b in lines).encode("utf-8", "surrogatepass")
+    text = text.encode("utf-8", "surrogatepass")
     for kind, mime, block in (("metadata", "application/warc-fields", meta), ("conversion", "text/plain; charset=utf-8", text)):
-        yield kind, urn(record_id, kind), record_id, uri, date, mime, digest(block), source, len(block), block
+        yield kind, urn(record_id, kind), record_id, uri, date or UNDATED, mime, digest(block), source, len(block), block
+
+
+def responses(pages: DataFrame, key_col: str, html_col: str, uri_col: str, date: str = UNDATED) -> DataFrame:
+    """Pages as response records: key, record_id, target_uri, warc_date, headers, payload. The id follows from key, URI and payload; null html is empty."""
+    payload = F.coalesce(col(html_col), F.lit(""))
+    h = F.sha2(F.concat_ws("\n", F.coalesce(col(key_col).cast("string"), F.lit("")), F.coalesce(col(uri_col), F.lit("")), payload), 256)
+    cut = lambda a, n: F.substring(h, a, n)
+    rid = F.concat(F.lit("<urn:uuid:"), cut(1, 8), F.lit("-"), cut(9, 4), F.lit("-8"), cut(14, 3), F.lit("-a"), cut(18, 3), F.lit("-"), cut(21, 12), F.lit(">"))
+    head = F.concat(F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: "), F.octet_length(payload).cast("string"), F.lit("\r\n"))
+    return pages.select(col(key_col).alias("key"), rid.alias("record_id"), col(uri_col).alias("target_uri"), F.lit(date).alias("warc_date"), head.alias("headers"), payload.alias("payload"))
 
 
 def derive(responses: DataFrame, key_col: str, payload_col: str, uri_col: str | None = None, id_col: str | None = None, date_col: str | None = None, headers_col: str | None = None) -> DataFrame:
@@ -132,7 +162,7 @@ def members(records: DataFrame, compress: bool = True) -> DataFrame:
         for b in batches:
             made = []
             for r in b.to_pylist():
-                head = {"WARC-Refers-To": r["refers_to"], "WARC-Target-URI": r["target_uri"], "WARC-Date": r["warc_date"], "Content-Type": r["content_type"], "WARC-Block-Digest": r["block_digest"]}
+                head = {"WARC-Refers-To": r["refers_to"], "WARC-Target-URI": r["target_uri"], "WARC-Date": r["warc_date"], "Content-Type": r["content_type"], "WARC-Block-Digest": r["block_digest"], "WARC-Refers-To-Payload-Digest": r["source_digest"]}
                 made.append(serialise(r["warc_type"], r["record_id"], r["block"], head, compress))
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(made, pa.binary())], names=[*b.schema.names, "member"])
 
@@ -140,15 +170,26 @@ def members(records: DataFrame, compress: bool = True) -> DataFrame:
 
 
 def inflated(data: bytes) -> Iterator[bytes]:
-    """The gzip members of a file one after another, or the file itself if it isn't compressed."""
-    while data[:2] == b"\x1f\x8b":
-        d = zlib.decompressobj(31)
-        yield d.decompress(data)
-        data = d.unused_data.lstrip(b"\0")
+    """The gzip members of a file one after another, or the file itself if it isn't compressed. Of a damaged member what can be read is given; reading goes on at the next member."""
+    while data[:2] == _GZIP[:2]:
+        d, out, pos = zlib.decompressobj(31), [], 0
+        try:
+            while pos < len(data) and not d.eof:
+                out.append(d.decompress(data[pos : pos + 65536]))
+                pos += 65536
+            rest = d.unused_data + data[pos:]
+        except zlib.error:
+            at = data.find(_GZIP, 3)
+            rest = data[at:] if at >= 0 else b""
+        yield b"".join(out)
+        data = rest.lstrip(b"\0")
     if data:
         yield data
 
 
+_GZIP = b"\x1f\x8b\x08"
+
+
 def parse(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
     """(headers, block) of each record; a truncated last record gives what is there."""
     for part in inflated(data):

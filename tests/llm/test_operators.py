@@ -7,6 +7,7 @@ import random
 import re
 import struct
 from collections import Counter
+from html.parser import HTMLParser
 
 import pytest
 from pyspark.sql import functions as F
@@ -15,6 +16,8 @@ from pyspark.sql import types as T
 from marlstone.llm import chat, decontaminate, html_main, near_dedup, packing, pii, quality, repeats, toxicity, warc
 from marlstone.llm.common import Scratch
 
+from .foreign_pages import PAGES
+
 DOCS = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType()), T.StructField("hits", T.StringType()), T.StructField("__row", T.IntegerType())])
 
 
@@ -523,6 +526,12 @@ def test_pages_on_held_out_templates():
     assert wrong <= 7
 
 
+@pytest.mark.parametrize("name", PAGES)
+def test_pages_of_foreign_layouts(name):
+    page, want = PAGES[name]
+    assert html_main.extract([page], html_main.trees()) == [want]
+
+
 def test_pages_awkward(spark):
     pages = [
         None, "", "   ", "<", "<p", "no markup &amp; &#233;t&eacute;", "<article><p>One  <b>two</b>three<br>four &lt;x&gt;<p>five<div class='ad'>buy now</div></article><footer>f</footer>",
@@ -532,7 +541,8 @@ def test_pages_awkward(spark):
     got = {x.page_id: x.main_.text for x in html_main.main_text(df).collect()}
     assert got[0] == got[1] == got[2] == got[9] == got[10] == ""
     assert got[6] == "One twothree four <x> five"
-    assert got[7].count("para text here.") == 4000
+    assert got[7] == " ".join(["para text here."] * 4000)
+    assert got[5] == "no markup & été" and got[8] == "deep text here" and got[3] in ("", "<") and got[4] == ""
     assert html_main.main_text(df.where("false")).count() == 0
 
 
@@ -580,6 +590,66 @@ def test_warc_round_trip(spark, tmp_path):
     assert len({head["warc-record-id"] for head, _ in again}) == 6
 
 
+class Seen(HTMLParser):
+    """Visible lines and links of a page, by the standard library's parser."""
+
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.out, self.links, self.hidden = [], [], None
+
+    def handle_starttag(self, tag, attrs):
+        if tag in ("script", "style", "title", "noscript", "template"):
+            self.hidden = self.hidden or tag
+        if self.hidden in (None, tag):
+            to = dict(reversed(attrs)).get(warc.LINKS.get(tag))
+            self.links += [to.strip()] if to else []
+            self.out += ["\n"] if tag in warc.BLOCKS else []
+
+    def handle_endtag(self, tag):
+        self.hidden = None if tag == self.hidden else self.hidden
+        self.out += ["\n"] if tag in warc.BLOCKS and not self.hidden else []
+
+    def handle_data(self, data):
+        self.out += [] if self.hidden else [data.replace("\n", " ")]
+
+
+def test_texts_and_links_match_another_parser():
+    r = random.Random(5)
+    pages = [html_main.training_page(r).replace("\x01", "") for _ in range(60)] + [p for p, _ in PAGES.values()]
+    pages += ["<p>a<!-- <a href=/no> --><script>'<a href=/no>'</script><a data-src=1 data-href=/no href='/yes&amp;1'>b</a> c &lt;<img src=x data-src=y>", "<div>a<br/>b<A HREF=/u>c</A></div>d"]
+    for page in pages:
+        seen = Seen()
+        seen.feed(page)
+        seen.close()
+        lines = [" ".join(x.replace("\xa0", " ").split()) for x in "".join(seen.out).split("\n")]
+        text, fields = warc.read(page)
+        assert text == "\n".join(x for x in lines if x), page
+        assert [v.rsplit(" ", 1)[0] for k, v in fields if k == "outlink"] == seen.links, page
+
+
+def test_pages_become_dated_records(spark):
+    df = spark.createDataFrame([(1, "http://h/1", "<p>é", "x"), (2, None, None, "x"), (None, "u", "", "x")], "page_id long, url string, html string, payload string")
+    records = warc.responses(df, "page_id", "html", "url", "2024-05-06T07:08:09Z")
+    got = warc.derive(records, "key", "payload", "target_uri", "record_id", "warc_date", "headers").collect()
+    assert len(got) == 6 and {r.warc_date for r in got} == {"2024-05-06T07:08:09Z"} and len({r.refers_to for r in got}) == 3
+    assert all(re.fullmatch(r"<urn:uuid:[0-9a-f]{8}-[0-9a-f]{4}-8[0-9a-f]{3}-a[0-9a-f]{3}-[0-9a-f]{12}>", r.refers_to) for r in got)
+    meta = next(bytes(r.block) for r in got if r.key == 1 and r.warc_type == "metadata")
+    assert b"http-status-line: HTTP/1.1 200 OK\r\nhttp-header-content-type: text/html; charset=utf-8\r\nhttp-header-content-length: 5\r\n" in meta
+    for r in warc.members(warc.derive(records, "key", "payload", "target_uri", "record_id", "warc_date", "headers")).collect():
+        (head, block), *rest = warc.parse(bytes(r.member))
+        assert not rest and head["warc-refers-to-payload-digest"] == r.source_digest and head["warc-date"] == r.warc_date and block == bytes(r.block)
+
+
+def test_headers_and_damaged_members():
+    assert warc.headers_of("HTTP/1.1 200 OK\r\nX-A:  two  spaces \r\n folded\r\n") == [("http-status-line", "HTTP/1.1 200 OK"), ("http-header-x-a", "two  spaces folded")]
+    good = warc.serialise("response", "<urn:uuid:1>", b"block", {})
+    broken = bytearray(warc.serialise("response", "<urn:uuid:2>", os.urandom(200_000), {}))
+    broken[150_000] ^= 255
+    ids = [h.get("warc-record-id") for h, _ in warc.parse(good + bytes(broken) + good)]
+    assert ids.count("<urn:uuid:1>") == 2
+    assert [h["warc-record-id"] for h, _ in warc.parse(good + good[:30])][:1] == ["<urn:uuid:1>"]
+
+
 def test_warc_awkward(spark):
     rows = [(1, None, None, 0), (1, None, None, 0), (2, "u", "", 0), (3, "u", "<p>never <b", 0), (4, "u", "x" * 200_000, 0)]
     df = spark.createDataFrame(rows, "page_id long, url string, html string, block int")
@@ -592,7 +662,7 @@ def test_warc_awkward(spark):
 def test_open_heads_hide_no_text():
     for page, want in {
         "<html><head><title>T</title><body><p>one<p>two": "one\ntwo", "<head><meta charset=utf-8><title>T</title><style>p{}</style><p>one": "one", "<head><title>T</title>one <b>two</b>": "one two",
-        "<head><script>'<p>no'</script><link href=x></head><body>one": "one", "<head>stray<title>T</title></head><p>one": "one", "<head><title>T</head><p>one": "one", "<head><style>p{}</head><p>one": "one",
+        "<head><script>'<p>no'</script><link href=x></head><body>one": "one", "<head>stray<title>T</title></head><p>one": "stray\none", "<head><title>T</head><p>one": "one", "<head><style>p{}</head><p>one": "one",
         "<HEAD ><!-- <p>no --><title>T</title></HEAD\n><p>one</p>": "one", "<head><title>T</title><p>one</p></head>two": "one\ntwo", "<head><script>never closed <p>no": "", "<header>one</header>": "one", "<head>": "",
     }.items():
         assert warc.text_of(page) == want, page
