@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marlstone.llm import decontaminate, near_dedup, packing, pii, quality
-from marlstone.llm.common import free_name, table, written
+from marlstone.llm.common import Scratch, free_name, table
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -26,9 +26,13 @@ def keep_first_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def keep_uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents of which benchmark passages cover less than a twentieth of the words."""
-    name = free_name(docs, "hits")
-    return decontaminate.find(docs, table(spark, sf_dir, "benchmark"), out=name).where(~decontaminate.contaminated(F.col(name))).select(*docs.columns)
+    """Documents of which benchmark passages cover less than a twentieth of the words, without passages of more than LONGEST words."""
+    hits, clean = free_name(docs, "hits"), free_name(docs, "clean")
+    found = decontaminate.find(docs, table(spark, sf_dir, "benchmark"), out=hits).where(~decontaminate.contaminated(F.col(hits)))
+    cut = decontaminate.remove_spans(found, hits=hits, longest=LONGEST, out=clean)
+    same = F.col(clean).eqNullSafe(F.col("text"))
+    changed = {"text": F.col(clean), "n_chars": F.when(same, F.col("n_chars")).otherwise(F.length(clean).cast("long"))}
+    return cut.select(*(changed[c].alias(c) if c in changed else c for c in docs.columns))
 
 
 def sanitise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -45,6 +49,9 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return pieces.select("doc_id", "start", "length", F.crc32("token_bytes").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+#: Words of a benchmark passage that may stay in a document that is clean otherwise: two windows.
+LONGEST = 2 * decontaminate.WINDOW
+
 STAGES = [
     ("quality_rules", keep_good),
     ("minhash_near_dedup", keep_first_copies),
@@ -58,8 +65,9 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents; each stage's rows are written to the shared folder and read again."""
-    docs = table(spark, sf_dir, "documents")
+    """All stages over the documents; each stage's rows are written to the shared folder and read again, and go when the next stage's are there."""
+    docs, scratch = table(spark, sf_dir, "documents"), Scratch(spark)
     for name, stage in STAGES[:-1]:
-        docs = written(stage(spark, docs, sf_dir), name)
+        before, docs = docs, scratch.write(stage(spark, docs, sf_dir), name)
+        scratch.drop(before)
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -92,6 +92,17 @@ class Scratch:
         self.held = [(df, p) for df, p in self.held if not any(df is s for s in states)]
 
 
+#: Rows that Python holds as objects at once.
+ROWS = 512
+
+
+def sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of at most ROWS rows: texts and lists take several times their Arrow size as Python objects."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, ROWS):
+            yield batch.slice(at, ROWS)
+
+
 def with_struct(df: DataFrame, name: str, inputs: list[Column], fn: Callable[..., list[list]], schema: T.StructType) -> DataFrame:
     """df with one more struct column, computed batch by batch: fn gets a list of values for each input and gives a list for each field.
 
@@ -103,7 +114,7 @@ def with_struct(df: DataFrame, name: str, inputs: list[Column], fn: Callable[...
     n = len(inputs)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             last = batch.column(batch.num_columns - 1)
             got = fn(*[last.field(i).to_pylist() for i in range(n)])
             made = pa.StructArray.from_arrays([pa.array(v, f.type) for v, f in zip(got, fields, strict=True)], fields=fields)

@@ -2,8 +2,9 @@
 
 The normalised benchmark items are put into one automaton (a bounded block of them at a time). Training texts are streamed
 through it word by word; the automaton's state gives the longest match that ends at each word. Spans of matches that reach
-the window length, or that are a whole shorter item, are hits. Texts are never shuffled: blocks of items are chained, each
-adding to the hits that the row carries.
+the window length, or that are a whole shorter item, are hits. Texts are never shuffled. A benchmark of more than one block is
+read once, block by block; the texts are streamed through each block's automaton in turn, and only the rows with hits are joined.
+No machine ever holds more than one block or one automaton.
 
 Defined results: null text has no words and is clean; null items are ignored; an item with no words matches nothing; repeated
 items and repeated rows are kept, each judged for itself; items under one id are one item in the counts.
@@ -11,18 +12,20 @@ items and repeated rows are kept, each judged for itself; items under one id are
 
 from __future__ import annotations
 
+import functools
+import itertools
 import re
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import col, free_name, with_struct
+from .common import Scratch, col, free_name, with_struct
 
 WINDOW = 13
-#: Words of the benchmark that one automaton may hold; larger benchmarks are taken in blocks.
-BLOCK_WORDS = 1_000_000
+#: Words of the benchmark that one automaton may hold (about 1 KB each); larger benchmarks are taken in blocks, longer items in parts.
+BLOCK_WORDS = 200_000
 
 _TO_WORDS = bytes((b | 0x20) if 0x41 <= b <= 0x5A else b if 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A or b >= 0x80 else 0x20 for b in range(256))
 
@@ -159,52 +162,72 @@ def _merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def _blocks(benchmark: DataFrame, item_col: str, text_col: str, most: int) -> list[list[tuple[str, str]]]:
-    """The items, dealt into blocks of at most about `most` words; the number of words is checked before any is fetched."""
+def _blocks(benchmark: DataFrame, item_col: str, text_col: str, most: int, window: int) -> Iterator[list[tuple[str, bytes]]]:
+    """The normalised items in blocks of at most about `most` words, streamed. An item of more is cut into parts that overlap by all but one word of a window."""
     items = benchmark.where(col(text_col).isNotNull() & col(item_col).isNotNull()).select(col(item_col).cast("string").alias("item"), col(text_col).alias("text"))
-    size = items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("n")).first().n
-    n = max(1, -(-size // (4 * most)))
-    part = F.pmod(F.xxhash64("item", "text"), F.lit(n))
-    return [[(r.item, r.text) for r in items.where(part == k).toLocalIterator()] for k in range(n)]
+    block: list[tuple[str, bytes]] = []
+    size = 0
+    for r in items.toLocalIterator():
+        words = normalised(r.text).split()
+        for at in range(0, max(1, len(words) - window + 1), most):
+            part = words[at : at + most + window - 1]
+            block.append((r.item, b" ".join(part)))
+            size += len(part)
+            if size >= most:
+                yield block
+                block, size = [], 0
+    if block:
+        yield block
 
 
 def find(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", window: int = WINDOW, block_words: int = BLOCK_WORDS, out: str = "hits") -> DataFrame:
     """docs with a struct column: n_words, spans of hit words (start, end), and the items whose windows occur (sorted as strings)."""
     sc = docs.sparkSession.sparkContext
     out = free_name(docs, out)
-    held = free_name(docs, out + "_before")
-    found = docs
-    for k, block in enumerate(_blocks(benchmark, item_col, item_text_col, block_words)):
-        shared = sc.broadcast(block)
+    blocks = _blocks(benchmark, item_col, item_text_col, block_words, window)
+    first, second = next(blocks, []), next(blocks, None)
 
-        def run(texts, before=None, shared=shared):
+    def hits_of(shared):
+        def run(texts):
             sam = _compiled(shared.value, window)
             ns, spans, items = [], [], []
-            for j, text in enumerate(texts):
+            for text in texts:
                 words = normalised(text).split()
                 at, names = sam.hits(words)
-                if before is not None and before[j]["items"]:
-                    at = _merged([*at, *((x["start"], x["end"]) for x in before[j]["spans"])])
-                    names = names | set(before[j]["items"])
                 ns.append(len(words))
                 spans.append([{"start": a, "end": b} for a, b in at])
                 items.append(sorted(names))
             return [ns, spans, items]
 
-        if k:
-            found = found.withColumnRenamed(out, held)
-        found = with_struct(found, out, [col(text_col), *([F.col(held)] if k else [])], run, RESULT)
-        found = found.drop(held)
-    return found
+        return run
+
+    if second is None:
+        return with_struct(docs, out, [col(text_col)], hits_of(sc.broadcast(first)), RESULT)
+    scratch, row = Scratch(docs.sparkSession), free_name(docs, "__row")
+    kept = scratch.write(docs.withColumn(row, F.monotonically_increasing_id()), "texts")
+    parts = []
+    for block in itertools.chain([first, second], blocks):
+        shared = sc.broadcast(block)
+        found = with_struct(kept.select(row, col(text_col).alias("text")), "x", [F.col("text")], hits_of(shared), RESULT).where(F.size("x.spans") > 0)
+        parts.append(scratch.write(found.select(row, "x.spans", F.col("x.items").alias("names")), "hits"))
+        shared.destroy()
+    both = functools.reduce(DataFrame.unionByName, parts).groupBy(row).agg(F.flatten(F.collect_list("spans")).alias("spans"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("names")))).alias("names"))
+
+    def merged(texts, spans, names):
+        joined = [_merged([(x["start"], x["end"]) for x in s or []]) for s in spans]
+        return [[len(normalised(t).split()) for t in texts], [[{"start": a, "end": b} for a, b in s] for s in joined], [sorted(n or []) for n in names]]
+
+    both = both.select(F.col(row), F.struct("spans", "names").alias(out))
+    return with_struct(kept.join(both, row, "left").withColumnRenamed(out, held := free_name(kept, out + "_found")), out, [col(text_col), F.col(held).spans, F.col(held).names], merged, RESULT).select(*docs.columns, out)
 
 
 _LAST: list = [None, None]
 
 
-def _compiled(block: list[tuple[str, str]], window: int) -> Automaton:
+def _compiled(block: list[tuple[str, bytes]], window: int) -> Automaton:
     """The automaton of a block; a worker keeps the last one."""
     if _LAST[0] is not block or _LAST[1].window != window:
-        _LAST[:] = [block, Automaton(((name, normalised(text).split()) for name, text in block), window)]
+        _LAST[:] = [block, Automaton(((name, text.split()) for name, text in block), window)]
     return _LAST[1]
 
 

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import Scratch, col, free_name, words_of
+from .common import Scratch, col, free_name, sliced, words_of
 
 WIDTH, THRESHOLD = 5, 0.8
 #: At a similarity of 0.8 a pair is missed by all bands with probability (1 - 0.8 ** ROWS) ** BANDS = 3e-6.
@@ -128,7 +128,7 @@ def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray
 def _signed(weigh: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """(row, text) with the 128-bit hash of the words and the bands."""
-        for batch in batches:
+        for batch in sliced(batches):
             h1, h2, bands = [], [], []
             for text in batch.column("text").to_pylist():
                 words = words_of(text)
@@ -151,7 +151,7 @@ def _verified(weigh: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Of pairs (a, b, text_a, text_b), those that are linked; the shingles of a centre are kept while its pairs pass by."""
         last, held = None, None
-        for batch in batches:
+        for batch in sliced(batches):
             a, b = [], []
             for x, y, s, t in zip(*[batch.column(n).to_pylist() for n in ("a", "b", "text_a", "text_b")]):
                 if t is not last and t != last:
@@ -166,7 +166,7 @@ def _verified(weigh: str):
 
 def _links(pairs: DataFrame, texts: DataFrame, weigh: str, s: Scratch) -> DataFrame:
     """The pairs that hold. Texts of a side a lie dealt by node; those of the centres are written apart, so that their join is split where one centre has very many pairs."""
-    left = pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")).hint("merge"), "a")
+    left = pairs.select("a", "b").join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")).hint("merge"), "a")
     centres = s.write(texts.join(pairs.select(F.col("b").alias("node")).distinct().hint("merge"), "node", "left_semi"), "centres")
     both = left.join(centres.select(F.col("node").alias("b"), F.col("text").alias("text_b")).hint("merge"), "b")
     held = s.write(both.select("a", "b", "text_a", "text_b").mapInArrow(_verified(weigh), "a long, b long"), "links")
@@ -177,7 +177,7 @@ def _links(pairs: DataFrame, texts: DataFrame, weigh: str, s: Scratch) -> DataFr
 def _masses(weigh: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """(node, label, text) with its shingles, the share of each in the text's weight, and that weight."""
-        for batch in batches:
+        for batch in sliced(batches):
             hs, ps, total = [], [], []
             for text in batch.column("text").to_pylist():
                 h, n = shingles(words_of(text))
@@ -259,9 +259,10 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", out
     def test(pairs: DataFrame) -> None:
         """Verifies pairs that haven't been, and joins the components of those that hold."""
         nonlocal labels
-        pairs = pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+        # each pair once, but as it came: b is the centre, and only the join on b may be split
+        pairs = pairs.groupBy(F.greatest("a", "b").alias("hi"), F.least("a", "b").alias("lo")).agg(F.min(F.struct("b", "a")).alias("x")).select("hi", "lo", "x.a", "x.b")
         for before in tested:
-            pairs = pairs.join(before, ["a", "b"], "left_anti")
+            pairs = pairs.join(before.select("hi", "lo"), ["hi", "lo"], "left_anti")
         tested.append(s.write(pairs, "pairs"))
         held.append(_links(tested[-1], texts, weigh, s))
         labels = contract(labels, held[-1], s)

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import Scratch, col, free_name, with_struct
+from .common import Scratch, col, free_name, sliced, with_struct
 
 KINDS = ("email", "ip", "card", "phone")
 SMOOTHING, GENERALISE, REMOVE = 1.0, 0.85, 0.95
@@ -42,7 +42,7 @@ _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _TERM = re.compile(r"[^\W\d_]{3,}")
 _DIGIT_OR_AT = re.compile(r"[0-9@]")
 #: Words whose terms a worker remembers before it starts anew.
-CACHE_WORDS = 300_000
+CACHE_WORDS = 150_000
 MARKS = {"email": "[EMAIL]", "ip": "[IP]", "card": "[CARD]", "phone": "[PHONE]"}
 
 SPAN = T.StructType([T.StructField("kind", T.StringType()), T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())])
@@ -116,7 +116,7 @@ def _term_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return pa.RecordBatch.from_arrays([pa.array(counts.keys(), pa.int64()), pa.array(counts.values(), pa.int64())], names=["t", "n"])
 
     counts: Counter = Counter()
-    for batch in batches:
+    for batch in sliced(batches):
         for text in batch.column(0).to_pylist():
             if text:
                 counts.update(_terms(set(text.split())))
@@ -129,7 +129,7 @@ def _term_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _protected_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(h, m, es, terms) of texts with their spans: hash and copies of the text, hashes of its entities and of its terms outside the spans."""
-    for batch in batches:
+    for batch in sliced(batches):
         es, terms = [], []
         for text, spans in zip(batch.column("text").to_pylist(), batch.column("base").to_pylist()):
             rest, pos = [], 0

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from .common import col
+from .common import col, sliced
 from .markup import RAW, RAW_TAGS, START, TEXT, attributes, events
 
 RECORDS = T.StructType([
@@ -133,7 +133,7 @@ def derive(responses: DataFrame, key_col: str, payload_col: str, uri_col: str |
     arrow = to_arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             rows = []
             for key, rid, uri, date, headers, payload in zip(*[c.to_pylist() for c in batch.columns]):
                 payload = payload or ""

@@ -243,7 +243,7 @@ def spans_by_hand(texts):
     for d, t in enumerate(texts):
         mine = {value(t, s) for s in base[d]}
         share = lambda w: max(1 + math.log(len(beside[w] & with_e[e]) / (len(with_t[w]) + 1)) / max(math.log(len(texts) / len(with_e[e])), 1e-9) for e in mine)
-        out.append((base[d], [(a, b) for a, b, w in outside[d] if share(w) >= 0.85] if mine else []))
+        out.append((base[d], [(a, b, share(w)) for a, b, w in outside[d] if share(w) >= 0.85] if mine else []))
     return out
 
 
@@ -264,7 +264,7 @@ def test_sanitising_matches_brute_force(spark):
     want = spans_by_hand(texts)
     assert any(terms for _, terms in want)
     for row, (base, terms) in zip(got, want, strict=True):
-        assert [(s.kind, s.start, s.end) for s in row.hits_.base] == base and [(s.start, s.end) for s in row.hits_.terms] == terms
+        assert [(s.kind, s.start, s.end) for s in row.hits_.base] == base and [(s.start, s.end) for s in row.hits_.terms] == [x[:2] for x in terms]
     assert [r.hits_.text for r in got if r.doc_id == texts.index("a lone b@c.de")] == ["a lo… [EMAIL]"]
     assert pii.sanitise(empty(spark)).count() == 0
 
