@@ -37,7 +37,7 @@ WIDTH, THRESHOLD = 5, 0.8
 BANDS, ROWS = 24, 4
 STAR_ROUNDS, SMALL = 2, 8
 #: Words whose hashes a worker remembers before it starts anew.
-CACHE_WORDS = 200_000
+CACHE_WORDS = 120_000
 
 _GOLD, _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _ODD = [np.uint64(x | 1) for x in (0x8D8F1D0B5A3C9E17, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)]

@@ -20,14 +20,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from .common import col, words_of
+from .common import col, sliced, words_of
 
 LENGTH = 2048
 END_ID = 1
 #: Tokens, and pieces, that a task holds before it packs them.
-GROUP_TOKENS, GROUP_PIECES = 16_000_000, 400_000
+GROUP_TOKENS, GROUP_PIECES = 8_000_000, 200_000
 #: Words whose ids a worker remembers before it starts anew.
-CACHE_WORDS, CACHE_PLAIN = 600_000, 300_000
+CACHE_WORDS, CACHE_PLAIN = 200_000, 100_000
 
 
 class WordTokenizer:
@@ -165,7 +165,7 @@ def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col:
         def table(rows):
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), arrow.types)], schema=arrow)
 
-        for batch in batches:
+        for batch in sliced(batches):
             for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 ids = tok(text) + end
                 n = len(ids) // 4

@@ -42,7 +42,7 @@ _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _TERM = re.compile(r"[^\W\d_]{3,}")
 _DIGIT_OR_AT = re.compile(r"[0-9@]")
 #: Words whose terms a worker remembers before it starts anew.
-CACHE_WORDS = 150_000
+CACHE_WORDS = 100_000
 MARKS = {"email": "[EMAIL]", "ip": "[IP]", "card": "[CARD]", "phone": "[PHONE]"}
 
 SPAN = T.StructType([T.StructField("kind", T.StringType()), T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())])
@@ -120,7 +120,7 @@ def _term_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for text in batch.column(0).to_pylist():
             if text:
                 counts.update(_terms(set(text.split())))
-        if len(counts) > 2_000_000:
+        if len(counts) > 500_000:
             yield table()
             counts = Counter()
     if counts:
