@@ -13,6 +13,24 @@ def read_minutes(words: Column, per_minute: int = 220) -> Column:
     return F.greatest(F.lit(1), q + up.cast("long")).cast("long")
 
 
+def rounded(x: Column, digits: int) -> Column:
+    """x rounded to digits by its exact binary value, ties to even; for |x| * 10 ** digits below 2 ** 52. Spark's own rounding goes by the shortest decimal spelling.
+
+    The product's own rounding error is found exactly, from halves of both factors, and decides near ties.
+    """
+    scale = float(10**digits)
+    half = lambda c: c * 134217729.0 - (c * 134217729.0 - c)
+    x = x.cast("double")
+    s_hi = 134217729.0 * scale - (134217729.0 * scale - scale)
+    x_hi, s_lo = half(x), scale - s_hi
+    x_lo, t = x - x_hi, x * scale
+    error = ((x_hi * s_hi - t) + x_hi * s_lo + x_lo * s_hi) + x_lo * s_lo
+    low = F.floor(t)
+    over = (t - low - 0.5) + error
+    up = (over > 0) | ((over == 0) & (F.pmod(low, F.lit(2)) == 1))
+    return (low + up.cast("long")).cast("double") / scale
+
+
 def band(value: Column, lower: Column, upper: Column) -> Column:
     return F.when(value <= lower, "low").when(value > upper, "high").otherwise("mid")
 

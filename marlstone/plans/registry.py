@@ -381,95 +381,88 @@ def q_term_lookup(spark, d):
 
 
 def _features(spark, d):
-    """Words of the first lines, as features of one field."""
-    words = F.filter(F.split(plain(F.element_at(F.split("text", "\n"), 1)), " "), lambda w: F.length(w) >= 3)
-    return table(spark, d, "documents").select(F.col("doc_id").alias("id"), F.lit("title").alias("field"), F.explode(words).alias("feature"))
+    """Words of weight and pairs of neighbours of whole texts: the first line is the title, the rest the brief."""
+    lines = F.split(F.coalesce("text", F.lit("")), "\n", 2)
+    field = lambda n, c: F.struct(F.lit(n).alias("field"), X.features(F.split(plain(c), " "), TERMS).alias("features"))
+    fields = F.array(field("title", F.get(lines, F.lit(0))), field("brief", F.get(lines, F.lit(1))))
+    return table(spark, d, "documents").select(F.col("doc_id").alias("id"), F.explode(fields).alias("x")).select("id", "x.field", F.explode("x.features").alias("feature"))
+
+
+def _asked(spark, d):
+    """The query set of the searches for related records, against all records: ids divisible by 20."""
+    return table(spark, d, "documents").where("doc_id % 20 = 0").select(F.col("doc_id").alias("id"))
+
+
+def _kept(c):
+    return f"list_filter(string_split({PLAIN.format(c)}, ' '), lambda w: length(w) >= 3 AND NOT regexp_full_match(w, '[0-9]+') AND w NOT IN ({', '.join(map(repr, TERMS))}))"
 
 
-MOST = 20
-_FEATURES = f"WITH f AS (SELECT * FROM (SELECT doc_id AS id, unnest(string_split({PLAIN.format('string_split(text, chr(10))[1]')}, ' ')) AS feature FROM documents) WHERE length(feature) >= 3), n AS (SELECT count(*) AS n FROM documents), df AS (SELECT feature, count(DISTINCT id) AS df FROM f GROUP BY 1), idf AS (SELECT feature, df, ln((n + 1.0) / (df + 1.0)) + 1.0 AS idf FROM df, n WHERE df BETWEEN 2 AND {MOST})"
-_VECTORS = _FEATURES + ", x AS (SELECT id, feature, (1 + ln(count(*))) * any_value(idf) AS x FROM f JOIN idf USING (feature) GROUP BY ALL), v AS (SELECT id, feature, x / sqrt(sum(x * x) OVER (PARTITION BY id)) AS w FROM x)"
+_TITLE = "string_split(coalesce(text, ''), chr(10))[1]"
+_FEATURES = f"""WITH k AS (SELECT doc_id AS id, 'title' AS field, {_kept(_TITLE)} AS ws FROM documents
+  UNION ALL SELECT doc_id, 'brief', {_kept(f"substr(text, length({_TITLE}) + 2)")} FROM documents),
+f AS (SELECT id, field, unnest(ws) AS feature FROM k UNION ALL SELECT id, field, ws[i] || '-' || ws[i + 1] FROM k, unnest(range(1, len(ws))) AS u(i)),
+n AS (SELECT count(*) AS n FROM documents),
+df AS (SELECT feature, count(DISTINCT id) AS df FROM f GROUP BY 1),
+idf AS (SELECT feature, df, ln((n + 1.0::DOUBLE) / (df + 1.0)) + 1.0 AS idf FROM df, n WHERE df BETWEEN 2 AND greatest(2, floor({similarity.SHARE}::DOUBLE * n)))"""
+_VECTORS = _FEATURES + """,
+x AS (SELECT id, field, feature, (1 + ln(count(*)::DOUBLE)) * any_value(idf) AS x FROM f JOIN idf USING (feature) GROUP BY ALL),
+v AS (SELECT id, field, feature, x / sqrt(sum(x * x) OVER (PARTITION BY id, field)) AS w FROM x)"""
+_LEXICAL = f"""{_VECTORS},
+p AS (SELECT a.id AS src, b.id AS dst, feature, sum(CASE field WHEN 'title' THEN {similarity.WEIGHTS['title']} ELSE {similarity.WEIGHTS['brief']} END::DOUBLE * a.w * b.w) AS part FROM v a JOIN v b USING (field, feature) WHERE a.id % 20 = 0 AND a.id <> b.id GROUP BY ALL),
+lex AS (SELECT src, dst, sum(part) AS lexical FROM p GROUP BY ALL)"""
+_MEMBERS = f"w AS (SELECT doc_id, ' ' || {PLAIN.format('text')} || ' ' AS w FROM documents), m AS ({_TERM_ROWS})"
+_COSINES = """e AS (SELECT entity, count(*) AS df, (ln(((SELECT count(*) FROM documents) + 1.0::DOUBLE) / (count(*) + 1.0)) + 1.0) ** 2 AS sq FROM m GROUP BY 1),
+norms AS (SELECT doc_id, sum(sq) AS norm FROM m JOIN e USING (entity) GROUP BY 1),
+cos AS (SELECT a.doc_id AS src, b.doc_id AS dst, sum(sq) / sqrt(any_value(x.norm) * any_value(y.norm)) AS cosine FROM m a JOIN m b USING (entity) JOIN e USING (entity) JOIN norms x ON x.doc_id = a.doc_id JOIN norms y ON y.doc_id = b.doc_id WHERE a.doc_id % 20 = 0 AND a.doc_id <> b.doc_id GROUP BY ALL)"""
 
 
 @query(f"{_FEATURES} SELECT feature, df, round(idf, 6) AS idf FROM idf")
 def q_df_idf(spark, d):
-    f = similarity.document_frequency(_features(spark, d))
-    return similarity.idf(f, table(spark, d, "documents").count(), most=MOST).select("feature", "df", F.round("idf", 6).alias("idf"))
+    return similarity.idf(similarity.document_frequency(_features(spark, d)), table(spark, d, "documents").count()).select("feature", "df", F.round("idf", 6).alias("idf"))
 
 
-def _pairs(spark, d):
+def _vectors(spark, d):
     f = _features(spark, d)
-    return similarity.lexical(similarity.vectors(f, similarity.idf(similarity.document_frequency(f), table(spark, d, "documents").count(), most=MOST)), {"title": 1.0})
+    return similarity.vectors(f, similarity.idf(similarity.document_frequency(f), table(spark, d, "documents").count()))
 
 
-@query(f"{_VECTORS}, p AS (SELECT a.id AS src, b.id AS dst, round(sum(a.w * b.w), 4) AS score FROM v a JOIN v b USING (feature) WHERE a.id <> b.id GROUP BY ALL) SELECT * FROM p QUALIFY row_number() OVER (PARTITION BY src ORDER BY score DESC, dst) <= 5")
+@query(f"{_LEXICAL} SELECT src, dst, round(lexical, 4) AS score FROM lex QUALIFY row_number() OVER (PARTITION BY src ORDER BY round(lexical, 4) DESC, dst) <= 5")
 def q_related_topk(spark, d):
-    scores = _pairs(spark, d).groupBy("src", "dst").agg(F.round(F.sum("part"), 4).alias("score"))
+    """The five records most like each query by the words of their fields."""
+    scores = similarity.lexical(_vectors(spark, d), queries=_asked(spark, d)).select("src", "dst", F.round("lexical", 4).alias("score"))
     return rows.first_per(scores, ["src"], [F.desc("score"), "dst"], 5)
 
 
-@query(f"{_VECTORS}, p AS (SELECT a.id AS src, b.id AS dst, feature, df FROM v a JOIN v b USING (feature) JOIN idf USING (feature) WHERE a.id <> b.id), r AS (SELECT * FROM p QUALIFY row_number() OVER (PARTITION BY src, dst ORDER BY df, feature) <= 3) SELECT src, dst, string_agg(feature, ',' ORDER BY df, feature) AS why FROM r GROUP BY ALL")
+@query(f"{_LEXICAL}, best AS (SELECT src, dst FROM lex QUALIFY row_number() OVER (PARTITION BY src ORDER BY round(lexical, 4) DESC, dst) <= 5), r AS (SELECT * FROM p JOIN best USING (src, dst) QUALIFY row_number() OVER (PARTITION BY src, dst ORDER BY contains(feature, '-') DESC, round(part, 12) DESC, feature) <= 3) SELECT src, dst, string_agg(feature, ',' ORDER BY contains(feature, '-') DESC, round(part, 12) DESC, feature) AS why FROM r GROUP BY ALL")
 def q_related_reasons(spark, d):
-    """Up to three rarest shared features of each pair."""
-    df = similarity.document_frequency(_features(spark, d))
-    three = F.slice(F.sort_array(F.collect_list(F.struct("df", "feature"))), 1, 3)
-    return _pairs(spark, d).join(df, "feature").groupBy("src", "dst").agg(F.array_join(F.transform(three, lambda x: x.feature), ",").alias("why"))
+    """What the five records share with their query that adds most."""
+    return similarity.shared_terms(q_related_topk(spark, d), _vectors(spark, d)).select("src", "dst", F.array_join("terms", ",").alias("why"))
 
 
-@query(f"{_FEATURES}, e AS (SELECT DISTINCT id, feature, idf * idf AS sq FROM f JOIN idf USING (feature)), m AS (SELECT id, sum(sq) AS m FROM e GROUP BY 1) SELECT a.id AS src, b.id AS dst, round(sum(a.sq) / sqrt(any_value(x.m) * any_value(y.m)), 4) AS cosine FROM e a JOIN e b USING (feature) JOIN m x ON x.id = a.id JOIN m y ON y.id = b.id WHERE a.id <> b.id GROUP BY ALL")
+@query(f"WITH {_MEMBERS}, {_COSINES} SELECT src, dst, round(cosine, 4) AS cosine FROM cos")
 def q_entity_cosine(spark, d):
-    """Cosine of shared rare words, each weighted by its squared idf."""
-    f = _features(spark, d).select("id", F.col("feature").alias("entity")).distinct()
-    df = similarity.document_frequency(_features(spark, d)).where(f"df between 2 and {MOST}")
-    rare = f.join(df.select(F.col("feature").alias("entity")), "entity", "left_semi").select("id", "entity")
-    return similarity.entity_cosine(rare, table(spark, d, "documents").count()).select("src", "dst", F.round("cosine", 4).alias("cosine"))
-
-
-# The same with the operator's own rule: features up to its share of the documents, entities without bound.
-
-_OWN = lambda sql: sql.replace(f"df BETWEEN 2 AND {MOST}", f"df BETWEEN 2 AND greatest(2, floor({similarity.SHARE} * n))")
-
-
-def _own_pairs(spark, d):
-    f = _features(spark, d)
-    return similarity.lexical(similarity.vectors(f, similarity.idf(similarity.document_frequency(f), table(spark, d, "documents").count())), {"title": 1.0})
-
-
-@query(_OWN(SQL["q_df_idf"]))
-def q_df_idf_share(spark, d):
-    return similarity.idf(similarity.document_frequency(_features(spark, d)), table(spark, d, "documents").count()).select("feature", "df", F.round("idf", 6).alias("idf"))
-
-
-@query(_OWN(SQL["q_related_topk"]))
-def q_related_topk_share(spark, d):
-    scores = _own_pairs(spark, d).groupBy("src", "dst").agg(F.round(F.sum("part"), 4).alias("score"))
-    return rows.first_per(scores, ["src"], [F.desc("score"), "dst"], 5)
-
-
-@query(_OWN(SQL["q_related_reasons"]))
-def q_related_reasons_share(spark, d):
-    three = F.slice(F.sort_array(F.collect_list(F.struct("df", "feature"))), 1, 3)
-    return _own_pairs(spark, d).join(similarity.document_frequency(_features(spark, d)), "feature").groupBy("src", "dst").agg(F.array_join(F.transform(three, lambda x: x.feature), ",").alias("why"))
-
-
-@query(SQL["q_entity_cosine"].replace(f"df BETWEEN 2 AND {MOST}", "true"))
-def q_entity_cosine_all(spark, d):
-    f = _features(spark, d).select("id", F.col("feature").alias("entity")).distinct()
-    return similarity.entity_cosine(f, table(spark, d, "documents").count()).select("src", "dst", F.round("cosine", 4).alias("cosine"))
-
-
-def _text_features(spark, d):
-    """Words of weight and pairs of neighbours of whole texts: the first line is the title, the rest the brief."""
-    lines = F.split(F.coalesce("text", F.lit("")), "\n", 2)
-    field = lambda n, c: F.struct(F.lit(n).alias("field"), X.features(F.split(plain(c), " "), TERMS).alias("features"))
-    fields = F.array(field("title", F.get(lines, F.lit(0))), field("brief", F.get(lines, F.lit(1))))
-    return table(spark, d, "documents").select(F.col("doc_id").alias("id"), F.explode(fields).alias("x")).select("id", "x.field", F.explode("x.features").alias("feature"))
-
-
-@query()
+    """Cosine of shared entities, each weighted by its squared idf."""
+    found = _members(spark, d).withColumnRenamed("doc_id", "id")
+    return similarity.entity_cosine(found, table(spark, d, "documents").count(), _asked(spark, d)).select("src", "dst", F.round("cosine", 4).alias("cosine"))
+
+
+@query(f"""{_LEXICAL}, {_MEMBERS}, {_COSINES},
+pairs AS (SELECT src, dst, round(least(1.0, coalesce(lexical, 0) + {similarity.ENTITY_WEIGHT}::DOUBLE * coalesce(cosine, 0)), 6) AS score FROM lex FULL JOIN cos USING (src, dst)),
+best AS (SELECT * FROM pairs WHERE score > 0 QUALIFY row_number() OVER (PARTITION BY src ORDER BY score DESC, dst) <= 5),
+short AS (SELECT DISTINCT id AS src FROM f WHERE id % 20 = 0 AND id NOT IN (SELECT src FROM best WHERE score > {similarity.FLOOR} GROUP BY 1 HAVING count(*) >= 5)),
+flat AS (SELECT DISTINCT id, feature, df FROM f JOIN df USING (feature) WHERE df > 1),
+crossed AS (SELECT a.id AS src, b.id AS dst, feature, a.df FROM flat a JOIN flat b USING (feature) WHERE a.id IN (SELECT src FROM short) AND a.id <> b.id AND NOT EXISTS (SELECT 1 FROM pairs WHERE pairs.src = a.id AND pairs.dst = b.id)),
+few AS (SELECT * FROM crossed QUALIFY row_number() OVER (PARTITION BY src, dst ORDER BY df, contains(feature, '-') DESC, feature) <= 3),
+low AS (SELECT src, dst, round(least({similarity.FLOOR}::DOUBLE, sum(1.0::DOUBLE / df) / 100.0), 6) AS score, string_agg(feature, ',' ORDER BY df, contains(feature, '-') DESC, feature) AS why FROM few GROUP BY ALL),
+ents AS (SELECT src, dst, entity, df FROM best JOIN m a ON a.doc_id = src JOIN m b ON b.doc_id = dst AND b.entity = a.entity JOIN e ON e.entity = a.entity QUALIFY row_number() OVER (PARTITION BY src, dst ORDER BY df, a.entity) <= 3),
+ewhy AS (SELECT src, dst, string_agg(entity, ',' ORDER BY df, entity) AS why FROM ents GROUP BY ALL),
+terms AS (SELECT * FROM p JOIN best USING (src, dst) QUALIFY row_number() OVER (PARTITION BY src, dst ORDER BY contains(feature, '-') DESC, round(part, 12) DESC, feature) <= 3),
+twhy AS (SELECT src, dst, string_agg(feature, ',' ORDER BY contains(feature, '-') DESC, round(part, 12) DESC, feature) AS why FROM terms GROUP BY ALL),
+every AS (SELECT src, dst, score, coalesce(ewhy.why, twhy.why) AS why FROM best LEFT JOIN ewhy USING (src, dst) LEFT JOIN twhy USING (src, dst) UNION ALL SELECT * FROM low WHERE score > 0)
+SELECT *, (row_number() OVER (PARTITION BY src ORDER BY score DESC, dst))::INTEGER AS rnk FROM every QUALIFY rnk <= 5""".replace("SELECT src, dst, entity, df FROM best JOIN m a", "SELECT src, dst, a.entity AS entity, df FROM best JOIN m a"))
 def q_related(spark, d):
-    """Five related records of each document, by its whole text and its entities."""
-    r = similarity.related(_text_features(spark, d), _members(spark, d).withColumnRenamed("doc_id", "id"), table(spark, d, "documents").count())
+    """Five related records of each query, by whole texts and entities, with reasons."""
+    r = similarity.related(_features(spark, d), _members(spark, d).withColumnRenamed("doc_id", "id"), table(spark, d, "documents").count(), queries=_asked(spark, d))
     return r.select("src", "dst", "score", F.array_join("why", ",").alias("why"), "rnk")
 
 

@@ -257,5 +257,5 @@ def test_follow_ups_are_later_and_narrow(spark):
 
 def test_similarity_bounds(spark):
     f = spark.createDataFrame([(i, "t", "all") for i in range(30)] + [(0, "t", "x"), (1, "t", "x")], "id int, field string, feature string")
-    kept = similarity.idf(similarity.document_frequency(f), 30, most=5)
+    kept = similarity.idf(similarity.document_frequency(f), 30)
     assert [r.feature for r in kept.collect()] == ["x"]
