@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import re
 import tempfile
 import uuid
@@ -101,6 +102,20 @@ def sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for at in range(0, batch.num_rows, ROWS):
             yield batch.slice(at, ROWS)
+    release()
+
+
+def release() -> None:
+    """Gives memory that a task has freed back to the system: workers idle beside those of the next stage."""
+    pa.default_memory_pool().release_unused()
+    if _TRIM:
+        _TRIM(0)
+
+
+try:
+    _TRIM = ctypes.CDLL(None).malloc_trim  # of glibc
+except (AttributeError, OSError, TypeError):
+    _TRIM = None
 
 
 def with_struct(df: DataFrame, name: str, inputs: list[Column], fn: Callable[..., list[list]], schema: T.StructType) -> DataFrame:

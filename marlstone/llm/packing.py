@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from .common import col, sliced, words_of
+from .common import col, release, sliced, words_of
 
 LENGTH = 2048
 END_ID = 1
@@ -195,5 +195,7 @@ def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col:
                 ready, size = [], 0
         if ready:
             yield table(ready)
+        ready = held = None
+        release()
 
     return fed.mapInArrow(run, schema)
