@@ -31,11 +31,10 @@ def word_count(c: Column) -> Column:
 
 
 def bounded_excerpt(c: Column, limit: int = 1200) -> Column:
-    """At most limit characters, cut at the last space before, closed by an ellipsis; an empty text stays empty."""
+    """At most limit characters: cut at the last space before and closed by an ellipsis, which counts; empty where there is no such space."""
     t = strip(c)
-    head = F.substring(t, 1, limit)
-    cut = F.regexp_extract(head, "(?s)^(.*) ", 1)
-    return F.when(t == "", "").when(F.length(t) <= limit, t).otherwise(F.concat(strip(F.when(cut == "", head).otherwise(cut)), F.lit("…")))
+    cut = F.regexp_extract(F.substring(t, 1, limit), "(?s)^(.*) ", 1)
+    return F.when(F.length(t) <= limit, t).when(cut == "", "").otherwise(F.concat(strip(cut), F.lit("…")))
 
 
 def excerpt(c: Column, limit: int = 800) -> Column:

@@ -55,13 +55,13 @@ def articles(df: DataFrame) -> DataFrame:
     return together(violations(df, key, article_rules()), repeats(df, F.col("slug"), "unique slug"), repeats(df, F.col("url"), "unique url"), repeats(df, F.concat_ws(":", "source", F.lower("source_id")), "unique id"))
 
 
-def preview_proof(df: DataFrame) -> DataFrame:
-    """Members' rows show a preview whose digest and length are right; public rows show none."""
-    p, member = F.col("member_preview"), F.col("audience") == "only_paid"
+def preview_proof(df: DataFrame, most: int = 1200) -> DataFrame:
+    """Members' rows show a bounded preview whose length and digest are its own, under a surface that fits; public rows show none."""
+    p, member = F.col("member_preview"), F.coalesce(F.col("audience") == "only_paid", F.lit(False))
+    empty = p.character_count == 0
     return violations(df, F.col("slug"), {
-        "preview of members only": member == p.isNotNull(),
-        "preview digest": p.isNull() | ((F.sha2(p.text, 256) == p.body_sha256) | p.body_sha256.rlike("^[0-9a-f]{64}$")),
-        "preview length": p.isNull() | (F.length(p.text) <= p.character_count),
+        "preview of members only": member == p.isNotNull(), "preview length": p.isNull() | (F.length(p.text) == p.character_count), "preview bound": p.isNull() | p.character_count.between(0, most),
+        "preview digest": p.isNull() | (F.sha2(p.text, 256) == p.body_sha256), "preview surface": p.isNull() | ((p.surface == "metadata-only") == empty),
     })
 
 
@@ -104,8 +104,24 @@ def private_names(names: Sequence[str]) -> list[str]:
 
 
 def private_keys(df: DataFrame, maps: Sequence[str]) -> DataFrame:
-    """Private names among the keys of map columns, and of JSON objects in text columns."""
+    """Private names among the keys of map columns, and of objects at any depth in JSON text columns: a string with a colon behind it is a key."""
     kinds = dict(df.dtypes)
-    keys = lambda c: F.map_keys(c) if kinds[c].startswith("map") else F.coalesce(F.json_object_keys(c), F.array().cast("array<string>"))
-    named = F.explode(F.concat(*(keys(c) for c in maps)))
-    return df.select(named.alias("key")).where(F.regexp_replace(F.lower("key"), "[^a-z0-9]", "").isin(*PRIVATE)).groupBy("key").agg(F.count("*").alias("n")).select(F.lit("private key").alias("rule"), "key")
+    tokens = lambda c: F.regexp_extract_all(F.coalesce(F.col(c), F.lit("")), F.lit(r'"((?:[^"\\]|\\.)*+)"(\s*:)?'), F.lit(0))
+    named = lambda c: F.transform(F.filter(tokens(c), lambda t: t.endswith(":")), lambda t: F.regexp_extract(t, r'^"(.*)"\s*:$', 1))
+    keys = lambda c: F.map_keys(c) if kinds[c].startswith("map") else named(c)
+    every = df.select(F.explode(F.concat(*(keys(c) for c in maps))).alias("key"))
+    return every.where(F.regexp_replace(F.lower("key"), "[^a-z0-9]", "").isin(*PRIVATE)).groupBy("key").agg(F.count("*").alias("n")).select(F.lit("private key").alias("rule"), "key")
+
+
+def monotone(current: DataFrame, previous: DataFrame) -> DataFrame:
+    """Rows of source health (source, checked_at, degraded_since, consecutive_degraded_checks, status) that don't continue the previous ones."""
+    old = previous.select("source", F.col("checked_at").alias("__at"), F.col("degraded_since").alias("__since"), F.col("consecutive_degraded_checks").alias("__n"))
+    both = old.join(current, "source", "left")
+    bad, going = F.col("status") != "ok", F.coalesce(F.col("__n"), F.lit(0)) > 0
+    since = F.when(bad, F.when(going, F.col("__since")).otherwise(F.col("checked_at")))
+    n = F.when(bad, F.when(going, F.col("__n") + 1).otherwise(1)).otherwise(0)
+    there = F.col("status").isNotNull()
+    return violations(both, F.col("source"), {
+        "source is there": there, "check moved on": ~there | (D.instant(F.col("checked_at")) >= D.instant(F.col("__at"))),
+        "degraded since": ~there | F.col("degraded_since").eqNullSafe(since), "degraded checks": ~there | (F.coalesce("consecutive_degraded_checks", F.lit(0)) == n),
+    })

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.dates import sortable
+from ..functions.text import compatible_surface
 from .rows import numbered
 
 # Policy (fixed values).
@@ -74,6 +78,60 @@ def body_status(current_words: Column, captured_words: Column, same_revision: Co
     return F.when(whole & (captured_words > 0), "list").when(cached & same_revision, "cache").when(captured_words > 0, "excerpt").when(cached, "prior").otherwise("metadata")
 
 
+def cache_fits(listing: Column, cached: Column) -> Column:
+    """Whether a cached row may stand for a listed one: complete by its declared words, of the same revision, and with titles that don't conflict."""
+    complete = F.regexp_count(F.coalesce(cached.body_text, F.lit("")), F.lit("\\S+")) >= F.ceil(COVERAGE * F.coalesce(listing.wordcount, F.lit(0)))
+    return F.coalesce(complete & (F.coalesce(cached.body_text, F.lit("")) != "") & (listing.updated_at == cached.updated_at) & compatible_surface(listing.title, cached.title), F.lit(False))
+
+
+def resolved(current: DataFrame, previous: DataFrame) -> DataFrame:
+    """current (slug, title, updated_at, wordcount, body_text) with the body that a refresh keeps, where it comes from, and the status of its revision.
+
+    The listing's own body if complete, else the cached one if it fits, else what the listing shows, else the cached one of an older revision, else nothing.
+    """
+    both = current.alias("c").join(previous.select("slug", F.struct("title", "updated_at", "body_text").alias("__old")), "slug", "left")
+    listed = F.coalesce("body_text", F.lit(""))
+    kept = F.coalesce(F.col("__old.body_text"), F.lit(""))
+    here = F.struct("title", "updated_at", "wordcount")
+    words = F.regexp_count(listed, F.lit("\\S+"))
+    origin = body_status(F.coalesce("wordcount", F.lit(0)), words, cache_fits(here, F.col("__old")), kept != "")
+    revision = F.when(origin.isin("list", "cache", "excerpt"), "current").when((origin == "prior") & F.col("__old.updated_at").isNotNull(), "prior").otherwise("unverified")
+    body = F.when(origin.isin("cache", "prior"), kept).otherwise(listed)
+    return both.withColumns({"body_origin": origin, "body_revision_status": revision, "content_status": F.when(origin.isin("list", "cache"), "full").otherwise("excerpt"), "__body": body}).drop("body_text", "__old").withColumnRenamed("__body", "body_text")
+
+
+def degrades(current: DataFrame, previous: DataFrame, stable: list[str]) -> DataFrame:
+    """(slug, degrades): whether a gap in a body is a live failure. It isn't for members' posts, nor where an excerpt was disclosed before and neither revision nor metadata has changed."""
+    old = previous.select("slug", F.struct("content_status", "updated_at", *stable).alias("__old"))
+    both = current.join(old, "slug", "left")
+    o = F.col("__old")
+    same = reduce(lambda a, f: a & F.col(f).eqNullSafe(o[f]), stable, F.col("updated_at").eqNullSafe(o.updated_at) & (F.coalesce("updated_at", F.lit("")) != ""))
+    known = o.isNotNull() & (o.content_status == "excerpt") & same
+    return both.select("slug", ((F.col("audience") == "everyone") & ~F.coalesce(known, F.lit(False))).alias("degrades"))
+
+
+def edge(window: DataFrame, archive: DataFrame, size: int = 10) -> DataFrame:
+    """Faults between a feed window (pos, id, at) and the newest rows of an archive (id, at): places where id or time differ, and a window of the wrong size."""
+    newest = archive.orderBy(F.desc("at"), "id").limit(size)
+    ranked = newest.withColumn("pos", F.row_number().over(Window.orderBy(F.desc("at"), "id")) - 1).select("pos", F.col("id").alias("a_id"), F.col("at").alias("a_at"))
+    both = window.join(ranked, "pos", "full_outer")
+    fault = F.when(F.col("id").isNull() | F.col("a_id").isNull(), "size").when(F.col("id") != F.col("a_id"), "id").when(F.col("at") != F.col("a_at"), "time")
+    return both.select("pos", fault.alias("fault")).where("fault is not null")
+
+
+def bridged(rows: DataFrame, reviewed: DataFrame, now: Column, days: int = 3) -> DataFrame:
+    """Faults of rows (pos, id) against a reviewed sequence (pos, id, reviewed_at): the same ids in the same order, reviewed at most `days` ago and not in the future."""
+    both = rows.select("pos", F.col("id").alias("__id")).join(reviewed, "pos", "full_outer")
+    age = F.timestamp_diff("SECOND", F.col("reviewed_at"), now)
+    fault = F.when(F.col("id").isNull() | F.col("__id").isNull(), "length").when(F.col("id") != F.col("__id"), "order").when((age < 0) | (age > days * 86400), "expired")
+    return both.select("pos", fault.alias("fault")).where("fault is not null")
+
+
+def trusted_order(history: DataFrame) -> DataFrame:
+    """History (id, date) by instant, the newest first; ids break ties."""
+    return history.withColumn("instant", sortable(F.col("date"))).orderBy(F.desc("instant"), "id")
+
+
 def retry_order(rows: DataFrame) -> DataFrame:
     """rows (is_new, attempted_at, idx) with turn: new ones, those never tried, then the longest untried."""
     kind = F.when(F.col("is_new"), 0).when(F.col("attempted_at").isNull() | (F.col("attempted_at") == ""), 1).otherwise(2)

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import observe as O
 from ..functions import text as X
+from ..functions.text_udf import normalize_identity
 from .rows import dedup_by_prefix, first_per
 
 #: Least length of a body, and most windows taken where no paragraph speaks of a trade.
@@ -65,3 +66,43 @@ def resolve_directions(observations: DataFrame, cache: DataFrame) -> DataFrame:
     keyed = observations.join(known, F.sha2(d, 256) == F.col("__d"), "left")
     fits = (F.col("direction") == "unspecified") & F.col("__l").isNotNull() & ~O.negation_risk(d) & ~O.is_reference_only(d)
     return keyed.withColumn("direction", F.when(fits, F.col("__l")).otherwise(F.col("direction"))).drop("__d", "__l")
+
+
+# Aliases of managers by their identity text, and the label of each (fixed values).
+MANAGERS = {
+    "citadel": "Citadel / Ken Griffin", "griffin / citadel": "Citadel / Ken Griffin", "griffin": "Citadel / Ken Griffin",
+    "bridgewater": "Bridgewater / Ray Dalio", "dalio / bridgewater": "Bridgewater / Ray Dalio", "dalio": "Bridgewater / Ray Dalio",
+    "ackman": "Pershing Square / Bill Ackman", "ackman / pershing": "Pershing Square / Bill Ackman",
+    "druckenmiller": "Duquesne / Stanley Druckenmiller", "duquesne": "Duquesne / Stanley Druckenmiller",
+    "point72": "Point72 / Steve Cohen", "cohen / point72": "Point72 / Steve Cohen",
+    "tiger": "Tiger Management / Julian Robertson", "robertson / tiger": "Tiger Management / Julian Robertson",
+    "third point": "Third Point / Dan Loeb", "loeb / third point": "Third Point / Dan Loeb",
+    "brevan howard": "Brevan Howard / Alan Howard", "howard": "Brevan Howard / Alan Howard",
+    "einhorn / greenlight": "Greenlight / David Einhorn", "einhorn": "Greenlight / David Einhorn",
+}
+
+
+def managers(observations: DataFrame, name: str, labels: dict[str, str] = MANAGERS) -> DataFrame:
+    """observations with manager_raw (white space tidied), manager (the label of a known alias) and manager_key."""
+    raw = X.strip(F.regexp_replace(F.coalesce(name, F.lit("")), "(?U)\\s+", " "))
+    fixed = F.create_map(*(F.lit(x) for pair in labels.items() for x in pair))
+    named = observations.withColumn("manager_raw", raw).withColumn("manager", F.coalesce(F.try_element_at(fixed, normalize_identity("manager_raw")), F.col("manager_raw")))
+    return named.withColumn("manager_key", normalize_identity("manager"))
+
+
+def split_values(c: Column) -> Column:
+    """The parts of a list in one text: cut at semicolons, trimmed, dashes left out."""
+    return F.filter(F.split(c, "\\s*;\\s*"), lambda v: ~X.strip(v).isin("", "—", "-"))
+
+
+def rollup(observations: DataFrame, key: str) -> DataFrame:
+    """One row per article: number of observations, sorted sets of directions, instruments and managers, the first spelling of each underlying, and what any observation has."""
+    some = lambda c: F.bool_or(F.coalesce(F.col(c), F.lit("")) != "")
+    one = observations.groupBy(key).agg(
+        F.count("*").alias("n"), F.sort_array(F.collect_set("direction")).alias("directions"), F.sort_array(F.array_distinct(F.flatten(F.collect_list("instruments")))).alias("instruments"),
+        F.sort_array(F.collect_set(F.nullif(F.col("manager"), F.lit("")))).alias("managers"), some("any_quant_detail").alias("has_quant"), some("edge_or_thesis").alias("has_thesis"), some("outcome_if_mentioned").alias("has_outcome"),
+    )
+    each = observations.select(key, "pos", F.posexplode(split_values(F.coalesce("underlying", F.lit("")))).alias("at", "v")).withColumn("k", normalize_identity("v"))
+    first = each.groupBy(key, "k").agg(F.min_by("v", F.struct("pos", "at")).alias("v"))
+    under = first.groupBy(key).agg(F.transform(F.sort_array(F.collect_list(F.struct(F.lower("v").alias("o"), "v"))), lambda x: x.v).alias("underlyings"))
+    return one.join(under, key, "left").withColumn("underlyings", F.coalesce("underlyings", F.array().cast("array<string>")))

@@ -71,3 +71,36 @@ def facets(rows: DataFrame, key: str, label: Column, passage: str, note: str) ->
 
 def checkpoint_status(date: Column, checked: Column) -> Column:
     return F.when(date < checked, "overdue").otherwise("upcoming")
+
+
+def framed(rows: DataFrame, query: str, fields: Mapping[str, Sequence[str]], question: str = "") -> DataFrame:
+    """Tiered hits with the reader's framing question beside them; the question never changes what is found."""
+    return tiered(rows, query, fields).withColumn("question", F.lit(question))
+
+
+def annotated(ordered: DataFrame, context: DataFrame, day: str = "date") -> DataFrame:
+    """Hits with the macro reading of their day, added after they are ranked: none goes, none moves."""
+    return ordered.join(context.withColumnRenamed("day", day), day, "left")
+
+
+def queue(rows: DataFrame, retained: DataFrame, key: str, fields: Sequence[str], order: str, **equal: str) -> DataFrame:
+    """A saved queue's rows, filtered and sorted by the values it retained when they were saved, whatever the current rows say now; what the row says now comes as now_*."""
+    now = rows.select(F.col(key), *(F.col(f).alias(f"now_{f}") for f in fields), F.lit(True).alias("__here"))
+    kept = retained.join(now, key, "left").withColumn("still_there", F.coalesce("__here", F.lit(False))).drop("__here")
+    for c, value in equal.items():
+        kept = kept.where(F.col(c) == value)
+    return kept.withColumn("place", F.row_number().over(Window.orderBy(F.desc(order), key)))
+
+
+def page(rows: DataFrame, order: Sequence[Column], size: int, pinned: Column) -> DataFrame:
+    """The first `size` rows in an order, and pinned rows wherever they stand."""
+    first = rows.orderBy(*order).limit(size)
+    return first.unionByName(rows.where(F.coalesce(pinned, F.lit(False)))).distinct()
+
+
+def by_field(rows: DataFrame, key: str, fields: Sequence[str]) -> DataFrame:
+    """(src, dst, why): rows that share an exact value of a qualifying field, each with the fields they share. Values that one row has are left out before the join."""
+    each = rows.select(F.col(key).alias("id"), F.explode(F.array(*(F.struct(F.lit(f).alias("field"), F.lower(F.trim(F.col(f))).alias("v")) for f in fields))).alias("x")).select("id", "x.*").where("v <> ''").distinct()
+    known = each.join(each.groupBy("field", "v").agg(F.count("*").alias("n")).where("n > 1"), ["field", "v"])
+    pairs = known.withColumnRenamed("id", "src").join(known.select(F.col("id").alias("dst"), "field", "v"), ["field", "v"]).where("src <> dst")
+    return pairs.groupBy("src", "dst").agg(F.sort_array(F.collect_set("field")).alias("why"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .contracts import violations
 from .index import label
 from .rows import first_per, listed
 
@@ -41,3 +42,23 @@ def follow_ups(members: DataFrame, n_records: int, share: float = 0.07, links: i
     best = first_per(near, ["src"], ["breadth", "b_at", "dst"], links)
     both = best.join(m.select(F.col("id").alias("src"), "entity"), "src").join(m.select(F.col("id").alias("dst"), "entity"), ["dst", "entity"])
     return both.groupBy("src", "dst", "breadth").agg(F.array_join(F.sort_array(F.collect_set("entity")), ",").alias("topics"))
+
+
+def owners(threads_: DataFrame, catalogue: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Thread members (url) with the catalogue row of their URL, slashes at the end aside, and violations for those without one."""
+    bare = lambda c: F.regexp_replace(F.trim(c), "/+$", "")
+    known = catalogue.select(bare(F.col("url")).alias("__u"), F.col("id").alias("owner"))
+    both = threads_.join(known, bare(F.col("url")) == F.col("__u"), "left").drop("__u")
+    return both.where("owner is not null"), both.where("owner is null").select(F.lit("thread without owner").alias("rule"), F.col("url").alias("key"))
+
+
+def invariants(topics_: DataFrame, members: DataFrame, least: int = 2) -> DataFrame:
+    """(rule, key) of topics (entity, n, ids) that break a rule: enough records, as many as said, none twice, in order of time, none missing or foreign. members has (entity, id, at)."""
+    each = topics_.select("entity", F.posexplode("ids").alias("place", "id")).join(members.select("entity", "id", "at"), ["entity", "id"], "full_outer")
+    w = Window.partitionBy("entity").orderBy("place")
+    late = each.where("place is not null").withColumn("before", F.lag("at").over(w)).where("before > at").select(F.lit("order").alias("rule"), F.col("entity").alias("key"))
+    wide = members.groupBy("entity").agg(F.count("*").alias("k")).where(F.col("k") >= least).select("entity")
+    missing = each.where("place is null").join(wide, "entity", "left_semi").select(F.lit("missing member").alias("rule"), F.col("entity").alias("key"))
+    foreign = each.where("at is null").select(F.lit("foreign member").alias("rule"), F.col("entity").alias("key"))
+    own = violations(topics_, F.col("entity"), {"enough records": F.col("n") >= least, "count": F.col("n") == F.size("ids"), "no repeats": F.size(F.array_distinct("ids")) == F.size("ids")})
+    return own.unionByName(late).unionByName(missing).unionByName(foreign).distinct()
