@@ -173,22 +173,29 @@ def automata(passages: list[list[bytes]], block: int = BLOCK, most: int = AUTOMA
 
 def covered_by(texts: list[list[bytes]], passages: list[tuple[int, int, int]], window: int = WINDOW, block: int = BLOCK) -> list[np.ndarray]:
     """Of each text, which words lie in a window that a passage (text, start, end) has."""
-    ids: dict[bytes, int] = {}
-    new = itertools.count()
-    spelled = [np.fromiter(map(ids.setdefault, w, new), np.int64, len(w)) for w in texts]
     covered = [np.zeros(len(w), bool) for w in texts]
     joined = [" " + b" ".join(w).decode("utf-8", "surrogatepass") + " " if len(w) >= window else "" for w in texts]
-    starts = [np.cumsum([1, *(len(x) + 1 for x in s[1:-1].split(" ")[:-1])]) if s else None for s in joined]
+    ids: dict[bytes, int] = {}
+    new = itertools.count()
+    numbers: dict[int, np.ndarray] = {}
+
+    def spelled(t: int) -> np.ndarray:
+        """Numbers that stand for the words of a text; only texts with hits need them."""
+        if t not in numbers:
+            numbers[t] = np.fromiter(map(ids.setdefault, texts[t], new), np.int32, len(texts[t]))
+        return numbers[t]
+
     for a in automata([texts[t][s:e] for t, s, e in passages], block):
         for d, text in enumerate(joined):
-            if not text:
-                continue
-            done: dict[tuple[int, int], int] = {}
-            hits = [(end, len_) for end, len_ in a.iter(text)]
+            hits = list(a.iter(text)) if text else []
             if not hits:
                 continue
+            done: dict[tuple[int, int], int] = {}
+            own = spelled(d)
+            sizes = np.fromiter(map(len, text[1:-1].split(" ")), np.int64, len(own))
+            starts = np.cumsum(sizes + 1) - sizes
             # the hit ends with the space behind its last word
-            last = np.searchsorted(starts[d], [end for end, _ in hits], side="left") - 1
+            last = np.searchsorted(starts, np.fromiter((end for end, _ in hits), np.int64, len(hits)), side="left") - 1
             for i, (_, where) in zip(last.tolist(), hits):
                 first = i - block + 1
                 for p, k in where:
@@ -196,11 +203,15 @@ def covered_by(texts: list[list[bytes]], passages: list[tuple[int, int, int]], w
                     if done.get((p, shift), -1) >= i:
                         continue
                     t, s, e = passages[p]
-                    lo, hi = max(0, shift), min(len(texts[d]), shift + e - s)
+                    lo, hi = max(0, shift), min(len(own), shift + e - s)
                     done[p, shift] = hi
-                    differ = np.flatnonzero(spelled[d][lo:hi] != spelled[t][s + lo - shift : s + hi - shift])
-                    cuts = np.concatenate([[-1], differ, [hi - lo]])
-                    for g in np.flatnonzero(np.diff(cuts) > window):
+                    same = own[lo:hi] == spelled(t)[s + lo - shift : s + hi - shift]
+                    if same.all():  # most are copies from end to end
+                        if hi - lo >= window:
+                            covered[d][lo:hi] = True
+                        continue
+                    cuts = np.concatenate([[-1], np.flatnonzero(~same), [hi - lo]])
+                    for g in np.flatnonzero(cuts[1:] - cuts[:-1] > window).tolist():
                         covered[d][lo + cuts[g] + 1 : lo + cuts[g + 1]] = True
     return covered
 
