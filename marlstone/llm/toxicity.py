@@ -4,10 +4,11 @@ Severity has four grades. One weight vector over sparse text features is shared
 P(grade >= k) = sigmoid(w x - theta_k). The score is the expected grade, the sum of those probabilities.
 
 Features are a text's words in lower case and their first 4 and 5 letters, each with log(1 + count). The model is fitted on
-a bounded sample of labelled rows (SAMPLE, those with the least hash of their id); labels say only whether a text is toxic,
-so the grades of toxic texts are the terciles of their dose, the sum of log(1 + count)
-over the kept features. Copies and near copies among the sampled rows count once.
-Scoring is row by row with the model broadcast; its size is bounded by FEATURES.
+a bounded sample of labelled rows: the SAMPLE ids with the least hash, of them as many as SAMPLE_BYTES of text allow. Labels may
+be grades, 0 to GRADES - 1; where they only say whether a text is toxic, 0 or 1, the grades of toxic texts are the terciles of
+their dose, the sum of log(1 + count) over the kept features. Copies and near copies among the sampled rows count once.
+Scoring is row by row with the model broadcast. FEATURES bounds its size: of more telling features only the surest are kept, so
+rare ones may be missed.
 
 Defined results: null and empty texts score 0 and are not toxic; without labelled rows of both kinds nothing is toxic;
 labels that are null or have no text are ignored; repeated rows are scored each.
@@ -29,8 +30,8 @@ from pyspark.sql import types as T
 from .common import col, free_name, with_struct, words_of
 
 GRADES = 4
-#: Labelled rows used for fitting, characters of them at once on the driver, and features kept.
-SAMPLE, FEATURES = 8000, 256
+#: Labelled rows used for fitting, bytes of their texts on the driver, and features kept.
+SAMPLE, SAMPLE_BYTES, FEATURES = 8000, 64 << 20, 256
 #: A feature is kept if its log odds between toxic and other texts are this many standard errors above 0; words that only happen
 #: to be absent from toxic texts tell nothing.
 LEAST_Z = 4.0
@@ -133,8 +134,10 @@ def _unlike(texts: list[str]) -> list[int]:
 
 
 def fit(rows: list[tuple[str, int]], n_features: int = FEATURES, l2: float = 1e-5, steps: int = 300) -> Model:
-    """A model from (text, toxic 0/1) rows."""
+    """A model from (text, label) rows; labels are 0 and 1, or grades."""
     rows = [rows[j] for j in _unlike([t for t, _ in rows])]
+    if not rows:
+        return Model({}, np.zeros(0), np.full(GRADES - 1, 40.0) + np.arange(GRADES - 1))
     cache: dict[bytes, list[str]] = {}
     counts = []
     for text, _ in rows:
@@ -143,7 +146,8 @@ def fit(rows: list[tuple[str, int]], n_features: int = FEATURES, l2: float = 1e-
             for f in cache.get(w) or cache.setdefault(w, features_of(w)):
                 c[f] += n
         counts.append(c)
-    toxic = np.array([y for _, y in rows], dtype=int)
+    given = np.array([y for _, y in rows], dtype=int)
+    toxic = (given > 0).astype(int)
     if not toxic.any() or toxic.all():
         return Model({}, np.zeros(0), np.full(GRADES - 1, 40.0) + np.arange(GRADES - 1))
     df = [Counter(), Counter()]
@@ -160,16 +164,25 @@ def fit(rows: list[tuple[str, int]], n_features: int = FEATURES, l2: float = 1e-
     index = {f: i for i, f in enumerate(kept)}
     dose = np.array([sum(math.log1p(n) for f, n in c.items() if f in index) for c in counts])
     cuts = np.quantile(dose[toxic == 1], [i / (GRADES - 1) for i in range(1, GRADES - 1)])
-    y = np.where(toxic == 1, 1 + (dose[:, None] > cuts[None, :]).sum(1), 0)
+    y = given if given.max() > 1 else np.where(toxic == 1, 1 + (dose[:, None] > cuts[None, :]).sum(1), 0)
     x = [(np.array([index[f] for f in c if f in index], dtype=int), np.array([math.log1p(n) for f, n in c.items() if f in index])) for c in counts]
     w, theta = _optimum(x, y, len(index), l2, steps)
     return Model(index, w, theta)
 
 
-def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", sample: int = SAMPLE) -> Model:
-    """A model from labelled rows: the `sample` ids with the least hash, whatever the size of the tables."""
-    ids = labels.where(col(label_col).isin(0, 1) & col(id_col).isNotNull()).select(col(id_col).alias("id"), col(label_col).cast("int").alias("y")).dropDuplicates(["id"]).orderBy(F.xxhash64("id"), "id").limit(sample)
-    got = docs.select(col(id_col).alias("id"), col(text_col).alias("text")).join(F.broadcast(ids), "id").where(F.col("text").isNotNull())
+def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", sample: int = SAMPLE, sample_bytes: int = SAMPLE_BYTES) -> Model:
+    """A model from labelled rows: the `sample` ids with the least hash, whatever the size of the tables, as far as their texts fit in sample_bytes."""
+    known = labels.where(col(label_col).between(0, GRADES - 1) & col(id_col).isNotNull()).select(col(id_col).alias("id"), col(label_col).cast("int").alias("y"))
+    ids = F.broadcast(known.dropDuplicates(["id"]).orderBy(F.xxhash64("id"), "id").limit(sample))
+    texts = docs.select(col(id_col).alias("id"), col(text_col).alias("text")).where(F.col("text").isNotNull())
+    # rows of one id are few, but for an id that very many rows have: one of them is enough
+    sizes = texts.join(ids, "id").groupBy("id").agg(F.max(F.octet_length("text")).alias("n"), F.count("*").alias("k")).orderBy(F.xxhash64("id"), "id").collect()
+    ends = np.cumsum([r.n for r in sizes]) if sizes else np.zeros(0)
+    kept = [r.id for r, end in zip(sizes, ends) if end <= sample_bytes]
+    if not kept:
+        return fit([])
+    chosen = F.broadcast(docs.sparkSession.createDataFrame([(i,) for i in kept], docs.select(col(id_col).alias("id")).schema))
+    got = texts.join(chosen, "id").groupBy("id").agg(F.max("text").alias("text")).join(ids, "id")
     return fit(sorted({(r.text, r.y) for r in got.select("text", "y").toLocalIterator()}))
 
 

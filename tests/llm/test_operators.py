@@ -316,6 +316,31 @@ def test_toxicity_orders_and_holds_out(spark):
     assert not any(x.toxicity.toxic for x in toxicity.score(docs_of(spark, texts[:5]), none).collect())
 
 
+def test_severity_of_graded_labels_is_held_out(spark):
+    """Grades come from words of different weight that one text may mix; expected severity must follow them on texts that weren't seen."""
+    import numpy as np
+
+    r = random.Random(17)
+    words = {1: ["grubble"], 2: ["vexor"], 3: ["obliterax"]}
+    texts, grades = [], []
+    for _ in range(1500):
+        g = r.choice([0, 0, 1, 2, 3])
+        telling = [r.choice(words[g])] * r.randint(1, 3) + [r.choice(words[1])] * (g > 1) if g else []
+        w = prose(r, r.randint(10, 60), 3000).split() + telling
+        r.shuffle(w)
+        texts.append(" ".join(w))
+        grades.append(g)
+    labels = spark.createDataFrame([(i, 1, g) for i, g in enumerate(grades) if i % 3], "doc_id long, quality int, toxic int")
+    model = toxicity.train(docs_of(spark, texts), labels)
+    rows = {x.doc_id: x.toxicity for x in toxicity.score(docs_of(spark, texts), model).collect()}
+    held = [i for i in range(1500) if i % 3 == 0]
+    assert sum(rows[i].grade == grades[i] for i in held) >= 0.9 * len(held)
+    assert np.corrcoef([rows[i].severity for i in held], [grades[i] for i in held])[0, 1] > 0.9
+    means = [np.mean([rows[i].severity for i in held if grades[i] == g]) for g in range(4)]
+    assert means == sorted(means)
+    assert not toxicity.train(docs_of(spark, texts), labels, sample_bytes=10).index  # nothing fits, nothing is learnt
+
+
 # near duplicates
 
 
