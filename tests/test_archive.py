@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from marlstone.functions.text_udf import normalized_words
-from marlstone.operators import asof, contracts, health, index, link, observations, publish, rows, search, similarity, taxonomy, threads
+from marlstone.operators import asof, contracts, health, index, link, observations, publish, release, rows, search, similarity, taxonomy, threads
 from marlstone.plans import archive
 from marlstone.schemas import POST
 
@@ -222,14 +222,26 @@ def test_contracts_catch_each_fault(spark):
 
 def test_publish(spark, tmp_path):
     posts = posts_of(spark, [post(0, "word " * 500, audience="only_paid"), post(1, "open text")])
-    cut = publish.redacted(posts)
-    assert contracts.preview_proof(cut).count() == 0 and cut.where("slug = 's0'").first().body_text is None
+    cut = publish.redacted(posts.withColumn("public_preview_text", F.lit("what all can see")))
+    shown = cut.where("slug = 's0'").first()
+    assert contracts.preview_proof(cut).count() == 0 and shown.body_text == shown.member_preview.text == "what all can see" and shown.wordcount == 0
+    p = F.col("member_preview")
+    for field, value, rule in (("body_sha256", F.lit("0" * 64), "preview digest"), ("text", F.lit("else"), "preview length"), ("surface", F.lit("metadata-only"), "preview surface")):
+        assert rule in {r.rule for r in contracts.preview_proof(cut.withColumn("member_preview", p.withField(field, value))).collect()}, rule
+    assert publish.redacted(posts).where("slug = 's0'").first().member_preview.surface == "metadata-only"
     root = f"file://{tmp_path}/out"
     v1 = publish.publish(spark, {"articles": publish.metadata(posts)}, root)
     assert publish.current(spark, root, "articles").count() == 2
     with pytest.raises(ValueError):
         publish.publish(spark, {"articles": publish.metadata(posts)}, root, contracts.articles(posts_of(spark, [post(0, "", source="x")])))
     assert spark.read.text(f"{root}/CURRENT").first().value == v1
+    articles = publish.metadata(posts)
+    tables = release.endpoints(articles, articles.select("slug", "title"), articles.select("slug"), articles.groupBy("content_status").count(), publish.latest(articles))
+    publish.publish(spark, tables, root)
+    back = {n: publish.current(spark, root, n) for n in tables}
+    manifest = back.pop("manifest")
+    assert len(back) == 5 and release.bundle(back, manifest).count() == 0
+    assert {r.rule for r in release.bundle(back | {"latest": back["latest"].limit(1)}, manifest).collect()} == {"n", "digest"}
     v2 = publish.publish(spark, {"articles": publish.metadata(posts).limit(1)}, root)
     assert v2 != v1 and publish.current(spark, root, "articles").count() == 1
     obs = observations.extract(posts_of(spark, [post(0, "x" * 60 + "\n\n" + TRADE.replace("bonds", "bonds | notes"))]))

@@ -119,6 +119,16 @@ def test_read_minutes_rounds_half_to_even(spark, words):
     assert one(spark, N.read_minutes(F.col("a")), a=words) == max(1, round(words / 220))
 
 
+def test_rounding_is_pythons(spark):
+    import random
+
+    r = random.Random(1)
+    values = [0.5, 1.5, 2.5, 0.125, 0.375, 2.675, 1.005, 0.0000005, 0.0000015, 1e-9, 0.0] + [r.random() * 10 ** r.randint(-6, 3) for _ in range(3000)] + [k / 64 for k in range(300)] + [-k / 16 for k in range(60)]
+    for digits in (2, 4, 6):
+        got = spark.createDataFrame([(v,) for v in values], "v double").select("v", N.rounded(F.col("v"), digits).alias("r")).collect()
+        assert [x.r for x in got] == [round(x.v, digits) for x in got], digits
+
+
 def test_masks(spark):
     mask = one(spark, N.pack([F.col("a") > 1, F.col("a") > 100, F.lit(None).cast("boolean"), F.lit(True)]), a=5)
     assert mask == 9 and [one(spark, b, m=9) for b in N.unpack(F.col("m"), 4)] == [True, False, False, True]
