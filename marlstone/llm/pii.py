@@ -178,31 +178,37 @@ def _spelled(spans) -> str:
 
 
 def disclosures(seen: DataFrame, words: DataFrame, n: int, scratch: Scratch, least: float = GENERALISE, smoothing: float = SMOOTHING) -> DataFrame:
-    """(e, t, share) of terms that disclose an entity by `least` or more. seen has the distinct texts with entities (m copies, es, terms), words the documents by term (t, n)."""
+    """(h, t, share) of terms of texts that disclose one of their entities by `least` or more. seen has the distinct texts with entities (h, m copies, es, terms), words the documents by term (t, n).
+
+    As c(t,e) is c(e) at most, only terms of c(t) + smoothing <= c(e) ** least * N ** (1 - least) for some entity can reach `least`;
+    the others, most of what is said, are left out before anything is paired.
+    """
+    n = max(n, 2)
     ce = scratch.write(seen.select("m", F.explode("es").alias("e")).groupBy("e").agg(F.sum("m").alias("ce")), "entities")
-    pairs = seen.select("m", "es", F.explode("terms").alias("t")).select("m", "t", F.explode("es").alias("e"))
-    cet = scratch.write(pairs.groupBy("e", "t").agg(F.sum("m").alias("cet")), "pairs")
-    ct = scratch.write(words.join(cet.select("t").distinct(), "t", "left_semi").groupBy("t").agg(F.sum("n").alias("ct")), "terms")
-    chance = F.col("cet") / (F.col("ct") + smoothing)
-    share = 1 + F.log(chance) / F.greatest(F.log(F.lit(float(max(n, 2))) / F.col("ce")), F.lit(1e-9))
-    told = cet.join(ce, "e").join(ct, "t").withColumn("share", share).where(F.col("share") >= least).select("e", "t", "share")
-    told = scratch.write(told, "telling")
-    scratch.drop(ce, cet, ct)
-    return told
+    most = (ce.agg(F.max("ce").alias("most")).first().most or 0) ** least * n ** (1 - least) * (1 + 1e-9)
+    ct = words.groupBy("t").agg(F.sum("n").alias("ct")).where(F.col("ct") + smoothing <= most)
+    rare = scratch.write(seen.select("h", "m", "es", F.explode("terms").alias("t")).join(ct.hint("merge"), "t"), "rare")
+    pairs = rare.select("h", "m", "t", "ct", F.explode("es").alias("e"))
+    cet = pairs.groupBy("e", "t").agg(F.sum("m").alias("cet"), F.first("ct").alias("ct"))
+    share = 1 + F.log(F.col("cet") / (F.col("ct") + smoothing)) / F.greatest(F.log(F.lit(float(n)) / F.col("ce")), F.lit(1e-9))
+    told = scratch.write(cet.join(ce, "e").withColumn("share", share).where(F.col("share") >= least).select("e", "t", "share"), "telling")
+    found = scratch.write(pairs.select("h", "e", "t").join(told, ["e", "t"]).groupBy("h", "t").agg(F.max("share").alias("share")), "found")
+    scratch.drop(ce, rare, told)
+    return found
 
 
 def sanitise(docs: DataFrame, text_col: str = "text", out: str = "pii", generalise: float = GENERALISE, remove: float = REMOVE, smoothing: float = SMOOTHING) -> DataFrame:
     """docs with a struct column: base (spans), terms (spans of flagged terms), text (sanitised; null stays null) and changed."""
     out = free_name(docs, out)
     keep, key, own_terms = [col(c) for c in docs.columns], free_name(docs, "__h"), free_name(docs, "__terms")
-    found = T.StructType([T.StructField("base", T.ArrayType(SPAN)), T.StructField("h", T.LongType())])
+    spans_of = T.StructType([T.StructField("base", T.ArrayType(SPAN)), T.StructField("h", T.LongType())])
 
     def patterns(texts):
         spans = [base_spans(t) for t in texts]
         return [[[{"kind": k, "start": a, "end": b} for k, a, b in s] for s in spans], [hashed(t) if s else None for t, s in zip(texts, spans)]]
 
     scratch = Scratch(docs.sparkSession)
-    marked = with_struct(docs, out, [col(text_col)], patterns, found)
+    marked = with_struct(docs, out, [col(text_col)], patterns, spans_of)
     has = F.size(F.col(out).base) > 0
     hit = scratch.write(marked.where(has), "pii")
     n = docs.select(F.lit(1)).count()
@@ -211,11 +217,9 @@ def sanitise(docs: DataFrame, text_col: str = "text", out: str = "pii", generali
     once = hit.select(F.col(out).h.alias("h"), col(text_col).alias("text"), F.col(out).base.alias("base")).groupBy("h").agg(F.first(F.struct("text", "base")).alias("x"), F.count("*").alias("m"))
     seen = scratch.write(once.select("h", "m", "x.*").mapInArrow(_protected_texts, "h long, m long, es array<long>, terms array<long>"), "texts")
     words = docs.select(col(text_col).alias("text")).mapInArrow(_term_counts, "t long, n long")
-    telling = disclosures(seen, words, n, scratch, generalise, smoothing)
-    here = seen.select("h", "es", F.explode("terms").alias("t")).select("h", "t", F.explode("es").alias("e"))
-    flags = here.join(telling, ["e", "t"]).groupBy("h", "t").agg(F.max("share").alias("share")).groupBy("h").agg(F.collect_list(F.struct("t", "share")).alias(own_terms))
-    flags = scratch.write(flags, "flags")
-    scratch.drop(seen, telling)
+    found = disclosures(seen, words, n, scratch, generalise, smoothing)
+    flags = scratch.write(found.groupBy("h").agg(F.collect_list(F.struct("t", "share")).alias(own_terms)), "flags")
+    scratch.drop(seen, found)
 
     result = T.StructType([T.StructField("base", T.ArrayType(SPAN)), T.StructField("terms", T.ArrayType(SPAN)), T.StructField("text", T.StringType()), T.StructField("changed", T.BooleanType())])
 
