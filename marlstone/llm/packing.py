@@ -135,13 +135,17 @@ def best_fit_decreasing(lengths: list[int], length: int = LENGTH) -> list[tuple[
 
 
 def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, end_id: int = END_ID) -> DataFrame:
-    """One row per piece: the id, start, length, doc_tokens, sequence_id, offset, and token_bytes (little-endian unsigned 32-bit ids).
+    """One row per piece: the id (under a longer name where it is named like another column), start, length, doc_tokens, sequence_id, offset, and token_bytes (little-endian unsigned 32-bit ids).
 
     sequence_id is unique over the table: the task's partition in the upper bits, its own count in the lower 40.
     """
     fed = docs.select(col(id_col), col(text_col))
+    given = fed.schema.fields[0]
+    name = given.name
+    while name.lower() in ("start", "length", "doc_tokens", "sequence_id", "offset", "token_bytes"):
+        name += "_"
     schema = T.StructType([
-        fed.schema.fields[0], *(T.StructField(n, T.LongType()) for n in ("start", "length", "doc_tokens", "sequence_id", "offset")), T.StructField("token_bytes", T.BinaryType()),
+        T.StructField(name, given.dataType, given.nullable), *(T.StructField(n, T.LongType()) for n in ("start", "length", "doc_tokens", "sequence_id", "offset")), T.StructField("token_bytes", T.BinaryType()),
     ])
     arrow = to_arrow_schema(schema)
     end = struct.pack("<I", end_id)
