@@ -125,3 +125,15 @@ def monotone(current: DataFrame, previous: DataFrame) -> DataFrame:
         "source is there": there, "check moved on": ~there | (D.instant(F.col("checked_at")) >= D.instant(F.col("__at"))),
         "degraded since": ~there | F.col("degraded_since").eqNullSafe(since), "degraded checks": ~there | (F.coalesce("consecutive_degraded_checks", F.lit(0)) == n),
     })
+
+
+def curve_years(df: DataFrame, current_year: int, least: int = 200) -> DataFrame:
+    """Years of a curve that are over and have fewer than `least` days."""
+    n = df.groupBy(F.substring("day", 1, 4).alias("key")).agg(F.count_distinct("day").alias("n"))
+    return n.where((F.col("n") < least) & (F.col("key").cast("int") < current_year)).select(F.lit("days of a full year").alias("rule"), "key")
+
+
+def member_access(df: DataFrame) -> DataFrame:
+    """df with member: whether a post is for paying members, by the words of its own source."""
+    c = F.col
+    return df.withColumn("member", F.coalesce(((c("source") == "substack") & (c("audience") == "only_paid")) | ((c("source") == "medium") & (F.upper("visibility") == "LOCKED")), F.lit(False)))

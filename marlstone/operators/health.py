@@ -127,6 +127,12 @@ def bridged(rows: DataFrame, reviewed: DataFrame, now: Column, days: int = 3) ->
     return both.select("pos", fault.alias("fault")).where("fault is not null")
 
 
+def bridge_provenance(reviewed: DataFrame) -> DataFrame:
+    """What a status tells of a reviewed bridge: one row of its source, rows, ends, time and reviewer."""
+    first, last = F.min_by("id", "pos"), F.max_by("id", "pos")
+    return reviewed.groupBy("source", "reviewer").agg(F.count("*").alias("rows"), first.alias("first_id"), last.alias("last_id"), F.max("reviewed_at").alias("reviewed_at"))
+
+
 def trusted_order(history: DataFrame) -> DataFrame:
     """History (id, date) by instant, the newest first; ids break ties."""
     return history.withColumn("instant", sortable(F.col("date"))).orderBy(F.desc("instant"), "id")

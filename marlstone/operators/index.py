@@ -58,9 +58,11 @@ def discovered(articles: DataFrame, text: str, key: str = "pos") -> DataFrame:
     return words.select(key, F.explode(F.array_distinct(every)).alias("entity")).join(names, "entity").select(key, "entity")
 
 
-def postings(found: DataFrame, key: str = "pos") -> DataFrame:
-    """(entity, df, postings): positions of each entity in order."""
-    return found.groupBy("entity").agg(F.count("*").alias("df"), F.sort_array(F.collect_list(key)).alias("postings"))
+def postings(found: DataFrame, key: str = "pos", span: int = 100_000) -> DataFrame:
+    """(entity, df, chunk, postings): positions of each entity in order, in chunks of `span` places of the catalogue, so that no entity is one row of any length."""
+    df = found.groupBy("entity").agg(F.count("*").alias("df"))
+    chunks = found.groupBy("entity", F.floor(F.col(key) / span).alias("chunk")).agg(F.sort_array(F.collect_list(key)).alias("postings"))
+    return chunks.join(df, "entity").select("entity", "df", "chunk", "postings")
 
 
 def lookup(found: DataFrame, articles: DataFrame, entity: str, key: str = "pos") -> DataFrame:

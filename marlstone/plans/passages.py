@@ -10,9 +10,9 @@ from ..functions import text as X
 from ..functions import urls as U
 from ..functions.briefs import SPAN
 from ..functions.text_udf import normalized_words, strip_html
-from ..operators import health, index, link, observations, posts, publish, release, rows, search, taxonomy, threads
+from ..operators import contracts, health, index, link, observations, posts, publish, release, rows, search, taxonomy, threads
 from ..session import table
-from ..sources import files
+from ..sources import files, paged
 from .records import _posts, POSTS
 from .registry import PLAIN, _MEMBERS, _members, plain, query
 
@@ -422,3 +422,60 @@ def q_strip_html_parsed(spark, d):
 def q_search_words(spark, d):
     """Search words of the ASCII part of texts."""
     return table(spark, d, "documents").select("doc_id", F.sha2(F.array_join(normalized_words(F.regexp_replace("text", "[^\\x09-\\x7e]|[&']", " ")), " "), 256).alias("words"))
+
+
+@query("SELECT 's' || o_orderkey AS slug, CASE WHEN o_orderkey <= 40 AND o_orderkey % 3 <> 0 AND o_orderkey % 5 <> 0 THEN o_orderpriority END AS body_text FROM orders WHERE o_orderkey <= 200")
+def q_detail_lookup(spark, d):
+    """Details of the first in turn, of the same revision."""
+    k = F.col("o_orderkey")
+    o = table(spark, d, "orders").where(k <= 200)
+    slug = F.concat(F.lit("s"), k.cast("string")).alias("slug")
+    listing = o.select(slug, F.lit("b").alias("updated_at"), k.alias("turn"))
+    landed = o.where(k % 3 != 0).select(slug, F.when(k % 5 == 0, "a").otherwise("b").alias("updated_at"), F.col("o_orderpriority").alias("body_text"))
+    return paged.details(listing, landed, 40).select("slug", "body_text")
+
+
+@query("SELECT event_id FROM events WHERE event_id % 3 = 0 AND event_id % 4 <> 0 AND event_id % 5 <> 0")
+def q_own_posts(spark, d):
+    """Published posts of one creator among landed items, no responses."""
+    k = F.col("event_id")
+    item = F.to_json(F.struct(F.struct(F.when(k % 3 == 0, "me").otherwise("you").alias("id")).alias("creator"), F.when(k % 4 == 0, 0).otherwise(5).alias("firstPublishedAt"), F.struct(F.when(k % 5 == 0, "x").alias("id")).alias("inResponseToPostResult")))
+    return paged.own_posts(table(spark, d, "events").select("event_id", item.alias("item")), "me").select("event_id")
+
+
+@query("SELECT 'days of a full year' AS rule, substr(strftime(o_orderdate, '%Y-%m-%d'), 1, 4) AS key FROM orders WHERE month(o_orderdate) <= year(o_orderdate) - 1990 AND year(o_orderdate) < 1999 GROUP BY 2 HAVING count(DISTINCT o_orderdate::DATE) < 200")
+def q_curve_years(spark, d):
+    """Full years of which a curve has too few days: of early years only the first months are there."""
+    o = table(spark, d, "orders").where(F.month("o_orderdate") <= F.year("o_orderdate") - 1990).select(F.date_format("o_orderdate", "yyyy-MM-dd").alias("day"))
+    return contracts.curve_years(o, 1999)
+
+
+@query(f"WITH {POSTS} SELECT slug, (source = 'substack' AND audience = 'only_paid') OR (source = 'medium' AND doc_id % 9 = 1) AS member FROM p")
+def q_member_access(spark, d):
+    return contracts.member_access(_posts(spark, d).withColumn("visibility", F.when(F.col("doc_id") % 9 == 1, "locked").otherwise("PUBLIC"))).select("slug", "member")
+
+
+@query("SELECT page_id, trim(regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1)) AS title, list_filter(regexp_extract_all(html, '(?i)<[a-z][^>]*\\sid=[\"'']?([A-Za-z0-9_-]+)', 1), lambda v, i: list_position(regexp_extract_all(html, '(?i)<[a-z][^>]*\\sid=[\"'']?([A-Za-z0-9_-]+)', 1), v) = i) AS ids, regexp_extract_all(html, '(?i)<meta\\s[^>]*name=[\"'']?([A-Za-z0-9:_-]+)', 1) AS metas, len(regexp_extract_all(html, '(?is)<script>(.*?)</script>')) AS inline_scripts FROM pages")
+def q_page_markers(spark, d):
+    """What marks each page."""
+    m = files.markers(table(spark, d, "pages"))
+    return m.select("page_id", "title", "ids", "metas", F.col("inline_scripts").cast("long").alias("inline_scripts"))
+
+
+@query(f"WITH {POSTS} SELECT source, 'r' AS reviewer, count(*) AS rows, arg_min(source_id, doc_id) AS first_id, arg_max(source_id, doc_id) AS last_id, max(post_date) AS reviewed_at FROM p GROUP BY 1")
+def q_bridge_provenance(spark, d):
+    p = _posts(spark, d).select("source", F.lit("r").alias("reviewer"), F.col("source_id").alias("id"), F.col("doc_id").alias("pos"), F.col("post_date").alias("reviewed_at"))
+    return health.bridge_provenance(p)
+
+
+@query(f"WITH {POSTS} SELECT source_id, title, url, post_date, 'public' AS access FROM p WHERE source = 'patreon'")
+def q_registry_metadata(spark, d):
+    return publish.registry_metadata(_posts(spark, d).where("source = 'patreon'").withColumn("access", F.lit("public")))
+
+
+@query(f"WITH {POSTS} SELECT slug, row_number() OVER (ORDER BY post_date DESC, source_id) - 1 AS place FROM p")
+def q_trusted_order(spark, d):
+    """History by instant, the newest first."""
+    p = _posts(spark, d).select("slug", F.col("source_id").alias("id"), F.col("post_date").alias("date"))
+    ordered = health.trusted_order(p)
+    return rows.numbered(ordered, [rows.Down("instant"), "id"], "place").select("slug", "place")

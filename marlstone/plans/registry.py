@@ -306,10 +306,10 @@ def _members(spark, d):
     return table(spark, d, "documents").select("doc_id", plain(F.col("text")).alias("w")).select("doc_id", F.explode(hits).alias("entity"))
 
 
-@query(f"{_WORDS} SELECT entity, count(*) AS df, sha256(string_agg(doc_id::VARCHAR, ',' ORDER BY doc_id)) AS postings FROM ({_TERM_ROWS}) GROUP BY entity")
+@query(f"{_WORDS} SELECT entity, (sum(count(*)) OVER (PARTITION BY entity))::BIGINT AS df, doc_id // 300 AS chunk, sha256(string_agg(doc_id::VARCHAR, ',' ORDER BY doc_id)) AS postings FROM ({_TERM_ROWS}) GROUP BY entity, doc_id // 300")
 def q_inverted_index(spark, d):
-    p = index.postings(_members(spark, d), "doc_id")
-    return p.select("entity", "df", F.sha2(F.array_join(p.postings.cast("array<string>"), ","), 256).alias("postings"))
+    p = index.postings(_members(spark, d), "doc_id", 300)
+    return p.select("entity", "df", "chunk", F.sha2(F.array_join(p.postings.cast("array<string>"), ","), 256).alias("postings"))
 
 
 def _features(spark, d):

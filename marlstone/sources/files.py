@@ -83,3 +83,12 @@ def stable(first: DataFrame, second: DataFrame) -> DataFrame:
     """Rows by which two passes over a catalogue differ, place included; empty if the catalogue stood still."""
     signed = lambda df: df.select("pos", F.sha2(F.to_json(F.struct(*df.columns)), 256).alias("h"))
     return signed(first).exceptAll(signed(second)).unionByName(signed(second).exceptAll(signed(first)))
+
+
+def markers(pages: DataFrame, html: str = "html") -> DataFrame:
+    """pages with what marks them: title, ids in order of sight, names of meta elements, and the number of inline scripts."""
+    found = lambda p: F.regexp_extract_all(F.col(html), F.lit(p), F.lit(1))
+    return pages.withColumns({
+        "title": F.trim(F.regexp_extract(html, "(?is)<title[^>]*>(.*?)</title>", 1)), "ids": F.array_distinct(found("(?i)<[a-z][^>]*\\sid=[\"']?([A-Za-z0-9_-]+)")), "metas": found("(?i)<meta\\s[^>]*name=[\"']?([A-Za-z0-9:_-]+)"),
+        "inline_scripts": F.size(found("(?is)<script(?:\\s+(?!src)[^>]*)?>(.*?)</script>")),
+    })
