@@ -33,8 +33,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from .common import col, free_name, words_of
-from .near_dedup import CACHE_WORDS, mixed, word_hashes
+from .common import col, free_name
+from .near_dedup import mixed
 
 WINDOW, BLOCK = 35, 18
 #: Bytes of text in a bucket and in a partition of the shuffle; bytes of window hashes in a shard; characters of an automaton.
@@ -42,7 +42,10 @@ BUCKET, PARTITION, SHARD, AUTOMATON = 4 << 20, 16 << 20, 32 << 20, 1_000_000
 
 _BASES = (0x9E3779B97F4A7C15, 0xD1B54A32D192ED03)
 _POWERS: list[list[np.ndarray]] = [[np.ones(1, np.uint64), np.ones(1, np.uint64)] for _ in _BASES]
-_OTHER: dict[bytes, int] = {}
+_LENGTHS = np.uint64(0xC2B2AE3D27D4EB4F)
+_IS_WORD = np.array([b not in b" \t\n\x0b\x0c\r" for b in range(256)])
+#: Bytes that are hashed in one go, and bytes from which on a word is hashed by itself.
+PIECE, LONG_WORD = 1 << 18, 512
 _CANDIDATE = np.uint64(64 - 48)
 
 
@@ -68,13 +71,32 @@ def window_hashes(h: np.ndarray, window: int = WINDOW, base: int = 0) -> np.ndar
     return mixed((run[window:] - run[: n - window + 1]) * down[: n - window + 1])
 
 
-def other_hashes(words: list[bytes]) -> np.ndarray:
-    """A second hash of each word, independent of the first."""
-    if len(_OTHER) > CACHE_WORDS:
-        _OTHER.clear()
-    for w in set(words).difference(_OTHER):
-        _OTHER[w] = xxhash.xxh3_64_intdigest(w, 1)
-    return np.fromiter(map(_OTHER.__getitem__, words), np.uint64, len(words))
+def word_spans(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Where the words of UTF-8 bytes start and end."""
+    inside = np.concatenate([[False], _IS_WORD[np.frombuffer(raw, np.uint8)], [False]])
+    edges = np.flatnonzero(inside[1:] != inside[:-1])
+    return edges[::2], edges[1::2]
+
+
+def word_hashes(raw: bytes, starts: np.ndarray, ends: np.ndarray, base: int = 0) -> np.ndarray:
+    """A hash of each word, all at once: differences of a running sum over bytes, piece by piece. Long words are hashed by themselves."""
+    out = np.zeros(len(starts), np.uint64)
+    data = np.frombuffer(raw, np.uint8)
+    up, down = _powers(PIECE + 1, base)
+    sizes = ends - starts
+    done = 0
+    while done < len(starts):
+        lo = starts[done]
+        end = max(int(np.searchsorted(ends, lo + PIECE, side="right")), done + 1)
+        s, e = starts[done:end] - lo, ends[done:end] - lo
+        if e[-1] <= PIECE:
+            part = data[lo : lo + e[-1]].astype(np.uint64) + np.uint64(1)
+            run = np.concatenate([np.zeros(1, np.uint64), np.cumsum(part * up[: len(part)], dtype=np.uint64)])
+            out[done:end] = mixed((run[e] - run[s]) * down[s] + sizes[done:end].astype(np.uint64) * _LENGTHS)
+        done = end
+    for i in np.flatnonzero(sizes > LONG_WORD).tolist():
+        out[i] = xxhash.xxh64_intdigest(raw[starts[i] : ends[i]], base)
+    return out
 
 
 def _pack(h: np.ndarray, width: int = 8) -> bytes:
@@ -98,33 +120,33 @@ def _has(sorted_: np.ndarray, x: np.ndarray) -> np.ndarray:
 
 
 class Windows:
-    """The windows of a bucket's texts."""
+    """The windows of a bucket's texts, as one stream of words; windows across two texts are left out."""
 
     def __init__(self, texts: list[str | None], window: int):
         self.window = window
-        self.words = [words_of(t) for t in texts]
-        flat = [window_hashes(word_hashes(w), window) for w in self.words]
-        self.offsets = np.concatenate([[0], np.cumsum([len(x) for x in flat])]).astype(np.int64)
-        self.h = np.concatenate(flat) if flat else np.zeros(0, np.uint64)
+        self.raws = [(t or "").encode("utf-8", "surrogatepass") for t in texts]
+        self.stream = b"\n".join(self.raws)
+        self.starts, self.ends = word_spans(self.stream)
+        begins = np.cumsum([0, *(len(r) + 1 for r in self.raws)])
+        self.first = np.searchsorted(self.starts, begins)  # each text's first word, and the end
+        self.text = np.repeat(np.arange(len(texts)), np.diff(self.first))
+        self.at = np.flatnonzero(self.text[: 1 - window or None] == self.text[window - 1 :]) if len(self.text) >= window else np.zeros(0, np.int64)
+        self.h = self._hashes(0)
+
+    def _hashes(self, base: int) -> np.ndarray:
+        return window_hashes(word_hashes(self.stream, self.starts, self.ends, base), self.window, base)[self.at] if len(self.at) else np.zeros(0, np.uint64)
+
+    def words(self) -> list[list[bytes]]:
+        return [r.split() for r in self.raws]
 
     def short(self) -> tuple[np.ndarray, np.ndarray]:
         """Distinct 48-bit hashes, sorted, and their counts."""
         return np.unique(self.h >> _CANDIDATE, return_counts=True)
 
-    def second(self, at: np.ndarray) -> np.ndarray:
-        """The other hash of the windows at these places (sorted); only texts that have some are hashed."""
-        out, pos = np.zeros(len(at), np.uint64), 0
-        text = np.searchsorted(self.offsets, at, side="right") - 1
-        for t in np.unique(text).tolist():
-            end = int(np.searchsorted(text, t, side="right"))
-            out[pos:end] = window_hashes(other_hashes(self.words[t]), self.window, 1)[at[pos:end] - self.offsets[t]]
-            pos = end
-        return out
-
     def pairs(self, candidates: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Both hashes of the distinct windows whose 48-bit hash is a candidate, sorted, and their counts."""
-        at = np.flatnonzero(_has(candidates, self.h >> _CANDIDATE))
-        return distinct_pairs(self.h[at], self.second(at))
+        yes = _has(candidates, self.h >> _CANDIDATE)
+        return distinct_pairs(self.h[yes], self._hashes(1)[yes] if yes.any() else self.h[yes])
 
 
 def distinct_pairs(h: np.ndarray, g: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -216,25 +238,22 @@ def covered_by(texts: list[list[bytes]], passages: list[tuple[int, int, int]], w
     return covered
 
 
-def removed_words(own: Windows, h: np.ndarray, g: np.ndarray, block: int = BLOCK) -> list[np.ndarray]:
+def removed_words(own: Windows, texts: list[list[bytes]], h: np.ndarray, g: np.ndarray, block: int = BLOCK) -> list[np.ndarray]:
     """Of each text of a bucket, the words in windows that are confirmed (sorted first hashes, with the second)."""
-    texts, window = own.words, own.window
     mine = np.flatnonzero(_has(h, own.h))
     if not len(mine):
         return [np.zeros(len(w), bool) for w in texts]
     # of one first hash there may be several second ones
-    mine = mine[_has_pair(h, g, own.h[mine], own.second(mine))]
+    mine = mine[_has_pair(h, g, own.h[mine], own._hashes(1)[mine])]
     _, first = np.unique(own.h[mine], return_index=True)
-    first = np.sort(mine[first])
-    text = np.searchsorted(own.offsets, first, side="right") - 1
-    breaks = np.flatnonzero((np.diff(first) != 1) | (np.diff(text) != 0)) + 1
+    at = np.sort(own.at[mine[first]])
+    breaks = np.flatnonzero((at[1:] - at[:-1] != 1) | (own.text[at[1:]] != own.text[at[:-1]])) + 1
     passages = []
-    for run in np.split(np.arange(len(first)), breaks):
-        if len(run):
-            t = int(text[run[0]])
-            s = int(first[run[0]] - own.offsets[t])
-            passages.append((t, s, s + len(run) - 1 + window))
-    return covered_by(texts, passages, window, block)
+    for a, b in itertools.pairwise([0, *breaks.tolist(), len(at)]) if len(at) else ():
+        t = int(own.text[at[a]])
+        s = int(at[a] - own.first[t])
+        passages.append((t, s, s + b - a - 1 + own.window))
+    return covered_by(texts, passages, own.window, block)
 
 
 def _has_pair(h: np.ndarray, g: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -318,7 +337,8 @@ def remove(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", out:
         h, g = (np.concatenate([np.zeros(0, np.uint64), *(_unpack(b.as_py()) for b in known.column(c))]) for c in ("first", "second"))
         order = np.lexsort((g, h))
         made = []
-        for w, gone in zip(own.words, removed_words(own, h[order], g[order], block)):
+        words = own.words()
+        for w, gone in zip(words, removed_words(own, words, h[order], g[order], block)):
             edge = np.flatnonzero(np.diff(np.concatenate([[False], gone, [False]]).astype(np.int8))).tolist()
             spans = list(zip(edge[::2], edge[1::2]))
             kept, pos = [], 0

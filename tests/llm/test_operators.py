@@ -479,6 +479,22 @@ def test_repeats_of_equal_rows_and_null_ids(spark):
     assert {x.repeats_.n_words for x in got} == {50, 0}
 
 
+def test_words_are_hashed_alike_in_any_piece(monkeypatch):
+    r = random.Random(16)
+    text = "".join(r.choice(["ab", "a", "é", " ", "\n", "\t ", "x" * 40, "y" * 700]) for _ in range(3000)).encode()
+    starts, ends = repeats.word_spans(text)
+    words = [text[a:b] for a, b in zip(starts.tolist(), ends.tolist())]
+    assert words == text.split() and len(repeats.word_spans(b"")[0]) == len(repeats.word_spans(b" \n")[0]) == 0
+    for base in (0, 1):
+        whole = repeats.word_hashes(text, starts, ends, base).tolist()
+        assert len(set(zip(words, whole))) == len(set(words)) == len(set(whole))
+        monkeypatch.setattr(repeats, "PIECE", 64)
+        assert repeats.word_hashes(text, starts, ends, base).tolist()[:1] == whole[:1]
+        got = repeats.word_hashes(text, starts, ends, base).tolist()
+        assert all(g == w for g, w, x in zip(got, whole, words) if len(x) <= 64 or len(x) > repeats.LONG_WORD)
+        monkeypatch.undo()
+
+
 def test_confirmation_by_pairs_of_hashes():
     import numpy as np
 
