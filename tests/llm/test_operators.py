@@ -163,6 +163,8 @@ def test_packing_is_whole_and_tight(spark, tokens_path):
         assert sum(p.length for p in ps) <= packing.LENGTH
     assert sum(p.length for p in rows) > 0.97 * packing.LENGTH * (len(seq) - 1)
     assert packing.pack(empty(spark), tokens_path).count() == 0
+    odd = packing.pack(awkward(spark).select(F.col("doc_id").alias("start"), "text", F.lit(1).alias("offset")), tokens_path, id_col="start")
+    assert odd.columns[:2] == ["start_", "start"] and {r.start_ for r in odd.collect()} == {0, 1, 2, 3, None, 5, 6, 7, 8}
 
 
 def test_best_fit_takes_the_tightest_window():
