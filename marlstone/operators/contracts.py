@@ -72,6 +72,7 @@ def evidence(observations: DataFrame) -> DataFrame:
     return violations(observations, F.concat_ws("#", "article_url", F.substring(F.sha2(d, 256), 1, 8)), {
         "instruments": same(F.col("instruments"), O.instruments(d)), "direction": same(F.col("direction"), O.direction(d)), "quantities": same(F.col("any_quant_detail"), O.quantities(d)),
         "outcome": same(F.col("outcome_if_mentioned"), O.outcome(d)), "thesis": same(F.col("edge_or_thesis"), O.thesis(d)), "length": F.length(d).between(51, 800),
+        "underlying": same(F.col("underlying"), O.underlying(d)), "fund": same(F.col("fund_name_if_mentioned"), F.coalesce(O.fund(d), O.fund(F.col("article_title")))), "truncated": F.col("description_truncated").isNotNull(),
     })
 
 
@@ -137,3 +138,17 @@ def member_access(df: DataFrame) -> DataFrame:
     """df with member: whether a post is for paying members, by the words of its own source."""
     c = F.col
     return df.withColumn("member", F.coalesce(((c("source") == "substack") & (c("audience") == "only_paid")) | ((c("source") == "medium") & (F.upper("visibility") == "LOCKED")), F.lit(False)))
+
+
+def snapshot(posts: DataFrame, share: float = 0.97) -> DataFrame:
+    """Posts that aren't published, full ones that hold too few of their declared words, and previews that aren't the body."""
+    c, p = F.col, F.col("member_preview")
+    words = F.regexp_count(F.coalesce("body_text", F.lit("")), F.lit("\\S+"))
+    return violations(posts, c("slug"), {"published": c("is_published"), "captured words": (c("content_status") != "full") | (words >= F.ceil(share * c("wordcount"))), "preview is the body": p.isNull() | (p.text == c("body_text"))})
+
+
+def empty_briefs(articles: DataFrame) -> DataFrame:
+    """Rows that only a registry knows and whose brief isn't the empty one."""
+    b = F.col("brief")
+    nothing = lambda xs: F.coalesce(F.size(xs), F.lit(0)) == 0
+    return violations(articles.where("content_status = 'registry'"), F.col("slug"), {"brief is there": b.isNotNull(), "brief is empty": b.lead.isNull() & b.fallback_evidence.isNull() & nothing(b.sections) & nothing(b.checkpoints), "digest of nothing": b.body_sha256 == F.sha2(F.lit(""), 256)})

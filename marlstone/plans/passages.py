@@ -8,7 +8,7 @@ from .. import lexicon as L
 from ..functions import observe as O
 from ..functions import text as X
 from ..functions import urls as U
-from ..functions.briefs import SPAN
+from ..functions.briefs import SPAN, brief
 from ..functions.text_udf import normalized_words, strip_html
 from ..operators import contracts, health, index, link, observations, posts, publish, release, rows, search, taxonomy, threads
 from ..session import table
@@ -479,3 +479,38 @@ def q_trusted_order(spark, d):
     p = _posts(spark, d).select("slug", F.col("source_id").alias("id"), F.col("post_date").alias("date"))
     ordered = health.trusted_order(p)
     return rows.numbered(ordered, [rows.Down("instant"), "id"], "place").select("slug", "place")
+
+
+@query(f"WITH p0 AS (SELECT doc_id, 'slug-' || doc_id AS slug, doc_id % 17 <> 0 AS published, CASE WHEN doc_id % 2 = 0 THEN 'full' ELSE 'excerpt' END AS st, len(regexp_extract_all(coalesce(text, ''), '\\S+')) AS n, CASE WHEN doc_id % 6 = 0 THEN 1.1 ELSE 1.0 END AS f FROM documents), p AS (SELECT *, CAST(ceil(n * f) AS BIGINT) AS declared FROM p0) SELECT 'published' AS rule, slug AS key FROM p WHERE NOT published UNION ALL SELECT 'captured words', slug FROM p WHERE st = 'full' AND n < ceil(0.97 * declared) UNION ALL SELECT 'preview is the body', slug FROM p WHERE doc_id % 5 = 0 AND doc_id % 10 = 0")
+def q_snapshot_contract(spark, d):
+    """Posts that aren't published, miss words they declare, or show something other than their preview."""
+    i = F.col("doc_id")
+    n = F.regexp_count(F.coalesce("text", F.lit("")), F.lit("\\S+"))
+    preview = F.struct(F.concat(F.coalesce("text", F.lit("")), F.when(i % 10 == 0, "?").otherwise("")).alias("text"))
+    p = table(spark, d, "documents").select(
+        F.concat(F.lit("slug-"), i.cast("string")).alias("slug"), (i % 17 != 0).alias("is_published"), F.when(i % 2 == 0, "full").otherwise("excerpt").alias("content_status"), F.ceil(n * F.when(i % 6 == 0, F.lit(1.1)).otherwise(F.lit(1.0))).alias("wordcount"),
+        F.coalesce("text", F.lit("")).alias("body_text"), F.when(i % 5 == 0, preview).alias("member_preview"),
+    )
+    return contracts.snapshot(p)
+
+
+@query("SELECT CASE WHEN n_nationkey % 4 = 0 THEN 'brief is empty' ELSE 'digest of nothing' END AS rule, n_name AS key FROM nation WHERE n_nationkey % 2 = 0 AND (n_nationkey % 4 = 0 OR n_nationkey % 6 = 2)")
+def q_empty_briefs(spark, d):
+    """Registry rows whose brief says something."""
+    k = F.col("n_nationkey")
+    none = brief(F.when(k % 4 != 0, "").otherwise(""), F.lit(""), F.lit("2024-01-01"))
+    n = table(spark, d, "nation").select(k, F.col("n_name").alias("slug"), F.when(k % 2 == 0, "registry").otherwise("current").alias("content_status"), none.alias("brief"))
+    span = F.struct(F.lit("x").alias("text"), F.lit(0).alias("start"), F.lit(1).alias("end"), F.lit("").alias("sha256"), F.lit(False).alias("truncated")).cast(SPAN)
+    b = F.col("brief")
+    told = b.withField("lead", F.when(k % 4 == 0, span)).withField("body_sha256", F.when((k % 6 == 2) & (k % 4 != 0), "no").otherwise(b.body_sha256))
+    return contracts.empty_briefs(n.withColumn("brief", told))
+
+
+@query("SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN 'long' WHEN o_orderkey % 3 = 1 AND o_orderkey % 2 = 0 THEN ['short', 'long/short'][o_orderkey % 4 // 2 + 1] ELSE 'unspecified' END AS direction FROM orders")
+def q_resolved_directions(spark, d):
+    """Directions that were not specified, filled from a table of labels by digest; denied ones stay."""
+    k = F.col("o_orderkey")
+    text = F.concat(F.when(k % 3 == 0, "It went long oil. ").when(k % 3 == 1, "It took a view on oil. ").otherwise("It never went long oil. "), k.cast("string"))
+    o = table(spark, d, "orders").select(k, text.alias("trade_description"))
+    cache = o.where(k % 2 == 0).select(F.sha2("trade_description", 256).alias("digest"), F.when(k % 4 == 0, "short").otherwise("long/short").alias("label"))
+    return observations.resolve_directions(o.withColumn("direction", O.direction(F.col("trade_description"))), cache).select("o_orderkey", "direction")

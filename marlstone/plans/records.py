@@ -423,3 +423,35 @@ def q_private_keys(spark, d):
     nested = F.concat(F.lit('{"a":[{"email":"x"},{"b":{"Pass-Word":1}}],"said":"no \\"phone\\": here","k":'), F.col("event_id").cast("string"), F.lit("}"))
     e = table(spark, d, "events").select(nested.alias("j"), F.create_map(F.lit("to.ken"), F.lit("1"), F.lit("ip"), F.lit("2")).alias("m"))
     return contracts.private_keys(e, ["j", "m"])
+
+
+# Links
+
+
+@query(f"WITH {_TWINS}, l AS (SELECT 'm' || k AS l_id, md5(c::VARCHAR) AS t, day FROM o WHERE st = 'O'), r AS (SELECT 's' || k AS r_id, md5(c::VARCHAR) AS t, day FROM o WHERE st = 'F'), j AS (SELECT l_id, r_id, count(*) OVER (PARTITION BY l_id) AS n FROM l JOIN r USING (t) WHERE abs(date_diff('day', l.day::DATE, r.day::DATE)) <= 3) SELECT l_id, r_id FROM j WHERE n = 1")
+def q_similar_titles(spark, d):
+    """The most similar title within three days, if it leads: of titles alike only in small words none does, of two equal ones neither."""
+    o = table(spark, d, "orders").select(F.col("o_orderkey").cast("string").alias("k"), "o_orderstatus", F.concat(F.lit("on "), F.md5(F.col("o_custkey").cast("string")), F.lit(" now")).alias("title_key"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("day"))
+    left = o.where("o_orderstatus = 'O'").select(F.concat(F.lit("m"), "k").alias("l_id"), "title_key", F.col("day").alias("l_date"))
+    right = o.where("o_orderstatus = 'F'").select(F.concat(F.lit("s"), "k").alias("r_id"), "title_key", F.col("day").alias("r_date"))
+    return link.fuzzy_match(left, right)
+
+
+@query(f"""WITH {_TWINS}, m AS (SELECT k, 'm' || k AS l_id, md5(c::VARCHAR) AS t, c, day FROM o WHERE k % 3 = 0), s AS (SELECT k, 's' || k AS r_id, CASE WHEN k % 2 = 0 THEN md5(c::VARCHAR) ELSE md5('x' || k) END AS t, c, day FROM o WHERE k % 3 = 1),
+near AS (SELECT l_id, r_id, m.t = s.t AS title, m.c = s.c AS sub, abs(date_diff('day', m.day::DATE, s.day::DATE)) AS days FROM m JOIN s ON (m.t = s.t OR m.c = s.c) WHERE abs(date_diff('day', m.day::DATE, s.day::DATE)) <= 7),
+steps AS (SELECT l_id, r_id, 'explicit-link' AS reason, 0 AS prio FROM m JOIN s ON s.k = m.k + 1 WHERE m.k % 5 = 0
+  UNION ALL SELECT l_id, r_id, 'normalized-title-and-date', 1 FROM (SELECT *, count(*) OVER (PARTITION BY l_id) AS n FROM near WHERE title) WHERE n = 1
+  UNION ALL SELECT l_id, r_id, 'reviewed-override', 3 FROM m JOIN s ON s.k = m.k + 4 WHERE m.k % 7 = 0
+  UNION ALL SELECT l_id, r_id, 'subtitle-and-date', 4 FROM (SELECT *, count(*) OVER (PARTITION BY l_id) AS n FROM near WHERE sub) WHERE n = 1),
+sure AS (SELECT * FROM steps QUALIFY row_number() OVER (PARTITION BY l_id ORDER BY prio, r_id) = 1)
+SELECT l_id, r_id, reason FROM sure UNION ALL SELECT l_id, r_id, 'title-similarity-and-date' FROM (SELECT *, count(*) OVER (PARTITION BY l_id) AS n FROM near WHERE title AND days <= 3 AND l_id NOT IN (SELECT l_id FROM sure)) WHERE n = 1""")
+def q_matched_posts(spark, d):
+    """Posts of one publication matched with another's by the whole ladder: link, title, reviewed pair, subtitle, similarity."""
+    k = F.col("k")
+    o = table(spark, d, "orders").select(F.col("o_orderkey").alias("k"), F.md5(F.col("o_custkey").cast("string")).alias("c"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("post_date"))
+    key = lambda prefix, n: F.concat(F.lit(prefix), (k + n).cast("string"))
+    sub = F.concat(F.lit("A subtitle that has sixty characters, or more, for customer "), "c")
+    medium = o.where(k % 3 == 0).select(key("m", 0).alias("medium_id"), "post_date", F.col("c").alias("title"), F.lit(None).cast("string").alias("display_title"), sub.alias("subtitle"), F.when(k % 5 == 0, key("s", 1)).alias("mirror_substack_slug"))
+    substack = o.where(k % 3 == 1).select(key("s", 0).alias("slug"), "post_date", F.when(k % 2 == 0, F.col("c")).otherwise(F.md5(F.concat(F.lit("x"), k.cast("string")))).alias("title"), sub.alias("subtitle"))
+    reviewed = o.where((k % 3 == 0) & (k % 7 == 0)).select(key("m", 0).alias("medium_id"), key("s", 4).alias("substack_slug"))
+    return link.match_posts(medium, substack, reviewed)

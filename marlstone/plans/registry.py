@@ -501,7 +501,7 @@ def q_briefs(spark, d):
     return b.select("doc_id", "b.body_sha256", F.col("b.lead.text").alias("lead"), F.col("b.lead.start").alias("lead_start"), F.size("b.sections").alias("sections"), F.col("b.fallback_evidence.text").alias("evidence"))
 
 
-@query()
+@query("SELECT conv_id, turn, CASE WHEN turn % 3 = 0 THEN 'unspecified' ELSE 'short' END AS direction, turn % 3 < 2 AS negation_risk FROM conversations")
 def q_negation(spark, d):
     """Directions of passages; turns of conversations stand in for passages."""
     t = F.concat(F.when(F.col("turn") % 3 == 0, "The fund never went long oil. ").when(F.col("turn") % 3 == 1, "It was not long oil but went short airline stocks. ").otherwise("It bought puts on the index. "), F.coalesce("text", F.lit("")))
