@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -14,3 +17,13 @@ def local(cores: int | str = "*", memory: str = "12g", partitions: int = 8) -> S
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def landing(spark: SparkSession, tag: str) -> str:
+    """A fresh folder that all executors see: in spark.checkpoint.dir, or a local one in local mode."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not root:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        root = "file://" + tempfile.mkdtemp(prefix="marlstone-")
+    return f"{root.rstrip('/')}/{tag}-{uuid.uuid4().hex}"
