@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import re
 import struct
+from array import array
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -27,14 +28,14 @@ END_ID = 1
 #: Tokens, and pieces, that a task holds before it packs them.
 GROUP_TOKENS, GROUP_PIECES = 8_000_000, 200_000
 #: Words whose ids a worker remembers before it starts anew.
-CACHE_WORDS, CACHE_PLAIN = 200_000, 100_000
+CACHE_WORDS, CACHE_PLAIN = 600_000, 300_000
 
 
 class WordTokenizer:
     """Ids of texts from a tokenizer file whose tokens never cross white space, as little-endian unsigned 32-bit bytes.
 
     The pre-tokenizer drops white space and its pattern can't cross it, so the ids of a text are those of its words in turn;
-    each word's bytes are remembered. A plain ASCII word goes straight to the model, with . or , behind it taken apart.
+    each word's bytes are remembered. A plain word goes straight to the model, in the runs that the pre-tokenizer would cut.
     """
 
     def __init__(self, path: str):
@@ -42,7 +43,7 @@ class WordTokenizer:
 
         self.tok = Tokenizer.from_file(path)
         self.cache: dict[bytes, bytes] = {}
-        self.plain: dict[bytes, bytes] = {}
+        self.plain: dict[str, bytes] = {}
 
     def _of(self, text: str) -> bytes:
         ids = self.tok.encode(text, add_special_tokens=False).ids
@@ -62,20 +63,25 @@ class WordTokenizer:
             return b"".join(map(self.cache.__getitem__, words))
 
     def _word(self, w: bytes) -> bytes:
-        if not _PLAIN(w):
-            return self._of(w.decode("utf-8", "surrogatepass"))
-        end = w[-1:] if w[-1:] in b".," else b""
-        out = b""
-        for part in (w[: len(w) - len(end)].lower(), end):
-            if part:
-                if part not in self.plain:
-                    ids = [t.id for t in self.tok.model.tokenize(part.decode())]
-                    self.plain[part] = struct.pack(f"<{len(ids)}I", *ids)
-                out += self.plain[part]
-        return out
-
-
-_PLAIN = re.compile(rb"[A-Za-z]+[.,]?").fullmatch
+        if _PLAIN(w):
+            parts = _PARTS(w)
+            return self._part(w) if len(parts) == 1 else b"".join(map(self._part, parts))
+        return self._of(w.decode("utf-8", "surrogatepass"))
+
+    def _part(self, raw: bytes) -> bytes:
+        """What the pre-tokenizer gives of a plain word: a run of letters, a digit, or a run of signs. The model takes bytes as letters of its own."""
+        low = raw.decode().lower()
+        if (ids := self.plain.get(low)) is None:
+            letters = low if raw.isascii() else low.encode().decode("latin-1").translate(_LETTERS)
+            ids = self.plain[low] = array("I", [t.id for t in self.tok.model.tokenize(letters)]).tobytes()
+        return ids
+
+
+#: ASCII signs but ' and <, which may start more than a run, and the letters of Latin-1.
+_PLAIN = re.compile(rb"(?:[!-&(-;=-~]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+").fullmatch
+_PARTS = re.compile(rb"(?:[A-Za-z]|\xc3[\x80-\xbf])+|[0-9]|[^A-Za-z0-9\xc3]+").findall
+# Bytes that have no letter of their own in Latin-1 stand for those from 256 on, in their order.
+_LETTERS = {b: 256 + n for n, b in enumerate([*range(33), *range(127, 161), 173])}
 _TOKENIZERS: dict[str, WordTokenizer] = {}
 
 

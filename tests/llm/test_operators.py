@@ -1,6 +1,7 @@
 """Each operator against a plain restatement, and on awkward input."""
 
 import gzip
+import hashlib
 import math
 import os
 import random
@@ -134,7 +135,9 @@ def test_word_tokenizer_agrees_with_the_library(tokens_path):
     t = Tokenizer.from_file(tokens_path)
     r = random.Random(3)
     pieces = ["Hello,", "it's", "don't", "ABC.", "x1y2", "é", "ÉCOLE", "ΣΑΣ", "á", "<|endoftext|>", "a<|startoftext|>b", " ", "漢字", "...", "'s", "İx", "é̂", "wo‍rd", "ß."]
-    texts = ["".join(r.choice([*pieces, " ", "\n", "\t", "  "]) for _ in range(30)) for _ in range(300)] + [x or "" for x in AWKWARD]
+    pieces += ["".join(map(chr, range(33, 127))), "".join(map(chr, range(0xC0, 0x100))), "ÀÉß×÷ÿÞ", "œŒŸ", "a_b-c", "12x***", "@#$%^&", "\"q\"", "<", "|", "é1.", "x<|y"]
+    texts = ["".join(r.choice([*pieces, " ", "\n", "\t", "  "]) for _ in range(30)) for _ in range(600)]
+    texts += ["".join(chr(r.choice([r.randrange(33, 127), r.randrange(0xA0, 0x180)])) for _ in range(40)) for _ in range(300)] + [x or "" for x in AWKWARD]
     tok = packing.tokenizer(tokens_path)
     for text in texts:
         ids = t.encode(text, add_special_tokens=False).ids
@@ -540,6 +543,18 @@ def test_chat_folds_and_reads_back(spark):
     assert chat.read_back(chat.render(chat.fold(events.where("false")))).count() == 0
 
 
+def test_long_conversations_are_streamed(spark):
+    r = random.Random(18)
+    turns = [(5, k, "user" if k % 2 == 0 else "assistant", prose(r, r.choice([0, 3, 400]), 10**5) + ("</s>" if k % 50 == 0 else "")) for k in range(1500)] + [(6, 0, "user", "x" * 300_000), (6, 1, "assistant", None)]
+    log = chat.events_of(spark.createDataFrame(turns, "conv_id long, turn long, role string, text string"))
+    got = {x.conv_id: x for x in chat.read_back(chat.render(chat.fold(log), part_chars=50_000)).collect()}
+    for c in (5, 6):
+        own = [(role, text or "") for conv, _, role, text in turns if conv == c]
+        said = "".join(t for role, t in own if role == "assistant")
+        assert got[c].n_turns == len(own) and got[c].turns_sha256 == hashlib.sha256("".join(f"{a}\n{b}\n" for a, b in own).encode()).hexdigest()
+        assert got[c].loss_chars == len(said) and got[c].loss_sha256 == hashlib.sha256(said.encode()).hexdigest()
+
+
 def test_chat_escape_is_reversible():
     r = random.Random(12)
     bits = [*chat.TEMPLATE.controls, "\\", "-", "<", "/", "s>", "[", "INST]", "a", "\\-"]
