@@ -343,7 +343,7 @@ def q_stubs(spark, d):
     return release.stubs(p, "https://s").select("path", F.sha2("html", 256).alias("html")).join(entries, "path")
 
 
-@query(f"WITH {POSTS} SELECT 1 AS schema_version, 'substack' AS source, '2025-01-01' AS checked_at, 'ok' AS status, 'live' AS mode, count(*) AS fetched_count, 100 AS published_count, max(post_date) AS newest, '' AS error FROM p WHERE source = 'substack'")
+@query(f"WITH {POSTS} SELECT 1 AS schema_version, 'substack' AS source, '2025-01-01' AS checked_at, CASE WHEN count(*) < 100 THEN 'degraded' ELSE 'ok' END AS status, CASE WHEN count(*) < 100 THEN 'cache' ELSE 'live' END AS mode, count(*) AS fetched_count, 100 AS published_count, max(post_date) AS newest, '' AS error FROM p WHERE source = 'substack'")
 def q_fetch_status(spark, d):
     return release.fetch_status(_posts(spark, d).where("source = 'substack'"), "substack", "2025-01-01", 100)
 
