@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, html_main, near_dedup, packing, pii, quality, repeats, toxicity, warc
-from .common import table
+from . import chat, decontaminate, html_main, near_dedup, packing, periods, pii, quality, repeats, toxicity, warc
+from .common import SPACE, let, table
 
 
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -145,5 +145,53 @@ SELECT doc_id, len(ws)::BIGINT AS n_words, (len(ws) - coalesce(n, 0))::BIGINT AS
 """
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_warc_derivatives, op2_packing, op3_pii, op4_html_extraction, op5_toxicity, op6_substring_dedup, op7_chat_formatting, op8_quality_rules, op9_minhash_near_dedup, op10_decontamination)}
-SQL: dict[str, str] = {"op6_substring_dedup": OP6_SQL, "op7_chat_formatting": OP7_SQL, "op8_quality_rules": OP8_SQL, "op10_decontamination": OP10_SQL}
+def planted(docs: DataFrame) -> DataFrame:
+    """Documents in which one in ten, by the checksum of its id, goes over into a period of its own words."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    g = F.floor(h / 10)
+
+    def tail(words):
+        n = F.size(words).cast("long")
+        return let(F.struct(n.alias("n"), (g % n).alias("a")), lambda x: let(1 + F.floor((x.n - x.a) / (3 + g % 8)), lambda p: F.array_join(F.transform(F.sequence(F.lit(0).cast("long"), x.n - 1), lambda i: F.get(words, F.when(i < x.a, i).otherwise(x.a + (i - x.a) % p).cast("int"))), " ")))
+
+    words = F.filter(F.split("text", SPACE + "+"), lambda w: w != "")
+    has = F.col("text").rlike("[^\\x20\\x09-\\x0D]")
+    return docs.select("doc_id", F.when((h % 10 == 0) & has, let(words, tail)).otherwise(F.col("text")).alias("text"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    runs = F.col("periods").runs
+    longest = F.array_max(F.transform(runs, lambda r: F.struct(r.length.alias("length"), (-r.start).alias("start"), (-r.period).alias("period"))))
+    lines = F.array_join(F.transform(runs, lambda r: F.concat_ws(",", r.start.cast("string"), r.length.cast("string"), F.concat(r.period.cast("string"), F.lit("\n")))), "")
+    found = periods.runs(planted(table(spark, sf_dir, "documents").select("doc_id", "text"))).withColumn("x", longest)
+    return found.select(
+        "doc_id", F.size(runs).cast("long").alias("n_runs"), (-F.col("x").start).alias("start"), F.col("x").length.alias("length"), (-F.col("x").period).alias("period"),
+        F.floor(1000 * F.col("x").length / -F.col("x").period).alias("exponent_milli"), F.sha2(lines, 256).alias("runs_sha256"), F.sha2(F.col("periods").collapsed, 256).alias("collapsed_sha256"),
+    )
+
+
+OP13_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws,
+         xor(4294967295, list_reduce([4294967295] || list_transform(string_split(doc_id::VARCHAR, ''), lambda x: ord(x)::BIGINT),
+           lambda c, x: list_reduce([xor(c, x)] || range(8), lambda v, k: CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END))) AS h FROM documents),
+a AS (SELECT *, len(ws) AS n, (h // 10) % greatest(len(ws), 1) AS a, (h // 10) % 8 + 3 AS parts FROM d),
+t AS (
+  SELECT r, doc_id, n, CASE WHEN coalesce(h % 10 = 0 AND n > 0, false) THEN list_transform(range(n), lambda i: ws[CASE WHEN i < a THEN i ELSE a + (i - a) % (1 + (n - a) // parts) END + 1]) ELSE ws END AS ws FROM a),
+w AS (SELECT r, n, i, ws[i + 1] AS word FROM t, unnest(range(n)) AS u(i)),
+e AS (SELECT x.r, y.i - x.i AS q, x.i FROM w x JOIN w y ON x.r = y.r AND x.word = y.word AND x.i < y.i AND 2 * (y.i - x.i) <= x.n),
+isl AS (SELECT r, q, i, i - row_number() OVER (PARTITION BY r, q ORDER BY i) AS k FROM e),
+st AS (SELECT r, q, min(i) AS s, count(*) + q AS len FROM isl GROUP BY r, q, k HAVING count(*) + q >= greatest(12, 2 * q)),
+runs AS (SELECT r, s, len, min(q) AS q FROM st GROUP BY r, s, len),
+top AS (SELECT r, count(*) AS n_runs, first(s ORDER BY len DESC, s, q) AS s, first(len ORDER BY len DESC, s, q) AS len, first(q ORDER BY len DESC, s, q) AS q,
+               string_agg(s || ',' || len || ',' || q || chr(10), '' ORDER BY s, q) AS lines FROM runs GROUP BY r),
+gone AS (SELECT DISTINCT r, i FROM runs, unnest(range(s + q, s + len)) AS u(i)),
+kept AS (SELECT w.r, string_agg(word, ' ' ORDER BY w.i) AS words FROM w ANTI JOIN gone ON w.r = gone.r AND w.i = gone.i GROUP BY w.r)
+SELECT doc_id, coalesce(n_runs, 0)::BIGINT AS n_runs, s::BIGINT AS start, len::BIGINT AS length, q::BIGINT AS period, (1000 * len // q)::BIGINT AS exponent_milli,
+       sha256(coalesce(lines, '')) AS runs_sha256, sha256(coalesce(words, '')) AS collapsed_sha256
+FROM t LEFT JOIN top USING (r) LEFT JOIN kept USING (r)
+"""
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_warc_derivatives, op2_packing, op3_pii, op4_html_extraction, op5_toxicity, op6_substring_dedup, op7_chat_formatting, op8_quality_rules, op9_minhash_near_dedup, op10_decontamination, op13_periodic_runs)}
+SQL: dict[str, str] = {"op6_substring_dedup": OP6_SQL, "op7_chat_formatting": OP7_SQL, "op8_quality_rules": OP8_SQL, "op10_decontamination": OP10_SQL, "op13_periodic_runs": OP13_SQL}
