@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, html_main, near_dedup, packing, periods, pii, quality, repeats, toxicity, warc
+from . import chat, decontaminate, html_main, near_dedup, packing, periods, pii, quality, ranked, repeats, toxicity, warc
 from .common import SPACE, let, table
 
 
@@ -159,6 +159,24 @@ def planted(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", F.when((h % 10 == 0) & has, let(words, tail)).otherwise(F.col("text")).alias("text"))
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked.search(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
+
+
+OP11_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents),
+b AS (SELECT row_number() OVER () AS b, item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM benchmark),
+q AS (SELECT b, term, count(*) AS times FROM (SELECT b, unnest(ws) AS term FROM b) GROUP BY b, term),
+al AS (SELECT count(*) AS n, sum(len(ws))::BIGINT AS l FROM d WHERE len(ws) > 0),
+m AS (SELECT r, 25 + (75 * len(ws) * n) // l AS m FROM d, al WHERE len(ws) > 0),
+p AS (SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(ws) AS term FROM d) WHERE term IN (SELECT term FROM q) GROUP BY r, term),
+w AS (SELECT term, floor(1000 * ln((2 * n + 2)::DOUBLE / (2 * df + 1)))::BIGINT AS w FROM (SELECT term, count(*) AS df FROM p GROUP BY term), al),
+s AS (SELECT b, r, sum(times * w * ((1000000000 * tf) // (1000 * tf + 8 * m)))::BIGINT AS score FROM p JOIN q USING (term) JOIN w USING (term) JOIN m USING (r) GROUP BY b, r),
+k AS (SELECT b, doc_id, score, row_number() OVER (PARTITION BY b ORDER BY score DESC, doc_id) AS rank FROM s JOIN d USING (r) WHERE score > 0)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM k JOIN b USING (b) WHERE rank <= 10
+"""
+
+
 def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     runs = F.col("periods").runs
     longest = F.array_max(F.transform(runs, lambda r: F.struct(r.length.alias("length"), (-r.start).alias("start"), (-r.period).alias("period"))))
@@ -193,5 +211,5 @@ FROM t LEFT JOIN top USING (r) LEFT JOIN kept USING (r)
 """
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_warc_derivatives, op2_packing, op3_pii, op4_html_extraction, op5_toxicity, op6_substring_dedup, op7_chat_formatting, op8_quality_rules, op9_minhash_near_dedup, op10_decontamination, op13_periodic_runs)}
-SQL: dict[str, str] = {"op6_substring_dedup": OP6_SQL, "op7_chat_formatting": OP7_SQL, "op8_quality_rules": OP8_SQL, "op10_decontamination": OP10_SQL, "op13_periodic_runs": OP13_SQL}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_warc_derivatives, op2_packing, op3_pii, op4_html_extraction, op5_toxicity, op6_substring_dedup, op7_chat_formatting, op8_quality_rules, op9_minhash_near_dedup, op10_decontamination, op11_ranked_search, op13_periodic_runs)}
+SQL: dict[str, str] = {"op6_substring_dedup": OP6_SQL, "op7_chat_formatting": OP7_SQL, "op8_quality_rules": OP8_SQL, "op10_decontamination": OP10_SQL, "op11_ranked_search": OP11_SQL, "op13_periodic_runs": OP13_SQL}
