@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, html_main, near_dedup, packing, periods, pii, quality, ranked, repeats, toxicity, warc
+from . import chat, decontaminate, html_main, language, near_dedup, packing, periods, pii, quality, ranked, repeats, toxicity, warc
 from .common import SPACE, let, table
 
 
@@ -145,6 +145,13 @@ SELECT doc_id, len(ws)::BIGINT AS n_words, (len(ws) - coalesce(n, 0))::BIGINT AS
 """
 
 
+def op12_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = F.coalesce(language.remainder() == 2, F.lit(False))
+    models = language.train(language.sample(docs.where(~held_out).select("text", "lang")))
+    return language.identify(docs.select("doc_id", "text", held_out.alias("held_out")), models).select("doc_id", "held_out", F.col("language.lang").alias("lang_pred"), F.round("language.score", 6).alias("score"))
+
+
 def planted(docs: DataFrame) -> DataFrame:
     """Documents in which one in ten, by the checksum of its id, goes over into a period of its own words."""
     h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
@@ -211,5 +218,5 @@ FROM t LEFT JOIN top USING (r) LEFT JOIN kept USING (r)
 """
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_warc_derivatives, op2_packing, op3_pii, op4_html_extraction, op5_toxicity, op6_substring_dedup, op7_chat_formatting, op8_quality_rules, op9_minhash_near_dedup, op10_decontamination, op11_ranked_search, op13_periodic_runs)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_warc_derivatives, op2_packing, op3_pii, op4_html_extraction, op5_toxicity, op6_substring_dedup, op7_chat_formatting, op8_quality_rules, op9_minhash_near_dedup, op10_decontamination, op11_ranked_search, op12_language_id, op13_periodic_runs)}
 SQL: dict[str, str] = {"op6_substring_dedup": OP6_SQL, "op7_chat_formatting": OP7_SQL, "op8_quality_rules": OP8_SQL, "op10_decontamination": OP10_SQL, "op11_ranked_search": OP11_SQL, "op13_periodic_runs": OP13_SQL}
