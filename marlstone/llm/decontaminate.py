@@ -6,8 +6,9 @@ the window length, or that are a whole shorter item, are hits. Texts are never s
 read once, block by block; the texts are streamed through each block's automaton in turn, and only the rows with hits are joined.
 No machine ever holds more than one block or one automaton.
 
-Defined results: null text has no words and is clean; null items are ignored; an item with no words matches nothing; repeated
-items and repeated rows are kept, each judged for itself; items under one id are one item in the counts.
+Defined results: null text has no words and is clean; an item with no words (or a null text) matches nothing; the words of an item
+without id are found like any other's, but there is no id to list or count; repeated items and repeated rows are kept, each judged
+for itself; items under one id are one item in the counts.
 """
 
 from __future__ import annotations
@@ -48,13 +49,13 @@ class Automaton:
     for the last window words of any string of s, and items[s] holds the items in which that string occurs.
     """
 
-    def __init__(self, items: Iterable[tuple[str, list[bytes]]], window: int = WINDOW):
+    def __init__(self, items: Iterable[tuple[str | None, list[bytes]]], window: int = WINDOW):
         self.window = window
         self.ids: dict[bytes, int] = {}
         self.next: list[dict[int, int]] = [{}]
         self.link, self.len = [-1], [0]
-        self.own: list[set[str]] = [set()]
-        ends: list[tuple[int, int, str]] = []
+        self.own: list[set[str | None]] = [set()]
+        ends: list[tuple[int, int, str | None]] = []
         for name, words in items:
             if not words:
                 continue
@@ -69,14 +70,14 @@ class Automaton:
             self.own[self.link[s]] |= self.own[s]
         self.own[0] = set()
         #: whole short items: by state, (length, item), for the state itself and all its suffixes
-        whole: dict[int, list[tuple[int, str]]] = {}
+        whole: dict[int, list[tuple[int, str | None]]] = {}
         for s, n, name in ends:
             whole.setdefault(s, []).append((n, name))
         self.tops, self.short = [0] * len(self.len), [()] * len(self.len)
         for s in order[1:]:
             up = self.link[s]
             self.tops[s] = s if self.len[up] < window else self.tops[up]
-            self.short[s] = self.short[up] + tuple(sorted(set(whole.get(s, ()))))
+            self.short[s] = self.short[up] + tuple(sorted(set(whole.get(s, ())), key=str))
         self.least = min([window, *(n for _, n, _ in ends)])
 
     def _add(self, last: int, c: int) -> int:
@@ -115,7 +116,7 @@ class Automaton:
         """Merged spans of words inside an occurrence of a window, and the items whose windows occur."""
         spans: list[tuple[int, int]] = []
         found: set[int] = set()
-        items: set[str] = set()
+        items: set[str | None] = set()
         nxt, link, length, window, least = self.next, self.link, self.len, self.window, self.least
         state = n = 0
         for i, c in enumerate(map(self.ids.get, words)):
@@ -149,7 +150,7 @@ class Automaton:
                 spans.append((start, i + 1))
         for s in found:
             items |= self.own[s]
-        return spans, items
+        return spans, items - {None}
 
 
 def _merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -162,10 +163,10 @@ def _merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def _blocks(benchmark: DataFrame, item_col: str, text_col: str, most: int, window: int) -> Iterator[list[tuple[str, bytes]]]:
+def _blocks(benchmark: DataFrame, item_col: str, text_col: str, most: int, window: int) -> Iterator[list[tuple[str | None, bytes]]]:
     """The normalised items in blocks of at most about `most` words, streamed. An item of more is cut into parts that overlap by all but one word of a window."""
-    items = benchmark.where(col(text_col).isNotNull() & col(item_col).isNotNull()).select(col(item_col).cast("string").alias("item"), col(text_col).alias("text"))
-    block: list[tuple[str, bytes]] = []
+    items = benchmark.where(col(text_col).isNotNull()).select(col(item_col).cast("string").alias("item"), col(text_col).alias("text"))
+    block: list[tuple[str | None, bytes]] = []
     size = 0
     for r in items.toLocalIterator():
         words = normalised(r.text).split()
@@ -224,7 +225,7 @@ def find(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col
 _LAST: list = [None, None]
 
 
-def _compiled(block: list[tuple[str, bytes]], window: int) -> Automaton:
+def _compiled(block: list[tuple[str | None, bytes]], window: int) -> Automaton:
     """The automaton of a block; a worker keeps the last one."""
     if _LAST[0] is not block or _LAST[1].window != window:
         _LAST[:] = [block, Automaton(((name, text.split()) for name, text in block), window)]

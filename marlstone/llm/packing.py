@@ -10,6 +10,7 @@ A group is sorted by length, id and start, so ties and the order of rows don't m
 
 from __future__ import annotations
 
+import json
 import re
 import struct
 from array import array
@@ -31,17 +32,31 @@ GROUP_TOKENS, GROUP_PIECES = 8_000_000, 200_000
 CACHE_WORDS, CACHE_PLAIN = 600_000, 300_000
 
 
+# What a tokenizer file must say for its texts to be taken word by word (fixed values).
+_BY_WORD = {
+    "normalizer": {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]},
+    "pre_tokenizer": {"type": "Sequence", "pretokenizers": [
+        {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "behavior": "Removed", "invert": True},
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+    ]},
+    "post_processor": None, "truncation": None, "padding": None,
+}
+
+
 class WordTokenizer:
-    """Ids of texts from a tokenizer file whose tokens never cross white space, as little-endian unsigned 32-bit bytes.
+    """Ids of texts from a tokenizer file, as little-endian unsigned 32-bit bytes.
 
-    The pre-tokenizer drops white space and its pattern can't cross it, so the ids of a text are those of its words in turn;
-    each word's bytes are remembered. A plain word goes straight to the model, in the runs that the pre-tokenizer would cut.
+    Where the file's pre-tokenizer drops white space and its pattern can't cross it (_BY_WORD), the ids of a text are those of its
+    words in turn; each word's bytes are remembered, and a plain word goes straight to the model, in the runs that the pre-tokenizer
+    would cut. Whatever else a file says, its texts are given to the library whole.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
+        said = json.loads(self.tok.to_str())
+        self.by_word = said["model"]["type"] == "BPE" and all(said[k] == v for k, v in _BY_WORD.items())
         self.cache: dict[bytes, bytes] = {}
         self.plain: dict[str, bytes] = {}
 
@@ -50,6 +65,8 @@ class WordTokenizer:
         return struct.pack(f"<{len(ids)}I", *ids)
 
     def __call__(self, text: str | None) -> bytes:
+        if not self.by_word:
+            return self._of(text or "")
         words = words_of(text)
         try:
             return b"".join(map(self.cache.__getitem__, words))

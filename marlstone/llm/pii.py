@@ -9,9 +9,9 @@ to know of the entity. A term whose share reaches GENERALISE is cut to its first
 that reaches REMOVE is taken out.
 
 The pass over the texts keeps those of documents with an entity (others can't change); counts of terms are summed in each task
-before they are shuffled; entities, terms and texts travel as 64-bit hashes. Terms are matched where they occur, never entity by
-document, so an entity of very many documents costs their words and no product; what is joined is written first, so that Spark
-splits hot keys. No group is collected but the terms of one text.
+before they are shuffled; entities, terms and texts travel as 64-bit hashes. Terms and entities of one text are paired only where
+both stand in several texts, and entities that always stand together once; what is joined is written first, so that Spark splits
+hot keys. No group is collected but the terms of one text.
 
 Defined results: null text counts as empty and stays null; documents without entity stay as they are; repeated rows count as
 documents each; an entity or term in very many documents is summed in parts like any other.
@@ -177,27 +177,39 @@ def _spelled(spans) -> str:
     return ",".join(f"{k}:{a}:{b}" for k, a, b in spans)
 
 
-def disclosures(seen: DataFrame, words: DataFrame, n: int, scratch: Scratch, least: float = GENERALISE, smoothing: float = SMOOTHING) -> DataFrame:
-    """(h, t, share) of terms of texts that disclose one of their entities by `least` or more. seen has the distinct texts with entities (h, m copies, es, terms), words the documents by term (t, n).
+def disclosures(seen: DataFrame, words: DataFrame, n: int, scratch: Scratch, least: float = GENERALISE, smoothing: float = SMOOTHING, meetings: int = 1) -> DataFrame:
+    """(h, t, share) of terms of texts that disclose one of their entities by `least` or more, after `meetings` documents with both at least. seen has the distinct texts with entities (h, m copies, es, terms), words the documents by term (t, n).
 
     As c(t,e) is c(e) at most, only terms of c(t) + smoothing <= c(e) ** least * N ** (1 - least) for some entity can reach `least`;
     the others, most of what is said, are left out before anything is paired.
+
+    What a text says of itself needs no pairs: there c(t,e) is m at least, and with that count the entity of the least c(e) has the
+    highest share. More than m have only terms and entities that both stand in several texts; only those are paired, and of entities
+    that stand in the very same texts one. So a list of any number of addresses costs its words, as long as its addresses keep together.
     """
     n = max(n, 2)
-    ce = scratch.write(seen.select("m", F.explode("es").alias("e")).groupBy("e").agg(F.sum("m").alias("ce")), "entities")
+    says = seen.select("h", "m", F.explode("es").alias("e"))
+    ce = scratch.write(says.groupBy("e").agg(F.sum("m").alias("ce"), F.count("*").alias("texts"), F.sum(F.xxhash64("h", F.lit(1)).cast("decimal(38,0)")).alias("where1"), F.bit_xor(F.xxhash64("h", F.lit(2))).alias("where2")), "entities")
     most = (ce.agg(F.max("ce").alias("most")).first().most or 0) ** least * n ** (1 - least) * (1 + 1e-9)
     ct = words.groupBy("t").agg(F.sum("n").alias("ct")).where(F.col("ct") + smoothing <= most)
-    rare = scratch.write(seen.select("h", "m", "es", F.explode("terms").alias("t")).join(ct.hint("merge"), "t"), "rare")
-    pairs = rare.select("h", "m", "t", "ct", F.explode("es").alias("e"))
-    cet = pairs.groupBy("e", "t").agg(F.sum("m").alias("cet"), F.first("ct").alias("ct"))
-    share = 1 + F.log(F.col("cet") / (F.col("ct") + smoothing)) / F.greatest(F.log(F.lit(float(n)) / F.col("ce")), F.lit(1e-9))
-    told = scratch.write(cet.join(ce, "e").withColumn("share", share).where(F.col("share") >= least).select("e", "t", "share"), "telling")
-    found = scratch.write(pairs.select("h", "e", "t").join(told, ["e", "t"]).groupBy("h", "t").agg(F.max("share").alias("share")), "found")
-    scratch.drop(ce, rare, told)
+    rare = scratch.write(seen.select("h", "m", F.explode("terms").alias("t")).join(ct.hint("merge"), "t"), "rare")
+    low = says.join(ce.select("e", "ce"), "e").groupBy("h").agg(F.min("ce").alias("ce"))
+    share = lambda cet: 1 + F.log(cet / (F.col("ct") + smoothing)) / F.greatest(F.log(F.lit(float(n)) / F.col("ce")), F.lit(1e-9))
+    alone = rare.where(F.col("m") >= meetings).join(low, "h").select("h", "t", share(F.col("m")).alias("share")).where(F.col("share") >= least)
+
+    several = rare.groupBy("t").agg(F.count("*").alias("k")).where("k > 1").select("t")
+    first = ce.where("texts > 1").groupBy("texts", "where1", "where2").agg(F.min("e").alias("e"), F.first("ce").alias("ce"))
+    held = says.join(first.select("e", "ce"), "e").select("h", "e", "ce")
+    pairs = scratch.write(rare.join(several, "t", "left_semi").join(held, "h").select("h", "m", "t", "ct", "e", "ce"), "pairs")
+    told = pairs.groupBy("e", "t").agg(F.sum("m").alias("cet"), F.first("ct").alias("ct"), F.first("ce").alias("ce")).where(F.col("cet") >= meetings)
+    told = scratch.write(told.withColumn("share", share(F.col("cet"))).where(F.col("share") >= least).select("e", "t", "share"), "telling")
+    together = pairs.select("h", "e", "t").join(told, ["e", "t"]).select("h", "t", "share")
+    found = scratch.write(alone.unionByName(together).groupBy("h", "t").agg(F.max("share").alias("share")), "found")
+    scratch.drop(ce, rare, pairs, told)
     return found
 
 
-def sanitise(docs: DataFrame, text_col: str = "text", out: str = "pii", generalise: float = GENERALISE, remove: float = REMOVE, smoothing: float = SMOOTHING) -> DataFrame:
+def sanitise(docs: DataFrame, text_col: str = "text", out: str = "pii", generalise: float = GENERALISE, remove: float = REMOVE, smoothing: float = SMOOTHING, meetings: int = 1) -> DataFrame:
     """docs with a struct column: base (spans), terms (spans of flagged terms), text (sanitised; null stays null) and changed."""
     out = free_name(docs, out)
     keep, key, own_terms = [col(c) for c in docs.columns], free_name(docs, "__h"), free_name(docs, "__terms")
@@ -217,7 +229,7 @@ def sanitise(docs: DataFrame, text_col: str = "text", out: str = "pii", generali
     once = hit.select(F.col(out).h.alias("h"), col(text_col).alias("text"), F.col(out).base.alias("base")).groupBy("h").agg(F.first(F.struct("text", "base")).alias("x"), F.count("*").alias("m"))
     seen = scratch.write(once.select("h", "m", "x.*").mapInArrow(_protected_texts, "h long, m long, es array<long>, terms array<long>"), "texts")
     words = docs.select(col(text_col).alias("text")).mapInArrow(_term_counts, "t long, n long")
-    found = disclosures(seen, words, n, scratch, generalise, smoothing)
+    found = disclosures(seen, words, n, scratch, generalise, smoothing, meetings)
     flags = scratch.write(found.groupBy("h").agg(F.collect_list(F.struct("t", "share")).alias(own_terms)), "flags")
     scratch.drop(seen, found)
 

@@ -84,14 +84,14 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 OP10_SQL = r"""
 WITH norm AS (
   SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents),
-item AS (SELECT item_id::VARCHAR AS item, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM benchmark WHERE item_id IS NOT NULL),
+item AS (SELECT item_id::VARCHAR AS item, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM benchmark),
 win AS (
   SELECT item, least(len(ws), 13) AS n, array_to_string(ws[i:i+least(len(ws), 13)-1], ' ') AS g FROM item, unnest(range(1, greatest(len(ws) - 13, 0) + 2)) AS u(i) WHERE len(ws) > 0),
 sizes AS (SELECT DISTINCT n FROM win),
 dw AS (SELECT r, n, i, array_to_string(ws[i:i+n-1], ' ') AS g FROM norm, sizes, unnest(range(1, len(ws) - n + 2)) AS u(i)),
 hit AS (SELECT r, i, dw.n, item FROM dw JOIN win USING (n, g)),
 cov AS (SELECT r, count(DISTINCT i + k) AS n_hit FROM (SELECT DISTINCT r, i, n FROM hit), unnest(range(0, n)) AS u(k) GROUP BY r),
-its AS (SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS s FROM (SELECT DISTINCT r, item FROM hit) GROUP BY r)
+its AS (SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS s FROM (SELECT DISTINCT r, item FROM hit WHERE item IS NOT NULL) GROUP BY r)
 SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(s, '')) AS items_sha256,
        coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(ws) AS contaminated
 FROM norm LEFT JOIN cov USING (r) LEFT JOIN its USING (r)

@@ -171,14 +171,17 @@ def fit(rows: list[tuple[str, int]], n_features: int = FEATURES, l2: float = 1e-
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", sample: int = SAMPLE, sample_bytes: int = SAMPLE_BYTES) -> Model:
-    """A model from labelled rows: the `sample` ids with the least hash, whatever the size of the tables, as far as their texts fit in sample_bytes."""
+    """A model from labelled rows: the `sample` ids with the least hash, whatever the size of the tables, less those whose texts, taken in turn, don't fit in what is left of sample_bytes."""
     known = labels.where(col(label_col).between(0, GRADES - 1) & col(id_col).isNotNull()).select(col(id_col).alias("id"), col(label_col).cast("int").alias("y"))
     ids = F.broadcast(known.dropDuplicates(["id"]).orderBy(F.xxhash64("id"), "id").limit(sample))
     texts = docs.select(col(id_col).alias("id"), col(text_col).alias("text")).where(F.col("text").isNotNull())
     # rows of one id are few, but for an id that very many rows have: one of them is enough
     sizes = texts.join(ids, "id").groupBy("id").agg(F.max(F.octet_length("text")).alias("n"), F.count("*").alias("k")).orderBy(F.xxhash64("id"), "id").collect()
-    ends = np.cumsum([r.n for r in sizes]) if sizes else np.zeros(0)
-    kept = [r.id for r, end in zip(sizes, ends) if end <= sample_bytes]
+    kept, held = [], 0
+    for r in sizes:  # a text that doesn't fit is passed over, whatever stands behind it may fit
+        if held + r.n <= sample_bytes:
+            kept.append(r.id)
+            held += r.n
     if not kept:
         return fit([])
     chosen = F.broadcast(docs.sparkSession.createDataFrame([(i,) for i in kept], docs.select(col(id_col).alias("id")).schema))

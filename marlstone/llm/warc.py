@@ -190,8 +190,11 @@ def inflated(data: bytes) -> Iterator[bytes]:
 _GZIP = b"\x1f\x8b\x08"
 
 
+_LENGTH = re.compile(r"[0-9]{1,18}", re.ASCII).fullmatch
+
+
 def parse(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
-    """(headers, block) of each record; a truncated last record gives what is there."""
+    """(headers, block) of each record; a truncated last record gives what is there. A record whose length isn't plain digits is damaged: reading goes on at the next one that begins after its headers."""
     for part in inflated(data):
         pos = 0
         while (start := part.find(b"WARC/", pos)) >= 0:
@@ -202,9 +205,11 @@ def parse(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
             for line in part[start:end].decode("utf-8", "replace").split("\r\n")[1:]:
                 name, _, value = line.partition(":")
                 head[name.strip().lower()] = value.strip()
-            n = int(head.get("content-length") or 0)
-            yield head, part[end + 4 : end + 4 + n]
-            pos = end + 4 + n
+            pos = end + 4
+            if _LENGTH(head.get("content-length", "")):
+                block = part[pos : pos + int(head["content-length"])]
+                yield head, block
+                pos += len(block)
 
 
 def payload_of(block: bytes) -> tuple[str, str]:
