@@ -15,7 +15,7 @@ from ..functions import urls as U
 from ..functions.briefs import brief
 from ..functions.text_udf import normalize_title, sequence_ratio, strip_html
 from ..operators import asof, contracts, health, index, link, publish, rows, search, similarity, taxonomy, threads
-from ..session import table
+from ..session import stored, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -354,21 +354,26 @@ def q_df_idf(spark, d):
 
 
 def _vectors(spark, d):
-    f = _features(spark, d)
+    f = stored(_features(spark, d), "features")
     return similarity.vectors(f, similarity.idf(similarity.document_frequency(f), table(spark, d, "documents").count()))
 
 
 @query(f"{_LEXICAL} SELECT src, dst, round(lexical, 4) AS score FROM lex QUALIFY row_number() OVER (PARTITION BY src ORDER BY round(lexical, 4) DESC, dst) <= 5")
 def q_related_topk(spark, d):
     """The five records most like each query by the words of their fields."""
-    scores = similarity.lexical(_vectors(spark, d), queries=_asked(spark, d)).select("src", "dst", F.round("lexical", 4).alias("score"))
+    return _nearest_words(spark, d, stored(_vectors(spark, d), "vectors"))
+
+
+def _nearest_words(spark, d, v):
+    scores = similarity.lexical(v, queries=_asked(spark, d)).select("src", "dst", F.round("lexical", 4).alias("score"))
     return rows.first_per(scores, ["src"], [F.desc("score"), "dst"], 5)
 
 
 @query(f"{_LEXICAL}, best AS (SELECT src, dst FROM lex QUALIFY row_number() OVER (PARTITION BY src ORDER BY round(lexical, 4) DESC, dst) <= 5), r AS (SELECT * FROM p JOIN best USING (src, dst) QUALIFY row_number() OVER (PARTITION BY src, dst ORDER BY contains(feature, '-') DESC, round(part, 12) DESC, feature) <= 3) SELECT src, dst, string_agg(feature, ',' ORDER BY contains(feature, '-') DESC, round(part, 12) DESC, feature) AS why FROM r GROUP BY ALL")
 def q_related_reasons(spark, d):
     """What the five records share with their query that adds most."""
-    return similarity.shared_terms(q_related_topk(spark, d), _vectors(spark, d)).select("src", "dst", F.array_join("terms", ",").alias("why"))
+    v = stored(_vectors(spark, d), "vectors")
+    return similarity.shared_terms(stored(_nearest_words(spark, d, v), "pairs"), v).select("src", "dst", F.array_join("terms", ",").alias("why"))
 
 
 @query(f"WITH {_MEMBERS}, {_COSINES} SELECT src, dst, round(cosine, 4) AS cosine FROM cos")
@@ -398,6 +403,19 @@ def q_related(spark, d):
     return r.select("src", "dst", "score", F.array_join("why", ",").alias("why"), "rnk")
 
 
+@query(f"""{_VECTORS}, {_MEMBERS}, {_COSINES.replace("WHERE a.doc_id % 20 = 0 AND", "WHERE")},
+lex AS (SELECT a.id AS src, b.id AS dst, sum(CASE field WHEN 'title' THEN {similarity.WEIGHTS['title']} ELSE {similarity.WEIGHTS['brief']} END::DOUBLE * a.w * b.w) AS lexical FROM v a JOIN v b USING (field, feature) WHERE a.id <> b.id GROUP BY ALL),
+pairs AS (SELECT src, dst, round(least(1.0, coalesce(lexical, 0) + {similarity.ENTITY_WEIGHT}::DOUBLE * coalesce(cosine, 0)), 6) AS score FROM lex FULL JOIN cos USING (src, dst))
+SELECT src, dst, score, (row_number() OVER (PARTITION BY src ORDER BY score DESC, dst))::INTEGER AS rnk FROM pairs WHERE score > 0 QUALIFY rnk <= 5""")
+def q_related_all(spark, d):
+    """The five records most like every record, by whole texts and entities, without scoring all pairs."""
+    n = table(spark, d, "documents").count()
+    f = stored(_features(spark, d), "features")
+    found = _members(spark, d).withColumnRenamed("doc_id", "id")
+    weighed = similarity.vectors(f, similarity.idf(similarity.document_frequency(f), n))
+    return similarity.nearest(stored(similarity.joint(weighed, found, n), "vectors"))
+
+
 @query("SELECT user_id AS entity, count(*) AS n, sha256(string_agg(event_id::VARCHAR, ',' ORDER BY ts, event_id)) AS ids FROM events GROUP BY 1 HAVING count(*) >= 2")
 def q_threads(spark, d):
     """Events of a user in order of time."""

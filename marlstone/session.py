@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -25,5 +27,14 @@ def landing(spark: SparkSession, tag: str) -> str:
     if not root:
         if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
             raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
-        root = "file://" + tempfile.mkdtemp(prefix="marlstone-")
+        folder = tempfile.mkdtemp(prefix="marlstone-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        root = "file://" + folder
     return f"{root.rstrip('/')}/{tag}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, tag: str) -> DataFrame:
+    """df written once to the shared folder and read back: what reads it more than once doesn't compute it anew, and lost executors cost no rerun."""
+    path = landing(df.sparkSession, tag)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
