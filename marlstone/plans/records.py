@@ -437,6 +437,30 @@ def q_similar_titles(spark, d):
     return link.fuzzy_match(left, right)
 
 
+_EDITED = """SELECT o_orderkey AS k, o_orderstatus AS st, strftime(o_orderdate, '%Y-%m-%d') AS day,
+  CASE o_orderkey % 5 WHEN 0 THEN ws WHEN 1 THEN list_transform(ws, lambda w, i: CASE WHEN i = o_orderkey % 8 + 1 THEN 'x' || o_orderkey % 7 ELSE w END) WHEN 2 THEN ws[1:7] WHEN 3 THEN ws[1:6] ELSE list_prepend('new', ws) END AS ws
+  FROM (SELECT *, list_distinct(regexp_extract_all(md5((o_custkey % 200)::VARCHAR), '.{4}')) AS ws FROM orders)"""
+
+
+def _edited_titles(spark, d):
+    """Titles of eight words, as they are, with a word changed, shortened or with a word more."""
+    k = F.col("o_orderkey")
+    ws = F.array_distinct(F.regexp_extract_all(F.md5((F.col("o_custkey") % 200).cast("string")), F.lit(".{4}"), F.lit(0)))
+    changed = F.transform(ws, lambda w, i: F.when(i == k % 8, F.concat(F.lit("x"), (k % 7).cast("string"))).otherwise(w))
+    said = F.when(k % 5 == 0, ws).when(k % 5 == 1, changed).when(k % 5 == 2, F.slice(ws, 1, 7)).when(k % 5 == 3, F.slice(ws, 1, 6)).otherwise(F.array_prepend(ws, "new"))
+    o = table(spark, d, "orders").select(k.alias("k"), "o_orderstatus", F.array_join(said, " ").alias("title_key"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("day"))
+    return o.where("o_orderstatus = 'O'").select(F.col("k").alias("l_id"), "title_key", F.col("day").alias("l_date")), o.where("o_orderstatus = 'F'").select(F.col("k").alias("r_id"), "title_key", F.col("day").alias("r_date"))
+
+
+@query(f"""WITH t AS ({_EDITED}), p AS (
+  SELECT l.k AS l_id, r.k AS r_id, len(list_intersect(l.ws, r.ws))::DOUBLE / len(list_distinct(list_concat(l.ws, r.ws))) AS j
+  FROM t l JOIN t r ON abs(date_diff('day', l.day::DATE, r.day::DATE)) <= 3 WHERE l.st = 'O' AND r.st = 'F')
+SELECT l_id, r_id, round(j, 6) AS j FROM p WHERE j >= 0.62""")
+def q_near_titles(spark, d):
+    """Titles within three days of each other that share enough of their words, though few are equal."""
+    return link.similar_titles(*_edited_titles(spark, d)).select("l_id", "r_id", F.round("j", 6).alias("j"))
+
+
 @query(f"""WITH {_TWINS}, m AS (SELECT k, 'm' || k AS l_id, md5(c::VARCHAR) AS t, c, day FROM o WHERE k % 3 = 0), s AS (SELECT k, 's' || k AS r_id, CASE WHEN k % 2 = 0 THEN md5(c::VARCHAR) ELSE md5('x' || k) END AS t, c, day FROM o WHERE k % 3 = 1),
 near AS (SELECT l_id, r_id, m.t = s.t AS title, m.c = s.c AS sub, abs(date_diff('day', m.day::DATE, s.day::DATE)) AS days FROM m JOIN s ON (m.t = s.t OR m.c = s.c) WHERE abs(date_diff('day', m.day::DATE, s.day::DATE)) <= 7),
 steps AS (SELECT l_id, r_id, 'explicit-link' AS reason, 0 AS prio FROM m JOIN s ON s.k = m.k + 1 WHERE m.k % 5 = 0
