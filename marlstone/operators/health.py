@@ -62,13 +62,12 @@ def merge_window(window: DataFrame, history: DataFrame) -> DataFrame:
     return window.unionByName(history.join(window.select("id"), "id", "left_anti"))
 
 
-def window_rules(window: DataFrame, size: int = 10) -> DataFrame:
-    """Faults of a feed window (pos, id, url, at): repeats, wrong order, wrong size."""
-    order = Window.orderBy("pos")
-    rows = window.withColumn("__before", F.lag("at").over(order))
-    wrong = rows.where(F.col("__before") < F.col("at")).select(F.lit("order").alias("fault"), F.col("id").cast("string").alias("key"))
-    again = lambda c: window.groupBy(c).agg(F.count("*").alias("n")).where("n > 1").select(F.lit(f"repeated {c}").alias("fault"), F.col(c).cast("string").alias("key"))
-    count = window.agg(F.count("*").alias("n")).where(F.col("n") != size).select(F.lit("size").alias("fault"), F.col("n").cast("string").alias("key"))
+def window_rules(windows: DataFrame, size: int = 10) -> DataFrame:
+    """(feed, fault, key) of feed windows (feed, pos, id, url, at): repeats, wrong order, wrong size."""
+    rows = windows.withColumn("__before", F.lag("at").over(Window.partitionBy("feed").orderBy("pos")))
+    wrong = rows.where(F.col("__before") < F.col("at")).select("feed", F.lit("order").alias("fault"), F.col("id").cast("string").alias("key"))
+    again = lambda c: windows.groupBy("feed", c).agg(F.count("*").alias("n")).where("n > 1").select("feed", F.lit(f"repeated {c}").alias("fault"), F.col(c).cast("string").alias("key"))
+    count = windows.groupBy("feed").agg(F.count("*").alias("n")).where(F.col("n") != size).select("feed", F.lit("size").alias("fault"), F.col("n").cast("string").alias("key"))
     return wrong.unionByName(again("id")).unionByName(again("url")).unionByName(count)
 
 

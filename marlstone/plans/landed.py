@@ -83,11 +83,19 @@ def q_published_endpoints(spark, d):
     return counts.join(wrong, "name", "left").select("name", "n", F.col("wrong").isNull().alias("as_published"))
 
 
-@query(f"WITH {POSTS} SELECT count(*) AS articles, sum(CASE WHEN content_status = 'registry' THEN 1 ELSE 0 END)::BIGINT AS registry, max(post_date) AS latest, (SELECT count(*) FROM p WHERE doc_id % 3 = 0) AS observations, 64 AS digits FROM p")
+def _digest(rows: str) -> str:
+    lanes = " || ':' || ".join(f"coalesce(sum(('0x' || substr(h, {1 + 8 * i}, 8))::UBIGINT::HUGEINT), 0)::VARCHAR" for i in range(4))
+    return f"SELECT sha256(count(*) || ':' || {lanes}) AS d FROM (SELECT sha256({rows}) AS h FROM p"
+
+
+@query(f"""WITH {POSTS},
+a AS ({_digest("'{\"slug\":\"' || slug || '\",\"title\":\"' || title || '\",\"post_date\":\"' || post_date || '\",\"content_status\":\"' || content_status || '\"}'")})),
+o AS ({_digest("'{\"slug\":\"' || slug || '\",\"title\":\"' || title || '\"}'")} WHERE doc_id % 3 = 0))
+SELECT count(*) AS articles, sum(CASE WHEN content_status = 'registry' THEN 1 ELSE 0 END)::BIGINT AS registry, max(post_date) AS latest, (SELECT count(*) FROM p WHERE doc_id % 3 = 0) AS observations, (SELECT sha256(a.d || ':' || o.d) FROM a, o) AS checksum FROM p""")
 def q_manifest(spark, d):
     p = _posts(spark, d)
     m = publish.manifest(p.select("slug", "title", "post_date", "content_status"), p.where("doc_id % 3 = 0").select("slug", "title"))
-    return m.select("articles", "registry", "latest", "observations", F.length("data_checksum").alias("digits"))
+    return m.select("articles", "registry", "latest", "observations", F.col("data_checksum").alias("checksum"))
 
 
 @query(f"WITH {_NATIONS} SELECT source_id, CASE WHEN k % 3 = 0 THEN title ELSE 'Head ' || title END AS title, 'sub ' || title AS subtitle, 'Head ' || title || chr(10) || chr(10) || 'sub ' || title || chr(10) || chr(10) || 'the end' AS body_text, CASE WHEN k % 2 = 0 THEN 'mirror-' || k END AS mirror_substack_slug, post_date || 'T00:00:00.000Z' AS post_date FROM n")

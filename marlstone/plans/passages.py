@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from .. import lexicon as L
@@ -195,12 +196,16 @@ def q_bridge(spark, d):
     return health.bridged(n.select("pos", F.when(p % 5 == 2, "?").otherwise(F.col("n_name")).alias("id")), n.where("pos < 24").select("pos", F.col("n_name").alias("id"), seen.alias("reviewed_at")), now)
 
 
-@query("SELECT * FROM (VALUES ('order', '5'), ('repeated id', '7'), ('repeated url', 'u7'), ('size', '12')) t(fault, key)")
+@query("""WITH w AS (SELECT user_id AS feed, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id) AS pos, CASE WHEN event_id % 50 = 7 THEN event_id % 3 ELSE event_id END AS id, CASE WHEN event_id % 60 = 11 THEN 'u' ELSE 'u' || event_id END AS url, ts + CASE WHEN event_id % 40 = 3 THEN INTERVAL 3 DAY ELSE INTERVAL 0 DAY END AS t FROM events)
+SELECT feed, 'order' AS fault, id::VARCHAR AS key FROM (SELECT *, lag(t) OVER (PARTITION BY feed ORDER BY pos) AS before FROM w) WHERE before < t
+UNION ALL SELECT feed, 'repeated id', id::VARCHAR FROM w GROUP BY feed, id HAVING count(*) > 1 UNION ALL SELECT feed, 'repeated url', url FROM w GROUP BY feed, url HAVING count(*) > 1
+UNION ALL SELECT feed, 'size', count(*)::VARCHAR FROM w GROUP BY feed HAVING count(*) <> 100""")
 def q_window_rules(spark, d):
-    """A feed window of twelve rows with one pair out of order and one row twice."""
-    w = table(spark, d, "nation").where("n_nationkey < 12").select(F.col("n_nationkey").alias("pos"), F.when(F.col("n_nationkey") == 8, 7).otherwise(F.col("n_nationkey")).alias("id"))
-    w = w.select("pos", "id", F.concat(F.lit("u"), F.col("id").cast("string")).alias("url"), F.when(F.col("pos") == 5, 97).otherwise(100 - F.col("pos")).alias("at"))
-    return health.window_rules(w)
+    """Feed windows, the events of a user each, with rows out of order, rows twice and too few or many of them."""
+    k = F.col("event_id")
+    pos = F.row_number().over(Window.partitionBy("user_id").orderBy(F.desc("ts"), "event_id"))
+    e = table(spark, d, "events").select("event_id", F.col("user_id").alias("feed"), pos.alias("pos"), F.when(k % 50 == 7, k % 3).otherwise(k).alias("id"), F.when(k % 60 == 11, "u").otherwise(F.concat(F.lit("u"), k.cast("string"))).alias("url"), F.when(k % 40 == 3, F.col("ts") + F.expr("INTERVAL 3 DAYS")).otherwise(F.col("ts")).alias("at"))
+    return health.window_rules(e, 100)
 
 
 # Searching
@@ -275,9 +280,12 @@ def q_entities(spark, d):
     return index.entities(a, "t", _ALIASES)
 
 
-@query("SELECT * FROM (VALUES ('aqr', 'AQR'), ('d-e-shaw', 'D. E. Shaw'), ('foo-bar-capital', 'Foo Bar Capital'), ('mifid', 'MiFID'), ('var', 'VaR')) t(entity, label)")
+@query("""WITH e AS (SELECT DISTINCT CASE p_partkey % 20 WHEN 0 THEN 'd-e-shaw' WHEN 1 THEN 'var' WHEN 2 THEN 'mifid' WHEN 3 THEN 'aqr' ELSE replace(p_name, ' ', '-') END AS entity FROM part)
+SELECT entity, CASE entity WHEN 'd-e-shaw' THEN 'D. E. Shaw' WHEN 'var' THEN 'VaR' WHEN 'mifid' THEN 'MiFID' WHEN 'aqr' THEN 'AQR' ELSE array_to_string(list_transform(string_split(entity, '-'), lambda w: upper(left(w, 1)) || substr(w, 2)), ' ') END AS label FROM e""")
 def q_entity_labels(spark, d):
-    e = spark.createDataFrame([("aqr",), ("d-e-shaw",), ("foo-bar-capital",), ("mifid",), ("var",)], "entity string")
+    """Entities drawn from names of parts, and some whose label is fixed."""
+    k = F.col("p_partkey") % 20
+    e = table(spark, d, "part").select(F.when(k == 0, "d-e-shaw").when(k == 1, "var").when(k == 2, "mifid").when(k == 3, "aqr").otherwise(F.replace("p_name", F.lit(" "), F.lit("-"))).alias("entity")).distinct()
     return e.select("entity", index.label(F.col("entity")).alias("label"))
 
 

@@ -351,14 +351,15 @@ def q_article_contract(spark, d):
 
 
 @query(f"WITH {_SEEN}, x AS (SELECT *, trim(body_text, {_SPACES}) AS t FROM p0), y AS (SELECT *, {_CUT} AS e FROM x), p AS (SELECT *, audience = 'only_paid' AND doc_id % 15 <> 0 AS shown FROM y) "
-       + _broken({"preview of members only": "(audience = 'only_paid') = shown", "preview length": "NOT shown OR doc_id % 20 <> 0", "preview digest": "NOT shown OR doc_id % 25 <> 0"}, "slug"))
+       + _broken({"preview of members only": "(audience = 'only_paid') = shown", "preview length": "NOT shown OR doc_id % 20 <> 0", "preview digest": "NOT shown OR doc_id % 25 <> 0",
+                   "preview bound": "NOT shown OR length(e) + (doc_id % 20 = 0)::INTEGER <= 1200", "preview surface": "NOT shown OR (e = '') = (length(e) + (doc_id % 20 = 0)::INTEGER = 0)"}, "slug"))
 def q_preview_proof(spark, d):
     """Previews of redacted posts that don't prove themselves: some are taken away, some lengths and digests changed."""
     i, p = F.col("doc_id"), F.col("member_preview")
     r = publish.redacted(_posts(spark, d).withColumn("public_preview_text", F.col("body_text")))
     wrong = p.withField("character_count", F.when(i % 20 == 0, p.character_count + 1).otherwise(p.character_count)).withField("body_sha256", F.when(i % 25 == 0, F.lit("0" * 64)).otherwise(p.body_sha256))
     broken = r.withColumn("member_preview", F.when(i % 15 != 0, wrong))
-    return contracts.preview_proof(broken).where("rule not in ('preview bound', 'preview surface')")
+    return contracts.preview_proof(broken)
 
 
 @query("WITH p AS (SELECT o_orderkey AS k, CASE WHEN o_orderkey % 30 = 0 THEN '1997-02-30' ELSE strftime(o_orderdate, '%Y-%m-%d') END AS day FROM orders WHERE o_orderkey % 4 = 0) " + _broken({"day": "k % 30 <> 0", "y2": "k % 21 <> 0", "y10": "k % 33 <> 0"}, "day") + " UNION ALL SELECT 'unique day', day FROM p GROUP BY day HAVING count(*) > 1")
@@ -389,24 +390,29 @@ def q_health_advanced(spark, d):
     return health.advance(current, s.where("event_id % 2 = 0").select("source", "degraded_since", "consecutive_degraded_checks")).select("source", "degraded_since", F.col("consecutive_degraded_checks").alias("n"))
 
 
-@query(f"WITH s AS ({_STATES}), p AS (SELECT *, k % 10 <> 0 AS there, CASE WHEN status = 'ok' THEN NULL WHEN n > 0 THEN since ELSE checked END AS want, CASE WHEN status = 'ok' THEN 0 WHEN n > 0 THEN n + 1 ELSE 1 END AS count FROM s) " + _broken({"source is there": "there", "check moved on": "NOT there OR k % 12 <> 1", "degraded checks": "NOT there OR k % 14 <> 1 OR count = 0"}, "source"))
+@query(f"WITH s AS ({_STATES}), p AS (SELECT *, k % 10 <> 0 AS there, CASE WHEN status = 'ok' THEN NULL WHEN n > 0 THEN since ELSE checked END AS want, CASE WHEN status = 'ok' THEN 0 WHEN n > 0 THEN n + 1 ELSE 1 END AS count FROM s) " + _broken({"source is there": "there", "check moved on": "NOT there OR k % 12 <> 1", "degraded checks": "NOT there OR k % 14 <> 1 OR count = 0", "degraded since": "NOT there OR k % 18 <> 1"}, "source"))
 def q_health_monotone(spark, d):
-    """Source health that doesn't go on from the snapshot before: sources lost, checks that went back, counts that stood still."""
+    """Source health that doesn't go on from the snapshot before: sources lost, checks that went back, counts that stood still, days of a first failure that moved."""
     s, k = _states(spark, d), F.col("event_id")
     now = health.advance(s.where(k % 10 != 0).select("event_id", "source", "status", "checked_at"), s.select("source", "degraded_since", "consecutive_degraded_checks"))
     n = F.col("consecutive_degraded_checks")
-    changed = now.withColumns({"checked_at": F.when(k % 12 == 1, "2029-01-01").otherwise(F.col("checked_at")), "consecutive_degraded_checks": F.when((k % 14 == 1) & (n > 0), n - 1).otherwise(n)})
-    found = contracts.monotone(changed, s)
-    return found.where("rule <> 'degraded since'")
+    changed = now.withColumns({"checked_at": F.when(k % 12 == 1, "2029-01-01").otherwise(F.col("checked_at")), "consecutive_degraded_checks": F.when((k % 14 == 1) & (n > 0), n - 1).otherwise(n), "degraded_since": F.when(k % 18 == 1, "2028-05-05").otherwise(F.col("degraded_since"))})
+    return contracts.monotone(changed, s)
 
 
-@query("WITH e AS (SELECT user_id::VARCHAR AS u, event_id, ts FROM events), t AS (SELECT u, count(*) AS n FROM e GROUP BY 1 HAVING count(*) >= 2) SELECT 'count' AS rule, u AS key FROM t WHERE u::INT % 9 = 1 UNION ALL SELECT 'missing member', u FROM t WHERE u::INT % 11 = 2 UNION ALL SELECT 'count', u FROM t WHERE u::INT % 11 = 2 AND u::INT % 9 <> 1 UNION ALL SELECT 'enough records', u FROM t WHERE u::INT % 11 = 2 AND n = 1")
+@query("""WITH t AS (SELECT user_id::VARCHAR AS u, count(*) AS n, list(event_id ORDER BY ts, event_id) AS own FROM events GROUP BY 1 HAVING count(*) >= 2),
+x AS (SELECT *, CASE u::INT % 11 WHEN 2 THEN own[2:] WHEN 3 THEN list_concat(own, own[1:1]) WHEN 4 THEN list_reverse(own) WHEN 5 THEN list_concat(own, [-u::INT - 1]) ELSE own END AS ids, n + CASE WHEN u::INT % 9 = 1 THEN 1 WHEN u::INT % 13 = 6 THEN -n ELSE 0 END AS m FROM t),
+each AS (SELECT u, i, ids[i] AS id, e.ts FROM x, unnest(range(1, len(ids) + 1)) AS v(i) LEFT JOIN events e ON e.event_id = ids[i] AND e.user_id::VARCHAR = u)
+SELECT 'count' AS rule, u AS key FROM x WHERE m <> len(ids) UNION ALL SELECT 'enough records', u FROM x WHERE m < 2 UNION ALL SELECT 'no repeats', u FROM x WHERE len(list_distinct(ids)) <> len(ids)
+UNION ALL SELECT 'missing member', u FROM x WHERE u::INT % 11 = 2 UNION ALL SELECT 'foreign member', u FROM x WHERE u::INT % 11 = 5
+UNION ALL SELECT DISTINCT 'order', u FROM (SELECT *, lag(ts) OVER (PARTITION BY u ORDER BY i) AS before FROM each) WHERE before > ts""")
 def q_thread_invariants(spark, d):
-    """Threads whose count is wrong or from which a record is missing."""
+    """Threads with every rule broken somewhere: counts that are wrong or too low, a record missing, twice, of another thread, or out of order."""
     m = table(spark, d, "events").select(F.col("user_id").cast("string").alias("entity"), F.col("event_id").alias("id"), F.col("ts").alias("at"))
-    t, u = threads.topics(m).select("entity", "n", "ids"), F.col("entity").cast("int")
-    broken = t.withColumns({"n": F.when(u % 9 == 1, F.col("n") + 1).otherwise(F.col("n")), "ids": F.when(u % 11 == 2, F.slice("ids", F.lit(2), F.size("ids") - 1)).otherwise(F.col("ids"))})
-    return threads.invariants(broken, m).where(~((F.col("rule") == "count") & (F.col("key").cast("int") % 9 == 1) & (F.col("key").cast("int") % 11 == 99)))
+    t, u, ids, n = threads.topics(m).select("entity", "n", "ids"), F.col("entity").cast("int"), F.col("ids"), F.col("n")
+    changed = F.when(u % 11 == 2, F.slice(ids, F.lit(2), F.size(ids) - 1)).when(u % 11 == 3, F.concat(ids, F.slice(ids, 1, 1))).when(u % 11 == 4, F.reverse(ids)).when(u % 11 == 5, F.concat(ids, F.array((-u - 1).cast("long")))).otherwise(ids)
+    broken = t.select("entity", F.when(u % 9 == 1, n + 1).when(u % 13 == 6, F.lit(0)).otherwise(n).alias("n"), changed.alias("ids"))
+    return threads.invariants(broken, m)
 
 
 @query("SELECT l_orderkey AS thread, l_suppkey AS owner FROM lineitem WHERE l_suppkey % 10 <> 0 AND l_orderkey % 50 = 0")
