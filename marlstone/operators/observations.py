@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import observe as O
 from ..functions import text as X
 from ..functions.text_udf import normalize_identity
+from ..session import stored
 from .rows import dedup_by_prefix, first_per
 
 #: Least length of a body, and most windows taken where no paragraph speaks of a trade.
@@ -33,13 +34,13 @@ def fields(df: DataFrame) -> DataFrame:
 
 def extract(posts: DataFrame) -> DataFrame:
     """Observations of posts: trade paragraphs, or sentence windows where a post has none; one for each start of a passage."""
-    parts = passages(posts)
-    read = lambda df: df.withColumn("trade_description", X.excerpt(F.col("whole"))).withColumn("said", O.reading("trade_description")).where("said.trade_block")
-    found = read(parts)
+    read = lambda df: df.withColumn("trade_description", X.excerpt(F.col("whole"))).withColumn("said", O.reading("trade_description"))
+    parts = stored(read(passages(posts)), "passages")
+    found = parts.where("said.trade_block")
     rest = parts.join(found.select("url").distinct(), "url", "left_anti")
     text = rest.groupBy("url").agg(F.first("title").alias("title"), F.first("post_date").alias("post_date"), F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("pos", "whole"))), lambda p: p.whole), "\n\n").alias("text"))
     spans = text.select("url", "title", "post_date", F.posexplode(F.slice(O.sentence_windows(X.sentences(F.col("text"))), 1, MOST_WINDOWS)).alias("pos", "whole"))
-    fallback = read(spans).where(F.length("trade_description") > 50)
+    fallback = read(spans).where("said.trade_block").where(F.length("trade_description") > 50)
     every = found.select(*fallback.columns).unionByName(fallback)
     return fields(first_per(every, ["url", F.substring("trade_description", 1, 100)], ["pos"]))
 
