@@ -165,3 +165,24 @@ def digest(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     lanes = [F.sum(F.conv(F.substring(h, 1 + 8 * i, 8), 16, 10).cast("decimal(20,0)")).alias(f"s{i}") for i in range(4)]
     sums = df.select(*columns).agg(F.count("*").alias("n"), *lanes)
     return sums.select("n", F.sha2(F.concat_ws(":", "n", *(F.coalesce(F.col(f"s{i}").cast("string"), F.lit("0")) for i in range(4))), 256).alias("digest"))
+
+
+def tree(df: DataFrame, columns: Sequence[str], key: str, leaves: int = 4096) -> DataFrame:
+    """(leaf, n, digest): a table's digests by ranges of its keys' hashes, whatever the order and partitioning of its rows. Rows are summed up in their tasks, and no leaf holds them."""
+    h = F.sha2(F.to_json(F.struct(*columns), {"ignoreNullFields": "false"}), 256)
+    lanes = [F.sum(F.conv(F.substring(h, 1 + 8 * i, 8), 16, 10).cast("decimal(20,0)")).alias(f"s{i}") for i in range(4)]
+    leaf = F.floor(F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(1 << 40)) * leaves / (1 << 40)).cast("int")
+    sums = df.groupBy(leaf.alias("leaf")).agg(F.count("*").alias("n"), *lanes)
+    return sums.select("leaf", "n", F.sha2(F.concat_ws(":", "n", *(F.col(f"s{i}").cast("string") for i in range(4))), 256).alias("digest"))
+
+
+def root(tree_: DataFrame) -> DataFrame:
+    """One row (n, digest) over the leaves of a tree, of which there is a fixed number at most."""
+    line = F.concat_ws(":", "leaf", "digest")
+    return tree_.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.sha2(F.array_join(listed(line, "leaf"), "\n"), 256).alias("digest"))
+
+
+def changed(a: DataFrame, b: DataFrame) -> DataFrame:
+    """(leaf) of the ranges in which two trees differ."""
+    old = b.select("leaf", F.col("n").alias("__n"), F.col("digest").alias("__d"))
+    return a.join(old, "leaf", "full_outer").where(~F.col("digest").eqNullSafe(F.col("__d"))).select("leaf")
