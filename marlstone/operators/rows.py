@@ -167,12 +167,16 @@ def digest(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return sums.select("n", F.sha2(F.concat_ws(":", "n", *(F.coalesce(F.col(f"s{i}").cast("string"), F.lit("0")) for i in range(4))), 256).alias("digest"))
 
 
+def leaf(key: str, leaves: int) -> Column:
+    """The range, of `leaves`, that the hash of a key falls in."""
+    return F.floor(F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(1 << 40)) * leaves / (1 << 40)).cast("int")
+
+
 def tree(df: DataFrame, columns: Sequence[str], key: str, leaves: int = 4096) -> DataFrame:
     """(leaf, n, digest): a table's digests by ranges of its keys' hashes, whatever the order and partitioning of its rows. Rows are summed up in their tasks, and no leaf holds them."""
     h = F.sha2(F.to_json(F.struct(*columns), {"ignoreNullFields": "false"}), 256)
     lanes = [F.sum(F.conv(F.substring(h, 1 + 8 * i, 8), 16, 10).cast("decimal(20,0)")).alias(f"s{i}") for i in range(4)]
-    leaf = F.floor(F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(1 << 40)) * leaves / (1 << 40)).cast("int")
-    sums = df.groupBy(leaf.alias("leaf")).agg(F.count("*").alias("n"), *lanes)
+    sums = df.groupBy(leaf(key, leaves).alias("leaf")).agg(F.count("*").alias("n"), *lanes)
     return sums.select("leaf", "n", F.sha2(F.concat_ws(":", "n", *(F.col(f"s{i}").cast("string") for i in range(4))), 256).alias("digest"))
 
 

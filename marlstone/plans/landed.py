@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import functions as F
 
 from ..functions import text as X
-from ..operators import posts, publish, release
+from ..operators import posts, publish, release, rows, search_index, versions
 from ..session import landing, table
-from ..sources import files
+from ..sources import files, json_lines
 from .records import POSTS, _posts
 from .registry import query
 
@@ -128,3 +130,53 @@ def q_lost_too_many(spark, d):
     """Whether more customers have gone than a refresh may lose."""
     o = table(spark, d, "orders")
     return spark.createDataFrame([(0, posts.lost_too_many(o, o.where("o_orderkey % 2 = 0"), "o_custkey"))], "n_regionkey int, lost boolean")
+
+
+# Stored search, digest trees, versions, canonical JSON
+
+
+@query(r"""WITH d AS (SELECT doc_id, lower(coalesce(source, '')) AS e, lower(coalesce(string_split(text, chr(10))[1], '')) AS s, lower(coalesce(text, '')) AS m FROM documents),
+h AS (SELECT doc_id, CASE WHEN contains(e, 'licen') AND list_contains(regexp_split_to_array(e, '[^a-z0-9&.%-]+'), 'the') THEN 0 WHEN contains(s, 'licen') AND list_contains(regexp_split_to_array(s, '[^a-z0-9&.%-]+'), 'the') THEN 1
+  WHEN contains(m, 'licen') AND list_contains(regexp_split_to_array(m, '[^a-z0-9&.%-]+'), 'the') THEN 3 END AS t FROM d)
+SELECT doc_id, t::INTEGER AS tier_no, CASE WHEN t = (SELECT min(t) FROM h) AND t < 3 THEN 'primary' ELSE 'related' END AS part FROM h WHERE t IS NOT NULL""")
+def q_indexed_search(spark, d):
+    """Whole texts by a stored index: one word and a piece of others, in the first line or anywhere."""
+    path = landing(spark, "search")
+    docs = table(spark, d, "documents").select("doc_id", "source", F.element_at(F.split("text", "\n"), 1).alias("line"), "text")
+    search_index.build(docs, "doc_id", {"exact": ["source"], "subject": ["line"], "mention": ["text"]}, path)
+    return search_index.find(spark, path, "The licen").select(F.col("key").alias("doc_id"), "tier_no", "part")
+
+
+@query("""SELECT o_orderkey, '{"o_custkey":' || o_custkey || ',"o_orderkey":' || o_orderkey || ',"o_orderpriority":' || CASE WHEN o_orderkey % 9 = 0 THEN 'null' ELSE '"' || o_orderpriority || '"' END || '}' AS line FROM orders""")
+def q_json_lines(spark, d):
+    """Orders written as canonical JSON, all or none, and read again as the lines they are."""
+    k = F.col("o_orderkey")
+    path = f"{landing(spark, 'json')}/orders"
+    json_lines.write(table(spark, d, "orders").select(k, "o_custkey", F.when(k % 9 != 0, F.col("o_orderpriority")).alias("o_orderpriority")), path, ["o_orderkey"])
+    lines = spark.read.text(f"{path}/part-*.json")
+    return lines.select(F.get_json_object("value", "$.o_orderkey").cast("long").alias("o_orderkey"), F.col("value").alias("line"))
+
+
+@query("SELECT number, action, n FROM (VALUES (1, 'publish', (SELECT count(*) FROM orders WHERE o_orderstatus = 'O')), (2, 'publish', (SELECT count(*) FROM orders)), (3, 'restore 1', (SELECT count(*) FROM orders WHERE o_orderstatus = 'O')), (4, 'publish', (SELECT count(DISTINCT o_custkey) FROM orders))) t(number, action, n)")
+def q_release_log(spark, d):
+    """Versions of a release, one of them a restore, with the rows that each gives back; the same output again makes no version."""
+    o = table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+    releases = versions.Releases(spark, landing(spark, "releases"))
+    releases.publish({"orders": o.where("o_orderstatus = 'O'")})
+    releases.publish({"orders": o})
+    releases.publish({"orders": o.repartition(3)})
+    releases.restore()
+    releases.publish({"orders": o.dropDuplicates(["o_custkey"])})
+    counts = [releases.table("orders", v).agg(F.count("*").alias("n")).select(F.lit(v.number).alias("number"), F.lit(v.action).alias("action"), "n") for v in releases.log()]
+    return functools.reduce(lambda a, b: a.unionByName(b), counts)
+
+
+@query("SELECT o_orderkey FROM orders WHERE o_orderkey % 1000 = 7")
+def q_changed_ranges(spark, d):
+    """Of two copies of a table the rows that differ, looked for in the ranges alone whose digests differ."""
+    o = table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+    other = o.withColumn("o_custkey", F.when(F.col("o_orderkey") % 1000 == 7, -1).otherwise(F.col("o_custkey")))
+    columns = ["o_custkey", "o_orderkey", "o_orderstatus"]
+    ranges = rows.changed(rows.tree(o, columns, "o_orderkey"), rows.tree(other, columns, "o_orderkey"))
+    some = lambda df: df.join(ranges, rows.leaf("o_orderkey", 4096) == F.col("leaf"), "left_semi")
+    return some(o).exceptAll(some(other)).select("o_orderkey")
