@@ -5,7 +5,7 @@ import os
 import duckdb
 import pytest
 
-from marlstone.plans import landed, passages, records, registry  # noqa: F401
+from marlstone.plans import central, landed, passages, records, registry  # noqa: F401
 
 DATA = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
