@@ -61,7 +61,7 @@ def test_a_list_of_very_many_addresses_is_quick(spark):
 
 def test_one_long_labelled_text_costs_no_sample(spark):
     rows = [(k, f"you are a vile fool w{k}" if k % 2 else f"a fine day v{k}", k % 2) for k in range(400)]
-    long = [(100 + k, "pad " * 3000, 0) for k in range(8)]
+    long = [(1000 + k, "pad " * 3000, 0) for k in range(8)]
     found = []
     for given in (rows, rows + long):
         docs = spark.createDataFrame(given, "doc_id long, text string, toxic int")
