@@ -124,3 +124,12 @@ def compatible_surface(a: Column, b: Column) -> Column:
     """Two listings of one title: one holds the other once trailing ellipses are off."""
     bare = lambda c: strip(F.regexp_replace(strip(c), "(?:…|\\.{3})$", ""))
     return F.contains(bare(a), bare(b)) | F.contains(bare(b), bare(a))
+
+
+def canonical_surface(surfaces: Column) -> Column:
+    """Of the texts under which a listing shows one body (an array) the longest, the last in order of equal ones, and whether every two of them are compatible; empty and compatible without any."""
+    own = F.array_distinct(F.filter(surfaces, lambda s: s.isNotNull() & (strip(s) != "")))
+    longest = F.array_max(F.transform(own, lambda s: F.struct(F.length(s).alias("n"), s.alias("s"))))
+    empty = lambda s: strip(F.regexp_replace(strip(s), "(?:…|\\.{3})$", "")) == ""
+    fits = F.forall(own, lambda a: F.forall(own, lambda b: F.when(empty(a) | empty(b), empty(a) & empty(b)).otherwise(compatible_surface(a, b))))
+    return F.struct(F.coalesce(longest.s, F.lit("")).alias("text"), fits.alias("compatible"))

@@ -98,6 +98,15 @@ def fresh(df: DataFrame, now: Column, hours: int = 16) -> DataFrame:
     return violations(df, F.col("source"), {"future": at <= now + F.expr("INTERVAL 10 MINUTES"), "age": at >= now - F.make_interval(hours=F.lit(hours))})
 
 
+def fresh_manifest(sources: DataFrame, manifest_at: Column, now: Column, hours: int = 16) -> DataFrame:
+    """Sources (source, checked_at) of a manifest that were checked after it, ahead of the clock by more than ten minutes, more than an hour before the manifest, or too long ago."""
+    at, made = D.instant(F.col("checked_at")), D.instant(manifest_at)
+    return violations(sources, F.col("source"), {
+        "not after the manifest": at <= made, "future": at <= now + F.expr("INTERVAL 10 MINUTES"), "behind the manifest": at >= made - F.expr("INTERVAL 1 HOUR"), "age": at >= now - F.make_interval(hours=F.lit(hours)),
+        "manifest in the future": made <= now + F.expr("INTERVAL 10 MINUTES"),
+    })
+
+
 def private_names(names: Sequence[str]) -> list[str]:
     """Of field names those that speak of persons or access, however they are spelled."""
     bare = lambda n: re.sub("[^a-z0-9]", "", n.lower())

@@ -70,6 +70,28 @@ def lookup(found: DataFrame, articles: DataFrame, entity: str, key: str = "pos")
     return articles.join(found.where(F.col("entity") == entity).select(key), key).orderBy(key)
 
 
+# Entities that are markets or instruments, and models or mechanisms; words that stay small in labels (fixed values).
+MARKETS = (
+    "bitcoin", "bonds", "copper", "dxy", "ethereum", "euro", "futures", "gold", "natural-gas", "non-deliverable-forwards", "oil", "options",
+    "precious-metals", "silver", "spx", "swaps", "treasuries", "vix", "vvix", "yen",
+)
+MODELS = (
+    "avellaneda-stoikov", "basis-trade", "black-litterman", "black-scholes", "carry-trade", "delta-hedging", "dispersion-trading", "expected-shortfall", "factor-model", "gamma", "gamma-scalping", "heston",
+    "hull-white", "kelly-criterion", "market-making", "market-microstructure", "market-structure", "mean-reversion", "monte-carlo", "risk-parity", "rough-volatility", "sabr", "sharpe-ratio",
+    "sortino-ratio", "statistical-arbitrage", "stochastic-volatility", "value-at-risk", "variance-swaps", "volatility-arbitrage", "volatility-risk-premium",
+)
+SMALL = ("and", "for", "of", "the")
+
+
 def label(entity: Column) -> Column:
+    """A fixed label, or the entity's first alias (its name, if it has none) in title case; small words stay small but at the start."""
     fixed = F.create_map(*(F.lit(x) for p in LABELS.items() for x in p))
-    return F.coalesce(F.try_element_at(fixed, entity), F.initcap(F.replace(entity, F.lit("-"), F.lit(" "))))
+    said = F.create_map(*(F.lit(x) for name, own in lexicon.ENTITIES.items() for x in (name, own[0])))
+    words = F.filter(F.split(F.lower(F.replace(F.coalesce(F.try_element_at(said, entity), entity), F.lit("-"), F.lit(" "))), " +"), lambda w: w != "")
+    titled = F.transform(words, lambda w, i: F.when((i > 0) & w.isin(*SMALL), w).otherwise(F.concat(F.upper(F.substring(w, 1, 1)), F.substring(w, 2, 1000))))
+    return F.coalesce(F.try_element_at(fixed, entity), F.array_join(titled, " "))
+
+
+def kind(entity: Column) -> Column:
+    """The broad kind that an entity is shown under."""
+    return F.when(entity.isin(*MARKETS), "market / instrument").when(entity.isin(*MODELS), "model / mechanism").otherwise("organization / institution")

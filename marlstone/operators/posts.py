@@ -32,12 +32,19 @@ def normalised(df: DataFrame) -> DataFrame:
     return df.withColumns({"wordcount": F.when(F.col("content_status") == "excerpt", 0).otherwise(F.col("wordcount")), "audience": F.when(F.col("audience").isin("everyone", "only_paid"), F.col("audience")).otherwise("only_paid")})
 
 
-def from_paragraphs(df: DataFrame) -> DataFrame:
-    """Posts given as paragraphs (type, text, href): title from the first three if they hold a heading, subtitle from the first eight, body of all."""
+# What a paragraph says that points to the same work elsewhere (fixed value).
+PROMO_MARKER = "read this article free on substack"
+
+
+def from_paragraphs(df: DataFrame, marker: str = "") -> DataFrame:
+    """Posts given as paragraphs (type, text, href): title from the first three if they hold a heading, subtitle from the first eight, body of all.
+
+    With a marker only a paragraph that says it proves a mirror by its link, and none that says it is a subtitle.
+    """
     p = F.col("paragraphs")
     heading = F.filter(F.slice(p, 1, 3), lambda x: x.type.isin("H1", "H2", "H3"))
-    sub = F.filter(F.slice(p, 1, 8), lambda x: (x.type == "P") & (F.length(F.trim(x.text)) > 0))
-    mirror = F.filter(p, lambda x: x.href.rlike("^https://[a-z0-9-]+\\.substack\\.com/p/"))
+    sub = F.filter(F.slice(p, 1, 8), lambda x: (x.type == "P") & (F.length(F.trim(x.text)) > 0) & (~F.lower(x.text).contains(marker) if marker else F.lit(True)))
+    mirror = F.filter(p, lambda x: F.lower(F.coalesce(x.text, F.lit(""))).contains(marker) & x.href.rlike("^https://[a-z0-9-]+\\.substack\\.com/p/"))
     return df.withColumns({
         "title": F.coalesce(F.nullif(F.trim("title"), F.lit("")), F.get(heading, 0).text), "subtitle": F.get(sub, 0).text, "body_text": F.array_join(F.transform(p, lambda x: x.text), "\n\n"),
         "mirror_substack_slug": F.nullif(F.regexp_extract(F.get(mirror, 0).href, "/p/([a-z0-9-]+)", 1), F.lit("")), "post_date": D.from_epoch_millis(F.col("published_millis")),

@@ -8,6 +8,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .rows import Down, numbered
+
 TIERS = ("exact", "subject", "related", "mention")
 
 
@@ -55,6 +57,12 @@ def refined(rows: DataFrame, any_of: Mapping[str, Sequence[str]], equal: Mapping
     return rows.where(F.lit(bool(reasons))).withColumn("reasons", F.array(*map(F.lit, reasons)).cast("array<string>"))
 
 
+def note_tallies(rows: DataFrame, note: str, values: str) -> DataFrame:
+    """(value, notes, passages) of a list column: in how many notes each value stands, not only in how many passages."""
+    each = rows.select(note, F.explode(F.array_distinct(values)).alias("value"))
+    return each.groupBy("value").agg(F.count_distinct(note).alias("notes"), F.count("*").alias("passages"))
+
+
 def note_summary(rows: DataFrame, note: str) -> DataFrame:
     """One row: passages and notes, and notes with quantities and outcomes."""
     some = lambda c: F.count_distinct(F.when(F.coalesce(F.col(c), F.lit("")) != "", F.col(note)))
@@ -89,7 +97,7 @@ def queue(rows: DataFrame, retained: DataFrame, key: str, fields: Sequence[str],
     kept = retained.join(now, key, "left").withColumn("still_there", F.coalesce("__here", F.lit(False))).drop("__here")
     for c, value in equal.items():
         kept = kept.where(F.col(c) == value)
-    return kept.withColumn("place", F.row_number().over(Window.orderBy(F.desc(order), key)))
+    return numbered(kept, [Down(order), key], "place").withColumn("place", (F.col("place") + 1).cast("int"))
 
 
 def page(rows: DataFrame, order: Sequence[Column], size: int, pinned: Column) -> DataFrame:
