@@ -10,6 +10,7 @@ from ..functions import text as X
 from ..operators import posts, publish, release, rows, search_index, versions
 from ..session import landing, table
 from ..sources import files, json_lines
+from ..streaming import keyed
 from .records import POSTS, _posts
 from .registry import query
 
@@ -180,3 +181,20 @@ def q_changed_ranges(spark, d):
     ranges = rows.changed(rows.tree(o, columns, "o_orderkey"), rows.tree(other, columns, "o_orderkey"))
     some = lambda df: df.join(ranges, rows.leaf("o_orderkey", 4096) == F.col("leaf"), "left_semi")
     return some(o).exceptAll(some(other)).select("o_orderkey")
+
+
+@query("""WITH d AS (SELECT DISTINCT sha256(text) AS digest FROM documents WHERE text IS NOT NULL)
+SELECT digest, CASE WHEN digest >= '2' THEN 'label ' || left(digest, 1) END AS label, CASE WHEN right(digest, 1) IN ('e', 'f') THEN '2025-01-02' ELSE '2025-01-01' END AS asked_at FROM d""")
+def q_label_cache(spark, d):
+    """Labels of whole texts by their digest, asked for in two runs: what met an outage in the first is asked again in the second, abstentions are not, and nothing is asked twice."""
+    h = F.col("digest")
+    docs = table(spark, d, "documents").where("text is not null").select(F.sha2("text", 256).alias("digest"), "text")
+    store = keyed.label_store(spark, landing(spark, "labels"), 2)
+
+    def ask(wanted, up=False):
+        return wanted.where(F.lit(up) | ~F.substring(h, -1, 1).isin("e", "f")).select("digest", F.when(h >= "2", F.concat(F.lit("label "), F.substring(h, 1, 1))).alias("label"))
+
+    keyed.labelled(docs, store, ask, "2025-01-01")
+    keyed.labelled(docs, store, functools.partial(ask, up=True), "2025-01-02")
+    keyed.labelled(docs, store, functools.partial(ask, up=True), "2025-01-03")
+    return store.read()
