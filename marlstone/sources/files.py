@@ -55,14 +55,22 @@ def curve(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(kind).option("multiLine", True).json(path).select(F.explode("observations").alias("day", "r")).select("day", "r.*")
 
 
+def _elements(spark: SparkSession, path: str, tag: str, fields: list[str]) -> DataFrame:
+    """(pos, r) of elements of that name, whatever their prefix, in file order; r has the text of the named children, as an XML parser reads it: entities and CDATA undone, attributes and prefixes aside. Document types and entities are refused, and so is an element that isn't well formed."""
+    text = spark.read.format("text").option("wholetext", True).load(path)
+    checked = text.select(F.when(F.col("value").rlike("(?i)<!(DOCTYPE|ENTITY)"), F.raise_error(F.lit(f"document type in {tag}s"))).otherwise(F.col("value")).alias("value"))
+    # an element ends at its end tag, but not at one that CDATA quotes
+    whole = rf"(?s)<(?:\w+:)?{tag}\b(?:<!\[CDATA\[.*?\]\]>|(?!</(?:\w+:)?{tag}\s*>).)*+</(?:\w+:)?{tag}\s*>"
+    each = checked.select(F.posexplode(F.regexp_extract_all("value", F.lit(whole), F.lit(0))).alias("pos", "e"))
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in fields])
+    return each.select("pos", F.from_xml("e", schema, {"ignoreNamespace": "true", "mode": "FAILFAST"}).alias("r"))
+
+
 def curve_xml(spark: SparkSession, path: str) -> DataFrame:
     """Days of a yield feed; days that lack a tenor are left out. Tenors by their element names (fixed values)."""
     names = {"m3": "BC_3MONTH", "y2": "BC_2YEAR", "y5": "BC_5YEAR", "y10": "BC_10YEAR", "y30": "BC_30YEAR"}
-    text = spark.read.format("text").option("wholetext", True).load(path)
-    entries = text.select(F.explode(F.regexp_extract_all("value", F.lit("(?s)<(?:\\w+:)?properties\\b.*?</(?:\\w+:)?properties>"), F.lit(0))).alias("e"))
-    value = lambda n: F.nullif(F.regexp_extract("e", f"<(?:\\w+:)?{n}\\b[^>]*>([^<]+)<", 1), F.lit(""))
-    rows = entries.select(F.substring(value("NEW_DATE"), 1, 10).alias("day"), *(value(x).try_cast("double").alias(n) for n, x in names.items()))
-    return rows.dropna()
+    entries = _elements(spark, path, "properties", ["NEW_DATE", *names.values()])
+    return entries.select(F.substring(F.trim("r.NEW_DATE"), 1, 10).alias("day"), *(F.trim(f"r.{x}").try_cast("double").alias(n) for n, x in names.items())).dropna()
 
 
 def merge_curve(old: DataFrame, new: DataFrame) -> DataFrame:
@@ -71,11 +79,9 @@ def merge_curve(old: DataFrame, new: DataFrame) -> DataFrame:
 
 
 def feed(spark: SparkSession, path: str) -> DataFrame:
-    """Items of RSS files in file order: pos, guid, title, link, published, description. Document types and entities are refused."""
-    text = spark.read.format("text").option("wholetext", True).load(path)
-    checked = text.select(F.when(F.col("value").rlike("(?i)<!(DOCTYPE|ENTITY)"), F.raise_error(F.lit("document type in feed"))).otherwise(F.col("value")).alias("value"))
-    items = checked.select(F.posexplode(F.regexp_extract_all("value", F.lit("(?s)<item\\b.*?</item>"), F.lit(0))).alias("pos", "e"))
-    inner = lambda n: F.regexp_replace(F.regexp_extract("e", f"(?s)<{n}\\b[^>]*>(.*?)</{n}>", 1), "(?s)^\\s*<!\\[CDATA\\[(.*)\\]\\]>\\s*$", "$1")
+    """Items of RSS files in file order: pos, guid, title, link, published, description; what an item lacks is empty."""
+    items = _elements(spark, path, "item", ["guid", "title", "link", "pubDate", "description"])
+    inner = lambda n: F.coalesce(F.col(f"r.{n}"), F.lit(""))
     return items.select("pos", inner("guid").alias("guid"), inner("title").alias("title"), inner("link").alias("link"), D.from_rfc2822(inner("pubDate")).alias("published"), inner("description").alias("description"))
 
 

@@ -73,3 +73,17 @@ def test_merged_window_is_idempotent(spark, tmp_path):
     for _ in range(2):
         put(spark.createDataFrame([(2, "c")], "id int, v string"), 1)
     assert sorted(map(tuple, spark.read.parquet(str(tmp_path / "t/v=1")).collect())) == [(1, "a"), (2, "c")]
+
+
+def test_feeds_are_read_as_xml(spark, tmp_path):
+    quoted = "<![CDATA[<p>a &amp; b</p> ends </item> not here]]>"
+    (tmp_path / "f.xml").write_text(f'<rss xmlns:x="u"><channel><title>The feed</title><item a="1"><guid isPermaLink="false">g&amp;1</guid><title>A &lt;b&gt; &#233; <![CDATA[&amp; c]]></title><link>https://h/p?a=1&amp;b=2</link><pubDate>Wed, 01 Jan 2025 10:00:00 GMT</pubDate><description>{quoted}</description><x:other>no</x:other></item><item><title/></item></channel></rss>')
+    a, b = files.feed(spark, str(tmp_path / "f.xml")).orderBy("pos").collect()
+    assert (a.guid, a.title, a.link, str(a.published), a.description) == ("g&1", "A <b> é &amp; c", "https://h/p?a=1&b=2", "2025-01-01 10:00:00", "<p>a &amp; b</p> ends </item> not here")
+    assert (b.pos, b.guid, b.title, b.published) == (1, "", "", None)
+    (tmp_path / "c.xml").write_text('<feed><entry><m:properties xmlns:m="m"><d:NEW_DATE m:type="t">2025-01-02T00:00:00</d:NEW_DATE>' + "".join(f'<d:BC_{t} m:type="n"> {v} </d:BC_{t}>' for t, v in (("3MONTH", 1), ("2YEAR", 2), ("5YEAR", 3), ("10YEAR", "4.5"), ("30YEAR", 5))) + '</m:properties></entry></feed>')
+    assert [tuple(r) for r in files.curve_xml(spark, str(tmp_path / "c.xml")).collect()] == [("2025-01-02", 1.0, 2.0, 3.0, 4.5, 5.0)]
+    for bad in ("<!DOCTYPE x [<!ENTITY e 'boo'>]><rss><item><title>&e;</title></item></rss>", "<rss><item><title>open</item></rss>"):
+        (tmp_path / "bad.xml").write_text(bad)
+        with pytest.raises(Exception):
+            files.feed(spark, str(tmp_path / "bad.xml")).collect()
