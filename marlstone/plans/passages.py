@@ -219,12 +219,12 @@ def q_framed_search(spark, d):
     return search.framed(table(spark, d, "part"), "small ring", {"exact": ["p_name"], "subject": ["p_type", "p_name"]}, "what if rates fall").select("p_partkey", "part", "question")
 
 
-@query("SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS date, r.n AS reading FROM orders LEFT JOIN (SELECT strftime(o_orderdate, '%Y-%m-%d') AS day, count(*) AS n FROM orders WHERE o_orderkey % 3 = 0 GROUP BY 1) r ON day = strftime(o_orderdate, '%Y-%m-%d') WHERE o_orderkey % 10 = 0")
+@query("SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS date, r.n AS reading FROM orders LEFT JOIN (SELECT strftime(o_orderdate, '%Y-%m-%d') AS day, count(*) AS n FROM orders WHERE o_orderkey % 3 = 0 GROUP BY 1) r ON day = strftime(o_orderdate, '%Y-%m-%d')")
 def q_annotated_search(spark, d):
     """Hits with the reading of their day; none goes for want of one."""
     o = table(spark, d, "orders").select("o_orderkey", F.date_format("o_orderdate", "yyyy-MM-dd").alias("date"))
     context = o.where("o_orderkey % 3 = 0").groupBy(F.col("date").alias("day")).agg(F.count("*").alias("reading"))
-    return search.annotated(o.where("o_orderkey % 10 = 0"), context).select("o_orderkey", "date", "reading")
+    return search.annotated(o, context).select("o_orderkey", "date", "reading")
 
 
 @query("SELECT o_orderkey, o_orderstatus AS status, CASE WHEN o_orderkey % 4 <> 0 THEN 'new' END AS now_status, o_orderkey % 4 <> 0 AS still_there, row_number() OVER (ORDER BY o_totalprice DESC, o_orderkey) AS place FROM orders WHERE o_orderkey % 6 = 0 AND o_orderstatus = 'O'")
@@ -432,11 +432,11 @@ def q_search_words(spark, d):
     return table(spark, d, "documents").select("doc_id", F.sha2(F.array_join(normalized_words(F.regexp_replace("text", "[^\\x09-\\x7e]|[&']", " ")), " "), 256).alias("words"))
 
 
-@query("SELECT 's' || o_orderkey AS slug, CASE WHEN o_orderkey <= 40 AND o_orderkey % 3 <> 0 AND o_orderkey % 5 <> 0 THEN o_orderpriority END AS body_text FROM orders WHERE o_orderkey <= 200")
+@query("SELECT 's' || o_orderkey AS slug, CASE WHEN o_orderkey <= 40 AND o_orderkey % 3 <> 0 AND o_orderkey % 5 <> 0 THEN o_orderpriority END AS body_text FROM orders")
 def q_detail_lookup(spark, d):
     """Details of the first in turn, of the same revision."""
     k = F.col("o_orderkey")
-    o = table(spark, d, "orders").where(k <= 200)
+    o = table(spark, d, "orders")
     slug = F.concat(F.lit("s"), k.cast("string")).alias("slug")
     listing = o.select(slug, F.lit("b").alias("updated_at"), k.alias("turn"))
     landed = o.where(k % 3 != 0).select(slug, F.when(k % 5 == 0, "a").otherwise("b").alias("updated_at"), F.col("o_orderpriority").alias("body_text"))

@@ -362,10 +362,10 @@ def q_preview_proof(spark, d):
     return contracts.preview_proof(broken)
 
 
-@query("WITH p AS (SELECT o_orderkey AS k, CASE WHEN o_orderkey % 30 = 0 THEN '1997-02-30' ELSE strftime(o_orderdate, '%Y-%m-%d') END AS day FROM orders WHERE o_orderkey % 4 = 0) " + _broken({"day": "k % 30 <> 0", "y2": "k % 21 <> 0", "y10": "k % 33 <> 0"}, "day") + " UNION ALL SELECT 'unique day', day FROM p GROUP BY day HAVING count(*) > 1")
+@query("WITH p AS (SELECT o_orderkey AS k, CASE WHEN o_orderkey % 30 = 0 THEN '1997-02-30' ELSE strftime(o_orderdate, '%Y-%m-%d') END AS day FROM orders) " + _broken({"day": "k % 30 <> 0", "y2": "k % 21 <> 0", "y10": "k % 33 <> 0"}, "day") + " UNION ALL SELECT 'unique day', day FROM p GROUP BY day HAVING count(*) > 1")
 def q_curve_contract(spark, d):
     k = F.col("o_orderkey")
-    c = table(spark, d, "orders").where(k % 4 == 0).select(F.when(k % 30 == 0, "1997-02-30").otherwise(F.date_format("o_orderdate", "yyyy-MM-dd")).alias("day"), *(F.when(k % n == 0, F.lit(None) if n == 21 else F.lit(400.0)).otherwise(4.0).alias(c) if n else F.lit(3.5).alias(c) for c, n in (("m3", 0), ("y2", 21), ("y5", 0), ("y10", 33), ("y30", 0))))
+    c = table(spark, d, "orders").select(F.when(k % 30 == 0, "1997-02-30").otherwise(F.date_format("o_orderdate", "yyyy-MM-dd")).alias("day"), *(F.when(k % n == 0, F.lit(None) if n == 21 else F.lit(400.0)).otherwise(4.0).alias(c) if n else F.lit(3.5).alias(c) for c, n in (("m3", 0), ("y2", 21), ("y5", 0), ("y10", 33), ("y30", 0))))
     return contracts.curve(c)
 
 
@@ -415,11 +415,11 @@ def q_thread_invariants(spark, d):
     return threads.invariants(broken, m)
 
 
-@query("SELECT l_orderkey AS thread, l_suppkey AS owner FROM lineitem WHERE l_suppkey % 10 <> 0 AND l_orderkey % 50 = 0")
+@query("SELECT l_orderkey AS thread, l_suppkey AS owner FROM lineitem WHERE l_suppkey % 10 <> 0")
 def q_thread_owners(spark, d):
     """Thread members with the catalogue row of their URL."""
     own = table(spark, d, "supplier").where("s_suppkey % 10 <> 0").select(F.concat(F.lit("https://h/"), F.col("s_suppkey").cast("string")).alias("url"), F.col("s_suppkey").alias("id"))
-    members = table(spark, d, "lineitem").where("l_orderkey % 50 = 0").select(F.col("l_orderkey").alias("thread"), F.concat(F.lit(" https://h/"), F.col("l_suppkey").cast("string"), F.lit("//")).alias("url"))
+    members = table(spark, d, "lineitem").select(F.col("l_orderkey").alias("thread"), F.concat(F.lit(" https://h/"), F.col("l_suppkey").cast("string"), F.lit("//")).alias("url"))
     return threads.owners(members, own)[0].select("thread", "owner")
 
 
