@@ -154,3 +154,9 @@ def test_brief_abstains():
     assert not B.prose("Short.") and not B.prose("subscribe " * 30) and B.prose(PROSE)
     assert B.brief_of("")["lead"] is None
     assert B.boilerplate("By Jane Roe", "Jane Roe") and not B.boilerplate("By Jane Roe")
+
+
+def test_open_references_stay():
+    page = "<title>war &amp; p&amp</title><p>a &lt;b&gt; &amp;lt; &am &copy</p>"
+    assert U.visible_text(page, closed=True) == "war & p&amp\na <b> &lt; &am &copy"
+    assert U.visible_text(page) == "war & p&\na <b> < &am ©"
