@@ -8,7 +8,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .rows import Down, numbered
+from ..session import coded, stored
+from .rows import Down, numbered, pairs_of_classes
 
 TIERS = ("exact", "subject", "related", "mention")
 
@@ -107,8 +108,15 @@ def page(rows: DataFrame, order: Sequence[Column], size: int, pinned: Column) ->
 
 
 def by_field(rows: DataFrame, key: str, fields: Sequence[str]) -> DataFrame:
-    """(src, dst, why): rows that share an exact value of a qualifying field, each with the fields they share. Values that one row has are left out before the join."""
-    each = rows.select(F.col(key).alias("id"), F.explode(F.array(*(F.struct(F.lit(f).alias("field"), F.lower(F.trim(F.col(f))).alias("v")) for f in fields))).alias("x")).select("id", "x.*").where("v <> ''").distinct()
-    known = each.join(each.groupBy("field", "v").agg(F.count("*").alias("n")).where("n > 1"), ["field", "v"])
-    pairs = known.withColumnRenamed("id", "src").join(known.select(F.col("id").alias("dst"), "field", "v"), ["field", "v"]).where("src <> dst")
-    return pairs.groupBy("src", "dst").agg(F.sort_array(F.collect_set("field")).alias("why"))
+    """(src, dst, why): rows that share an exact value of a qualifying field, each with the fields they share. Rows with the same values form a class; what classes share is found once, and pairs of rows are made from it, dealt evenly."""
+    value = lambda f: F.lower(F.trim(F.col(f)))
+    values = F.array(*(F.when(value(f) != "", F.struct(F.lit(f).alias("field"), value(f).alias("v"))) for f in fields))
+    # a key's rows taken together, as a key may have several
+    own = rows.select(F.col(key).alias("id"), F.explode(F.filter(values, lambda x: x.isNotNull())).alias("x")).groupBy("id").agg(F.sort_array(F.collect_set("x")).alias("xs"))
+    own = stored(own, "values")
+    classes = coded(own.select("xs").distinct(), "classes").withColumnRenamed("no", "class")
+    members = stored(own.join(classes, "xs").select("id", "class"), "members")
+    each = stored(classes.select("class", F.explode("xs").alias("x")).select("class", "x.*"), "each")
+    both = each.withColumnRenamed("class", "a").join(each.select(F.col("class").alias("b"), "field", "v"), ["field", "v"])
+    links = both.groupBy("a", "b").agg(F.sort_array(F.collect_set("field")).alias("why"))
+    return pairs_of_classes(members, links)
