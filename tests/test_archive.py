@@ -271,3 +271,10 @@ def test_similarity_bounds(spark):
     f = spark.createDataFrame([(i, "t", "all") for i in range(30)] + [(0, "t", "x"), (1, "t", "x")], "id int, field string, feature string")
     kept = similarity.idf(similarity.document_frequency(f), 30)
     assert [r.feature for r in kept.collect()] == ["x"]
+
+
+def test_frequencies_shuffle_counts_only(spark):
+    lists = spark.createDataFrame([(i, ["all", "all", f"own{i}", "x" if i < 2 else "all"]) for i in range(30)], "id int, features array<string>")
+    df = similarity.frequency_of(lists)
+    assert {r.feature: r.df for r in df.where("df > 1").collect()} == {"all": 30, "x": 2}
+    assert df._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
