@@ -1,6 +1,7 @@
 import time
 
 import pytest
+from pyspark.util import PythonEvalType
 from pyspark.sql import functions as F
 
 from marlstone.functions import briefs as B
@@ -160,3 +161,8 @@ def test_open_references_stay():
     page = "<title>war &amp; p&amp</title><p>a &lt;b&gt; &amp;lt; &am &copy</p>"
     assert U.visible_text(page, closed=True) == "war & p&amp\na <b> &lt; &am &copy"
     assert U.visible_text(page) == "war & p&\na <b> < &am ©"
+
+
+def test_whole_texts_reach_python_by_few_rows():
+    arrow = [f for f in (U.normalize_title, U.normalize_taxonomy, U.normalize_identity, U.normalized_words, U.strip_html) if f.evalType != PythonEvalType.SQL_BATCHED_UDF]
+    assert not arrow
