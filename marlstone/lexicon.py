@@ -21,6 +21,13 @@ TRIGGERS = (
     r'\b(?:leveraged|levered|unlevered)\b',
 )
 
+# Whatever one of the patterns above (but AFFIRMATIVE) matches holds one of these, in lower case: change them together.
+SIGNAL_STEMS = (
+    'long', 'short', 'bullish', 'upside bet', 'bought', 'purchase', 'acqui', 'call', 'overweight', 'accumulated', 'position', 'stake', 'holding', 'exposure', 'deployed', 'allocated', 'against', 'cds', 'bearish',
+    'underweight', 'selling', 'sold', 'put', 'fade', 'fading', 'arb', 'relative value', 'trade', 'market neutral', 'driven', 'steepener', 'flattener', 'dispersion', 'spread', 'established', 'built', 'entered', 'initiated',
+    'opened', 'invest', 'options on', 'hedg', 'profit', 'loss', 'made $', 'lost $', 'gain', 'return', 'levered', 'leveraged',
+)
+
 # Instrument classes and their patterns, in order (fixed values).
 INSTRUMENTS = {
     'bond': '\\b(bond[s]?|gilt[s]?|treasury(?!\\s+(?:stock|shares?|department|secretary))|treasuries|t\\.bond[s]?|t\\.note[s]?|treasury note[s]?|senior note[s]?|convertible note[s]?|subordinated note[s]?|floating rate note[s]?|promissory note[s]?|unsecured note[s]?|secured note[s]?|corporate bond[s]?|sovereign bond[s]?|IG bond[s]?|HY bond[s]?|high.yield bond[s]?|investment.grade bond[s]?|junk bond[s]?|government bond[s]?)\\b',
@@ -113,6 +120,7 @@ NEGATION_STOP = '\\b(?:but|however|yet|although|though|rather|instead)\\b'
 
 # Reference lines (fixed values).
 URL = '(?:https?://|www\\.)\\S+'
+URL_STEMS = ('http', 'www.')
 SOURCES_HEADING = '^(?:references?|bibliography|sources?|footnotes?|further reading)(?:\\s*[:&-]+\\s*)?$'
 SOURCE_MARKER = '^\\s*(?:\\[(?:\\d+|[ivxlcdm]+|[\\u00b9\\u00b2\\u00b3\\u2070-\\u2079]+)\\]|\\d{1,3}[.)])\\s*'
 CITATION = '\\b(?:doi|arxiv|available at|retrieved|accessed|working paper|quarterly review|journal of|proceedings|volume\\s+\\d+|vol\\.\\s*\\d+|pp?\\.\\s*\\d+)\\b'
@@ -364,6 +372,12 @@ CONNECTORS = (
 PROMOTIONAL = '(?:\\bpatreon\\b|\\byoutube\\b|\\blinkedin\\b|\\bnotebooklm\\b|\\bsubscribe\\b|\\bsign[ -]?up\\b|\\bnewsletter\\b|\\bdiscord\\b|\\bunlock(?:ed)?\\b|\\bsupport (?:this|the) work\\b|\\bjoin (?:the |our )?(?:community|membership)\\b|\\bprefer (?:to )?(?:watch|listen)|\\bwatch (?:the )?(?:full )?video\\b|\\bvideo overview\\b|\\bcompanion (?:document|note|piece|report)\\b|\\bread the full (?:trade|mechanism|research|analysis)\\b|\\bexclusive (?:trade|research|analysis|content)\\b|\\bfollow (?:me|the research|for more)\\b|\\babout the author\\b|\\bdisclaimer\\b|\\b(?:purely|strictly) educational\\b|\\bfor (?:educational|informational) purposes?\\b|\\bnot (?:financial|investment|trading) advice\\b|\\bpart of my .{0,60}research series\\b|\\bdedicated to\\b|\\bin (?:loving )?memory of\\b|\\bpublic research journal\\b|\\bconnect with\\b|github\\.com|streamlit\\.app)'
 UPDATE_NOTICE = '\\b(?:article|post|page|research|last)\\s+(?:was\\s+)?updated\\b'
 URL_OR_CITATION = '(?:https?://|www\\.|\\bdoi\\s*:|\\bssrn\\b|\\barxiv\\b)'
+# Whatever one of these three matches holds one of these, in lower case: change them together.
+NOTICE_STEMS = (
+    'patreon', 'youtube', 'linkedin', 'notebooklm', 'subscribe', 'sign up', 'sign-up', 'signup', 'newsletter', 'discord', 'unlock', 'support th', 'community', 'membership', 'prefer ', 'video', 'companion ', 'read the full', 'exclusive ',
+    'follow me', 'follow the research', 'follow for more', 'about the author', 'disclaimer', 'educational', 'informational', ' advice', 'part of my', 'dedicated to', 'memory of', 'research journal', 'connect with', 'github.com',
+    'streamlit.app', 'updated', 'http', 'www.', 'doi', 'ssrn', 'arxiv',
+)
 
 # Headings, in order of precedence (fixed values).
 REFERENCE_HEADING = '^(?:(?:primary|verified|complete|major|data)\\s+)?(?:sources?|references?)(?:\\s*(?:&|and)\\s*(?:references?|methodology|further reading))?(?:\\s*[·:—–-]\\s*[^.!?]{1,100})?$'

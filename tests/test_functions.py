@@ -1,9 +1,12 @@
+import random
+import re
 import time
 
 import pytest
 from pyspark.util import PythonEvalType
 from pyspark.sql import functions as F
 
+from marlstone import lexicon as L
 from marlstone.functions import briefs as B
 from marlstone.functions import dates as D
 from marlstone.functions import numbers as N
@@ -166,3 +169,55 @@ def test_open_references_stay():
 def test_whole_texts_reach_python_by_few_rows():
     arrow = [f for f in (U.normalize_title, U.normalize_taxonomy, U.normalize_identity, U.normalized_words, U.strip_html) if f.evalType != PythonEvalType.SQL_BATCHED_UDF]
     assert not arrow
+
+
+def _made(parsed, rng) -> str:
+    """Some text that a parsed pattern matches, bounds and looks ahead aside."""
+    out = []
+    for op, arg in parsed:
+        name = str(op)
+        if name == "LITERAL":
+            out.append(chr(arg))
+        elif name == "IN":
+            kind, x = rng.choice(arg)
+            out.append({"LITERAL": lambda: chr(x), "RANGE": lambda: chr(rng.randint(*x)), "NEGATE": lambda: "q"}.get(str(kind), lambda: {"CATEGORY_DIGIT": "7", "CATEGORY_SPACE": " "}.get(str(x), "w"))())
+        elif name == "BRANCH":
+            out.append(_made(rng.choice(arg[1]), rng))
+        elif name == "SUBPATTERN":
+            out.append(_made(arg[3], rng))
+        elif name in ("MAX_REPEAT", "MIN_REPEAT"):
+            out.append("".join(_made(arg[2], rng) for _ in range(rng.randint(arg[0], min(arg[1], arg[0] + 2)))))
+        elif name in ("ANY", "NOT_LITERAL"):
+            out.append("q")
+    return "".join(out)
+
+
+def _misses(patterns, stems) -> list[str]:
+    rng, missed, seen = random.Random(5), [], 0
+    for p in patterns:
+        parsed = re._parser.parse(p, re.I)
+        for _ in range(3000):
+            if m := re.search(p, _made(parsed, rng), re.I):
+                seen += 1
+                missed += [] if U.holds(m[0], stems) else [m[0]]
+    assert seen > 1000 * len(patterns)
+    return missed
+
+
+def test_stems_are_in_all_that_their_patterns_match():
+    assert not _misses([L.PROMOTIONAL, L.UPDATE_NOTICE, L.URL_OR_CITATION], L.NOTICE_STEMS)
+    assert not _misses([L.LONG, L.SHORT, L.ARBITRAGE, L.OWNS_PUTS, *L.TRIGGERS], L.SIGNAL_STEMS)
+    assert not _misses([L.URL], L.URL_STEMS)
+    for text in ("SUBſCRIBE", "ſıgn up", "lİnkedin", "youtube", "LinKedin"):
+        assert U.holds(text, L.NOTICE_STEMS) and re.search(L.PROMOTIONAL, text, re.I)
+
+
+class _Unwanted:
+    def __getattr__(self, name):
+        raise AssertionError("a slow pattern is tried on a plain text")
+
+
+def test_plain_lines_need_no_patterns_of_notices(monkeypatch):
+    monkeypatch.setattr(B, "_NOT_RESEARCH", [_Unwanted()])
+    assert not B.boilerplate("Nothing of the kind was said by anyone on that day, nor later.")
+    assert B.brief.evalType == PythonEvalType.SQL_BATCHED_UDF
