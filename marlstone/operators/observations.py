@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import observe as O
 from ..functions import text as X
 from ..functions.text_udf import normalize_identity
-from ..session import stored
+from ..session import dealt, stored
 from .rows import dedup_by_prefix, first_per
 
 #: Least length of a body, and most windows taken where no paragraph speaks of a trade.
@@ -38,10 +38,10 @@ def extract(posts: DataFrame) -> DataFrame:
     parts = stored(read(passages(posts)), "passages")
     found = parts.where("said.trade_block")
     rest = parts.join(found.select("url").distinct(), "url", "left_anti")
-    text = rest.groupBy("url").agg(F.first("title").alias("title"), F.first("post_date").alias("post_date"), F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("pos", "whole"))), lambda p: p.whole), "\n\n").alias("text"))
+    text = dealt(rest, "url").groupBy("url").agg(F.first("title").alias("title"), F.first("post_date").alias("post_date"), F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("pos", "whole"))), lambda p: p.whole), "\n\n").alias("text"))
     spans = text.select("url", "title", "post_date", F.posexplode(F.slice(O.sentence_windows(X.sentences(F.col("text"))), 1, MOST_WINDOWS)).alias("pos", "whole"))
     fallback = read(spans).where("said.trade_block").where(F.length("trade_description") > 50)
-    every = found.select(*fallback.columns).unionByName(fallback)
+    every = dealt(found.select(*fallback.columns).unionByName(fallback), "url")
     return fields(first_per(every, ["url", F.substring("trade_description", 1, 100)], ["pos"]))
 
 
@@ -65,8 +65,10 @@ def resolve_directions(observations: DataFrame, cache: DataFrame) -> DataFrame:
     d = F.col("trade_description")
     known = cache.select(F.col("digest").alias("__d"), F.col("label").alias("__l"))
     keyed = observations.join(known, F.sha2(d, 256) == F.col("__d"), "left")
-    fits = (F.col("direction") == "unspecified") & F.col("__l").isNotNull() & ~O.negation_risk(d) & ~O.is_reference_only(d)
-    return keyed.withColumn("direction", F.when(fits, F.col("__l")).otherwise(F.col("direction"))).drop("__d", "__l")
+    open_ = (F.col("direction") == "unspecified") & F.col("__l").isNotNull()
+    read = keyed.withColumn("__said", O.reading(F.when(open_, d)))  # only what a label could fill is read
+    fits = open_ & ~F.col("__said.negation_risk") & ~F.col("__said.reference_only")
+    return read.withColumn("direction", F.when(fits, F.col("__l")).otherwise(F.col("direction"))).drop("__d", "__l", "__said")
 
 
 # Aliases of managers by their identity text, and the label of each (fixed values).

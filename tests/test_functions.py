@@ -2,6 +2,7 @@ import random
 import re
 import time
 
+import pandas as pd
 import pytest
 from pyspark.util import PythonEvalType
 from pyspark.sql import functions as F
@@ -14,6 +15,7 @@ from marlstone.functions import observe as O
 from marlstone.functions import text as X
 from marlstone.functions import text_udf as U
 from marlstone.functions import urls
+from marlstone.plans import passages
 
 
 def one(spark, c, **values):
@@ -221,3 +223,20 @@ def test_plain_lines_need_no_patterns_of_notices(monkeypatch):
     monkeypatch.setattr(B, "_NOT_RESEARCH", [_Unwanted()])
     assert not B.boilerplate("Nothing of the kind was said by anyone on that day, nor later.")
     assert B.brief.evalType == PythonEvalType.SQL_BATCHED_UDF
+
+
+def test_quiet_passages_need_no_patterns_of_trades(monkeypatch):
+    monkeypatch.setattr(O, "_SIGNALS", {"long": _Unwanted()})
+    quiet = "Nothing of note was said on that day by anyone there."
+    r = O.Reading(quiet)
+    assert (r.direction, r.denied, r.trade(), O.windows([quiet] * 3)) == ("unspecified", [], False, [])
+
+
+def test_no_passage_is_no_reading(monkeypatch):
+    monkeypatch.setattr(O, "Reading", _Unwanted())
+    assert O.reading.func(pd.Series([None])).values.tolist() == [["unspecified", False, False, False]]
+
+
+def test_heavy_rows_of_one_file_are_dealt(spark):
+    assert passages.q_passage_fields(spark, "/root/testdata/sf0.001").rdd.getNumPartitions() >= 4
+    assert one(spark, O.quantities(F.col("a")), a="£５ million, ٣% and 7% at £3 million") == "£５ million, £3 million, ٣%, 7%"
